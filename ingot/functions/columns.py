@@ -14,6 +14,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 MINUTE_PATTERN = "yyyy-MM-dd HH:mm"
 
+# JSON text keeps full microsecond precision both ways (Spark's defaults write
+# milliseconds only, so a round trip would lose the fraction's last digits).
+JSON_TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                     "timestampNTZFormat": ISO_PATTERN}
+
 
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -61,9 +66,10 @@ def parse_json(text, schema: StructType, corrupt_column: str | None = None) -> C
     the raw text of any record it could not parse fully there (quarantine).
     """
     if corrupt_column is None:
-        return F.from_json(col_(text), schema)
+        return F.from_json(col_(text), schema, JSON_TIME_OPTIONS)
     full = StructType(schema.fields + [StructField(corrupt_column, StringType(), True)])
-    return F.from_json(col_(text), full, {"columnNameOfCorruptRecord": corrupt_column})
+    return F.from_json(col_(text), full, {**JSON_TIME_OPTIONS,
+                                          "columnNameOfCorruptRecord": corrupt_column})
 
 
 def message_text(value="value") -> Column:
@@ -73,7 +79,7 @@ def message_text(value="value") -> Column:
 
 def to_message(*cols) -> Column:
     """A record as one JSON message value (what a producer publishes)."""
-    return F.to_json(F.struct(*cols))
+    return F.to_json(F.struct(*cols), JSON_TIME_OPTIONS)
 
 
 def _sql(c) -> str:

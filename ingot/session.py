@@ -31,6 +31,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g"))
     for k, v in {**CORE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

@@ -138,8 +138,8 @@ def bronze_from_documents(docs: DataFrame, partition_date=INGEST_DATE) -> DataFr
         F.lit(as_date(partition_date)).alias("partition_date"))
 
 
-def _land(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Write a derived table once per session below the shared folder.
+def _land_path(spark: SparkSession, key: tuple, build) -> str:
+    """Write a derived table once per session below the shared folder; its path.
 
     Downstream queries then read a landed Parquet table, the way the silver
     job reads bronze, and lineage back to the raw tables is cut.
@@ -151,7 +151,11 @@ def _land(spark: SparkSession, key: tuple, build) -> DataFrame:
         path = fresh_path(spark, f"landed-{key[0]}-{tag}")
         build().write.mode("overwrite").partitionBy("partition_date").parquet(path)
         _LANDED[full_key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def _land(spark: SparkSession, key: tuple, build) -> DataFrame:
+    return spark.read.parquet(_land_path(spark, key, build))
 
 
 def landed_bronze_matches(spark: SparkSession, sf_dir: str, duplicates: bool = False,
@@ -262,3 +266,36 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("state"), F.upper(F.col("event_type"))).alias("labels"),
         F.col("ts"),
         F.col("value"))
+
+
+# ---------------------------------------------------------------------------
+# Bronze tables built from the event messages
+# ---------------------------------------------------------------------------
+
+def duplicated_messages(messages: DataFrame, every: int = DUPLICATE_EVERY) -> DataFrame:
+    """The messages plus a second copy of every ``every``-th key (a re-read topic)."""
+    return messages.unionByName(messages.where(F.col("key") % every == 0))
+
+
+def event_day(text: str = "timestamp_summoner"):
+    """The date a stage text falls on (partitions the per-day bronze fixture)."""
+    return F.to_date(F.col(text).try_cast("timestamp_ntz"))
+
+
+def landed_bronze_events(spark: SparkSession, sf_dir: str) -> str:
+    """The event messages as a bronze table partitioned by the event's day,
+    landed once; returns the table root."""
+    from ..operators.bronze import bronze_ingest
+
+    def build():
+        return bronze_ingest(envelope_messages(spark, sf_dir), event_day())
+    return _land_path(spark, ("bronze_events_by_day", sf_dir), build)
+
+
+def landed_bronze_stage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event messages as the bronze ``matchs`` table of one load date, landed once."""
+    from ..operators.bronze import bronze_ingest
+
+    def build():
+        return bronze_ingest(envelope_messages(spark, sf_dir), INGEST_DATE)
+    return _land(spark, ("bronze_events", sf_dir), build)

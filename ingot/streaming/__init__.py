@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming sources, sinks and stateful operators."""
