@@ -140,3 +140,11 @@ METRIC_SCHEMA = StructType([
 ])
 
 __all__ = [n for n in dir() if n.isupper() or n == "document_schema"]
+
+# A match message summarised: its key and how many participants it carries
+# (one parse, nothing else materialised).
+DOCUMENT_SUMMARY_SCHEMA = StructType([_s("info", StructType([
+    _s("gameId", LongType()),
+    _s("participants", ArrayType(StructType([_s("championId", IntegerType())])))]))])
+
+__all__ = [n for n in dir() if n.isupper() or n == "document_schema"]

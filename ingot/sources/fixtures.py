@@ -299,3 +299,22 @@ def landed_bronze_stage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         return bronze_ingest(envelope_messages(spark, sf_dir), INGEST_DATE)
     return _land(spark, ("bronze_events", sf_dir), build)
+
+
+# ---------------------------------------------------------------------------
+# Enrichment inputs
+# ---------------------------------------------------------------------------
+
+# Stage times stamped by the enrichment hops in the queries (the producers'
+# "now", fixed so results are reproducible).
+SNAPSHOT_AT = "2024-02-01T00:00:00.000000"
+DETAILS_AT = "2024-02-01T00:00:02.000000"
+MATCH_AT = "2024-02-01T00:00:03.000000"
+PLAYER_NAME_FORMAT = "Customer#%09d"   # events.user_id -> the player's name
+
+
+def event_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a seed message: the event's player, stamped at its time."""
+    e = read_table(spark, sf_dir, "events")
+    return e.select(iso_text("ts").alias("timestamp_summoner"),
+                    F.format_string(PLAYER_NAME_FORMAT, F.col("user_id")).alias("summonerId"))
