@@ -1,3 +1,3 @@
 """Import every module that registers queries (see ``ingot.registry``)."""
 
-from .plans import bronze, enrich, monitor, silver  # noqa: F401
+from .plans import bronze, enrich, governance, monitor, silver  # noqa: F401
