@@ -73,18 +73,10 @@ def stable_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}"
 
 
-def path_complete(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write finished there (its ``_SUCCESS`` marker exists)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return p.getFileSystem(conf).exists(p)
-
-
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
 __all__ = ["build_session", "pin_session", "shared_root", "fresh_path",
-           "stable_path", "path_complete", "local_path", "CORE_CONF"]
+           "stable_path", "local_path", "CORE_CONF"]
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import add_seconds, epoch_millis, iso_text, to_message
-from ..session import fresh_path, path_complete
+from ..session import fresh_path
 from .tables import as_date, read_table
 
 # ---------------------------------------------------------------------------
@@ -146,7 +146,8 @@ def _land_path(spark: SparkSession, key: tuple, build) -> str:
     """
     full_key = (spark.sparkContext.applicationId,) + key
     path = _LANDED.get(full_key)
-    if path is None or not path_complete(spark, path):
+    if path is None:
+        # recorded only after the write returned, so a registered path is complete
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
         path = fresh_path(spark, f"landed-{key[0]}-{tag}")
         build().write.mode("overwrite").partitionBy("partition_date").parquet(path)
