@@ -109,14 +109,21 @@ def games(docs: DataFrame) -> DataFrame:
 
 
 def participants(docs: DataFrame) -> DataFrame:
-    """silver.participants: one row per participant, numbered 1..n per match."""
+    """silver.participants: one row per participant, numbered 1..n per match.
+
+    ``docs`` must hold one document per match (``silver_input``).
+    """
     p = parse_documents(docs, ["participants"])
     ex = p.select(MATCH_KEY, "partition_date",
                   F.posexplode(F.sort_array(F.col("doc.info.participants"))).alias("pos", "p"))
+    # No whole-row distinct (the reference's A5): the input holds one document
+    # per match and posexplode numbers within it, so (match_id, participant_id)
+    # is already unique and a distinct would only add an aggregate over every
+    # column.
     return ex.select(
         MATCH_KEY, (F.col("pos") + 1).alias("participant_id"),
         *[F.col("p")[f].alias(o) for f, o in PARTICIPANT_OUTPUT],
-        "partition_date").dropDuplicates()
+        "partition_date")
 
 
 def participants_by_window(docs: DataFrame) -> DataFrame:
