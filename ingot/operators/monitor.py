@@ -45,6 +45,24 @@ def stage_throughput(bronze: DataFrame, sort: bool = True) -> DataFrame:
     return wide.orderBy("minute") if sort else wide
 
 
+def stage_throughput_distinct(bronze: DataFrame, sort: bool = True) -> DataFrame:
+    """Distinct stage events per minute (quirk Q11's variant).
+
+    Bronze holds one row per match message, so a seed that yields five matches
+    appears five times under ``summoner``.  Here each stage counts distinct
+    stage times: rows are first reduced to distinct (stage, time) pairs (an
+    aggregate combined map-side), then counted per minute.
+    """
+    pairs = F.array(*[F.struct(F.lit(s).alias("stage"), stage_time(c).alias("t"))
+                      for s, c in STAGE_COLUMNS.items()])
+    events = (bronze.select(F.explode(pairs).alias("p")).select("p.*")
+              .where(F.col("t").isNotNull()).dropDuplicates(["stage", "t"])
+              .withColumn("minute", F.date_trunc("minute", "t").cast("timestamp_ntz")))
+    wide = events.groupBy("minute").agg(
+        *[F.count(F.when(F.col("stage") == s, 1)).alias(s) for s in STAGES])
+    return wide.orderBy("minute") if sort else wide
+
+
 def stage_throughput_join(bronze: DataFrame) -> DataFrame:
     """The same table as three per-stage counts joined full outer on minute."""
     out = None

@@ -29,6 +29,22 @@ select minute,
 from ({STAGE_MINUTES}) m group by minute
 """
 
+STAGE_EVENTS = f"""
+select distinct 'summoner' as stage, t_summoner as t from ({STAGE_ROWS}) s
+union
+select distinct 'summoner_details', t_details from ({STAGE_ROWS}) s
+union
+select distinct 'match', t_match from ({STAGE_ROWS}) s where t_match is not null
+"""
+
+STAGE_THROUGHPUT_DISTINCT = f"""
+select date_trunc('minute', t) as minute,
+  count(*) filter (where stage = 'summoner') as summoner,
+  count(*) filter (where stage = 'summoner_details') as summoner_details,
+  count(*) filter (where stage = 'match') as "match"
+from ({STAGE_EVENTS}) e group by date_trunc('minute', t)
+"""
+
 THROUGHPUT_LONG = f"""
 select minute, 'summoner' as stage, summoner as value from ({STAGE_THROUGHPUT}) w
 union all select minute, 'summoner_details', summoner_details from ({STAGE_THROUGHPUT}) w

@@ -39,6 +39,12 @@ def q_stage_throughput(spark: SparkSession, sf_dir: str):
     return T.stage_throughput(_bronze(spark, sf_dir))
 
 
+@query("stage_throughput_distinct", O.STAGE_THROUGHPUT_DISTINCT)
+def q_stage_throughput_distinct(spark: SparkSession, sf_dir: str):
+    """Q11 variant: distinct stage events per minute."""
+    return T.stage_throughput_distinct(_bronze(spark, sf_dir))
+
+
 @query("stage_throughput_join", O.STAGE_THROUGHPUT)
 def q_stage_throughput_join(spark: SparkSession, sf_dir: str):
     """The same table via full outer joins of per-stage counts."""

@@ -135,3 +135,39 @@ def test_parse_schema_has_no_extra_fields(spark):
     schema = StructType([StructField("x", StringType())])
     assert D.document_schema(["gameId"]).fieldNames() == ["info"]
     assert schema.fieldNames() == ["x"]
+
+
+def test_q11_distinct_variant_counts_the_seed_once(spark):
+    rows = [("2024-03-01T10:00:00", "2024-03-01T10:00:05", f"2024-03-01T10:0{i}:30", "{}", DAY1)
+            for i in range(5)]
+    b = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in BRONZE_COLUMNS[:4])
+                              + ", partition_date date")
+    first = T.stage_throughput_distinct(b).first()
+    assert first.summoner == 1 and first.summoner_details == 1 and first.match == 1
+
+
+def test_daily_jobs_bronze_to_gold_keep_dates_and_quarantine(spark):
+    from ingot.plans.silver import run_silver_to_gold
+    bronze = fresh_path(spark, "d-bronze")
+    silver = {k: fresh_path(spark, f"d-{k}") for k in ("games", "participants", "teams_stats", "teams_bans")}
+    gold = {k: fresh_path(spark, f"d-{k}") for k in ("match_summary", "player_performance", "team_performance")}
+    quarantine = fresh_path(spark, "d-quarantine")
+    teams = [{"teamId": 100, "win": True, "objectives": {"baron": {"kills": 1}, "dragon": {"kills": 2},
+                                                         "tower": {"kills": 3}},
+              "bans": [{"pickTurn": 1, "championId": 7}]}]
+    doc1 = document(1, [participant(3, kills=4), participant(1, kills=2)], teams)
+    doc2 = document(2, [participant(5)], teams)
+    overwrite_partitions(bronze_rows(spark, [doc1, doc1, "not json"], DAY1), bronze)
+    overwrite_partitions(bronze_rows(spark, [doc2], DAY2), bronze)
+    for day in (DAY1, DAY2):
+        run_bronze_to_silver(spark, bronze, silver, day, quarantine)
+        run_silver_to_gold(spark, silver, gold, day)
+    perf = spark.read.parquet(gold["player_performance"])
+    assert sorted((r.match_id, r.participant_id, r.total_kills, r.partition_date) for r in perf.collect()) == [
+        (1, 1, 2, DAY1), (1, 2, 4, DAY1), (2, 1, 1, DAY2)]
+    team = spark.read.parquet(gold["team_performance"]).where("match_id = 1").first()
+    assert (team.total_baron_kills, team.total_dragon_kills, team.total_tower_kills) == (1, 2, 3)
+    assert team.win_status == "true"
+    assert spark.read.parquet(silver["teams_bans"]).count() == 2
+    assert spark.read.parquet(gold["match_summary"]).count() == 2
+    assert spark.read.parquet(quarantine).count() == 1
