@@ -8,14 +8,13 @@ quirk Q5).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import oracle
 from ..operators import documents as D
 from ..operators import rollups as R
 from ..registry import query
-from ..session import pin_session
+from ..session import pin_session, shared_root
 from ..sources.fixtures import landed_bronze_matches
 from ..sources.sinks import overwrite_partitions
 from ..sources.tables import read_layer
@@ -31,25 +30,25 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
                          partition_date, quarantine_path: str | None = None) -> None:
     """The daily bronze -> silver job for one date.
 
-    The deduplicated documents feed four outputs; they are persisted
-    (memory, spilling to disk) so the bronze scan, key parse and the one
-    shuffle run once, then released after the last write.
+    The deduplicated documents feed four outputs.  They are checkpointed
+    (a reliable copy in the shared ``spark.checkpoint.dir``), so the bronze
+    scan, key parse and the one shuffle run once, a lost executor costs no
+    recomputation, and the plan keeps its hash partitioning on match_id, so
+    the per-branch distincts add no exchange.
     """
     pin_session(spark)
+    shared_root(spark)   # makes sure a checkpoint directory is registered
     bronze = read_layer(spark, bronze_path, partition_date)
     keyed = D.with_match_key(bronze)
     ok, bad = D.split_by_key(keyed)
     if quarantine_path:
         overwrite_partitions(bad, quarantine_path)
-    docs = D.dedupe_by_key(ok).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        builders = {"games": D.games, "participants": D.participants,
-                    "teams_stats": D.team_stats, "teams_bans": D.team_bans}
-        for name, build in builders.items():
-            if name in out:
-                overwrite_partitions(build(docs), out[name])
-    finally:
-        docs.unpersist()
+    docs = D.dedupe_by_key(ok).checkpoint(eager=True)
+    builders = {"games": D.games, "participants": D.participants,
+                "teams_stats": D.team_stats, "teams_bans": D.team_bans}
+    for name, build in builders.items():
+        if name in out:
+            overwrite_partitions(build(docs), out[name])
 
 
 def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[str, str],

@@ -46,20 +46,27 @@ def pin_session(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (tests, a laptop) is a
-    folder of our own created and registered, so later calls agree.
+    Read from the session.  Only when it is unset (tests, a laptop) is a folder
+    of our own created; it is remembered per application (the setting itself
+    cannot be changed at runtime) and also registered as the context's
+    checkpoint directory, so ``DataFrame.checkpoint()`` writes there too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or _OWN_ROOTS.get(sc.applicationId)
+    jdir = sc._jsc.sc().getCheckpointDir()
+    if not root and jdir.isDefined():
+        root = jdir.get()
     if not root:
         root = tempfile.mkdtemp(prefix="ingot-shared-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        _OWN_ROOTS[sc.applicationId] = root
+    if not jdir.isDefined():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
