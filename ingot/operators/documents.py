@@ -1,13 +1,12 @@
 """Silver operators: key, deduplicate, parse and flatten match documents.
 
-Plan shape (one shuffle for the whole silver layer)::
+Plan shape (one parse and one shuffle for the whole silver layer)::
 
-    bronze scan (ReadSchema: the text column only)
-      -> tiny keyed parse (info.gameId only)
+    bronze scan (ReadSchema: the text and stage times only)
+      -> one from_json per document, schema pruned to what is read + gameId
       -> partial SortAggregate  (map-side: a hot match collapses per task)
       -> Exchange hashpartitioning(partition_date, match_id)
       -> final aggregate (one survivor per match)
-      -> full parse with a per-branch pruned schema
       -> posexplode / explode        (Generate keeps the partitioning)
       -> whole-row distinct          (no exchange: keys include match_id)
 
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_json
-from ..functions.schemas import KEY_SCHEMA, PARTICIPANT_TYPE, document_schema
+from ..functions.schemas import PARTICIPANT_TYPE, document_schema
 
 MATCH_KEY = "match_id"
 
@@ -59,12 +58,22 @@ TEAM_BAN_COLUMNS = ["match_id", "team_id", "ban_turn", "champion_id", "partition
 PARTICIPANT_ORDER = [f.name for f in PARTICIPANT_TYPE.fields]
 
 
-def with_match_key(bronze: DataFrame, text: str = "match_details") -> DataFrame:
-    """Add ``match_id`` (``info.gameId``) parsed with a one-field schema."""
-    return bronze.withColumn(MATCH_KEY, parse_json(text, KEY_SCHEMA)["info"]["gameId"])
+def with_match_key(bronze: DataFrame, info_fields=None, with_metadata: bool = False,
+                   text: str = "match_details") -> DataFrame:
+    """Parse each document once into ``doc`` and key it by ``match_id``.
+
+    The schema is pruned to the ``info`` fields the consumer needs plus
+    ``gameId`` (Spark prunes unused top-level fields of ``from_json`` by itself
+    but not fields below a nested struct), so one parse serves both the key
+    and the branch.  ``info_fields=None`` parses the whole document.
+    """
+    if info_fields is not None and "gameId" not in info_fields:
+        info_fields = ["gameId", *info_fields]
+    doc = parse_json(text, document_schema(info_fields, with_metadata))
+    return bronze.withColumn("doc", doc).withColumn(MATCH_KEY, F.col("doc.info.gameId"))
 
 
-def dedupe_by_key(keyed: DataFrame, text: str = "match_details",
+def dedupe_by_key(keyed: DataFrame, payload: str = "doc",
                   order_by: tuple = ("timestamp_match", "timestamp_summoner_details",
                                      "timestamp_summoner")) -> DataFrame:
     """One row per (partition_date, match_id): the latest landing survives.
@@ -72,40 +81,39 @@ def dedupe_by_key(keyed: DataFrame, text: str = "match_details",
     ``max(struct(...))`` is an ordinary aggregate, so Spark runs it partially
     before the shuffle: a match landed a million times costs one row per map
     task in the exchange, never a million rows in one reducer.  Ties on the
-    stage times fall to the document text, so the survivor is deterministic.
+    stage times fall to the parsed document, so the survivor is deterministic.
     """
     present = [c for c in order_by if c in keyed.columns]
-    best = F.max(F.struct(*[F.col(c) for c in present + [text]])).alias("_best")
+    best = F.max(F.struct(*[F.col(c) for c in present + [payload]])).alias("_best")
     return (keyed.groupBy("partition_date", MATCH_KEY).agg(best)
-            .select(MATCH_KEY, *[F.col("_best")[c].alias(c) for c in present + [text]],
+            .select(MATCH_KEY, *[F.col("_best")[c].alias(c) for c in present + [payload]],
                     "partition_date"))
 
 
-def split_by_key(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents with a match key, quarantined rows whose document did not parse)."""
-    ok = keyed.where(F.col(MATCH_KEY).isNotNull())
-    bad = keyed.where(F.col(MATCH_KEY).isNull())
+def split_by_key(keyed: DataFrame, text: str = "match_details") -> tuple[DataFrame, DataFrame]:
+    """(parsed documents with a match key, quarantined rows whose document did
+    not parse).  Good rows drop the raw text; quarantined rows keep only it."""
+    ok = keyed.where(F.col(MATCH_KEY).isNotNull()).drop(text)
+    bad = keyed.where(F.col(MATCH_KEY).isNull()).drop("doc", MATCH_KEY)
     return ok, bad
 
 
-def silver_input(bronze: DataFrame) -> DataFrame:
-    """Bronze -> keyed, deduplicated documents (quarantine removed)."""
-    ok, _ = split_by_key(with_match_key(bronze))
+def silver_input(bronze: DataFrame, info_fields=None, with_metadata: bool = False) -> DataFrame:
+    """Bronze -> one parsed document per match and date (quarantine removed)."""
+    ok, _ = split_by_key(with_match_key(bronze, info_fields, with_metadata))
     return dedupe_by_key(ok)
 
 
-def parse_documents(docs: DataFrame, info_fields=None, with_metadata=False,
-                    text: str = "match_details") -> DataFrame:
-    """Parse the document text into ``doc`` with a branch-pruned schema."""
-    schema = document_schema(info_fields, with_metadata)
-    return docs.withColumn("doc", parse_json(text, schema)).drop(text)
+# The document fields each silver branch reads (pass to ``silver_input``).
+GAME_INFO = [f for f, _ in GAME_FIELDS]
+PARTICIPANT_INFO = ["participants"]
+TEAM_INFO = ["teams"]
 
 
 def games(docs: DataFrame) -> DataFrame:
     """silver.games: one row per match (L2)."""
-    p = parse_documents(docs, [f for f, _ in GAME_FIELDS if f != "gameId"])
     out = [F.col(MATCH_KEY)] + [F.col("doc.info")[f].alias(o) for f, o in GAME_FIELDS[1:]]
-    return p.select(*out, "partition_date").dropDuplicates()
+    return docs.select(*out, "partition_date").dropDuplicates()
 
 
 def participants(docs: DataFrame) -> DataFrame:
@@ -113,8 +121,7 @@ def participants(docs: DataFrame) -> DataFrame:
 
     ``docs`` must hold one document per match (``silver_input``).
     """
-    p = parse_documents(docs, ["participants"])
-    ex = p.select(MATCH_KEY, "partition_date",
+    ex = docs.select(MATCH_KEY, "partition_date",
                   F.posexplode(F.sort_array(F.col("doc.info.participants"))).alias("pos", "p"))
     # No whole-row distinct (the reference's A5): the input holds one document
     # per match and posexplode numbers within it, so (match_id, participant_id)
@@ -134,9 +141,8 @@ def participants_by_window(docs: DataFrame) -> DataFrame:
     no exchange.
     """
     from pyspark.sql import Window
-    p = parse_documents(docs, ["participants"])
-    ex = p.select(MATCH_KEY, "partition_date",
-                  F.explode(F.col("doc.info.participants")).alias("p"))
+    ex = docs.select(MATCH_KEY, "partition_date",
+                     F.explode(F.col("doc.info.participants")).alias("p"))
     w = Window.partitionBy("partition_date", MATCH_KEY).orderBy(
         *[F.col("p")[f].asc_nulls_first() for f in PARTICIPANT_ORDER])
     return ex.select(
@@ -147,8 +153,7 @@ def participants_by_window(docs: DataFrame) -> DataFrame:
 
 def team_stats(docs: DataFrame) -> DataFrame:
     """silver.teams_stats: one row per team of a match (L4)."""
-    p = parse_documents(docs, ["teams"])
-    ex = p.select(MATCH_KEY, "partition_date", F.explode("doc.info.teams").alias("team"))
+    ex = docs.select(MATCH_KEY, "partition_date", F.explode("doc.info.teams").alias("team"))
     return ex.select(
         MATCH_KEY, F.col("team.teamId").alias("team_id"), F.col("team.win").alias("win"),
         F.col("team.objectives.baron.kills").alias("baron_kills"),
@@ -159,8 +164,7 @@ def team_stats(docs: DataFrame) -> DataFrame:
 
 def team_bans(docs: DataFrame) -> DataFrame:
     """silver.teams_bans: team -> bans, a nested explode."""
-    p = parse_documents(docs, ["teams"])
-    teams = p.select(MATCH_KEY, "partition_date", F.explode("doc.info.teams").alias("team"))
+    teams = docs.select(MATCH_KEY, "partition_date", F.explode("doc.info.teams").alias("team"))
     bans = teams.select(MATCH_KEY, "partition_date",
                         F.col("team.teamId").alias("team_id"),
                         F.explode("team.bans").alias("ban"))
@@ -171,8 +175,7 @@ def team_bans(docs: DataFrame) -> DataFrame:
 
 def document_overview(docs: DataFrame) -> DataFrame:
     """The full parse, summarised per match (P6/P7 check)."""
-    p = parse_documents(docs)
-    return p.select(
+    return docs.select(
         MATCH_KEY,
         F.col("doc.metadata.matchId").alias("match_key"),
         F.col("doc.metadata.dataVersion").alias("data_version"),
@@ -186,8 +189,7 @@ def document_overview(docs: DataFrame) -> DataFrame:
 def player_rows(docs: DataFrame) -> DataFrame:
     """Participants carrying their player key: ``arrays_zip`` of
     ``metadata.participants`` and ``info.participants`` (same order)."""
-    p = parse_documents(docs, ["participants"], with_metadata=True)
-    z = p.select(MATCH_KEY, "partition_date",
+    z = docs.select(MATCH_KEY, "partition_date",
                  F.explode(F.arrays_zip(F.col("doc.metadata.participants").alias("player"),
                                         F.col("doc.info.participants").alias("p"))).alias("z"))
     return z.select(MATCH_KEY, "partition_date", F.col("z.player").alias("player_key"),

@@ -30,7 +30,8 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
                          partition_date, quarantine_path: str | None = None) -> None:
     """The daily bronze -> silver job for one date.
 
-    The deduplicated documents feed four outputs.  They are checkpointed
+    Each document is parsed once (whole schema).  The deduplicated, parsed
+    documents feed four outputs.  They are checkpointed
     (a reliable copy in the shared ``spark.checkpoint.dir``), so the bronze
     scan, key parse and the one shuffle run once, a lost executor costs no
     recomputation, and the plan keeps its hash partitioning on match_id, so
@@ -39,8 +40,7 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     pin_session(spark)
     shared_root(spark)   # makes sure a checkpoint directory is registered
     bronze = read_layer(spark, bronze_path, partition_date)
-    keyed = D.with_match_key(bronze)
-    ok, bad = D.split_by_key(keyed)
+    ok, bad = D.split_by_key(D.with_match_key(bronze))
     if quarantine_path:
         overwrite_partitions(bad, quarantine_path)
     docs = D.dedupe_by_key(ok).checkpoint(eager=True)
@@ -70,9 +70,10 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
 # Registered queries (document fixture built from orders + lineitem)
 # ---------------------------------------------------------------------------
 
-def _docs(spark, sf_dir, duplicates=False):
+def _docs(spark, sf_dir, info_fields=None, with_metadata=False, duplicates=False):
     pin_session(spark)
-    return D.silver_input(landed_bronze_matches(spark, sf_dir, duplicates))
+    return D.silver_input(landed_bronze_matches(spark, sf_dir, duplicates),
+                          info_fields, with_metadata)
 
 
 @query("parse_document", oracle.DOCUMENT_OVERVIEW)
@@ -82,27 +83,27 @@ def q_parse_document(spark, sf_dir):
 
 @query("games", oracle.GAMES)
 def q_games(spark, sf_dir):
-    return D.games(_docs(spark, sf_dir))
+    return D.games(_docs(spark, sf_dir, D.GAME_INFO))
 
 
 @query("participants", oracle.PARTICIPANTS)
 def q_participants(spark, sf_dir):
-    return D.participants(_docs(spark, sf_dir))
+    return D.participants(_docs(spark, sf_dir, D.PARTICIPANT_INFO))
 
 
 @query("participants_window", oracle.PARTICIPANTS)
 def q_participants_window(spark, sf_dir):
-    return D.participants_by_window(_docs(spark, sf_dir))
+    return D.participants_by_window(_docs(spark, sf_dir, D.PARTICIPANT_INFO))
 
 
 @query("team_stats", oracle.TEAM_STATS)
 def q_team_stats(spark, sf_dir):
-    return D.team_stats(_docs(spark, sf_dir))
+    return D.team_stats(_docs(spark, sf_dir, D.TEAM_INFO))
 
 
 @query("team_bans", oracle.TEAM_BANS)
 def q_team_bans(spark, sf_dir):
-    return D.team_bans(_docs(spark, sf_dir))
+    return D.team_bans(_docs(spark, sf_dir, D.TEAM_INFO))
 
 
 @query("dedupe_rows", oracle.GAMES)
@@ -110,7 +111,8 @@ def q_dedupe_rows(spark, sf_dir):
     """Every third document landed twice; whole-row distinct alone (A5) suffices
     for games, whose rows carry no numbering."""
     pin_session(spark)
-    ok, _ = D.split_by_key(D.with_match_key(landed_bronze_matches(spark, sf_dir, True)))
+    bronze = landed_bronze_matches(spark, sf_dir, True)
+    ok, _ = D.split_by_key(D.with_match_key(bronze, D.GAME_INFO))
     return D.games(ok)
 
 
@@ -118,24 +120,25 @@ def q_dedupe_rows(spark, sf_dir):
 def q_dedupe_by_key(spark, sf_dir):
     """Every third document landed twice; deduplicating by match key before
     the explode keeps ids 1..n (the fix for quirk Q3)."""
-    return D.participants(_docs(spark, sf_dir, duplicates=True))
+    return D.participants(_docs(spark, sf_dir, D.PARTICIPANT_INFO, duplicates=True))
 
 
 @query("match_summary", oracle.MATCH_SUMMARY)
 def q_match_summary(spark, sf_dir):
-    return R.match_summary(D.games(_docs(spark, sf_dir)))
+    return R.match_summary(D.games(_docs(spark, sf_dir, D.GAME_INFO)))
 
 
 @query("player_performance", oracle.PLAYER_PERFORMANCE)
 def q_player_performance(spark, sf_dir):
-    return R.player_performance(D.participants(_docs(spark, sf_dir)))
+    return R.player_performance(D.participants(_docs(spark, sf_dir, D.PARTICIPANT_INFO)))
 
 
 @query("team_performance", oracle.TEAM_PERFORMANCE)
 def q_team_performance(spark, sf_dir):
-    return R.team_performance(D.team_stats(_docs(spark, sf_dir)))
+    return R.team_performance(D.team_stats(_docs(spark, sf_dir, D.TEAM_INFO)))
 
 
 @query("player_totals", oracle.PLAYER_TOTALS)
 def q_player_totals(spark, sf_dir):
-    return R.player_totals(D.player_rows(_docs(spark, sf_dir)))
+    return R.player_totals(D.player_rows(_docs(spark, sf_dir, D.PARTICIPANT_INFO,
+                                              with_metadata=True)))
