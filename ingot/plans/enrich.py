@@ -18,6 +18,7 @@ from ..operators.bronze import bronze_ingest
 from ..registry import query
 from ..session import fresh_path, pin_session
 from ..sources import fixtures as X
+from ..sources.sinks import publish_bucketed
 from ..streaming import ingest as S
 
 MATCH_MESSAGE_COLUMNS = ["timestamp_summoner", "timestamp_summoner_details",
@@ -94,16 +95,24 @@ def q_enrich_chain(spark: SparkSession, sf_dir: str):
 @query("enrich_stream", O.ENRICH_CHAIN)
 def q_enrich_stream(spark: SparkSession, sf_dir: str):
     """T5: the chain as one streaming query over seed messages (stream-static
-    joins with the lookup tables), appended to a bronze table."""
+    joins with bucketed lookup tables), appended to a bronze table."""
     pin_session(spark)
     topic, sink = fresh_path(spark, "topic-seeds"), fresh_path(spark, "bronze-enriched")
     seeds = snapshot_seeds(spark, sf_dir).drop("region_key", "page")
     S.land_messages(seeds.select(F.xxhash64("summonerId").alias("key"),
                                  to_message("timestamp_summoner", "summonerId")
                                  .cast("binary").alias("value")), topic, files=4)
+    # Lookups are materialised once, bucketed on their keys: each micro-batch
+    # then shuffles only its own seeds, never re-derives the latest-n lists.
+    identity = publish_bucketed(X.identity_table(spark, sf_dir), "summonerId", "identity")
+    lists = publish_bucketed(E.history_lists(X.history_table(spark, sf_dir), E.DEFAULT_N),
+                             "puuid", "history")
+    documents = publish_bucketed(X.document_table(spark, sf_dir), "match_id", "documents")
     stream = S.read_messages(spark, "files", topic, max_files=2)
     parsed = stream.select(parse_json(F.col("value").cast("string"), SEED_SCHEMA).alias("s"))
-    msgs = match_messages(spark, sf_dir, parsed.select("s.*")).select(
+    resolved = E.resolve_identity(parsed.select("s.*"), identity)
+    details = E.expand_history(resolved, lists, X.DETAILS_AT)
+    msgs = E.attach_documents(details, documents, X.MATCH_AT).select(
         to_message(*MATCH_MESSAGE_COLUMNS).cast("binary").alias("value"))
     S.run_to_table(bronze_ingest(msgs, X.INGEST_DATE), sink, fresh_path(spark, "ckpt-enrich"))
     return summarise_documents(spark.read.parquet(sink))

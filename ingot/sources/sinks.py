@@ -40,3 +40,26 @@ def write_messages(df: DataFrame, fmt: str, target: str, options: dict | None =
         w.format("kafka").option("topic", target).save()
     else:
         w.mode("append").format(fmt).save(target)
+
+
+def publish_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
+    """Materialise a lookup table once, bucketed and sorted on its join key.
+
+    The table is external, stored below the shared folder, and registered in
+    the session catalog under a fresh name.  A stream-static join against it
+    shuffles only the stream side of each micro-batch: the lookup side is read
+    with its bucket partitioning instead of being re-scanned and re-shuffled
+    (or recomputed, when it is derived) on every trigger.  ``buckets``
+    defaults to ``spark.sql.shuffle.partitions`` so the exchange on the stream
+    side lines up with the buckets.
+    """
+    import uuid
+
+    from ..session import fresh_path
+
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"ingot_{name}_{uuid.uuid4().hex[:10]}"
+    (df.write.bucketBy(n, key).sortBy(key).option("path", fresh_path(spark, f"lookup-{name}"))
+     .saveAsTable(table))
+    return spark.table(table)
