@@ -37,14 +37,28 @@ def broadcast_limit(df: DataFrame) -> int:
     return min(max(limit, 0), MAX_BROADCAST_BYTES)
 
 
-def lookup_join(stream: DataFrame, lookup: DataFrame, on, how: str = "inner") -> DataFrame:
+def lookup_join(stream: DataFrame, lookup: DataFrame, on, how: str = "inner",
+                salt: int = 1) -> DataFrame:
     """Join a large (possibly streaming) side with a lookup table.
 
     The lookup side is broadcast only when its estimated size is known and
     below ``spark.sql.autoBroadcastJoinThreshold`` (capped at 256 MiB);
     otherwise the plan is left to the planner and AQE.
+
+    ``salt > 1`` is for shuffle joins AQE cannot rebalance (streaming
+    micro-batches run without AQE) when one key may hold a large share of the
+    stream: each stream row gets a salt ``0..salt-1`` from a hash of the row
+    (deterministic, so a retried task salts identically) and the lookup rows
+    are replicated once per salt, so a hot key is spread over ``salt`` tasks
+    at the price of a ``salt``-times larger lookup shuffle.
     """
     size = estimated_bytes(lookup)
-    if size is not None and 0 < size <= broadcast_limit(lookup) and not lookup.isStreaming:
-        lookup = F.broadcast(lookup)
-    return stream.join(lookup, on, how)
+    small = size is not None and 0 < size <= broadcast_limit(lookup) and not lookup.isStreaming
+    if small:
+        return stream.join(F.broadcast(lookup), on, how)
+    if salt <= 1:
+        return stream.join(lookup, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    salted = stream.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salt)))
+    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return salted.join(replicated, keys + ["_salt"], how).drop("_salt")

@@ -91,6 +91,28 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str,
     return q
 
 
+def publish_stream(messages: DataFrame, fmt: str, target: str, checkpoint: str,
+                   options: dict | None = None, available_now: bool = True):
+    """Stream ``(key, value)`` messages to a topic (``fmt='kafka'``, ``target``
+    = topic) or to files (``target`` = directory) with a checkpoint (S6).
+
+    A hop of the enrichment chain publishes this way; the next hop (or the
+    bronze ingest) subscribes with :func:`read_messages`.
+    """
+    w = (messages.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .options(**(options or {})))
+    w = w.format("kafka").option("topic", target) if fmt == "kafka" \
+        else w.format(fmt).option("path", target)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return q
+
+
 def bronze_stream(spark: SparkSession, source: str, location: str, sink: str,
                   checkpoint: str | None = None, partition_date=None,
                   options: dict | None = None, max_files: int | None = None,
