@@ -8,8 +8,10 @@ Trailing-range windows are computed per (series, time bucket), not per series:
 a series can hold a third of all samples, and a window partitioned by series
 alone would sort all of it in one task.  Each sample is also copied into the
 next bucket when it lies within ``range`` of that bucket's start (a *halo*), so
-every frame ``[ts - range, ts]`` is complete inside its own bucket.  With a
-one-day bucket and a one-hour range the halo adds about 4% of the rows.
+every frame ``[ts - range, ts]`` is complete inside its own bucket.  Buckets
+default to ``BUCKET_RANGES`` times the range (a day for a one-hour range, two
+hours for a five-minute one), so the halo adds about 4% of the rows whatever
+the range.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
-DAY_SECONDS = 86_400
+BUCKET_RANGES = 24      # default bucket length, in ranges
 
 
 def label(name: str) -> Column:
@@ -62,8 +64,9 @@ def _micros(ts: str = "ts") -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def with_halo(samples: DataFrame, range_s: int, bucket_s: int = DAY_SECONDS) -> DataFrame:
+def with_halo(samples: DataFrame, range_s: int, bucket_s: int | None = None) -> DataFrame:
     """Add ``_t`` (epoch micros), ``_bucket`` and ``_own`` (False on halo copies)."""
+    bucket_s = bucket_s or BUCKET_RANGES * range_s
     if range_s > bucket_s:
         raise ValueError("the range must not exceed the bucket")
     t = _micros()
@@ -83,7 +86,7 @@ def _frame(series: list[str], range_s: int):
 
 
 def delta(samples: DataFrame, series: list[str], range_s: int,
-          bucket_s: int = DAY_SECONDS, per_s: int | None = None) -> DataFrame:
+          bucket_s: int | None = None, per_s: int | None = None) -> DataFrame:
     """``delta(series[range])``: last minus first value in the trailing range,
     at every sample; divided by ``per_s`` seconds' worth of range units when
     given (``/5`` on a 5-minute range is ``per_s=60``).  No extrapolation."""
@@ -95,7 +98,7 @@ def delta(samples: DataFrame, series: list[str], range_s: int,
 
 
 def rate(samples: DataFrame, series: list[str], range_s: int, tiebreak: str | None = None,
-         bucket_s: int = DAY_SECONDS) -> DataFrame:
+         bucket_s: int | None = None) -> DataFrame:
     """``rate(counter[range])``: per-second increase over the trailing range.
 
     Increments come from the previous sample of the series; a drop means the
