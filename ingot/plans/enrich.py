@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import oracle_enrich as O
 from ..functions.columns import parse_json, to_message
-from ..functions.schemas import DOCUMENT_SUMMARY_SCHEMA, SEED_SCHEMA
+from ..functions.schemas import DETAIL_SCHEMA, DOCUMENT_SUMMARY_SCHEMA, SEED_SCHEMA
 from ..operators import enrich as E
 from ..operators.bronze import bronze_ingest
 from ..registry import query
@@ -94,25 +94,46 @@ def q_enrich_chain(spark: SparkSession, sf_dir: str):
 
 @query("enrich_stream", O.ENRICH_CHAIN)
 def q_enrich_stream(spark: SparkSession, sf_dir: str):
-    """T5: the chain as one streaming query over seed messages (stream-static
-    joins with bucketed lookup tables), appended to a bronze table."""
+    """T5 + L1 as three streaming queries linked by topics, one per hop:
+
+    seeds topic --hop 1 (identity, latest-n history, explode)--> details topic
+    details topic --hop 2 (documents)--> matchs topic --bronze ingest--> bronze
+
+    Each hop has its own checkpoint, so it restarts without loss or repeat on
+    its own.  Lookups are materialised once, bucketed on their keys: each
+    micro-batch shuffles only its own rows and never re-derives the lists.
+    """
     pin_session(spark)
-    topic, sink = fresh_path(spark, "topic-seeds"), fresh_path(spark, "bronze-enriched")
+    seeds_topic, details_topic, matchs_topic, sink = (
+        fresh_path(spark, n) for n in ("topic-seeds", "topic-details", "topic-matchs",
+                                       "bronze-enriched"))
     seeds = snapshot_seeds(spark, sf_dir).drop("region_key", "page")
     S.land_messages(seeds.select(F.xxhash64("summonerId").alias("key"),
                                  to_message("timestamp_summoner", "summonerId")
-                                 .cast("binary").alias("value")), topic, files=4)
-    # Lookups are materialised once, bucketed on their keys: each micro-batch
-    # then shuffles only its own seeds, never re-derives the latest-n lists.
+                                 .cast("binary").alias("value")), seeds_topic, files=4)
     identity = publish_bucketed(X.identity_table(spark, sf_dir), "summonerId", "identity")
     lists = publish_bucketed(E.history_lists(X.history_table(spark, sf_dir), E.DEFAULT_N),
                              "puuid", "history")
     documents = publish_bucketed(X.document_table(spark, sf_dir), "match_id", "documents")
-    stream = S.read_messages(spark, "files", topic, max_files=2)
-    parsed = stream.select(parse_json(F.col("value").cast("string"), SEED_SCHEMA).alias("s"))
-    resolved = E.resolve_identity(parsed.select("s.*"), identity)
-    details = E.expand_history(resolved, lists, X.DETAILS_AT)
-    msgs = E.attach_documents(details, documents, X.MATCH_AT).select(
-        to_message(*MATCH_MESSAGE_COLUMNS).cast("binary").alias("value"))
-    S.run_to_table(bronze_ingest(msgs, X.INGEST_DATE), sink, fresh_path(spark, "ckpt-enrich"))
+
+    def consume(topic, schema):
+        msgs = S.read_messages(spark, "files", topic, max_files=2)
+        return msgs.select(parse_json(F.col("value").cast("string"), schema).alias("m")) \
+                   .select("m.*")
+
+    def publish(df, topic, name):
+        out = df.select(F.xxhash64("match_id").alias("key"),
+                        to_message(*df.columns).cast("binary").alias("value"))
+        S.publish_stream(out, "parquet", topic, fresh_path(spark, f"ckpt-{name}"))
+
+    # hop 1: seed -> one detail message per recent match
+    details = E.expand_history(E.resolve_identity(consume(seeds_topic, SEED_SCHEMA), identity),
+                               lists, X.DETAILS_AT)
+    publish(details, details_topic, "hop1")
+    # hop 2: detail -> match message carrying the document
+    matches = E.attach_documents(consume(details_topic, DETAIL_SCHEMA), documents, X.MATCH_AT)
+    publish(matches, matchs_topic, "hop2")
+    # bronze ingest (L1)
+    S.bronze_stream(spark, "files", matchs_topic, sink, fresh_path(spark, "ckpt-bronze"),
+                    partition_date=X.INGEST_DATE, max_files=2)
     return summarise_documents(spark.read.parquet(sink))
