@@ -75,19 +75,22 @@ def with_match_key(bronze: DataFrame, info_fields=None, with_metadata: bool = Fa
 
 def dedupe_by_key(keyed: DataFrame, payload: str = "doc",
                   order_by: tuple = ("timestamp_match", "timestamp_summoner_details",
-                                     "timestamp_summoner")) -> DataFrame:
+                                     "timestamp_summoner"),
+                  by: tuple = ("partition_date",)) -> DataFrame:
     """One row per (partition_date, match_id): the latest landing survives.
 
     ``max(struct(...))`` is an ordinary aggregate, so Spark runs it partially
     before the shuffle: a match landed a million times costs one row per map
     task in the exchange, never a million rows in one reducer.  Ties on the
     stage times fall to the parsed document, so the survivor is deterministic.
+    ``by=()`` groups on the match key alone (input of a single date), leaving
+    the result hash-partitioned on ``match_id`` only.
     """
     present = [c for c in order_by if c in keyed.columns]
     best = F.max(F.struct(*[F.col(c) for c in present + [payload]])).alias("_best")
-    return (keyed.groupBy("partition_date", MATCH_KEY).agg(best)
+    return (keyed.groupBy(*by, MATCH_KEY).agg(best)
             .select(MATCH_KEY, *[F.col("_best")[c].alias(c) for c in present + [payload]],
-                    "partition_date"))
+                    *by))
 
 
 def split_by_key(keyed: DataFrame, text: str = "match_details") -> tuple[DataFrame, DataFrame]:
@@ -104,6 +107,19 @@ def silver_input(bronze: DataFrame, info_fields=None, with_metadata: bool = Fals
     return dedupe_by_key(ok)
 
 
+def drop_seen(docs: DataFrame, seen_keys: DataFrame) -> DataFrame:
+    """Documents whose match is not among ``seen_keys`` (matches already in
+    silver under an earlier date): a left-anti join on ``match_id``.
+
+    Key dedupe works within one date; a match re-landed on a later date (a
+    topic re-read after a restart) is removed here.  The seen keys are one
+    bigint per match, deduplicated (partially, map-side) before the join; the
+    planner broadcasts them while small and shuffles both sides otherwise.
+    """
+    keys = seen_keys.select(MATCH_KEY).dropDuplicates()
+    return docs.join(keys, MATCH_KEY, "left_anti")
+
+
 # The document fields each silver branch reads (pass to ``silver_input``).
 GAME_INFO = [f for f, _ in GAME_FIELDS]
 PARTICIPANT_INFO = ["participants"]

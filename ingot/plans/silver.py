@@ -9,6 +9,7 @@ quirk Q5).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import oracle
 from ..operators import documents as D
@@ -17,7 +18,7 @@ from ..registry import query
 from ..session import pin_session, shared_root
 from ..sources.fixtures import landed_bronze_matches
 from ..sources.sinks import overwrite_partitions
-from ..sources.tables import read_layer
+from ..sources.tables import as_date, read_layer
 
 
 def silver_tables(bronze: DataFrame) -> dict[str, DataFrame]:
@@ -27,7 +28,8 @@ def silver_tables(bronze: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, str],
-                         partition_date, quarantine_path: str | None = None) -> None:
+                         partition_date, quarantine_path: str | None = None,
+                         skip_seen: bool = False) -> None:
     """The daily bronze -> silver job for one date.
 
     Each document is parsed once (whole schema).  The deduplicated, parsed
@@ -36,6 +38,9 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     scan, key parse and the one shuffle run once, a lost executor costs no
     recomputation, and the plan keeps its hash partitioning on match_id, so
     the per-branch distincts add no exchange.
+
+    ``skip_seen`` drops matches that silver ``games`` already holds under an
+    earlier date, so a match re-landed days later is not counted twice.
     """
     pin_session(spark)
     shared_root(spark)   # makes sure a checkpoint directory is registered
@@ -43,7 +48,15 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     ok, bad = D.split_by_key(D.with_match_key(bronze))
     if quarantine_path:
         overwrite_partitions(bad, quarantine_path)
-    docs = D.dedupe_by_key(ok).checkpoint(eager=True)
+    # One date only: dedupe on match_id alone and stamp the date back, so the
+    # documents stay hash-partitioned on match_id and the optional anti join
+    # below reuses that partitioning instead of reshuffling them.
+    day = F.lit(as_date(partition_date))
+    docs = D.dedupe_by_key(ok, by=()).withColumn("partition_date", day)
+    if skip_seen and "games" in out and _exists(spark, out["games"]):
+        earlier = read_layer(spark, out["games"]).where(F.col("partition_date") < day)
+        docs = D.drop_seen(docs, earlier)
+    docs = docs.checkpoint(eager=True)
     builders = {"games": D.games, "participants": D.participants,
                 "teams_stats": D.team_stats, "teams_bans": D.team_bans}
     for name, build in builders.items():
@@ -51,6 +64,12 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
             overwrite_partitions(build(docs), out[name])
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[str, str],
                        partition_date) -> None:
     """The daily silver -> gold job for one date."""

@@ -171,3 +171,16 @@ def test_daily_jobs_bronze_to_gold_keep_dates_and_quarantine(spark):
     assert spark.read.parquet(silver["teams_bans"]).count() == 2
     assert spark.read.parquet(gold["match_summary"]).count() == 2
     assert spark.read.parquet(quarantine).count() == 1
+
+
+def test_match_relanded_on_a_later_date_is_not_counted_twice(spark):
+    bronze = fresh_path(spark, "s-bronze")
+    out = {k: fresh_path(spark, f"s-{k}") for k in ("games", "participants")}
+    overwrite_partitions(bronze_rows(spark, [document(1, [participant(1)])], DAY1), bronze)
+    overwrite_partitions(bronze_rows(spark, [document(1, [participant(1)]),
+                                             document(2, [participant(2)])], DAY2), bronze)
+    for day in (DAY1, DAY2):
+        run_bronze_to_silver(spark, bronze, out, day, skip_seen=True)
+    games = sorted((r.match_id, r.partition_date) for r in spark.read.parquet(out["games"]).collect())
+    assert games == [(1, DAY1), (2, DAY2)]
+    assert spark.read.parquet(out["participants"]).count() == 2
