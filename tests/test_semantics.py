@@ -184,3 +184,22 @@ def test_match_relanded_on_a_later_date_is_not_counted_twice(spark):
     games = sorted((r.match_id, r.partition_date) for r in spark.read.parquet(out["games"]).collect())
     assert games == [(1, DAY1), (2, DAY2)]
     assert spark.read.parquet(out["participants"]).count() == 2
+
+
+def test_empty_null_arrays_odd_numbers_and_missing_flags(spark):
+    docs = [
+        {"info": {"gameId": 10, "participants": [], "teams": None}},
+        {"info": {"gameId": 11, "participants": None,
+                  "teams": [{"teamId": 100, "bans": []}, {"teamId": 200, "bans": None}]}},
+        {"info": {"gameId": 12, "participants": [{"championId": 4.5, "kills": 2}, {"championId": 1}],
+                  "teams": [{"teamId": 100, "bans": [{"pickTurn": 1, "championId": -1}]}]}},
+    ]
+    d = D.silver_input(bronze_rows(spark, docs))
+    assert sorted(r.match_id for r in D.games(d).collect()) == [10, 11, 12]
+    parts = {(r.match_id, r.champion_id, r.kills, r.win) for r in D.participants(d).collect()}
+    assert parts == {(12, None, 2, None), (12, 1, None, None)}           # 4.5 is no int; win missing
+    assert sorted((r.match_id, r.team_id) for r in D.team_stats(d).collect()) == \
+        [(11, 100), (11, 200), (12, 100)]
+    assert [(r.team_id, r.champion_id) for r in D.team_bans(d).collect()] == [(100, -1)]
+    perf = R.team_performance(D.team_stats(d)).where("match_id = 11").collect()
+    assert {r.win_status for r in perf} == {None}
