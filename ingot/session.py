@@ -75,15 +75,5 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stable_path(spark: SparkSession, name: str) -> str:
-    """A deterministic path below the shared folder (for landed tables)."""
-    return f"{shared_root(spark)}/{name}"
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "pin_session", "shared_root", "fresh_path",
-           "stable_path", "local_path", "CORE_CONF"]
+__all__ = ["build_session", "pin_session", "shared_root", "fresh_path", "CORE_CONF"]
 
