@@ -15,8 +15,8 @@ from .. import oracle
 from ..operators import documents as D
 from ..operators import rollups as R
 from ..registry import query
-from ..session import pin_session, shared_root
-from ..sources.fixtures import landed_bronze_matches
+from ..session import fresh_path, pin_session, shared_root
+from ..sources.fixtures import INGEST_DATE, landed_bronze_matches, landed_bronze_matches_root
 from ..sources.sinks import overwrite_partitions
 from ..sources.tables import as_date, read_layer
 
@@ -155,3 +155,21 @@ def q_team_performance(spark, sf_dir):
 def q_player_totals(spark, sf_dir):
     return R.player_totals(D.player_rows(_docs(spark, sf_dir, D.PARTICIPANT_INFO,
                                               with_metadata=True)))
+
+
+@query("daily_bronze_to_gold", oracle.PLAYER_PERFORMANCE)
+def q_daily_bronze_to_gold(spark, sf_dir):
+    """L2-L8 as the daily jobs run them: bronze (every third document landed
+    twice) -> four silver tables -> three gold tables for one date, each a
+    partitioned table under the shared folder; gold player performance is
+    read back from its table root."""
+    pin_session(spark)
+    bronze_root = landed_bronze_matches_root(spark, sf_dir, duplicates=True)
+    silver = {k: fresh_path(spark, f"silver-{k}")
+              for k in ("games", "participants", "teams_stats", "teams_bans")}
+    gold = {k: fresh_path(spark, f"gold-{k}")
+            for k in ("match_summary", "player_performance", "team_performance")}
+    run_bronze_to_silver(spark, bronze_root, silver, INGEST_DATE,
+                         quarantine_path=fresh_path(spark, "silver-quarantine"))
+    run_silver_to_gold(spark, silver, gold, INGEST_DATE)
+    return read_layer(spark, gold["player_performance"], INGEST_DATE)

@@ -159,9 +159,9 @@ def _land(spark: SparkSession, key: tuple, build) -> DataFrame:
     return spark.read.parquet(_land_path(spark, key, build))
 
 
-def landed_bronze_matches(spark: SparkSession, sf_dir: str, duplicates: bool = False,
-                          partition_date=INGEST_DATE) -> DataFrame:
-    """The bronze ``matchs`` table for the document fixture (landed once).
+def landed_bronze_matches_root(spark: SparkSession, sf_dir: str, duplicates: bool = False,
+                               partition_date=INGEST_DATE) -> str:
+    """The bronze ``matchs`` table for the document fixture (landed once); its root.
 
     With ``duplicates`` every third order's document lands twice, as a
     re-read topic or two players of one match would produce (quirk Q3).
@@ -171,7 +171,14 @@ def landed_bronze_matches(spark: SparkSession, sf_dir: str, duplicates: bool = F
         if duplicates:
             docs = docs.unionByName(docs.where(F.col("o_orderkey") % DUPLICATE_EVERY == 0))
         return bronze_from_documents(docs, partition_date)
-    return _land(spark, ("bronze_matchs", sf_dir, duplicates, str(partition_date)), build)
+    return _land_path(spark, ("bronze_matchs", sf_dir, duplicates, str(partition_date)), build)
+
+
+def landed_bronze_matches(spark: SparkSession, sf_dir: str, duplicates: bool = False,
+                          partition_date=INGEST_DATE) -> DataFrame:
+    """The landed bronze ``matchs`` table, read from its root."""
+    return spark.read.parquet(landed_bronze_matches_root(spark, sf_dir, duplicates,
+                                                         partition_date))
 
 
 # ---------------------------------------------------------------------------
