@@ -60,6 +60,13 @@ def publish_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = N
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"ingot_{name}_{uuid.uuid4().hex[:10]}"
-    (df.write.bucketBy(n, key).sortBy(key).option("path", fresh_path(spark, f"lookup-{name}"))
-     .saveAsTable(table))
-    return spark.table(table)
+    try:
+        (df.write.bucketBy(n, key).sortBy(key)
+         .option("path", fresh_path(spark, f"lookup-{name}")).saveAsTable(table))
+        return spark.table(table)
+    except Exception:  # noqa: BLE001 - a catalog that cannot register tables
+        # Same rows, clustered by key but without the bucket metadata: joins
+        # stay correct and shuffle the lookup side per batch again.
+        path = fresh_path(spark, f"lookup-{name}-plain")
+        df.repartition(n, key).sortWithinPartitions(key).write.parquet(path)
+        return spark.read.parquet(path)
