@@ -26,6 +26,29 @@ CORE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (about 1000 executors, tens of TB a
+# day).  Not applied by ``build_session``; pass them as ``extra`` or put them
+# in the cluster's defaults.
+#  - Many shuffle partitions, which AQE coalesces to ~128 MB each at run time:
+#    the key dedupe of a large day cannot spill into a few huge tasks.
+#  - 256 MB scan splits: bronze documents are ~2 KB each, so a split is about
+#    a hundred thousand documents, which parses in seconds and fits in memory.
+#  - The skew join splits a partition larger than 5x the median and over
+#    256 MB (a hot match or player in a batch join).
+#  - The broadcast threshold stays at Spark's default.  ``lookup_join`` checks
+#    sizes against it; broadcasting a growing lookup table is never forced.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "ingot", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app_name)
@@ -75,5 +98,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["build_session", "pin_session", "shared_root", "fresh_path", "CORE_CONF"]
+__all__ = ["build_session", "pin_session", "shared_root", "fresh_path", "CORE_CONF",
+           "CLUSTER_CONF"]
 
