@@ -17,8 +17,8 @@ from ..operators import rollups as R
 from ..registry import query
 from ..session import fresh_path, pin_session, shared_root
 from ..sources.fixtures import INGEST_DATE, landed_bronze_matches, landed_bronze_matches_root
-from ..sources.sinks import overwrite_partitions
-from ..sources.tables import as_date, read_layer
+from ..sources.sinks import drop_partition, overwrite_partitions, replace_date
+from ..sources.tables import as_date, read_layer, read_layer_if_present
 
 
 def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, str],
@@ -55,7 +55,7 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
                 "teams_stats": D.team_stats, "teams_bans": D.team_bans}
     for name, build in builders.items():
         if name in out:
-            overwrite_partitions(build(docs), out[name])
+            replace_date(build(docs), out[name], as_date(partition_date))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -66,17 +66,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[str, str],
                        partition_date) -> None:
-    """The daily silver -> gold job for one date."""
+    """The daily silver -> gold job for one date.
+
+    Each gold table's date is replaced by the roll-up of that date's silver
+    rows; when silver holds none (or the silver table does not exist yet), the
+    gold date is emptied rather than left with stale rows.
+    """
     pin_session(spark)
-    if "match_summary" in out:
-        overwrite_partitions(R.match_summary(read_layer(spark, silver["games"], partition_date)),
-                             out["match_summary"])
-    if "player_performance" in out:
-        overwrite_partitions(R.player_performance(
-            read_layer(spark, silver["participants"], partition_date)), out["player_performance"])
-    if "team_performance" in out:
-        overwrite_partitions(R.team_performance(
-            read_layer(spark, silver["teams_stats"], partition_date)), out["team_performance"])
+    day = as_date(partition_date)
+    plans = {"match_summary": ("games", R.match_summary),
+             "player_performance": ("participants", R.player_performance),
+             "team_performance": ("teams_stats", R.team_performance)}
+    for name, (source, rollup) in plans.items():
+        if name not in out:
+            continue
+        rows = read_layer_if_present(spark, silver[source], day)
+        if rows is None:
+            drop_partition(spark, out[name], day)
+        else:
+            replace_date(rollup(rows), out[name], day)
 
 
 # ---------------------------------------------------------------------------

@@ -70,3 +70,26 @@ def publish_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = N
         path = fresh_path(spark, f"lookup-{name}-plain")
         df.repartition(n, key).sortWithinPartitions(key).write.parquet(path)
         return spark.read.parquet(path)
+
+
+def drop_partition(spark, path: str, partition_date, column: str = "partition_date") -> None:
+    """Remove one date's directory from a date-partitioned table (if present)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={partition_date}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def replace_date(df: DataFrame, path: str, partition_date) -> None:
+    """Make ``path``'s partition for ``partition_date`` hold exactly ``df``.
+
+    Dynamic overwrite replaces the dates present in ``df``; a date whose new
+    content is empty would otherwise keep stale rows from an earlier run, so
+    it is removed instead.  ``df`` should be cheap to probe (e.g. built on a
+    checkpointed input): ``isEmpty`` runs a one-row job.
+    """
+    if df.isEmpty():
+        drop_partition(df.sparkSession, path, partition_date)
+    else:
+        overwrite_partitions(df, path)

@@ -35,3 +35,16 @@ def read_layer(spark: SparkSession, base: str, partition_date=None,
     if partition_date is not None:
         df = df.where(F.col(date_column) == F.lit(as_date(partition_date)))
     return df
+
+
+def read_layer_if_present(spark: SparkSession, base: str, partition_date=None,
+                          date_column: str = "partition_date") -> DataFrame | None:
+    """``read_layer``, or ``None`` when the table has no data files yet (a
+    layer whose every run so far was empty is never created by Spark)."""
+    from pyspark.errors import AnalysisException
+    try:
+        return read_layer(spark, base, partition_date, date_column)
+    except AnalysisException as e:
+        if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            return None
+        raise
