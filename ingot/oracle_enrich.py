@@ -62,3 +62,12 @@ select {SNAPSHOT_AT} as timestamp_summoner, {DETAILS_AT} as timestamp_summoner_d
   orderkey as game_id, n_participants
 from ({HISTORY}) h join ({LINES_PER_ORDER}) c on c.o_orderkey = h.orderkey
 """
+
+ENRICH_RETRIES = f"""
+select {SNAPSHOT_AT} as timestamp_summoner, c_name as "summonerId",
+  cast(null as varchar) as match_id, 'no_history' as reason
+from customer where c_custkey not in (select o_custkey from orders)
+union all
+select {SNAPSHOT_AT}, s_name, cast(null as varchar), 'unknown_player'
+from supplier where s_name not in (select c_name from customer)
+"""

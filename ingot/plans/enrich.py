@@ -92,6 +92,20 @@ def q_enrich_chain(spark: SparkSession, sf_dir: str):
     return summarise_documents(bronze_ingest(msgs, X.INGEST_DATE))
 
 
+@query("enrich_retries", O.ENRICH_RETRIES)
+def q_enrich_retries(spark: SparkSession, sf_dir: str):
+    """Q14/Q15: what the chain cannot enrich, with the reason, instead of
+    dropping it.  The seeds are the leaderboard plus one seed per supplier
+    account, which no player lookup knows."""
+    pin_session(spark)
+    seeds = snapshot_seeds(spark, sf_dir).drop("region_key", "page").unionByName(
+        X.unknown_seeds(spark, sf_dir))
+    _, retries = E.enrich_with_retries(seeds, X.identity_table(spark, sf_dir),
+                                       X.history_table(spark, sf_dir),
+                                       X.document_table(spark, sf_dir), X.DETAILS_AT, X.MATCH_AT)
+    return retries
+
+
 @query("enrich_stream", O.ENRICH_CHAIN)
 def q_enrich_stream(spark: SparkSession, sf_dir: str):
     """T5 + L1 as three streaming queries linked by topics, one per hop:

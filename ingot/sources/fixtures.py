@@ -326,3 +326,9 @@ def event_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     return e.select(iso_text("ts").alias("timestamp_summoner"),
                     F.format_string(PLAYER_NAME_FORMAT, F.col("user_id")).alias("summonerId"))
+
+
+def unknown_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds naming accounts the player lookup does not know (one per supplier)."""
+    return read_table(spark, sf_dir, "supplier").select(
+        F.lit(SNAPSHOT_AT).alias("timestamp_summoner"), F.col("s_name").alias("summonerId"))

@@ -167,3 +167,20 @@ def test_batch_publish_round_trips_rows_as_json(spark):
         F.col("key").cast("string").alias("key"),
         parse_json(F.col("value").cast("string"), "name string, at timestamp_ntz").alias("m")).first()
     assert back.key == "1" and back.m.name == "a" and back.m.at.microsecond == 123456
+
+
+def test_enrichment_keeps_what_it_cannot_enrich(spark):
+    seeds = spark.createDataFrame([("t0", "alice"), ("t0", "bob"), ("t0", "nobody")],
+                                  "timestamp_summoner string, summonerId string")
+    identity = spark.createDataFrame([("alice", "PA"), ("bob", "PB")], "summonerId string, puuid string")
+    history = spark.createDataFrame(
+        [("PA", f"M{i}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in range(8)],
+        "puuid string, match_id string, played_at timestamp_ntz")
+    docs = spark.createDataFrame([(f"M{i}", json.dumps({"i": i})) for i in range(8) if i != 6],
+                                 "match_id string, match_details string")
+    msgs, retries = E.enrich_with_retries(seeds, identity, history, docs, "t1", "t2", n=3)
+    assert sorted(r.match_id for r in msgs.collect()) == ["M5", "M7"]
+    assert sorted((r.summonerId, r.match_id, r.reason) for r in retries.collect()
+                  if r.match_id) == [("alice", "M6", "no_document")]
+    assert sorted((r.summonerId, r.reason) for r in retries.collect() if not r.match_id) == [
+        ("bob", "no_history"), ("nobody", "unknown_player")]
