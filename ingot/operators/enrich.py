@@ -97,49 +97,37 @@ def enrich(seeds: DataFrame, identity: DataFrame, history: DataFrame, documents:
     return attach_documents(details, documents, fetched_at)
 
 
-def split_lookup(stream: DataFrame, lookup: DataFrame, key: str,
-                 salt: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(rows that found their key in ``lookup``, rows that did not), from one
-    left join; the second keeps only the stream's own columns."""
-    marked = lookup_join(stream, lookup.withColumn("_hit", F.lit(True)), key, "left", salt)
-    matched = marked.where(F.col("_hit")).drop("_hit")
-    missed = marked.where(F.col("_hit").isNull()).select(*stream.columns)
-    return matched, missed
-
-
 RETRY_COLUMNS = ["timestamp_summoner", "summonerId", "match_id", "reason"]
 
 
-def _retry(df: DataFrame, reason: str) -> DataFrame:
-    match_id = F.col("match_id") if "match_id" in df.columns else F.lit(None).cast("string")
-    return df.select("timestamp_summoner", "summonerId", match_id.alias("match_id"),
-                     F.lit(reason).alias("reason"))
-
-
 def enrich_with_retries(seeds: DataFrame, identity: DataFrame, history: DataFrame,
                         documents: DataFrame, processed_at, fetched_at,
                         n: int = DEFAULT_N) -> tuple[DataFrame, DataFrame]:
     """The chain, keeping what it cannot enrich (Q14, Q15): ``(match
     messages, retries)``.
 
-    A retry row is a seed whose player is unknown (``unknown_player``), a
-    player without matches (``no_history``), or a detail whose document is
-    missing (``no_document``).  A later run, or a stream over the retry
-    table, can enrich them once the reference data has caught up; with a
-    static side seen as of each batch, a late lookup row never revives a seed
-    that was simply dropped.
+    One chain of left joins (each lookup joined once) with ``explode_outer``
+    marks every row with the first lookup that missed: ``unknown_player`` (no
+    player key), ``no_history`` (no matches) or ``no_document``.  Messages and
+    retries are two filters of the same rows; a job writing both should
+    checkpoint the marked rows first.  A later run over the retry table can
+    enrich them once the reference data has caught up.
     """
-    resolved, unknown = split_lookup(seeds, identity.select("summonerId", "puuid"), "summonerId")
-    with_history, no_history = split_lookup(resolved, history_lists(history, n), "puuid")
     ts = processed_at if isinstance(processed_at, F.Column) else F.lit(processed_at)
-    details = with_history.select("timestamp_summoner", "summonerId",
-                                  ts.alias("timestamp_summoner_details"),
-                                  F.explode("match_ids").alias("match_id"))
     fetched = fetched_at if isinstance(fetched_at, F.Column) else F.lit(fetched_at)
-    found, no_document = split_lookup(details, documents.select("match_id", "match_details"),
-                                      "match_id")
-    messages = found.select("timestamp_summoner", "summonerId", "timestamp_summoner_details",
-                            "match_id", fetched.alias("timestamp_match"), "match_details")
-    retries = (_retry(unknown, "unknown_player").unionByName(_retry(no_history, "no_history"))
-               .unionByName(_retry(no_document, "no_document")))
+    resolved = lookup_join(seeds, identity.select("summonerId", "puuid"), "summonerId", "left")
+    with_history = lookup_join(resolved, history_lists(history, n), "puuid", "left")
+    details = with_history.select("timestamp_summoner", "summonerId", "puuid",
+                                  ts.alias("timestamp_summoner_details"),
+                                  F.explode_outer("match_ids").alias("match_id"))
+    docs = documents.select("match_id", "match_details").withColumn("_doc", F.lit(True))
+    joined = lookup_join(details, docs, "match_id", "left")
+    reason = (F.when(F.col("puuid").isNull(), "unknown_player")
+              .when(F.col("match_id").isNull(), "no_history")
+              .when(F.col("_doc").isNull(), "no_document"))
+    marked = joined.withColumn("reason", reason)
+    messages = marked.where(F.col("reason").isNull()).select(
+        "timestamp_summoner", "summonerId", "timestamp_summoner_details", "match_id",
+        fetched.alias("timestamp_match"), "match_details")
+    retries = marked.where(F.col("reason").isNotNull()).select(*RETRY_COLUMNS)
     return messages, retries
