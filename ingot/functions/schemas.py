@@ -3,6 +3,11 @@
 The envelope is what one message on the ``matchs`` topic holds; the match
 document is the nested object carried in its ``match_details`` field.  All
 fields are nullable; fields not declared are dropped when parsing.
+
+Fixed values: the field names, nesting and types below (and the topic name
+``matchs``) are the message and document formats the pipeline consumes, so
+they must equal the producers' formats exactly.  They are listed in the
+documents' own order.
 """
 
 from __future__ import annotations
