@@ -101,6 +101,23 @@ def split_by_key(keyed: DataFrame, text: str = "match_details") -> tuple[DataFra
     return ok, bad
 
 
+def key_unparsed(keyed: DataFrame, text: str = "match_details") -> DataFrame:
+    """Keep documents that did not parse, under a synthetic key, for quarantine.
+
+    A row without a match key gets ``-1 - (xxhash64(text) & max_long)`` as
+    its key (real keys are positive game ids) and its raw text in ``_raw``.
+    The rows can then go through the same dedupe as good documents: one parse
+    and one shuffle serve silver and quarantine, the data stays
+    hash-partitioned on ``match_id``, and identical garbage collapses
+    map-side like any repeated document.
+    """
+    bad = F.col(MATCH_KEY).isNull()
+    synthetic = F.lit(-1) - F.xxhash64(F.col(text)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
+    return (keyed.withColumn("_raw", F.when(bad, F.col(text)))
+            .withColumn(MATCH_KEY, F.when(bad, synthetic).otherwise(F.col(MATCH_KEY)))
+            .drop(text))
+
+
 def silver_input(bronze: DataFrame, info_fields=None, with_metadata: bool = False) -> DataFrame:
     """Bronze -> one parsed document per match and date (quarantine removed)."""
     ok, _ = split_by_key(with_match_key(bronze, info_fields, with_metadata))

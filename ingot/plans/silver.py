@@ -26,8 +26,10 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
                          skip_seen: bool = False) -> None:
     """The daily bronze -> silver job for one date.
 
-    Each document is parsed once (whole schema).  The deduplicated, parsed
-    documents feed four outputs.  They are checkpointed
+    Each document is parsed once (whole schema); documents that do not parse
+    travel through the same dedupe under synthetic keys and come out as the
+    quarantine.  The deduplicated, parsed documents feed four outputs.  They
+    are checkpointed
     (a reliable copy in the shared ``spark.checkpoint.dir``), so the bronze
     scan, key parse and the one shuffle run once, a lost executor costs no
     recomputation, and the plan keeps its hash partitioning on match_id, so
@@ -38,19 +40,33 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     """
     pin_session(spark)
     shared_root(spark)   # makes sure a checkpoint directory is registered
-    bronze = read_layer(spark, bronze_path, partition_date)
-    ok, bad = D.split_by_key(D.with_match_key(bronze))
+    day = F.lit(as_date(partition_date))
+    keyed = D.with_match_key(read_layer(spark, bronze_path, partition_date))
     if quarantine_path:
-        overwrite_partitions(bad, quarantine_path)
+        # quarantine rides along under synthetic keys: still one parse, one shuffle
+        keyed = D.key_unparsed(keyed)
+        payload = F.struct("doc", "_raw")
+    else:
+        keyed = D.split_by_key(keyed)[0]
+        payload = F.struct("doc")
     # One date only: dedupe on match_id alone and stamp the date back, so the
     # documents stay hash-partitioned on match_id and the optional anti join
     # below reuses that partitioning instead of reshuffling them.
-    day = F.lit(as_date(partition_date))
-    docs = D.dedupe_by_key(ok, by=()).withColumn("partition_date", day)
+    grouped = D.dedupe_by_key(keyed.withColumn("_payload", payload), "_payload", by=())
+    grouped = grouped.select("*", "_payload.*").drop("_payload").withColumn("partition_date", day)
     if skip_seen and "games" in out and _exists(spark, out["games"]):
         earlier = read_layer(spark, out["games"]).where(F.col("partition_date") < day)
-        docs = D.drop_seen(docs, earlier)
-    docs = docs.checkpoint(eager=True)
+        grouped = D.drop_seen(grouped, earlier)
+    grouped = grouped.checkpoint(eager=True)
+    if quarantine_path:
+        bad = grouped.where(F.col("_raw").isNotNull())
+        replace_date(bad.select(*[c for c in ("timestamp_summoner", "timestamp_summoner_details",
+                                              "timestamp_match") if c in bad.columns],
+                                F.col("_raw").alias("match_details"), "partition_date"),
+                     quarantine_path, as_date(partition_date))
+        docs = grouped.where(F.col("_raw").isNull()).drop("_raw")
+    else:
+        docs = grouped
     builders = {"games": D.games, "participants": D.participants,
                 "teams_stats": D.team_stats, "teams_bans": D.team_bans}
     for name, build in builders.items():
@@ -84,7 +100,9 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
         if rows is None:
             drop_partition(spark, out[name], day)
         else:
-            replace_date(rollup(rows), out[name], day)
+            # a group-by of non-empty rows is never empty: probe the scan,
+            # not the aggregate (which would run the shuffle twice)
+            replace_date(rollup(rows), out[name], day, probe=rows)
 
 
 # ---------------------------------------------------------------------------

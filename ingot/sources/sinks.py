@@ -81,15 +81,17 @@ def drop_partition(spark, path: str, partition_date, column: str = "partition_da
         fs.delete(p, True)
 
 
-def replace_date(df: DataFrame, path: str, partition_date) -> None:
+def replace_date(df: DataFrame, path: str, partition_date,
+                 probe: DataFrame | None = None) -> None:
     """Make ``path``'s partition for ``partition_date`` hold exactly ``df``.
 
     Dynamic overwrite replaces the dates present in ``df``; a date whose new
     content is empty would otherwise keep stale rows from an earlier run, so
-    it is removed instead.  ``df`` should be cheap to probe (e.g. built on a
-    checkpointed input): ``isEmpty`` runs a one-row job.
+    it is removed instead.  Emptiness is checked on ``probe`` when given (an
+    input that is empty exactly when ``df`` is, e.g. the rows an aggregate
+    reads), else on ``df``; ``isEmpty`` runs a one-row job.
     """
-    if df.isEmpty():
+    if (probe if probe is not None else df).isEmpty():
         drop_partition(df.sparkSession, path, partition_date)
     else:
         overwrite_partitions(df, path)

@@ -54,3 +54,16 @@ def test_rerun_with_empty_branch_leaves_no_stale_rows(spark):
         left = read_layer_if_present(spark, path, DAY1)
         assert left is None or left.count() == 0
     assert spark.read.parquet(gold["player_performance"]).count() == 1
+
+
+def test_quarantine_rides_the_single_pass(spark):
+    from ingot.plans.silver import run_bronze_to_silver
+    bronze = fresh_path(spark, "qq-bronze")
+    silver = {"games": fresh_path(spark, "qq-games")}
+    quarantine = fresh_path(spark, "qq-quarantine")
+    overwrite_partitions(bronze_rows(spark, [document(1, [participant(1)]), "garbage", "garbage",
+                                             "{other garbage"]), bronze)
+    run_bronze_to_silver(spark, bronze, silver, DAY1, quarantine_path=quarantine)
+    assert sorted(r.match_details for r in spark.read.parquet(quarantine).collect()) == [
+        "garbage", "{other garbage"]
+    assert [r.match_id for r in spark.read.parquet(silver["games"]).collect()] == [1]
