@@ -47,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--date", help="load date (default: the day of ingestion)")
     i.add_argument("--max-per-trigger", type=int)
     i.add_argument("--processing-time", help="run continuously on this trigger")
+    i.add_argument("--files-per-batch", type=int,
+                   help="coalesce each micro-batch to this many files per date")
     return p
 
 
@@ -71,7 +73,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             msgs = S.read_messages(spark, "files", args.files, max_files=args.max_per_trigger)
         bronze = bronze_ingest(msgs, args.date)
         q = S.run_to_table(bronze, args.sink, args.checkpoint, available_now=not continuous,
-                           processing_time=args.processing_time)
+                           processing_time=args.processing_time,
+                           files_per_batch=args.files_per_batch)
         if continuous:
             q.awaitTermination()
 

@@ -66,13 +66,17 @@ def land_messages(messages: DataFrame, location: str, files: int = 4,
 def run_to_table(stream: DataFrame, path: str, checkpoint: str,
                  partition_cols=("partition_date",), available_now: bool = True,
                  processing_time: str | None = None, query_name: str | None = None,
-                 timeout_s: float | None = None):
+                 timeout_s: float | None = None, files_per_batch: int | None = None):
     """Append a stream to a partitioned Parquet table with a checkpoint.
 
     ``available_now`` drains what is there in (possibly several) bounded
     micro-batches and stops; otherwise the query runs on ``processing_time``
-    until stopped.  Returns the ``StreamingQuery``.
+    until stopped.  ``files_per_batch`` coalesces each micro-batch (no
+    shuffle) so a frequent trigger does not litter the table with small files.
+    Returns the ``StreamingQuery``.
     """
+    if files_per_batch:
+        stream = stream.coalesce(files_per_batch)
     w = (stream.writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", checkpoint).option("path", path))
     if partition_cols:

@@ -184,3 +184,21 @@ def test_enrichment_keeps_what_it_cannot_enrich(spark):
                   if r.match_id) == [("alice", "M6", "no_document")]
     assert sorted((r.summonerId, r.reason) for r in retries.collect() if not r.match_id) == [
         ("bob", "no_history"), ("nobody", "unknown_player")]
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    topic, sink, ckpt = (fresh_path(spark, n) for n in ("c-topic", "c-sink", "c-ckpt"))
+    msgs = spark.createDataFrame(
+        [(i, json.dumps({"timestamp_summoner": "2024-01-01T00:00:00", "match_details": {"i": i}}).encode())
+         for i in range(6)], "key long, value binary")
+    S.land_messages(msgs, topic, files=3)
+    from ingot.operators.bronze import bronze_ingest
+    stream = bronze_ingest(S.read_messages(spark, "files", topic, max_files=1), "2024-01-01")
+    q = S.run_to_table(stream, sink, ckpt, available_now=False, processing_time="1 second",
+                       files_per_batch=1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = spark.read.parquet(sink)
+    assert out.count() == 6 and len(out.inputFiles()) <= 3
