@@ -121,3 +121,34 @@ def rate(samples: DataFrame, series: list[str], range_s: int, tiebreak: str | No
 def sum_by(df: DataFrame, value: str, by: list, out: str) -> DataFrame:
     """``sum(expr) by (labels)`` at each evaluation time."""
     return df.groupBy(*by).agg(F.sum(value).alias(out))
+
+
+def delta_on_grid(samples: DataFrame, series: list[str], range_s: int, step_s: int = 60,
+                  per_s: int | None = None) -> DataFrame:
+    """``delta(series[range])`` evaluated on a ``step`` grid, as a dashboard
+    evaluates it: at each grid time ``t``, last minus first sample value in
+    ``(t - range, t]``, where at least two samples fall in that window.
+
+    Each sample is copied onto the ``range / step`` grid times whose window
+    contains it (a bounded fan-out, 5 for a 5-minute range on a 1-minute
+    grid).  ``max_by`` / ``min_by`` per (series, t) are ordinary aggregates
+    combined map-side, so a hot series spreads over its grid times.
+    Output: ``series..., t, delta``.
+    """
+    if range_s % step_s:
+        raise ValueError("the range must be a whole number of steps")
+    step = F.expr(f"INTERVAL {int(step_s)} SECONDS")
+    ts = F.col("ts").cast("timestamp_ntz")
+    start = F.from_unixtime(F.ceil(F.unix_micros(F.col("ts").cast("timestamp")) / (step_s * MICROS))
+                            * step_s).cast("timestamp_ntz")
+    points = samples.select(*series, ts.alias("ts"), "value",
+                            F.explode(F.sequence(F.lit(0), F.lit(range_s // step_s - 1))).alias("k"),
+                            start.alias("_first"))
+    points = points.withColumn("t", F.col("_first") + F.col("k") * step)
+    d = (points.groupBy(*series, "t")
+         .agg(F.count(F.lit(1)).alias("_n"),
+              (F.max_by("value", "ts") - F.min_by("value", "ts")).alias("delta"))
+         .where(F.col("_n") >= 2).drop("_n"))
+    if per_s:
+        d = d.withColumn("delta", F.col("delta") / (range_s / per_s))
+    return d

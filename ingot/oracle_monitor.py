@@ -116,3 +116,17 @@ from i
 window w as (partition by topic, "partition" order by ts
              range between interval 60 minutes preceding and current row)
 """
+
+GRID_POINTS = f"""
+select topic, "partition", ts, value,
+  case when ts = date_trunc('minute', ts) then ts
+       else date_trunc('minute', ts) + interval 1 minute end + to_minutes(k) as t
+from (select *, unnest(range(60)) as k from ({SAMPLES}) s) e
+"""
+
+METRIC_MESSAGES_PER_MINUTE_GRID = f"""
+select topic, t, round(sum(d), 6) as messages_per_min from (
+  select topic, "partition", t, (arg_max(value, ts) - arg_min(value, ts)) / 60.0 as d
+  from ({GRID_POINTS}) g group by topic, "partition", t having count(*) >= 2) x
+group by topic, t
+"""

@@ -110,6 +110,15 @@ def q_metric_messages_per_minute(spark: SparkSession, sf_dir: str):
     return s.withColumn("messages_per_min", F.round("messages_per_min", 6))
 
 
+@query("metric_messages_per_minute_grid", O.METRIC_MESSAGES_PER_MINUTE_GRID)
+def q_metric_messages_per_minute_grid(spark: SparkSession, sf_dir: str):
+    """A6 over W2 as a dashboard evaluates it: ``sum(delta(x[range]) / n) by
+    (topic)`` at every minute of a 1-minute grid."""
+    d = M.delta_on_grid(_samples(spark, sf_dir), SERIES, RANGE_S, step_s=60, per_s=60)
+    s = M.sum_by(d, "delta", ["topic", "t"], "messages_per_min")
+    return s.withColumn("messages_per_min", F.round("messages_per_min", 6))
+
+
 @query("metric_rate", O.METRIC_RATE)
 def q_metric_rate(spark: SparkSession, sf_dir: str):
     """Reset-aware per-second rate over the trailing hour."""
