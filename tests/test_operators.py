@@ -202,3 +202,15 @@ def test_processing_time_trigger_runs_until_stopped(spark):
         q.stop()
     out = spark.read.parquet(sink)
     assert out.count() == 6 and len(out.inputFiles()) <= 3
+
+
+def test_grid_delta_needs_two_samples_in_the_window(spark):
+    # samples at 00:00:30 (10), 00:02:30 (16), 00:09:30 (40); range 5 min, 1-minute grid
+    pts = [("a", 0.5, 10), ("a", 2.5, 16), ("a", 9.5, 40)]
+    rows = [("m", {"s": s}, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), float(v))
+            for s, m, v in pts]
+    df = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts timestamp_ntz, "
+                                     "value double").withColumn("s", F.col("labels")["s"])
+    got = {r.t.minute: r.delta for r in M.delta_on_grid(df, ["s"], 300, 60).collect()}
+    # grid times 00:03..00:05 hold both early samples; 00:10..00:14 hold one sample only
+    assert got == {3: 6.0, 4: 6.0, 5: 6.0}
