@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import packing, tokenfile, topk
-from .common import table
+from . import langid, packing, simhash, tokenfile, topk
+from .common import remainder, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -22,6 +22,14 @@ def _query(fn: QueryFn) -> QueryFn:
     return fn
 
 
+@_query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = langid.train_profiles(docs, remainder("doc_id", 5) != 0)
+    return langid.identify(docs, profiles).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-file")
@@ -45,6 +53,12 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+@_query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, tau=3).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 ORACLES["op4_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
