@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import langid, packing, simhash, tokenfile, topk
+from . import chat, decontam, langid, licenses, packing, simhash, tokenfile, topk
 from .common import remainder, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -53,12 +53,28 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+@_query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+@_query
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 @_query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, tau=3).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@_query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 ORACLES["op4_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -73,3 +89,59 @@ s AS (
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s)
 SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM r WHERE rn <= 5"""
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _sql_canonical(text: str) -> str:
+    form = f"regexp_replace(coalesce({text}, ''), {_sql_text(licenses.COPYRIGHT_LINE)}, ' ', 'g')"
+    form = f"regexp_replace(lower({form}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+    form = f"' ' || trim({form}) || ' '"
+    for old, new in licenses.SPELLINGS:
+        form = f"replace({form}, ' {old} ', ' {new} ')"
+    return f"trim({form})"
+
+
+def _sql_known(pairs: list[tuple[str, str]]) -> str:
+    rows = ", ".join(f"({_sql_text(n)}, {_sql_text(t)})" for n, t in pairs)
+    return (f"SELECT sha256({_sql_canonical('body')}) AS digest, min(license) AS license "
+            f"FROM (VALUES {rows}) AS t(license, body) GROUP BY 1")
+
+
+ORACLES["op5_license_scan"] = f"""
+WITH known AS ({_sql_known([*licenses.TEXTS, *licenses.NOTICES])}),
+notices AS ({_sql_known(licenses.NOTICES)}),
+own AS (SELECT row_number() OVER () AS r, doc_id, text,
+               sha256({_sql_canonical('text')}) AS digest FROM documents),
+line AS (SELECT r, unnest(string_split(text, chr(10))) AS l FROM own),
+hit AS (SELECT DISTINCT r, n.license
+        FROM (SELECT r, sha256({_sql_canonical('l')}) AS digest FROM line
+              WHERE length(l) BETWEEN 12 AND 400
+                AND regexp_matches(l, {_sql_text(licenses.MENTION)})) JOIN notices n USING (digest)),
+hits AS (SELECT r, string_agg(license, ',' ORDER BY license) AS line_licenses FROM hit GROUP BY r)
+SELECT own.doc_id, own.digest, known.license,
+       coalesce(hits.line_licenses, '') AS line_licenses
+FROM own LEFT JOIN known USING (digest) LEFT JOIN hits ON own.r = hits.r"""
+
+ORACLES["op6_chat_rotation"] = """
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS author, coalesce(text, '') AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+speakers AS (SELECT DISTINCT conv_id, author AS speaker FROM raw),
+view AS (
+  SELECT r.conv_id, s.speaker, r.turn, r.author, r.words, r.author = s.speaker AS own,
+         CASE WHEN r.author = s.speaker THEN '<|assistant|>' || chr(10)
+              ELSE '<|user name=' || r.author || '|>' || chr(10) END AS head
+  FROM raw r JOIN speakers s USING (conv_id)),
+full_text AS (SELECT *, head || words || '<|end|>' || chr(10) AS text FROM view),
+placed AS (
+  SELECT *, coalesce(sum(length(text)) OVER (
+    PARTITION BY conv_id, speaker ORDER BY turn NULLS FIRST, author, text
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM full_text)
+SELECT conv_id, speaker, turn, author, CASE WHEN own THEN 'assistant' ELSE 'user' END AS role,
+       text, CAST(place AS BIGINT) AS start, CAST(place + length(head) AS BIGINT) AS mask_start,
+       CAST(place + length(head) + length(words) AS BIGINT) AS mask_end,
+       CAST(own AS INTEGER) AS masked
+FROM placed"""
