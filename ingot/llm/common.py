@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +15,24 @@ from pyspark.sql import functions as F
 from ..session import fresh_path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application, so that
+    their Python workers can import them wherever the driver found them."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
