@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from . import chat, decontam, langid, licenses, packing, pii, simhash, tokenfile, topk
+from . import chat, decontam, langid, licenses, packing, pii, simhash, tokenfile, topk, toxicity
 from .common import remainder, ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,14 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 ORACLES["op4_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
