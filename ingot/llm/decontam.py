@@ -99,3 +99,12 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     return found.groupBy("doc_id", "item_id").agg(
         F.max("matched").alias("matched"), F.max("item_words").alias("item_words")).where(
         F.col("matched") >= F.least(F.lit(float(min_words)), F.col("item_words") * min_share))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+               **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no passage of an item.  The ids that go
+    are written first, so that Spark broadcasts them only below its threshold."""
+    gone = written(contaminated(docs, items, doc_id, text, **options).select(
+        F.col("doc_id").alias("gone_id")).distinct(), "contaminated")
+    return docs.join(gone, docs[doc_id].cast("long") == gone.gone_id, "left_anti")

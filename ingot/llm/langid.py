@@ -153,3 +153,19 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], doc_id: str = "do
     return docs.select(docs[doc_id].cast("long").alias("doc_id"),
                        docs[text].cast("string").alias("text")).mapInArrow(
         run, "doc_id long, lang_pred string, score double")
+
+
+def accept(docs: DataFrame, profiles: dict[str, np.ndarray], min_score: float = 0.5,
+           text: str = "text", size: int = 300) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with ``min_score`` or more.
+
+    Texts that are null or have no letter go, as does every row if there is no profile."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(profiles, size)
+        for batch in batches:
+            found = [matcher.predict(t or "") for t in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([name != UNDETERMINED and s >= min_score
+                                         for name, s in found], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)

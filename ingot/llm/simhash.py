@@ -323,3 +323,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label = distinct.join(linked, distinct.fp == linked.linked_fp, "left").select(
         F.col("fp").alias("label_fp"), F.coalesce("low", "first_id").alias("component_id"))
     return fps.join(label, fps.fp == label.label_fp).select("doc_id", "fp", "component_id")
+
+
+def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                         shingle: int = 3, tau: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their group: those whose id is the
+    group's smallest.  Of rows that share an id one stays, and rows without an id go.
+
+    Only ids are shuffled: the list of ids that go is written first, so that its size
+    is known and Spark broadcasts it only below its threshold.
+    """
+    found = written(near_duplicates(docs, doc_id, text, shingle, tau).where(
+        "doc_id IS NOT NULL").select("doc_id", (F.col("doc_id") == F.col("component_id"))
+                                     .alias("stays")), "groups")
+    ids = found.groupBy("doc_id").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    gone = written(ids.where(~F.col("stays")).select(F.col("doc_id").alias("gone_id")), "gone")
+    twice = written(ids.where(F.col("stays") & (F.col("n") > 1)).select(
+        F.col("doc_id").alias("twice_id")), "twice")
+    key = docs[doc_id].cast("long")
+    kept = docs.where(key.isNotNull()).join(gone, key == gone.gone_id, "left_anti")
+    single = kept.join(twice, key == twice.twice_id, "left_anti")
+    double = kept.join(twice, key == twice.twice_id, "left_semi").dropDuplicates([doc_id])
+    return single.unionByName(double)

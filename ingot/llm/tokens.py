@@ -15,6 +15,7 @@ import re
 import numpy as np
 
 _LOOKAHEAD = re.compile(r" (?:\s|\Z)")
+_STOPS = re.compile(r"(?<=[a-z])([.,])(?=\s|\Z)")
 MARK = "\x01"
 SPACE = "\u0120"      # how byte-level vocabularies write the space byte
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -63,7 +64,8 @@ class PieceEncoder:
             return pieces
         if _SEPARATORS.search(text):
             return [(text,)]
-        return text.split() or [("",)]
+        # A comma or stop between a letter and white space is a piece of its own.
+        return _STOPS.sub(r" \1 ", text).split() or [("",)]
 
     def _add(self, pieces: list, ids: np.ndarray, counts: np.ndarray) -> None:
         """Remember new pieces, whose ids stand one after the other in ``ids``."""
