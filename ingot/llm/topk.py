@@ -136,13 +136,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     # Bounds of all scores, from the largest component sum: |score| <= max|q|_1 * max|c|_inf.
     def limit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for data, dim in zip(frame["data"], frame["dim"], strict=True):
-                a = np.abs(np.frombuffer(data, "<i8").reshape(-1, dim).astype(float))
+            for ids, data, dim in zip(frame["ids"], frame["data"], frame["dim"], strict=True):
+                a = np.abs(np.frombuffer(data, "<i8").reshape(len(ids) // 8, dim).astype(float))
                 yield pd.DataFrame({"high": [a.max(initial=0)],
                                     "total": [a.sum(axis=1).max(initial=0)]})
-    high = cands.select("data", "dim").mapInPandas(limit, "high double, total double").agg(
+    high = cands.select("ids", "data", "dim").mapInPandas(limit, "high double, total double").agg(
         F.max("high")).first()[0] or 0.0
-    total = asks.select("data", "dim").mapInPandas(limit, "high double, total double").agg(
+    total = asks.select("ids", "data", "dim").mapInPandas(limit, "high double, total double").agg(
         F.max("total")).first()[0] or 0.0
     reach = int(min(high * total, 2.0 ** 61)) + 1
     width = 1                      # a power of BINS, so that bins nest exactly
