@@ -6,7 +6,7 @@ Python UDF anywhere.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -72,6 +72,19 @@ def parse_json(text, schema: StructType, corrupt_column: str | None = None) -> C
                                           "columnNameOfCorruptRecord": corrupt_column})
 
 
+def parse_once(df: DataFrame, text, schema: StructType, out: str,
+               corrupt_column: str | None = None) -> DataFrame:
+    """``df`` with the parsed record in ``out``, parsed exactly once per row.
+
+    A filter or key on a parsed field would be pushed below a plain projection,
+    and the text parsed again for it.  A one-element ``inline`` stands between:
+    nothing is pushed below a generator's output, and the outer form keeps
+    Spark from inferring a filter on it.
+    """
+    parsed = parse_json(text, schema, corrupt_column)
+    return df.select("*", F.inline_outer(F.array(F.struct(parsed.alias(out)))))
+
+
 def message_text(value="value") -> Column:
     """Message bytes -> text (the bus carries UTF-8 JSON)."""
     return col_(value).cast("string")

@@ -132,9 +132,6 @@ def document_schema(info_fields: list[str] | None = None,
     return StructType(fields)
 
 
-# Only the match key, for deduplication before the full parse.
-KEY_SCHEMA = document_schema(["gameId"])
-
 # --- metric samples --------------------------------------------------------
 
 METRIC_SCHEMA = StructType([
@@ -144,8 +141,6 @@ METRIC_SCHEMA = StructType([
     _s("value", DoubleType()),
 ])
 
-__all__ = [n for n in dir() if n.isupper() or n == "document_schema"]
-
 # A match message summarised: its key and how many participants it carries
 # (one parse, nothing else materialised).
 DOCUMENT_SUMMARY_SCHEMA = StructType([_s("info", StructType([

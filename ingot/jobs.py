@@ -1,15 +1,26 @@
 """Command-line entry points for the pipeline's jobs (``spark-submit`` or ``python -m``).
 
     python -m ingot.jobs bronze-to-silver BRONZE GAMES PARTICIPANTS TEAMS_STATS TEAMS_BANS DATE
-        [--quarantine PATH] [--skip-seen]
+        [--quarantine PATH] [--skip-seen [--look-back DAYS]]
     python -m ingot.jobs silver-to-gold GAMES PARTICIPANTS TEAMS_STATS TEAMS_BANS \\
         MATCH_SUMMARY PLAYER_PERFORMANCE TEAM_PERFORMANCE DATE
-    python -m ingot.jobs ingest SINK CHECKPOINT (--kafka BOOTSTRAP --topic TOPIC | --files DIR)
-        [--date DATE] [--max-per-trigger N] [--processing-time "1 minute"]
+    python -m ingot.jobs ingest SINK CHECKPOINT SOURCE [--quarantine PATH] [--date DATE]
+    python -m ingot.jobs publish-seeds SNAPSHOTS SINK [--taken-at TIME]
+    python -m ingot.jobs enrich-details IDENTITY HISTORY SINK RETRY QUARANTINE CHECKPOINT SOURCE
+    python -m ingot.jobs enrich-matches DOCUMENTS SINK RETRY QUARANTINE CHECKPOINT SOURCE
+    python -m ingot.jobs refresh-lookup SOURCE_PATH KEY TABLE PATH --buckets N [--latest N]
+    python -m ingot.jobs throughput BRONZE SINK [DATE]
+    python -m ingot.jobs retention ROOT CUTOFF
 
-The positional arguments follow the reference's daily jobs (table roots, then
-the date).  The date is explicit and is the output date too, and every write
-replaces only that date.  The session comes from ``getOrCreate``, so the
+SOURCE is ``--kafka BOOTSTRAP --topic TOPIC`` or ``--files DIR``, with
+``[--max-per-trigger N] [--min-partitions N] [--processing-time "1 minute"]``;
+SINK of the enrichment jobs is a directory, or a topic with ``--sink-kafka
+BOOTSTRAP``.  IDENTITY, HISTORY and DOCUMENTS are catalog tables, as
+``refresh-lookup`` writes them.
+
+The positional arguments of the daily jobs follow the reference's (table roots,
+then the date).  The date is explicit and is the output date too, and every
+write replaces only that date.  The session comes from ``getOrCreate``, so the
 cluster's settings (including ``spark.checkpoint.dir``) apply.
 """
 
@@ -17,66 +28,141 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators.bronze import bronze_ingest
+from .functions.columns import ISO_PATTERN
+from .operators import enrich as E
+from .operators import monitor as T
 from .plans.silver import run_bronze_to_silver, run_silver_to_gold
 from .session import pin_session
+from .sources.sinks import purge_before, write_bucketed, write_messages
+from .sources.tables import read_layer, read_snapshots
+from .streaming import enrich as H
 from .streaming import ingest as S
 
 
+def _stream_arguments(p: argparse.ArgumentParser) -> None:
+    src = p.add_mutually_exclusive_group(required=True)
+    src.add_argument("--kafka", metavar="BOOTSTRAP")
+    src.add_argument("--files", metavar="DIR")
+    p.add_argument("--topic", default="matchs")
+    p.add_argument("--date", help="load date (default: the day of ingestion)")
+    p.add_argument("--max-per-trigger", type=int)
+    p.add_argument("--min-partitions", type=int, help="split topic partitions into more tasks")
+    p.add_argument("--processing-time", help="run continuously on this trigger")
+    p.add_argument("--files-per-batch", type=int,
+                   help="deal each micro-batch out to this many files")
+
+
+def _sink_arguments(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--sink-kafka", metavar="BOOTSTRAP", help="SINK is a topic there")
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="ingot.jobs")
     sub = p.add_subparsers(dest="job", required=True)
-    b = sub.add_parser("bronze-to-silver")
-    for name in ("bronze", "games", "participants", "teams_stats", "teams_bans", "date"):
-        b.add_argument(name)
+
+    def job(name: str, *positional: str) -> argparse.ArgumentParser:
+        j = sub.add_parser(name)
+        for arg in positional:
+            j.add_argument(arg)
+        return j
+    b = job("bronze-to-silver", "bronze", "games", "participants", "teams_stats", "teams_bans",
+            "date")
     b.add_argument("--quarantine")
     b.add_argument("--skip-seen", action="store_true")
-    g = sub.add_parser("silver-to-gold")
-    for name in ("games", "participants", "teams_stats", "teams_bans", "match_summary",
-                 "player_performance", "team_performance", "date"):
-        g.add_argument(name)
-    i = sub.add_parser("ingest")
-    i.add_argument("sink")
-    i.add_argument("checkpoint")
-    src = i.add_mutually_exclusive_group(required=True)
-    src.add_argument("--kafka", metavar="BOOTSTRAP")
-    src.add_argument("--files", metavar="DIR")
-    i.add_argument("--topic", default="matchs")
-    i.add_argument("--date", help="load date (default: the day of ingestion)")
-    i.add_argument("--max-per-trigger", type=int)
-    i.add_argument("--processing-time", help="run continuously on this trigger")
-    i.add_argument("--files-per-batch", type=int,
-                   help="coalesce each micro-batch to this many files per date")
+    b.add_argument("--look-back", type=int, default=30, help="days of silver that --skip-seen reads")
+    job("silver-to-gold", "games", "participants", "teams_stats", "teams_bans", "match_summary",
+        "player_performance", "team_performance", "date")
+    i = job("ingest", "sink", "checkpoint")
+    i.add_argument("--quarantine")
+    _stream_arguments(i)
+    s = job("publish-seeds", "snapshots", "sink")
+    s.add_argument("--taken-at", help="stage time of the seeds (default: now)")
+    _sink_arguments(s)
+    for name, lookups in (("enrich-details", ("identity", "history")),
+                          ("enrich-matches", ("documents",))):
+        h = job(name, *lookups, "sink", "retry", "quarantine", "checkpoint")
+        h.add_argument("--at", help="stage time of the hop (default: now)")
+        _stream_arguments(h)
+        _sink_arguments(h)
+    r = job("refresh-lookup", "source", "key", "table", "path")
+    r.add_argument("--buckets", type=int, required=True)
+    r.add_argument("--latest", type=int, help="keep lists of the latest N matches per key")
+    t = job("throughput", "bronze", "sink")
+    t.add_argument("date", nargs="?")
+    job("retention", "root", "cutoff")
     return p
 
 
+def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.kafka:
+        return S.read_messages(spark, "kafka", "", S.kafka_options(
+            args.kafka, args.topic, max_offsets=args.max_per_trigger,
+            min_partitions=args.min_partitions))
+    return S.read_messages(spark, "files", args.files, max_files=args.max_per_trigger)
+
+
+def _options(args: argparse.Namespace) -> dict:
+    return {"available_now": args.processing_time is None,
+            "processing_time": args.processing_time, "files_per_batch": args.files_per_batch}
+
+
+def _topic(args: argparse.Namespace) -> S.Output:
+    if args.sink_kafka:
+        return S.Output(lambda r: r, args.sink, "kafka",
+                        {"kafka.bootstrap.servers": args.sink_kafka})
+    return S.Output(lambda r: r, args.sink, "files")
+
+
+def _time(text: str | None):
+    return F.lit(text) if text else F.date_format(F.current_timestamp(), ISO_PATTERN)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"ingot-{args.job}").getOrCreate()
     pin_session(spark)
+    silver = ("games", "participants", "teams_stats", "teams_bans")
+    query = None
     if args.job == "bronze-to-silver":
-        out = {k: getattr(args, k) for k in ("games", "participants", "teams_stats", "teams_bans")}
-        run_bronze_to_silver(spark, args.bronze, out, args.date, args.quarantine, args.skip_seen)
+        run_bronze_to_silver(spark, args.bronze, {k: getattr(args, k) for k in silver}, args.date,
+                             args.quarantine, args.skip_seen, args.look_back)
     elif args.job == "silver-to-gold":
-        silver = {k: getattr(args, k) for k in ("games", "participants", "teams_stats", "teams_bans")}
-        gold = {k: getattr(args, k) for k in ("match_summary", "player_performance",
-                                                "team_performance")}
-        run_silver_to_gold(spark, silver, gold, args.date)
+        gold = ("match_summary", "player_performance", "team_performance")
+        run_silver_to_gold(spark, {k: getattr(args, k) for k in silver},
+                           {k: getattr(args, k) for k in gold}, args.date)
+    elif args.job == "ingest":
+        query = S.ingest_with_quarantine(
+            _messages(spark, args), args.sink,
+            args.quarantine or f"{args.sink.rstrip('/')}_quarantine", args.checkpoint, args.date,
+            **_options(args))
+    elif args.job == "publish-seeds":
+        seeds = E.seed_entries(read_snapshots(spark, args.snapshots), _time(args.taken_at))
+        out, topic = H.as_topic(seeds, "summonerId"), _topic(args)
+        write_messages(out, "kafka" if topic.fmt == "kafka" else "parquet", topic.path, topic.options)
+    elif args.job == "enrich-details":
+        query = H.enrich_details(
+            _messages(spark, args), spark.table(args.identity), spark.table(args.history),
+            _time(args.at), _topic(args), args.retry, args.quarantine, args.checkpoint, args.date,
+            **_options(args))
+    elif args.job == "enrich-matches":
+        query = H.enrich_matches(
+            _messages(spark, args), spark.table(args.documents), _time(args.at), _topic(args),
+            args.retry, args.quarantine, args.checkpoint, args.date, **_options(args))
+    elif args.job == "refresh-lookup":
+        rows = spark.read.parquet(args.source)
+        if args.latest:
+            rows = E.history_lists(rows, args.latest, args.key)
+        write_bucketed(rows, args.key, args.table, args.path, args.buckets)
+    elif args.job == "throughput":
+        T.stage_throughput(read_layer(spark, args.bronze, args.date)).write.mode(
+            "overwrite").parquet(args.sink)
     else:
-        continuous = args.processing_time is not None
-        if args.kafka:
-            opts = S.kafka_options(args.kafka, args.topic, max_offsets=args.max_per_trigger)
-            msgs = S.read_messages(spark, "kafka", "", opts)
-        else:
-            msgs = S.read_messages(spark, "files", args.files, max_files=args.max_per_trigger)
-        bronze = bronze_ingest(msgs, args.date)
-        q = S.run_to_table(bronze, args.sink, args.checkpoint, available_now=not continuous,
-                           processing_time=args.processing_time,
-                           files_per_batch=args.files_per_batch)
-        if continuous:
-            q.awaitTermination()
+        purge_before(spark, args.root, args.cutoff)
+    if query is not None and args.processing_time:
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import message_text, parse_json
+from ..functions.columns import message_text, parse_once
 from ..functions.schemas import BRONZE_COLUMNS, ENVELOPE_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -29,29 +29,32 @@ def load_date(partition_date=None):
 
 
 def parse_envelope(messages: DataFrame, value: str = "value", keep=()) -> DataFrame:
-    """Message bytes -> envelope columns plus ``_corrupt_record``.
+    """Message bytes -> envelope columns plus ``_raw`` (the text) and ``_bad``.
 
     The parse is PERMISSIVE with a corrupt-record column, so a garbage message
-    never fails the batch: its text lands in ``_corrupt_record`` instead.
-    ``match_details`` is declared a string, so a nested object arrives as its
-    raw JSON text (quirk Q1).
+    never fails the batch.  A message is bad if it does not parse, is null, or is
+    blank; an object without any known field is not.  ``match_details`` is
+    declared a string, so a nested object arrives as its raw JSON text (quirk
+    Q1).  Each message is parsed once.
     """
-    parsed = messages.select(*keep, parse_json(message_text(value), ENVELOPE_SCHEMA,
-                                               CORRUPT).alias("data"))
-    return parsed.select(*keep, "data.*")
+    text = messages.select(*keep, message_text(value).alias("_raw"))
+    parsed = parse_once(text, "_raw", ENVELOPE_SCHEMA, "_data", CORRUPT)
+    bad = F.col("_data")[CORRUPT].isNotNull() | F.coalesce(F.trim("_raw") == "", F.lit(True))
+    return parsed.select(*keep, *[F.col("_data")[f].alias(f) for f in ENVELOPE_SCHEMA.names],
+                         "_raw", bad.alias("_bad"))
 
 
 def to_bronze(envelopes: DataFrame, partition_date=None, keep=()) -> DataFrame:
     """Valid envelopes -> bronze rows stamped with their load date."""
-    return (envelopes.where(F.col(CORRUPT).isNull())
+    return (envelopes.where(~F.col("_bad"))
             .withColumn("partition_date", load_date(partition_date))
             .select(*keep, *BRONZE_COLUMNS))
 
 
 def quarantined(envelopes: DataFrame, partition_date=None, keep=()) -> DataFrame:
-    """Messages that did not parse, with their raw text and load date."""
-    return (envelopes.where(F.col(CORRUPT).isNotNull())
-            .select(*keep, F.col(CORRUPT).alias("raw_message"),
+    """Bad messages with their raw text (null for a null message) and load date."""
+    return (envelopes.where(F.col("_bad"))
+            .select(*keep, F.col("_raw").alias("raw_message"),
                     load_date(partition_date).alias("partition_date")))
 
 

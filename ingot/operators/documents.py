@@ -4,11 +4,11 @@ Plan shape (one parse and one shuffle for the whole silver layer)::
 
     bronze scan (ReadSchema: the text and stage times only)
       -> one from_json per document, schema pruned to what is read + gameId
+         (behind a one-element inline, so that no filter repeats the parse)
       -> partial SortAggregate  (map-side: a hot match collapses per task)
       -> Exchange hashpartitioning(partition_date, match_id)
       -> final aggregate (one survivor per match)
-      -> posexplode / explode        (Generate keeps the partitioning)
-      -> whole-row distinct          (no exchange: keys include match_id)
+      -> posexplode / explode   (rows are distinct inside their document)
 
 Numbering participants sorts the (bounded) participants array inside its own
 row and numbers it with ``posexplode``: the same ids a ``row_number`` window
@@ -20,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import parse_json
+from ..functions.columns import parse_once
 from ..functions.schemas import PARTICIPANT_TYPE, document_schema
 
 MATCH_KEY = "match_id"
 
+# The fields of the consumed documents and their names in silver.
 GAME_FIELDS = [
     ("gameId", "match_id"), ("gameCreation", "game_creation"),
     ("gameDuration", "game_duration"), ("gameMode", "game_mode"),
@@ -65,12 +66,13 @@ def with_match_key(bronze: DataFrame, info_fields=None, with_metadata: bool = Fa
     The schema is pruned to the ``info`` fields the consumer needs plus
     ``gameId`` (Spark prunes unused top-level fields of ``from_json`` by itself
     but not fields below a nested struct), so one parse serves both the key
-    and the branch.  ``info_fields=None`` parses the whole document.
+    and the branch.  ``info_fields=None`` parses the whole document.  A row whose
+    document is null, empty, garbage or without a game id has a null key.
     """
     if info_fields is not None and "gameId" not in info_fields:
         info_fields = ["gameId", *info_fields]
-    doc = parse_json(text, document_schema(info_fields, with_metadata))
-    return bronze.withColumn("doc", doc).withColumn(MATCH_KEY, F.col("doc.info.gameId"))
+    parsed = parse_once(bronze, text, document_schema(info_fields, with_metadata), "doc")
+    return parsed.withColumn(MATCH_KEY, F.col("doc.info.gameId"))
 
 
 def dedupe_by_key(keyed: DataFrame, payload: str = "doc",
@@ -102,19 +104,16 @@ def split_by_key(keyed: DataFrame, text: str = "match_details") -> tuple[DataFra
 
 
 def key_unparsed(keyed: DataFrame, text: str = "match_details") -> DataFrame:
-    """Keep documents that did not parse, under a synthetic key, for quarantine.
-
-    A row without a match key gets ``-1 - (xxhash64(text) & max_long)`` as
-    its key (real keys are positive game ids) and its raw text in ``_raw``.
-    The rows can then go through the same dedupe as good documents: one parse
-    and one shuffle serve silver and quarantine, the data stays
-    hash-partitioned on ``match_id``, and identical garbage collapses
-    map-side like any repeated document.
+    """Mark rows whose document did not parse (``_bad``) and keep their text in ``_raw``.
+
+    Each bad row gets a number of its own in ``_bad_id`` (null for good rows), so
+    that deduplication by ``(match_id, _bad_id)`` keeps every one of them with
+    its stage times, repeated garbage included, while good documents still
+    collapse by their match.  Bad rows spread over all partitions.
     """
     bad = F.col(MATCH_KEY).isNull()
-    synthetic = F.lit(-1) - F.xxhash64(F.col(text)).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    return (keyed.withColumn("_raw", F.when(bad, F.col(text)))
-            .withColumn(MATCH_KEY, F.when(bad, synthetic).otherwise(F.col(MATCH_KEY)))
+    return (keyed.withColumn("_bad", bad).withColumn("_raw", F.when(bad, F.col(text)))
+            .withColumn("_bad_id", F.when(bad, F.monotonically_increasing_id()))
             .drop(text))
 
 
@@ -144,9 +143,14 @@ TEAM_INFO = ["teams"]
 
 
 def games(docs: DataFrame) -> DataFrame:
-    """silver.games: one row per match (L2)."""
+    """silver.games: one row per match (L2), for input with one document per match."""
     out = [F.col(MATCH_KEY)] + [F.col("doc.info")[f].alias(o) for f, o in GAME_FIELDS[1:]]
-    return docs.select(*out, "partition_date").dropDuplicates()
+    return docs.select(*out, "partition_date")
+
+
+def distinct_games(docs: DataFrame) -> DataFrame:
+    """silver.games by whole-row distinct (A5), for input that repeats documents."""
+    return games(docs).dropDuplicates()
 
 
 def participants(docs: DataFrame) -> DataFrame:
@@ -185,25 +189,25 @@ def participants_by_window(docs: DataFrame) -> DataFrame:
 
 
 def team_stats(docs: DataFrame) -> DataFrame:
-    """silver.teams_stats: one row per team of a match (L4)."""
-    ex = docs.select(MATCH_KEY, "partition_date", F.explode("doc.info.teams").alias("team"))
-    return ex.select(
-        MATCH_KEY, F.col("team.teamId").alias("team_id"), F.col("team.win").alias("win"),
-        F.col("team.objectives.baron.kills").alias("baron_kills"),
-        F.col("team.objectives.dragon.kills").alias("dragon_kills"),
-        F.col("team.objectives.tower.kills").alias("tower_kills"),
-        "partition_date").dropDuplicates()
+    """silver.teams_stats: one row per team of a match (L4).
+
+    Rows repeat only inside a document, so they are made distinct in its array,
+    before the explode: no exchange after the key dedupe."""
+    teams = F.transform(F.col("doc.info.teams"), lambda t: F.struct(
+        t["teamId"].alias("team_id"), t["win"].alias("win"),
+        *[t["objectives"][k]["kills"].alias(f"{k}_kills") for k in ("baron", "dragon", "tower")]))
+    return docs.select(MATCH_KEY, "partition_date", F.inline(F.array_distinct(teams))).select(
+        *TEAM_STAT_COLUMNS)
 
 
 def team_bans(docs: DataFrame) -> DataFrame:
-    """silver.teams_bans: team -> bans, a nested explode."""
-    teams = docs.select(MATCH_KEY, "partition_date", F.explode("doc.info.teams").alias("team"))
-    bans = teams.select(MATCH_KEY, "partition_date",
-                        F.col("team.teamId").alias("team_id"),
-                        F.explode("team.bans").alias("ban"))
-    return bans.select(MATCH_KEY, "team_id", F.col("ban.pickTurn").alias("ban_turn"),
-                       F.col("ban.championId").alias("champion_id"),
-                       "partition_date").dropDuplicates()
+    """silver.teams_bans: team -> bans (L5), distinct inside the document as above."""
+    bans = F.transform(F.col("doc.info.teams"), lambda t: F.transform(
+        F.coalesce(t["bans"], F.array()), lambda b: F.struct(
+            t["teamId"].alias("team_id"), b["pickTurn"].alias("ban_turn"),
+            b["championId"].alias("champion_id"))))
+    return docs.select(MATCH_KEY, "partition_date",
+                       F.inline(F.array_distinct(F.flatten(bans)))).select(*TEAM_BAN_COLUMNS)
 
 
 def document_overview(docs: DataFrame) -> DataFrame:

@@ -79,9 +79,7 @@ def expand_history(resolved: DataFrame, lists: DataFrame, processed_at) -> DataF
 def attach_documents(details: DataFrame, documents: DataFrame, fetched_at) -> DataFrame:
     """Detail messages -> match messages carrying the document.
 
-    The document table is large, so this normally stays a shuffle join on
-    ``match_id``; the size check in :func:`lookup_join` only broadcasts it
-    when it is provably small.
+    The document table is large, so this normally stays a shuffle join on ``match_id``.
     """
     ts = fetched_at if isinstance(fetched_at, F.Column) else F.lit(fetched_at)
     j = lookup_join(details, documents.select("match_id", "match_details"), "match_id", "inner")
@@ -113,21 +111,46 @@ def enrich_with_retries(seeds: DataFrame, identity: DataFrame, history: DataFram
     checkpoint the marked rows first.  A later run over the retry table can
     enrich them once the reference data has caught up.
     """
-    ts = processed_at if isinstance(processed_at, F.Column) else F.lit(processed_at)
-    fetched = fetched_at if isinstance(fetched_at, F.Column) else F.lit(fetched_at)
-    resolved = lookup_join(seeds, identity.select("summonerId", "puuid"), "summonerId", "left")
-    with_history = lookup_join(resolved, history_lists(history, n), "puuid", "left")
-    details = with_history.select("timestamp_summoner", "summonerId", "puuid",
-                                  ts.alias("timestamp_summoner_details"),
-                                  F.explode_outer("match_ids").alias("match_id"))
+    marked = mark_documents(mark_history(seeds, identity, history_lists(history, n),
+                                         processed_at), documents, fetched_at)
+    return enriched(marked), retries(marked)
+
+
+def _column(value):
+    return value if isinstance(value, F.Column) else F.lit(value)
+
+
+def mark_history(seeds: DataFrame, identity: DataFrame, lists: DataFrame,
+                 processed_at, keep=()) -> DataFrame:
+    """Hop 1: seeds -> one row per recent match, ``reason`` set where a lookup missed."""
+    found = lookup_join(lookup_join(seeds, identity.select("summonerId", "puuid"), "summonerId",
+                                    "left"), lists, "puuid", "left")
+    rows = found.select(*keep, "timestamp_summoner", "summonerId", "puuid",
+                        _column(processed_at).alias("timestamp_summoner_details"),
+                        F.explode_outer("match_ids").alias("match_id"))
+    return rows.withColumn("reason", F.when(F.col("puuid").isNull(), "unknown_player")
+                           .when(F.col("match_id").isNull(), "no_history")).drop("puuid")
+
+
+def mark_documents(details: DataFrame, documents: DataFrame, fetched_at) -> DataFrame:
+    """Hop 2: details -> the same rows with their document; ``reason`` set where it is missing.
+
+    A reason that ``details`` already carries stays."""
+    if "reason" not in details.columns:
+        details = details.withColumn("reason", F.lit(None).cast("string"))
     docs = documents.select("match_id", "match_details").withColumn("_doc", F.lit(True))
-    joined = lookup_join(details, docs, "match_id", "left")
-    reason = (F.when(F.col("puuid").isNull(), "unknown_player")
-              .when(F.col("match_id").isNull(), "no_history")
-              .when(F.col("_doc").isNull(), "no_document"))
-    marked = joined.withColumn("reason", reason)
-    messages = marked.where(F.col("reason").isNull()).select(
-        "timestamp_summoner", "summonerId", "timestamp_summoner_details", "match_id",
-        fetched.alias("timestamp_match"), "match_details")
-    retries = marked.where(F.col("reason").isNotNull()).select(*RETRY_COLUMNS)
-    return messages, retries
+    rows = lookup_join(details, docs, "match_id", "left")
+    return rows.withColumn("timestamp_match", _column(fetched_at)).withColumn(
+        "reason", F.coalesce("reason", F.when(F.col("_doc").isNull(), "no_document"))).drop("_doc")
+
+
+def enriched(marked: DataFrame) -> DataFrame:
+    """The rows every lookup knew."""
+    return marked.where(F.col("reason").isNull()).drop("reason").select(
+        *[c for c in ("timestamp_summoner", "summonerId", "timestamp_summoner_details", "match_id",
+                      "timestamp_match", "match_details") if c in marked.columns])
+
+
+def retries(marked: DataFrame) -> DataFrame:
+    """The rows some lookup missed, with the reason."""
+    return marked.where(F.col("reason").isNotNull()).select(*RETRY_COLUMNS)

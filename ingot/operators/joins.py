@@ -1,64 +1,19 @@
-"""Lookup joins with a size-checked broadcast.
+"""Lookup joins.
 
 The reference's remote lookups (player id -> key, key -> matches, match id ->
-document) become joins against reference tables.  Whether such a table is small
-enough to ship to every executor depends on the deployment, so the decision is
-made from the optimizer's size estimate, never assumed: under the limit the
-lookup side is broadcast (no shuffle of the large stream side), above it the
-join stays a shuffle join and AQE may still convert it at runtime from the
-measured shuffle size, or split skewed partitions of the stream side.
+document) become joins against reference tables.  No hint is given: the planner
+broadcasts a lookup side whose size it knows to be below
+``spark.sql.autoBroadcastJoinThreshold``, AQE may still do so from the measured
+shuffle size, and it splits skewed partitions of the large side.  Micro-batches
+of stateless streams are re-planned too
+(``spark.sql.adaptive.streaming.stateless.enabled``, on by default).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Hard ceiling for an explicit broadcast hint, whatever the session says.
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (``None`` when unavailable)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # noqa: BLE001 - Spark Connect / no JVM handle
-        return None
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    spark = df.sparkSession
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(raw).lower().rstrip("b"))
-    except ValueError:
-        limit = 10 * 1024 * 1024
-    return min(max(limit, 0), MAX_BROADCAST_BYTES)
-
-
-def lookup_join(stream: DataFrame, lookup: DataFrame, on, how: str = "inner",
-                salt: int = 1) -> DataFrame:
-    """Join a large (possibly streaming) side with a lookup table.
-
-    The lookup side is broadcast only when its estimated size is known and
-    below ``spark.sql.autoBroadcastJoinThreshold`` (capped at 256 MiB);
-    otherwise the plan is left to the planner and AQE.
-
-    ``salt > 1`` is for shuffle joins AQE cannot rebalance (streaming
-    micro-batches run without AQE) when one key may hold a large share of the
-    stream: each stream row gets a salt ``0..salt-1`` from a hash of the row
-    (deterministic, so a retried task salts identically) and the lookup rows
-    are replicated once per salt, so a hot key is spread over ``salt`` tasks
-    at the price of a ``salt``-times larger lookup shuffle.
-    """
-    size = estimated_bytes(lookup)
-    small = size is not None and 0 < size <= broadcast_limit(lookup) and not lookup.isStreaming
-    if small:
-        return stream.join(F.broadcast(lookup), on, how)
-    if salt <= 1:
-        return stream.join(lookup, on, how)
-    keys = [on] if isinstance(on, str) else list(on)
-    salted = stream.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salt)))
-    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return salted.join(replicated, keys + ["_salt"], how).drop("_salt")
+def lookup_join(stream: DataFrame, lookup: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a large (possibly streaming) side with a lookup table."""
+    return stream.join(lookup, on, how)

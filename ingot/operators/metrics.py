@@ -16,6 +16,8 @@ the range.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,14 +37,20 @@ def select_series(samples: DataFrame, metric: str, **labels: str) -> DataFrame:
     return samples.where(cond)
 
 
-def last_hours(samples: DataFrame, hours: int) -> DataFrame:
-    """Samples in the trailing ``hours`` before the newest sample.
+def newest(samples: DataFrame):
+    """The newest sample time (None without samples), as the driver's "now"."""
+    return samples.agg(F.max("ts")).first()[0]
+
+
+def last_hours(samples: DataFrame, hours: int, now) -> DataFrame:
+    """Samples in the trailing ``hours`` before ``now``.
 
-    The newest time is a scalar subquery: one aggregate, evaluated once and
-    used as a constant in the filter (no join, no driver round trip).
+    ``now`` is a value, so the bound is known when the scan is planned: it is
+    pushed to the files, and a table partitioned by day skips whole days.
     """
-    newest = samples.select(F.max("ts")).scalar()
-    return samples.where(F.col("ts") > newest - F.expr(f"INTERVAL {int(hours)} HOURS"))
+    if now is None:
+        return samples.limit(0)
+    return samples.where(F.col("ts") > F.lit(now - dt.timedelta(hours=hours)))
 
 
 def to_mebibytes(df: DataFrame, col: str = "value", out: str = "value_mb") -> DataFrame:
@@ -91,29 +99,32 @@ def delta(samples: DataFrame, series: list[str], range_s: int,
     at every sample; divided by ``per_s`` seconds' worth of range units when
     given (``/5`` on a 5-minute range is ``per_s=60``).  No extrapolation."""
     h = with_halo(samples, range_s, bucket_s)
-    d = F.col("value") - F.first("value").over(_frame(series, range_s))
+    # The frame's first sample; of several at one time, the smallest value.
+    first = F.min(F.struct("_t", "value")).over(_frame(series, range_s))["value"]
+    d = F.col("value") - first
     if per_s:
         d = d / (range_s / per_s)
     return h.withColumn("delta", d).where("_own").drop("_t", "_bucket", "_own")
 
 
-def rate(samples: DataFrame, series: list[str], range_s: int, tiebreak: str | None = None,
+def rate(samples: DataFrame, series: list[str], range_s: int, tiebreak: str = "value",
          bucket_s: int | None = None) -> DataFrame:
     """``rate(counter[range])``: per-second increase over the trailing range.
 
     Increments come from the previous sample of the series; a drop means the
     counter reset and the new value is the increment.  The first sample in a
     frame contributes no increment (its predecessor lies before the frame).
-    Every predecessor that matters lies in the frame, hence in the bucket.
+    Every predecessor that matters lies in the frame, hence in the bucket.  Samples
+    at one time follow each other by ``tiebreak``.
     """
     h = with_halo(samples, range_s, bucket_s)
-    order = ["_t"] + ([tiebreak] if tiebreak else [])
-    prev = F.lag("value").over(Window.partitionBy(*series, "_bucket").orderBy(*order))
+    prev = F.lag("value").over(Window.partitionBy(*series, "_bucket").orderBy("_t", tiebreak))
     inc = (F.when(prev.isNull(), F.lit(0.0))
            .when(F.col("value") < prev, F.col("value"))
            .otherwise(F.col("value") - prev))
     w = _frame(series, range_s)
-    r = (F.sum("_inc").over(w) - F.first("_inc").over(w)) / range_s
+    first = F.min(F.struct("_t", tiebreak, F.col("_inc"))).over(w)["_inc"]
+    r = (F.sum("_inc").over(w) - first) / range_s
     return (h.withColumn("_inc", inc).withColumn("rate", r)
             .where("_own").drop("_t", "_bucket", "_own", "_inc"))
 
@@ -129,26 +140,45 @@ def delta_on_grid(samples: DataFrame, series: list[str], range_s: int, step_s: i
     evaluates it: at each grid time ``t``, last minus first sample value in
     ``(t - range, t]``, where at least two samples fall in that window.
 
-    Each sample is copied onto the ``range / step`` grid times whose window
-    contains it (a bounded fan-out, 5 for a 5-minute range on a 1-minute
-    grid).  ``max_by`` / ``min_by`` per (series, t) are ordinary aggregates
-    combined map-side, so a hot series spreads over its grid times.
+    Samples between two grid times lie in the same windows, so each (series,
+    step) is first reduced, map-side, to one cell: its first and last sample and
+    their number.  Cells are dealt out by (series, bucket of ``BUCKET_RANGES``
+    ranges), with a copy into the next bucket where their windows reach it (about
+    4 %), and only there, after the exchange, fan out to the ``range / step`` grid
+    times they lie under.  Samples at one time are ordered by value.
     Output: ``series..., t, delta``.
     """
     if range_s % step_s:
         raise ValueError("the range must be a whole number of steps")
-    step = F.expr(f"INTERVAL {int(step_s)} SECONDS")
-    ts = F.col("ts").cast("timestamp_ntz")
-    start = F.from_unixtime(F.ceil(F.unix_micros(F.col("ts").cast("timestamp")) / (step_s * MICROS))
-                            * step_s).cast("timestamp_ntz")
-    points = samples.select(*series, ts.alias("ts"), "value",
-                            F.explode(F.sequence(F.lit(0), F.lit(range_s // step_s - 1))).alias("k"),
-                            start.alias("_first"))
-    points = points.withColumn("t", F.col("_first") + F.col("k") * step)
-    d = (points.groupBy(*series, "t")
-         .agg(F.count(F.lit(1)).alias("_n"),
-              (F.max_by("value", "ts") - F.min_by("value", "ts")).alias("delta"))
-         .where(F.col("_n") >= 2).drop("_n"))
+    step, reach, bucket = step_s * MICROS, range_s * MICROS, BUCKET_RANGES * range_s * MICROS
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    sample = F.struct(at.alias("at"), F.col("value").alias("value"))
+    cells = (samples.select(*series, (F.ceil(at / step) * step).alias("_cell"),
+                            sample.alias("_s"))
+             .groupBy(*series, "_cell")
+             .agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"),
+                  F.count(F.lit(1)).alias("_n")))
+    own = F.floor(F.col("_cell") / bucket)
+    spill = F.col("_cell") + (reach - step) >= (own + 1) * bucket
+    cells = cells.withColumn("_bucket", F.explode(
+        F.when(spill, F.array(own, own + 1)).otherwise(F.array(own))))
+    points = (cells.repartition(*series, "_bucket")
+              .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(range_s // step_s - 1))))
+              .withColumn("_t", F.col("_cell") + F.col("_k").cast("long") * step)
+              .where(F.floor(F.col("_t") / bucket) == F.col("_bucket")))
+    d = (points.groupBy(*series, "_bucket", "_t")
+         .agg(F.sum("_n").alias("_n"),
+              (F.max("_last")["value"] - F.min("_first")["value"]).alias("delta"))
+         .where(F.col("_n") >= 2)
+         .select(*series, F.timestamp_micros("_t").cast("timestamp_ntz").alias("t"), "delta"))
     if per_s:
         d = d.withColumn("delta", F.col("delta") / (range_s / per_s))
     return d
+
+
+def side_by_side(df: DataFrame, metric: str, value: str, by: list[str],
+                 names: dict[str, str]) -> DataFrame:
+    """One row per ``by`` with a column per metric (panels that draw two metrics): the
+    metric's summed ``value``, null where it has none.  One aggregate, no join."""
+    return df.groupBy(*by).agg(*[F.sum(F.when(F.col(metric) == m, F.col(value))).alias(out)
+                                 for m, out in names.items()])

@@ -128,3 +128,19 @@ select player_key, count(*) as appearances, sum(kills)::bigint as total_kills,
   sum(deaths)::bigint as total_deaths, sum(assists)::bigint as total_assists
 from ({PARTICIPANT_ROWS}) p group by player_key
 """
+
+# The damaged document fixture: every tenth cut short, else every eleventh null, else
+# every thirteenth empty; every third landed twice.  Bad rows are all kept.
+SILVER_QUARANTINE = """
+with landed as (
+  select o_orderkey, o_orderdate,
+    case when o_orderkey % 10 = 0 then 'cut' when o_orderkey % 11 = 0 then 'null'
+         when o_orderkey % 13 = 0 then 'empty' end as damage,
+    unnest(range(case when o_orderkey % 3 = 0 then 2 else 1 end)) as copy
+  from orders)
+select cast(null as bigint) as match_id,
+  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') as timestamp_summoner, damage
+from landed where damage is not null
+union all
+select distinct o_orderkey, null, null from landed where damage is null
+"""

@@ -70,4 +70,10 @@ from customer where c_custkey not in (select o_custkey from orders)
 union all
 select {SNAPSHOT_AT}, s_name, cast(null as varchar), 'unknown_player'
 from supplier where s_name not in (select c_name from customer)
+union all
+select {SNAPSHOT_AT}, 'Part#' || cast(p_partkey as varchar), cast(null as varchar), 'no_history'
+from part
+union all
+select {SNAPSHOT_AT}, n_name, 'GONE_' || cast(n_nationkey as varchar), 'no_document'
+from nation
 """

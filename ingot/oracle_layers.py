@@ -64,3 +64,24 @@ BRONZE_RETAINED = f"""
 select {BRONZE_COLS}, partition_date from ({BY_DAY}) b
 where partition_date >= DATE '2024-01-20'
 """
+
+# Every message of the odd fixture once per copy: bad ones with their text, else as bronze.
+QUARANTINE_STREAM = f"""
+with sent as (
+  select s.*, {MESSAGE_TEXT} as msg,
+    case when event_id % 10 = 0 then 'cut' when event_id % 11 = 0 then 'null'
+         when event_id % 13 = 0 then 'blank' when event_id % 17 = 0 then 'other' end as odd,
+    unnest(range(case when event_id % 3 = 0 then 2 else 1 end)) as copy
+  from ({STAGES}) s)
+select 'bronze' as landed, cast(null as bigint) as key,
+  case when odd is null then timestamp_summoner end as timestamp_summoner,
+  case when odd is null then timestamp_summoner_details end as timestamp_summoner_details,
+  case when odd is null then timestamp_match end as timestamp_match,
+  case when odd is null then match_details end as match_details,
+  cast(null as varchar) as raw_message
+from sent where odd is null or odd = 'other'
+union all
+select 'quarantine', event_id, null, null, null, null,
+  case odd when 'cut' then substring(msg, 1, length(msg) - 7) when 'blank' then '  ' end
+from sent where odd in ('cut', 'null', 'blank')
+"""

@@ -59,6 +59,7 @@ with h as (
   select date_trunc('hour', t_details), 'summoner_details->match',
     epoch_us(t_match) - epoch_us(t_details) from ({STAGE_ROWS}) s where t_match is not null)
 select hour, hop, count(*) as n, round(avg(us / 1e6), 3) as avg_seconds,
+  quantile_disc(us / 1e6, 0.5) as p50_seconds, quantile_disc(us / 1e6, 0.95) as p95_seconds,
   max(us / 1e6) as max_seconds
 from h group by hour, hop
 """
@@ -99,11 +100,6 @@ METRIC_DELTA = f"""
 select ts, topic, "partition", round(d, 6) as delta_per_min from ({DELTAS}) x
 """
 
-METRIC_MESSAGES_PER_MINUTE = f"""
-select topic, date_trunc('minute', ts) as minute, round(sum(d), 6) as messages_per_min
-from ({DELTAS}) x group by topic, date_trunc('minute', ts)
-"""
-
 METRIC_RATE = f"""
 with l as (
   select *, lag(value) over (partition by topic, "partition" order by ts) as pv
@@ -130,3 +126,30 @@ select topic, t, round(sum(d), 6) as messages_per_min from (
   from ({GRID_POINTS}) g group by topic, "partition", t having count(*) >= 2) x
 group by topic, t
 """
+
+METRIC_HEAP = """
+select ts, 'node-' || cast(user_id % 2 as varchar) as instance,
+  sum(value * 1000000) / 1048576 as used_mb,
+  sum(value * 1000000 + 500000000) / 1048576 as max_mb
+from events where event_type <> 'error' group by all
+"""
+
+BYTE_SAMPLES = """
+select 'broker-' || cast(user_id % 2 as varchar) as instance, ts, event_id * 10.0 as i,
+  event_id * 7.0 as o
+from events
+"""
+
+BYTE_POINTS = f"""
+select instance, ts, i, o,
+  case when ts = date_trunc('minute', ts) then ts
+       else date_trunc('minute', ts) + interval 1 minute end + to_minutes(k) as t
+from (select *, unnest(range(60)) as k from ({BYTE_SAMPLES}) s) e
+"""
+
+METRIC_BYTES_GRID = f"""
+select instance, t,
+  round((arg_max(i, ts) - arg_min(i, ts)) / 60.0, 6) as bytes_in_per_min,
+  round((arg_max(o, ts) - arg_min(o, ts)) / 60.0, 6) as bytes_out_per_min
+from ({BYTE_POINTS}) g group by instance, t having count(*) >= 2
+"""

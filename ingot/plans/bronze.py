@@ -17,7 +17,7 @@ from ..operators.bronze import bronze_ingest, parse_envelope, quarantined
 from ..registry import query
 from ..session import fresh_path, pin_session
 from ..sources import fixtures as X
-from ..sources.sinks import as_messages, overwrite_partitions
+from ..sources.sinks import as_messages, overwrite_partitions, purge_before
 from ..sources.tables import read_layer, read_table
 from ..streaming import ingest as S
 
@@ -57,6 +57,25 @@ def q_bronze_ingest_stream(spark: SparkSession, sf_dir: str):
     return spark.read.parquet(sink).select(*BRONZE_COLUMNS)
 
 
+@query("quarantine_stream", O.QUARANTINE_STREAM)
+def q_quarantine_stream(spark: SparkSession, sf_dir: str):
+    """The ingest job on messages of which some are cut short, null, blank or without a
+    known field, and some sent twice: every message lands once, in bronze or in
+    the quarantine."""
+    pin_session(spark)
+    topic, sink, bad = (fresh_path(spark, n) for n in ("topic-odd", "bronze-odd", "bad-odd"))
+    S.land_messages(X.odd_messages(spark, sf_dir), topic, files=4)
+    S.ingest_with_quarantine(S.read_messages(spark, "files", topic, max_files=2), sink, bad,
+                             fresh_path(spark, "ckpt-odd"), X.INGEST_DATE)
+    nothing = F.lit(None).cast("string")
+    return spark.read.parquet(sink).select(
+        F.lit("bronze").alias("landed"), F.lit(None).cast("long").alias("key"),
+        *BRONZE_COLUMNS[:-1], nothing.alias("raw_message")).unionByName(
+        spark.read.parquet(bad).select(
+            F.lit("quarantine").alias("landed"), "key",
+            *[nothing.alias(c) for c in BRONZE_COLUMNS[:-1]], "raw_message"))
+
+
 @query("stream_dedupe", O.BRONZE_KEYED)
 def q_stream_dedupe(spark: SparkSession, sf_dir: str):
     """Every third message is sent twice in the first run; after a restart
@@ -68,7 +87,7 @@ def q_stream_dedupe(spark: SparkSession, sf_dir: str):
 
     def run():
         env = parse_envelope(S.read_messages(spark, "files", topic), keep=("key",))
-        rows = (env.where(F.col("_corrupt_record").isNull())
+        rows = (env.where(~F.col("_bad"))
                 .withColumn("event_time", S.event_time())
                 .withColumn("partition_date", F.lit(X.as_date(X.INGEST_DATE))))
         out = S.dedupe_stream(rows, "key", DEDUPE_DELAY).select("key", *BRONZE_COLUMNS)
@@ -116,6 +135,17 @@ def q_partition_overwrite(spark: SparkSession, sf_dir: str):
     return spark.read.parquet(path).select(*BRONZE_COLUMNS)
 
 
+@query("retention_purge", O.BRONZE_RETAINED)
+def q_retention_purge(spark: SparkSession, sf_dir: str):
+    """R3 as the retention job runs it: dates before the cutoff are dropped from the
+    table itself, by directory, without reading or rewriting a row."""
+    pin_session(spark)
+    path = fresh_path(spark, "bronze-purged")
+    overwrite_partitions(bronze_ingest(X.envelope_messages(spark, sf_dir), X.event_day()), path)
+    purge_before(spark, path, RETENTION_CUTOFF)
+    return spark.read.parquet(path).select(*BRONZE_COLUMNS)
+
+
 @query("retention_keep", O.BRONZE_RETAINED)
 def q_retention_keep(spark: SparkSession, sf_dir: str):
     """Keep the dates on or after the cutoff, written to a new table root

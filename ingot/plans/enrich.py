@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 
 from .. import oracle_enrich as O
 from ..functions.columns import parse_json, to_message
-from ..functions.schemas import DETAIL_SCHEMA, DOCUMENT_SUMMARY_SCHEMA, SEED_SCHEMA
+from ..functions.schemas import BRONZE_COLUMNS, DOCUMENT_SUMMARY_SCHEMA
 from ..operators import enrich as E
 from ..operators.bronze import bronze_ingest
 from ..registry import query
 from ..session import fresh_path, pin_session
 from ..sources import fixtures as X
 from ..sources.sinks import publish_bucketed
+from ..sources.tables import read_snapshots
 from ..streaming import ingest as S
+from ..streaming.enrich import as_topic, enrich_details, enrich_matches
 
 MATCH_MESSAGE_COLUMNS = ["timestamp_summoner", "timestamp_summoner_details",
                          "timestamp_match", "match_details"]
@@ -38,6 +40,15 @@ def snapshot_seeds(spark, sf_dir) -> DataFrame:
                           keep=("region_key", "page"))
 
 
+def landed_seeds(spark, sf_dir) -> DataFrame:
+    """The same seeds from the pages landed as JSON objects, through the snapshot reader."""
+    pages, path = X.snapshot_pages(spark, sf_dir), fresh_path(spark, "snapshots")
+    pages.write.json(path)
+    read = read_snapshots(spark, path, keep=("region_key", "page"))
+    return E.seed_entries(read, X.SNAPSHOT_AT, keep=("region_key", "page")).withColumns(
+        {c: F.col(c).cast(pages.schema[c].dataType) for c in ("region_key", "page")})
+
+
 def match_messages(spark, sf_dir, seeds: DataFrame) -> DataFrame:
     return E.enrich(seeds, X.identity_table(spark, sf_dir), X.history_table(spark, sf_dir),
                     X.document_table(spark, sf_dir), X.DETAILS_AT, X.MATCH_AT)
@@ -45,9 +56,9 @@ def match_messages(spark, sf_dir, seeds: DataFrame) -> DataFrame:
 
 @query("seed_entries", O.SEED_ENTRIES)
 def q_seed_entries(spark: SparkSession, sf_dir: str):
-    """Leaderboard pages -> one seed per entry."""
+    """S8 + G4: leaderboard pages landed as JSON -> one seed per entry."""
     pin_session(spark)
-    return snapshot_seeds(spark, sf_dir)
+    return landed_seeds(spark, sf_dir)
 
 
 @query("enrich_identity", O.ENRICH_IDENTITY)
@@ -95,59 +106,63 @@ def q_enrich_chain(spark: SparkSession, sf_dir: str):
 @query("enrich_retries", O.ENRICH_RETRIES)
 def q_enrich_retries(spark: SparkSession, sf_dir: str):
     """Q14/Q15: what the chain cannot enrich, with the reason, instead of
-    dropping it.  The seeds are the leaderboard plus one seed per supplier
-    account, which no player lookup knows."""
+    dropping it.  The seeds are the leaderboard plus seeds each lookup misses."""
     pin_session(spark)
     seeds = snapshot_seeds(spark, sf_dir).drop("region_key", "page").unionByName(
-        X.unknown_seeds(spark, sf_dir))
-    _, retries = E.enrich_with_retries(seeds, X.identity_table(spark, sf_dir),
-                                       X.history_table(spark, sf_dir),
+        X.failing_seeds(spark, sf_dir))
+    _, retries = E.enrich_with_retries(seeds, X.wide_identity_table(spark, sf_dir),
+                                       X.wide_history_table(spark, sf_dir),
                                        X.document_table(spark, sf_dir), X.DETAILS_AT, X.MATCH_AT)
     return retries
 
 
-@query("enrich_stream", O.ENRICH_CHAIN)
-def q_enrich_stream(spark: SparkSession, sf_dir: str):
-    """T5 + L1 as three streaming queries linked by topics, one per hop:
+def run_hops(spark: SparkSession, seeds: DataFrame, identity: DataFrame, history: DataFrame,
+             documents: DataFrame) -> dict[str, str]:
+    """Both hops and the bronze ingest as the jobs run them; the paths they wrote.
 
-    seeds topic --hop 1 (identity, latest-n history, explode)--> details topic
-    details topic --hop 2 (documents)--> matchs topic --bronze ingest--> bronze
+    seeds topic --hop 1--> details topic --hop 2--> matchs topic --ingest--> bronze
 
-    Each hop has its own checkpoint, so it restarts without loss or repeat on
-    its own.  Lookups are materialised once, bucketed on their keys: each
-    micro-batch shuffles only its own rows and never re-derives the lists.
+    Each has its own checkpoint, so it restarts without loss or repeat on its
+    own, and writes what it can't use to its retry table or quarantine.  Lookups are
+    materialised once, bucketed on their keys: each micro-batch shuffles only its
+    own rows and never re-derives the lists.
     """
+    at = {n: fresh_path(spark, f"chain-{n}") for n in (
+        "seeds", "details", "matchs", "bronze", "retry1", "retry2", "bad1", "bad2", "bad3", "ck1",
+        "ck2", "ck3")}
+    S.land_messages(as_topic(seeds.select("timestamp_summoner", "summonerId"), "summonerId"),
+                    at["seeds"], files=4)
+    players = publish_bucketed(identity, "summonerId", "identity")
+    lists = publish_bucketed(E.history_lists(history, E.DEFAULT_N), "puuid", "history")
+    docs = publish_bucketed(documents, "match_id", "documents")
+
+    def topic(name):
+        return S.read_messages(spark, "files", at[name], max_files=4)
+    enrich_details(topic("seeds"), players, lists, X.DETAILS_AT, at["details"], at["retry1"],
+                   at["bad1"], at["ck1"], X.INGEST_DATE)
+    enrich_matches(topic("details"), docs, X.MATCH_AT, at["matchs"], at["retry2"], at["bad2"],
+                   at["ck2"], X.INGEST_DATE)
+    S.ingest_with_quarantine(topic("matchs"), at["bronze"], at["bad3"], at["ck3"], X.INGEST_DATE)
+    return at
+
+
+@query("enrich_stream", O.ENRICH_CHAIN)
+def q_enrich_stream(spark: SparkSession, sf_dir: str):
+    """T5 + L1 as three streaming queries linked by topics, one per hop."""
     pin_session(spark)
-    seeds_topic, details_topic, matchs_topic, sink = (
-        fresh_path(spark, n) for n in ("topic-seeds", "topic-details", "topic-matchs",
-                                       "bronze-enriched"))
     seeds = snapshot_seeds(spark, sf_dir).drop("region_key", "page")
-    S.land_messages(seeds.select(F.xxhash64("summonerId").alias("key"),
-                                 to_message("timestamp_summoner", "summonerId")
-                                 .cast("binary").alias("value")), seeds_topic, files=4)
-    identity = publish_bucketed(X.identity_table(spark, sf_dir), "summonerId", "identity")
-    lists = publish_bucketed(E.history_lists(X.history_table(spark, sf_dir), E.DEFAULT_N),
-                             "puuid", "history")
-    documents = publish_bucketed(X.document_table(spark, sf_dir), "match_id", "documents")
-
-    def consume(topic, schema):
-        msgs = S.read_messages(spark, "files", topic, max_files=2)
-        return msgs.select(parse_json(F.col("value").cast("string"), schema).alias("m")) \
-                   .select("m.*")
-
-    def publish(df, topic, name):
-        out = df.select(F.xxhash64("match_id").alias("key"),
-                        to_message(*df.columns).cast("binary").alias("value"))
-        S.publish_stream(out, "parquet", topic, fresh_path(spark, f"ckpt-{name}"))
-
-    # hop 1: seed -> one detail message per recent match
-    details = E.expand_history(E.resolve_identity(consume(seeds_topic, SEED_SCHEMA), identity),
-                               lists, X.DETAILS_AT)
-    publish(details, details_topic, "hop1")
-    # hop 2: detail -> match message carrying the document
-    matches = E.attach_documents(consume(details_topic, DETAIL_SCHEMA), documents, X.MATCH_AT)
-    publish(matches, matchs_topic, "hop2")
-    # bronze ingest (L1)
-    S.bronze_stream(spark, "files", matchs_topic, sink, fresh_path(spark, "ckpt-bronze"),
-                    partition_date=X.INGEST_DATE, max_files=2)
-    return summarise_documents(spark.read.parquet(sink))
+    at = run_hops(spark, seeds, X.identity_table(spark, sf_dir), X.history_table(spark, sf_dir),
+                  X.document_table(spark, sf_dir))
+    return summarise_documents(spark.read.parquet(at["bronze"]).select(*BRONZE_COLUMNS))
+
+
+@query("enrich_stream_retries", O.ENRICH_RETRIES)
+def q_enrich_stream_retries(spark: SparkSession, sf_dir: str):
+    """The retry tables of both hops, for seeds of which each lookup misses some."""
+    pin_session(spark)
+    seeds = snapshot_seeds(spark, sf_dir).drop("region_key", "page").unionByName(
+        X.failing_seeds(spark, sf_dir))
+    at = run_hops(spark, seeds, X.wide_identity_table(spark, sf_dir),
+                  X.wide_history_table(spark, sf_dir), X.document_table(spark, sf_dir))
+    return spark.read.parquet(at["retry1"]).unionByName(
+        spark.read.parquet(at["retry2"])).select(*E.RETRY_COLUMNS)

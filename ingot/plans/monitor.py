@@ -75,7 +75,8 @@ def q_metric_select(spark: SparkSession, sf_dir: str):
 @query("metric_recent", O.METRIC_RECENT)
 def q_metric_recent(spark: SparkSession, sf_dir: str):
     """The trailing six hours before the newest sample."""
-    s = M.last_hours(_samples(spark, sf_dir), RECENT_HOURS)
+    samples = _samples(spark, sf_dir)
+    s = M.last_hours(samples, RECENT_HOURS, M.newest(samples))
     return s.select("ts", *SERIES, "value")
 
 
@@ -101,15 +102,6 @@ def q_metric_delta(spark: SparkSession, sf_dir: str):
     return d.select("ts", *SERIES, F.round("delta", 6).alias("delta_per_min"))
 
 
-@query("metric_messages_per_minute", O.METRIC_MESSAGES_PER_MINUTE)
-def q_metric_messages_per_minute(spark: SparkSession, sf_dir: str):
-    """A6 over W2: ``sum(delta(...)/n) by (topic)`` at each minute."""
-    d = M.delta(_samples(spark, sf_dir), SERIES, RANGE_S, per_s=60)
-    d = d.withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
-    s = M.sum_by(d, "delta", ["topic", "minute"], "messages_per_min")
-    return s.withColumn("messages_per_min", F.round("messages_per_min", 6))
-
-
 @query("metric_messages_per_minute_grid", O.METRIC_MESSAGES_PER_MINUTE_GRID)
 def q_metric_messages_per_minute_grid(spark: SparkSession, sf_dir: str):
     """A6 over W2 as a dashboard evaluates it: ``sum(delta(x[range]) / n) by
@@ -119,6 +111,30 @@ def q_metric_messages_per_minute_grid(spark: SparkSession, sf_dir: str):
     return s.withColumn("messages_per_min", F.round("messages_per_min", 6))
 
 
+@query("metric_heap", O.METRIC_HEAP)
+def q_metric_heap(spark: SparkSession, sf_dir: str):
+    """Heap panel: used against maximum, two metrics of one area and job side by side."""
+    pin_session(spark)
+    s = X.node_samples(spark, sf_dir)
+    both = s.where(F.col("metric").isin(X.HEAP_USED, X.HEAP_MAX)
+                   & (M.label("area") == "heap") & (M.label("job") == X.NODE_JOB))
+    both = M.to_mebibytes(both).withColumn("instance", M.label("instance"))
+    return M.side_by_side(both, "metric", "value_mb", ["ts", "instance"],
+                          {X.HEAP_USED: "used_mb", X.HEAP_MAX: "max_mb"})
+
+
+@query("metric_bytes_grid", O.METRIC_BYTES_GRID)
+def q_metric_bytes_grid(spark: SparkSession, sf_dir: str):
+    """Traffic panel: bytes in and out per minute of each broker, two counters on the grid."""
+    pin_session(spark)
+    s = X.node_samples(spark, sf_dir).where(F.col("metric").isin(X.BYTES_IN, X.BYTES_OUT))
+    s = s.withColumn("instance", M.label("instance"))
+    d = M.delta_on_grid(s, ["metric", "instance"], RANGE_S, step_s=60, per_s=60)
+    wide = M.side_by_side(d, "metric", "delta", ["instance", "t"], {
+        X.BYTES_IN: "bytes_in_per_min", X.BYTES_OUT: "bytes_out_per_min"})
+    return wide.withColumns({c: F.round(c, 6) for c in ("bytes_in_per_min", "bytes_out_per_min")})
+
+
 @query("metric_rate", O.METRIC_RATE)
 def q_metric_rate(spark: SparkSession, sf_dir: str):
     """Reset-aware per-second rate over the trailing hour."""

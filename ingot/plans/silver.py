@@ -8,76 +8,75 @@ quirk Q5).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import oracle
+from ..functions.schemas import STAGE_COLUMNS
 from ..operators import documents as D
 from ..operators import rollups as R
 from ..registry import query
-from ..session import fresh_path, pin_session, shared_root
-from ..sources.fixtures import INGEST_DATE, landed_bronze_matches, landed_bronze_matches_root
+from ..session import fresh_path, path_exists, pin_session, remove_path
+from ..sources.fixtures import (
+    INGEST_DATE,
+    damaged_bronze,
+    landed_bronze_matches,
+    landed_bronze_matches_root,
+)
 from ..sources.sinks import drop_partition, overwrite_partitions, replace_date
 from ..sources.tables import as_date, read_layer, read_layer_if_present
 
 
 def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, str],
                          partition_date, quarantine_path: str | None = None,
-                         skip_seen: bool = False) -> None:
+                         skip_seen: bool = False, look_back_days: int = 30) -> None:
     """The daily bronze -> silver job for one date.
 
-    Each document is parsed once (whole schema); documents that do not parse
-    travel through the same dedupe under synthetic keys and come out as the
-    quarantine.  The deduplicated, parsed documents feed four outputs.  They
-    are checkpointed
-    (a reliable copy in the shared ``spark.checkpoint.dir``), so the bronze
-    scan, key parse and the one shuffle run once, a lost executor costs no
-    recomputation, and the plan keeps its hash partitioning on match_id, so
-    the per-branch distincts add no exchange.
-
-    ``skip_seen`` drops matches that silver ``games`` already holds under an
-    earlier date, so a match re-landed days later is not counted twice.
+    Each document is parsed once (whole schema), shuffled once and deduplicated,
+    and the survivors are written once as Parquet below the shared folder.  Each
+    of the four branches and the quarantine reads its own columns of that
+    table (a lost executor costs no recomputation above it), adds no exchange,
+    and the table is removed at the end.
+
+    Documents that do not parse are kept, each one, with their stage times, in
+    the quarantine (by default next to ``games``).  ``skip_seen`` drops matches that
+    silver ``games`` already holds under one of the ``look_back_days`` dates before,
+    so a match re-landed days later is not counted twice; the look-back bounds
+    what a run reads of the history.
     """
     pin_session(spark)
-    shared_root(spark)   # makes sure a checkpoint directory is registered
-    day = F.lit(as_date(partition_date))
-    keyed = D.with_match_key(read_layer(spark, bronze_path, partition_date))
-    if quarantine_path:
-        # quarantine rides along under synthetic keys: still one parse, one shuffle
-        keyed = D.key_unparsed(keyed)
-        payload = F.struct("doc", "_raw")
-    else:
-        keyed = D.split_by_key(keyed)[0]
-        payload = F.struct("doc")
-    # One date only: dedupe on match_id alone and stamp the date back, so the
-    # documents stay hash-partitioned on match_id and the optional anti join
-    # below reuses that partitioning instead of reshuffling them.
-    grouped = D.dedupe_by_key(keyed.withColumn("_payload", payload), "_payload", by=())
-    grouped = grouped.select("*", "_payload.*").drop("_payload").withColumn("partition_date", day)
-    if skip_seen and "games" in out and _exists(spark, out["games"]):
-        earlier = read_layer(spark, out["games"]).where(F.col("partition_date") < day)
-        grouped = D.drop_seen(grouped, earlier)
-    grouped = grouped.checkpoint(eager=True)
-    if quarantine_path:
-        bad = grouped.where(F.col("_raw").isNotNull())
-        replace_date(bad.select(*[c for c in ("timestamp_summoner", "timestamp_summoner_details",
-                                              "timestamp_match") if c in bad.columns],
-                                F.col("_raw").alias("match_details"), "partition_date"),
-                     quarantine_path, as_date(partition_date))
-        docs = grouped.where(F.col("_raw").isNull()).drop("_raw")
-    else:
-        docs = grouped
-    builders = {"games": D.games, "participants": D.participants,
-                "teams_stats": D.team_stats, "teams_bans": D.team_bans}
-    for name, build in builders.items():
-        if name in out:
-            replace_date(build(docs), out[name], as_date(partition_date))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    date = as_date(partition_date)
+    day = F.lit(date)
+    quarantine_path = quarantine_path or (
+        f"{next(iter(out.values())).rstrip('/')}_quarantine")
+    keyed = D.key_unparsed(D.with_match_key(read_layer(spark, bronze_path, partition_date)))
+    payload = F.struct("doc", "_raw", "_bad")
+    # One date only: no need to group by it.
+    grouped = D.dedupe_by_key(keyed.withColumn("_payload", payload), "_payload", by=("_bad_id",))
+    grouped = grouped.select("*", "_payload.*").drop("_payload", "_bad_id")
+    if skip_seen and "games" in out and path_exists(spark, out["games"]):
+        earlier = read_layer_if_present(spark, out["games"])
+        if earlier is not None:
+            since = F.lit(date - dt.timedelta(days=look_back_days))
+            grouped = D.drop_seen(grouped, earlier.where(
+                (F.col("partition_date") < day) & (F.col("partition_date") >= since)))
+    staged = fresh_path(spark, "silver-input")
+    grouped.write.parquet(staged)
+    try:
+        rows = spark.read.parquet(staged).withColumn("partition_date", day)
+        times = [c for c in STAGE_COLUMNS.values() if c in rows.columns]
+        replace_date(rows.where("_bad").select(*times, F.col("_raw").alias("match_details"),
+                                               "partition_date"), quarantine_path, date)
+        docs = rows.where("NOT _bad")
+        builders = {"games": D.games, "participants": D.participants,
+                    "teams_stats": D.team_stats, "teams_bans": D.team_bans}
+        for name, build in builders.items():
+            if name in out:
+                replace_date(build(docs), out[name], date)
+    finally:
+        remove_path(spark, staged)
 
 
 def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[str, str],
@@ -85,8 +84,8 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
     """The daily silver -> gold job for one date.
 
     Each gold table's date is replaced by the roll-up of that date's silver
-    rows; when silver holds none (or the silver table does not exist yet), the
-    gold date is emptied rather than left with stale rows.
+    rows; when silver holds none, the gold date is emptied rather than left with
+    stale rows.  A silver root that does not exist is an error.
     """
     pin_session(spark)
     day = as_date(partition_date)
@@ -152,7 +151,7 @@ def q_dedupe_rows(spark, sf_dir):
     pin_session(spark)
     bronze = landed_bronze_matches(spark, sf_dir, True)
     ok, _ = D.split_by_key(D.with_match_key(bronze, D.GAME_INFO))
-    return D.games(ok)
+    return D.distinct_games(ok)
 
 
 @query("dedupe_by_key", oracle.PARTICIPANTS)
@@ -183,6 +182,26 @@ def q_player_totals(spark, sf_dir):
                                               with_metadata=True)))
 
 
+@query("silver_quarantine", oracle.SILVER_QUARANTINE)
+def q_silver_quarantine(spark, sf_dir):
+    """The daily silver job on documents of which every tenth is cut short, every
+    eleventh null, every thirteenth empty, and every third landed twice: each
+    bad row in the quarantine with its stage time, each good match once in
+    ``games``."""
+    pin_session(spark)
+    bronze, games = fresh_path(spark, "bronze-bad"), fresh_path(spark, "silver-good")
+    overwrite_partitions(damaged_bronze(spark, sf_dir), bronze)
+    run_bronze_to_silver(spark, bronze, {"games": games}, INGEST_DATE)
+    bad = read_layer(spark, f"{games}_quarantine", INGEST_DATE)
+    good = read_layer(spark, games, INGEST_DATE)
+    text = F.col("match_details")
+    damage = F.when(text.isNull(), "null").when(text == "", "empty").otherwise("cut")
+    nothing = F.lit(None).cast("string")
+    return bad.select(F.lit(None).cast("long").alias("match_id"), "timestamp_summoner",
+                      damage.alias("damage")).unionByName(
+        good.select("match_id", nothing.alias("timestamp_summoner"), nothing.alias("damage")))
+
+
 @query("daily_bronze_to_gold", oracle.PLAYER_PERFORMANCE)
 def q_daily_bronze_to_gold(spark, sf_dir):
     """L2-L8 as the daily jobs run them: bronze (every third document landed

@@ -8,6 +8,7 @@ create one of our own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,8 +36,8 @@ CORE_CONF = {
 #    a hundred thousand documents, which parses in seconds and fits in memory.
 #  - The skew join splits a partition larger than 5x the median and over
 #    256 MB (a hot match or player in a batch join).
-#  - The broadcast threshold stays at Spark's default.  ``lookup_join`` checks
-#    sizes against it; broadcasting a growing lookup table is never forced.
+#  - The broadcast threshold stays at Spark's default; no join carries a hint, so
+#    broadcasting a growing lookup table is never forced.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -72,19 +73,28 @@ def pin_session(spark: SparkSession) -> None:
 _OWN_ROOTS: dict[str, str] = {}
 
 
+def _configured(spark: SparkSession) -> str | None:
+    """The folder named by the setting, or by ``setCheckpointDir`` on the context."""
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return spark.conf.get("spark.checkpoint.dir", None) or (
+        jdir.get() if jdir.isDefined() else None)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session.  Only when it is unset (tests, a laptop) is a folder
-    of our own created; it is remembered per application (the setting itself
-    cannot be changed at runtime) and also registered as the context's
-    checkpoint directory, so ``DataFrame.checkpoint()`` writes there too.
+    Read from the session.  Only when it is unset on a local master (tests, a
+    laptop) is a folder of our own created; it is remembered per application
+    (the setting itself cannot be changed at runtime) and also registered as
+    the context's checkpoint directory, so ``DataFrame.checkpoint()`` writes
+    there too.  On a cluster the driver's temporary folder is not the
+    executors', so an unset folder is an error there.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or _OWN_ROOTS.get(sc.applicationId)
     jdir = sc._jsc.sc().getCheckpointDir()
-    if not root and jdir.isDefined():
-        root = jdir.get()
+    root = _configured(spark) or _OWN_ROOTS.get(sc.applicationId)
+    if not root and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="ingot-shared-")
         _OWN_ROOTS[sc.applicationId] = root
@@ -98,6 +108,24 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["build_session", "pin_session", "shared_root", "fresh_path", "CORE_CONF",
-           "CLUSTER_CONF"]
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a location, through Spark's own file system layer."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a location a job wrote for itself (or one date of a table), if present."""
+    fs, p = hadoop_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+__all__ = ["build_session", "pin_session", "shared_root", "fresh_path", "hadoop_path",
+           "path_exists", "remove_path", "CORE_CONF", "CLUSTER_CONF"]
 

@@ -7,9 +7,8 @@ fixed below and mirrored, independently, by the DuckDB oracle).  Nothing is
 made up: every row comes from a row of the given tables, so the work grows
 with them.
 
-Match documents are bounded entities (one order's lines; TPC-H bounds lines per
-order), so building one per order with a grouped ``collect_list`` never
-gathers an unbounded group.
+Match documents are small entities: one order's lines, up to about twenty in the
+given tables (line numbers repeat), collected per order.
 """
 
 from __future__ import annotations
@@ -128,10 +127,10 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("o_orderkey", "o_custkey", "o_orderdate", F.to_json(doc).alias("doc"))
 
 
-def bronze_from_documents(docs: DataFrame, partition_date=INGEST_DATE) -> DataFrame:
+def bronze_from_documents(docs: DataFrame, partition_date=INGEST_DATE, keep=()) -> DataFrame:
     """Bronze rows for the document fixture: stage times 0/+60/+120 s after the order date."""
     return docs.select(
-        iso_text("o_orderdate").alias("timestamp_summoner"),
+        *keep, iso_text("o_orderdate").alias("timestamp_summoner"),
         iso_text(add_seconds("o_orderdate", F.lit(60))).alias("timestamp_summoner_details"),
         iso_text(add_seconds("o_orderdate", F.lit(120))).alias("timestamp_match"),
         F.col("doc").alias("match_details"),
@@ -174,6 +173,16 @@ def landed_bronze_matches_root(spark: SparkSession, sf_dir: str, duplicates: boo
     return _land_path(spark, ("bronze_matchs", sf_dir, duplicates, str(partition_date)), build)
 
 
+def damaged_bronze(spark: SparkSession, sf_dir: str, partition_date=INGEST_DATE) -> DataFrame:
+    """The bronze ``matchs`` rows, every third twice, with documents cut short, null or empty."""
+    rows = bronze_from_documents(match_documents(spark, sf_dir), partition_date, keep=("o_orderkey",))
+    key, text = F.col("o_orderkey"), F.col("match_details")
+    cut = F.substring(text, F.lit(1), F.length(text) - CORRUPT_CUT)
+    rows = rows.withColumn("match_details", F.when(key % 10 == 0, cut).when(key % 11 == 0, None)
+                           .when(key % 13 == 0, "").otherwise(text))
+    return rows.unionByName(rows.where(key % DUPLICATE_EVERY == 0)).drop("o_orderkey")
+
+
 def landed_bronze_matches(spark: SparkSession, sf_dir: str, duplicates: bool = False,
                           partition_date=INGEST_DATE) -> DataFrame:
     """The landed bronze ``matchs`` table, read from its root."""
@@ -197,6 +206,18 @@ def stage_times(events: DataFrame) -> DataFrame:
         .alias("t_match"))
 
 
+def odd_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages with every tenth cut short, else every eleventh null, else every
+    thirteenth blank, else every seventeenth an object without a known field; every
+    third is sent twice."""
+    key, value = F.col("key"), F.col("value")
+    msgs = envelope_messages(spark, sf_dir, corrupt=True)
+    odd = (F.when(key % CORRUPT_EVERY == 0, value).when(key % 11 == 0, None)
+           .when(key % 13 == 0, F.lit("  ").cast("binary"))
+           .when(key % 17 == 0, F.lit('{"a":1}').cast("binary")).otherwise(value))
+    return duplicated_messages(msgs.withColumn("value", odd))
+
+
 def envelope_messages(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
     """Events as messages on the ``matchs`` topic: ``value`` is JSON bytes.
 
@@ -276,6 +297,32 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value"))
 
 
+HEAP_USED, HEAP_MAX = "jvm_memory_bytes_used", "jvm_memory_bytes_max"
+BYTES_IN, BYTES_OUT = "broker_bytes_in_total", "broker_bytes_out_total"
+NODE_JOB = "namenode"
+
+
+def node_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as samples of four metrics: heap used and maximum by (job, area, instance),
+    bytes in and out by instance.  Area is ``nonheap`` for ``error`` events."""
+    e = read_table(spark, sf_dir, "events")
+    side = (F.col("user_id") % 2).cast("string")
+    area = F.when(F.col("event_type") == FAILED_STAGE_TYPE, "nonheap").otherwise("heap")
+    node = F.create_map(F.lit("job"), F.lit(NODE_JOB), F.lit("area"), area, F.lit("instance"),
+                        F.concat(F.lit("node-"), side))
+    broker = F.create_map(F.lit("job"), F.lit(METRIC_JOB), F.lit("instance"),
+                          F.concat(F.lit("broker-"), side))
+    used = F.col("value") * 1_000_000
+
+    def sample(metric, labels, value):
+        return F.struct(F.lit(metric).alias("metric"), labels.alias("labels"),
+                        value.cast("double").alias("value"))
+    return e.select("ts", F.inline(F.array(
+        sample(HEAP_USED, node, used), sample(HEAP_MAX, node, used + 500_000_000),
+        sample(BYTES_IN, broker, F.col("event_id") * 10),
+        sample(BYTES_OUT, broker, F.col("event_id") * 7))))
+
+
 # ---------------------------------------------------------------------------
 # Bronze tables built from the event messages
 # ---------------------------------------------------------------------------
@@ -328,7 +375,35 @@ def event_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.format_string(PLAYER_NAME_FORMAT, F.col("user_id")).alias("summonerId"))
 
 
-def unknown_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeds naming accounts the player lookup does not know (one per supplier)."""
-    return read_table(spark, sf_dir, "supplier").select(
-        F.lit(SNAPSHOT_AT).alias("timestamp_summoner"), F.col("s_name").alias("summonerId"))
+def failing_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds that some lookup does not know: suppliers are no players, parts are players
+    without matches (``idle_players``), nations played a match without a document
+    (``lost_matches``)."""
+    def seeds(table: str, column: str) -> DataFrame:
+        return read_table(spark, sf_dir, table).select(
+            F.lit(SNAPSHOT_AT).alias("timestamp_summoner"),
+            F.col(column).cast("string").alias("summonerId"))
+    parts = seeds("part", "p_partkey").withColumn(
+        "summonerId", F.concat(F.lit("Part#"), "summonerId"))
+    return seeds("supplier", "s_name").unionByName(parts).unionByName(seeds("nation", "n_name"))
+
+
+def wide_identity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``identity_table`` plus the parts and nations of ``failing_seeds``."""
+    parts = read_table(spark, sf_dir, "part").select(
+        F.concat(F.lit("Part#"), F.col("p_partkey").cast("string")).alias("summonerId"),
+        F.concat(F.lit("PT-"), F.col("p_partkey").cast("string")).alias("puuid"))
+    nations = read_table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("summonerId"),
+        F.concat(F.lit("NA-"), F.col("n_nationkey").cast("string")).alias("puuid"))
+    return identity_table(spark, sf_dir).unionByName(parts).unionByName(nations)
+
+
+def wide_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``history_table`` plus one match of each nation that has no document."""
+    lost = read_table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("NA-"), F.col("n_nationkey").cast("string")).alias("puuid"),
+        F.concat(F.lit("GONE_"), F.col("n_nationkey").cast("string")).alias("match_id"),
+        F.to_timestamp(F.lit("2024-01-01")).cast(
+            history_table(spark, sf_dir).schema["played_at"].dataType).alias("played_at"))
+    return history_table(spark, sf_dir).unionByName(lost)

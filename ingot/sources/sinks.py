@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import to_message
+from ..session import fresh_path, hadoop_path, remove_path
+from .tables import as_date
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols=("partition_date",),
@@ -53,32 +57,40 @@ def publish_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = N
     defaults to ``spark.sql.shuffle.partitions`` so the exchange on the stream
     side lines up with the buckets.
     """
-    import uuid
-
-    from ..session import fresh_path
-
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"ingot_{name}_{uuid.uuid4().hex[:10]}"
-    try:
-        (df.write.bucketBy(n, key).sortBy(key)
-         .option("path", fresh_path(spark, f"lookup-{name}")).saveAsTable(table))
-        return spark.table(table)
-    except Exception:  # noqa: BLE001 - a catalog that cannot register tables
-        # Same rows, clustered by key but without the bucket metadata: joins
-        # stay correct and shuffle the lookup side per batch again.
-        path = fresh_path(spark, f"lookup-{name}-plain")
-        df.repartition(n, key).sortWithinPartitions(key).write.parquet(path)
-        return spark.read.parquet(path)
+    write_bucketed(df, key, table, fresh_path(spark, f"lookup-{name}"), n)
+    return spark.table(table)
+
+
+def write_bucketed(df: DataFrame, key: str, table: str, path: str, buckets: int) -> None:
+    """(Re)write ``table`` at ``path`` in ``buckets`` buckets of ``key``.
+
+    Rows are first hash-partitioned into as many partitions as buckets, so each
+    bucket is one file whatever the number of tasks that read the source."""
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
 
 
 def drop_partition(spark, path: str, partition_date, column: str = "partition_date") -> None:
     """Remove one date's directory from a date-partitioned table (if present)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={partition_date}")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
+    remove_path(spark, f"{path.rstrip('/')}/{column}={partition_date}")
+
+
+def purge_before(spark, path: str, cutoff, column: str = "partition_date") -> list[str]:
+    """Drop the dates before ``cutoff`` from a date-partitioned table (R3); the dropped dates.
+
+    Only directories are listed and removed; no row is read or rewritten.  A missing
+    root is an error, so a mistyped path cannot pass for an empty table."""
+    fs, root = hadoop_path(spark, path)
+    if not fs.exists(root):
+        raise FileNotFoundError(path)
+    found = [s.getPath().getName().partition("=") for s in fs.listStatus(root)]
+    old = sorted(v for k, _, v in found if k == column and v < str(as_date(cutoff)))
+    for v in old:
+        drop_partition(spark, path, v, column)
+    return old
 
 
 def replace_date(df: DataFrame, path: str, partition_date,
@@ -92,6 +104,8 @@ def replace_date(df: DataFrame, path: str, partition_date,
     reads), else on ``df``; ``isEmpty`` runs a one-row job.
     """
     if (probe if probe is not None else df).isEmpty():
+        fs, root = hadoop_path(df.sparkSession, path)
+        fs.mkdirs(root)        # an empty table exists, so readers can tell it from a wrong path
         drop_partition(df.sparkSession, path, partition_date)
     else:
         overwrite_partitions(df, path)

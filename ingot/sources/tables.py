@@ -6,6 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
+
+from ..functions.schemas import METRIC_SCHEMA, SNAPSHOT_SCHEMA
+from ..session import path_exists
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -39,12 +43,39 @@ def read_layer(spark: SparkSession, base: str, partition_date=None,
 
 def read_layer_if_present(spark: SparkSession, base: str, partition_date=None,
                           date_column: str = "partition_date") -> DataFrame | None:
-    """``read_layer``, or ``None`` when the table has no data files yet (a
-    layer whose every run so far was empty is never created by Spark)."""
+    """``read_layer``, or ``None`` when the table exists but has no data files yet (a
+    layer whose every run so far was empty).  A missing root is an error."""
     from pyspark.errors import AnalysisException
     try:
         return read_layer(spark, base, partition_date, date_column)
     except AnalysisException as e:
-        if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+        if e.getCondition() == "PATH_NOT_FOUND" or not path_exists(spark, base):
+            raise FileNotFoundError(base) from e
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
+
+
+def read_snapshots(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Landed leaderboard snapshots (JSON files, one object with ``entries[]`` each): ``entries``.
+
+    ``keep`` names further string fields of the objects, or partition columns."""
+    known = {f.name for f in SNAPSHOT_SCHEMA.fields}
+    extra = [StructField(k, StringType()) for k in keep if k not in known]
+    return spark.read.schema(StructType([*extra, *SNAPSHOT_SCHEMA.fields])).json(path)
+
+
+def read_samples(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """A landed metric table ``(metric, labels, ts, value)``, partitioned by ``day`` if it is.
+
+    ``start`` and ``end`` (timestamps, end exclusive) reach the scan; on a table
+    partitioned by day whole directories are skipped."""
+    df = spark.read.schema(StructType([*METRIC_SCHEMA.fields, StructField("day", DateType())])
+                           ).parquet(path)
+    if start is not None:
+        df = df.where((F.col("ts") >= F.lit(start))
+                      & (F.col("day").isNull() | (F.col("day") >= F.to_date(F.lit(start)))))
+    if end is not None:
+        df = df.where((F.col("ts") < F.lit(end))
+                      & (F.col("day").isNull() | (F.col("day") <= F.to_date(F.lit(end)))))
+    return df.select(*METRIC_SCHEMA.names)

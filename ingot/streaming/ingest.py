@@ -9,11 +9,15 @@ neither loses nor repeats a micro-batch (exactly-once file sink).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from ..operators.bronze import bronze_ingest
+from ..operators.bronze import bronze_ingest, parse_envelope, quarantined, to_bronze
 from ..session import fresh_path
 
 MESSAGE_SCHEMA = StructType([StructField("key", LongType(), True),
@@ -48,7 +52,8 @@ def read_messages(spark: SparkSession, source: str, location: str,
     """
     if source == "kafka":
         return spark.readStream.format("kafka").options(**(options or {})).load()
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+    # Recursive: a topic that a hop writes has one directory per micro-batch.
+    reader = spark.readStream.schema(MESSAGE_SCHEMA).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.options(**(options or {})).parquet(location)
@@ -71,12 +76,14 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str,
 
     ``available_now`` drains what is there in (possibly several) bounded
     micro-batches and stops; otherwise the query runs on ``processing_time``
-    until stopped.  ``files_per_batch`` coalesces each micro-batch (no
-    shuffle) so a frequent trigger does not litter the table with small files.
-    Returns the ``StreamingQuery``.
+    until stopped.  ``files_per_batch`` deals each micro-batch's result out to that
+    many files, after the parse, so a frequent trigger does not litter the table
+    with small files and the parse keeps its tasks.  Returns the
+    ``StreamingQuery``; a drain that does not end within ``timeout_s`` is stopped
+    and raises ``TimeoutError`` (what it committed stays; a restart goes on).
     """
     if files_per_batch:
-        stream = stream.coalesce(files_per_batch)
+        stream = stream.repartition(files_per_batch)
     w = (stream.writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", checkpoint).option("path", path))
     if partition_cols:
@@ -87,34 +94,82 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str,
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    q = w.start()
+    return _finish(w.start(), available_now, timeout_s)
+
+
+def _finish(q, available_now: bool, timeout_s: float | None):
+    """Wait for a draining query to end; its errors and a timeout are raised."""
     if available_now:
-        q.awaitTermination(timeout_s)
+        ended = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() or True
         if q.exception() is not None:
             raise q.exception()
+        if not ended:
+            q.stop()
+            raise TimeoutError(f"the stream did not drain within {timeout_s} s")
     return q
 
 
-def publish_stream(messages: DataFrame, fmt: str, target: str, checkpoint: str,
-                   options: dict | None = None, available_now: bool = True):
-    """Stream ``(key, value)`` messages to a topic (``fmt='kafka'``, ``target``
-    = topic) or to files (``target`` = directory) with a checkpoint (S6).
+@dataclass(frozen=True)
+class Output:
+    """One of several results of a stream: which rows, and where they go.
+
+    ``fmt`` is "table" (Parquet, partitioned by load date and micro-batch),
+    "files" (``(key, value)`` messages as Parquet) or "kafka" (``path`` is the
+    topic, ``options`` the connection)."""
 
-    A hop of the enrichment chain publishes this way; the next hop (or the
-    bronze ingest) subscribes with :func:`read_messages`.
+    select: Callable[[DataFrame], DataFrame]
+    path: str
+    fmt: str = "table"
+    options: dict = field(default_factory=dict)
+
+
+def run_split(stream: DataFrame, outputs: list[Output], checkpoint: str,
+              available_now: bool = True, processing_time: str | None = None,
+              timeout_s: float | None = None, files_per_batch: int | None = None):
+    """Write each micro-batch to several outputs in one pass over it.
+
+    The micro-batch is computed once and kept on the executors' disks while its
+    outputs are written (a lost part is recomputed from the source).  Every
+    output of a batch goes to a directory named by the query and the batch,
+    replaced as a whole, so a batch that is repeated after a failure gives the
+    same rows once; Kafka outputs are repeated at least once, as Kafka's sink
+    is.
     """
-    w = (messages.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-         .options(**(options or {})))
-    w = w.format("kafka").option("topic", target) if fmt == "kafka" \
-        else w.format(fmt).option("path", target)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        tag = f"{query}-{batch_id:08d}"
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            for o in outputs:
+                rows = o.select(batch)
+                if files_per_batch:
+                    rows = rows.repartition(files_per_batch)
+                if o.fmt == "kafka":
+                    rows.write.format("kafka").options(**o.options).option("topic", o.path).save()
+                elif o.fmt == "files":
+                    rows.write.mode("overwrite").parquet(f"{o.path}/batch={tag}")
+                else:
+                    (rows.withColumn("batch", F.lit(tag)).write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic")
+                     .partitionBy("partition_date", "batch").parquet(o.path))
+        finally:
+            batch.unpersist()
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         w = w.trigger(availableNow=True)
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-    return q
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return _finish(w.start(), available_now, timeout_s)
+
+
+def ingest_with_quarantine(messages: DataFrame, sink: str, quarantine: str, checkpoint: str,
+                           partition_date=None, **options):
+    """L1 + T6: messages -> bronze table, and what does not parse -> quarantine table, in one
+    pass.  Every message lands in exactly one of the two."""
+    keep = ("key",) if "key" in messages.columns else ()
+    return run_split(parse_envelope(messages, keep=keep), [
+        Output(lambda b: to_bronze(b, partition_date), sink),
+        Output(lambda b: quarantined(b, partition_date, keep), quarantine)], checkpoint, **options)
 
 
 def bronze_stream(spark: SparkSession, source: str, location: str, sink: str,

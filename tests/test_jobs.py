@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from ingot import jobs
 from ingot.session import fresh_path
 from ingot.sources.sinks import overwrite_partitions
@@ -65,5 +67,130 @@ def test_quarantine_rides_the_single_pass(spark):
                                              "{other garbage"]), bronze)
     run_bronze_to_silver(spark, bronze, silver, DAY1, quarantine_path=quarantine)
     assert sorted(r.match_details for r in spark.read.parquet(quarantine).collect()) == [
-        "garbage", "{other garbage"]
+        "garbage", "garbage", "{other garbage"]
     assert [r.match_id for r in spark.read.parquet(silver["games"]).collect()] == [1]
+
+
+def test_every_message_lands_once(spark):
+    """Good, garbage, null, blank and repeated messages: bronze + quarantine = sent."""
+    topic, sink, ckpt = (fresh_path(spark, n) for n in ("q-topic", "q-sink", "q-ckpt"))
+    good = json.dumps({"timestamp_summoner": "2024-01-01T00:00:00"}).encode()
+    values = [good, good, b"{cut", b"{cut", None, b"", b"  ", b'{"a":1}']
+    S.land_messages(spark.createDataFrame(list(enumerate(values)), "key long, value binary"), topic,
+                    files=3)
+    args = ["ingest", sink, ckpt, "--files", topic, "--date", "2024-01-02", "--max-per-trigger", "1"]
+    jobs.main(args, spark=spark)
+    jobs.main(args, spark=spark)                       # nothing new: nothing more lands
+    assert spark.read.parquet(sink).count() == 3
+    bad = spark.read.parquet(f"{sink}_quarantine").collect()
+    assert sorted(repr(r.raw_message) for r in bad) == [
+        "'  '", "''", "'{cut'", "'{cut'", "None"]
+
+
+def test_null_and_empty_documents_never_reach_silver(spark):
+    from ingot.plans.silver import run_bronze_to_silver
+    bronze, games = fresh_path(spark, "n-bronze"), fresh_path(spark, "n-games")
+    from pyspark.sql import functions as F
+    rows = bronze_rows(spark, [document(1, [participant(1)]), "", "{}"])
+    nulls = bronze_rows(spark, ["x", "y"]).withColumn("match_details", F.lit(None).cast("string"))
+    overwrite_partitions(rows.unionByName(nulls), bronze)
+    run_bronze_to_silver(spark, bronze, {"games": games}, DAY1)
+    assert [r.match_id for r in spark.read.parquet(games).collect()] == [1]
+    bad = spark.read.parquet(f"{games}_quarantine").collect()
+    assert sorted(repr(r.match_details) for r in bad) == ["''", "'{}'", "None", "None"]
+
+
+def test_missing_silver_root_is_an_error_and_keeps_gold(spark):
+    from ingot.plans.silver import run_silver_to_gold
+    gold = {"match_summary": fresh_path(spark, "m-gold")}
+    overwrite_partitions(spark.createDataFrame([(1, DAY1)], "match_id long, partition_date date"),
+                         gold["match_summary"])
+    with pytest.raises(FileNotFoundError):
+        run_silver_to_gold(spark, {"games": fresh_path(spark, "m-nowhere")}, gold, DAY1)
+    assert spark.read.parquet(gold["match_summary"]).count() == 1
+
+
+def test_daily_job_leaves_no_scratch(spark):
+    import os
+
+    from ingot.plans.silver import run_bronze_to_silver
+    from ingot.session import shared_root
+    bronze, games = fresh_path(spark, "s-bronze"), fresh_path(spark, "s-games")
+    overwrite_partitions(bronze_rows(spark, [document(1, [participant(1)])]), bronze)
+    run_bronze_to_silver(spark, bronze, {"games": games}, DAY1)
+    root = shared_root(spark).removeprefix("file://")
+    assert not [n for n in os.listdir(root) if n.startswith("silver-input")]
+
+
+def test_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from ingot import session
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(session, "_OWN_ROOTS", {})
+    monkeypatch.setattr(session, "_configured", lambda spark: None)
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.shared_root(spark)
+
+
+def test_enrichment_jobs_end_to_end(spark):
+    """publish-seeds -> enrich-details -> enrich-matches -> ingest, with every kind of miss."""
+    at = {k: fresh_path(spark, f"en-{k}") for k in (
+        "snap", "seeds", "details", "matchs", "bronze", "r1", "r2", "q1", "q2", "c1", "c2", "c3",
+        "idsrc", "histsrc", "docsrc", "idt", "histt", "doct")}
+    spark.createDataFrame([([("alice",), ("bob",), ("nobody",)],)],
+                          "entries array<struct<summonerId:string>>").write.json(at["snap"])
+    spark.createDataFrame([("alice", "PA"), ("bob", "PB")], "summonerId string, puuid string"
+                          ).write.parquet(at["idsrc"])
+    spark.createDataFrame([("PA", f"M{i}", dt.datetime(2024, 1, 1, i)) for i in range(8)],
+                          "puuid string, match_id string, played_at timestamp_ntz"
+                          ).write.parquet(at["histsrc"])
+    spark.createDataFrame([(f"M{i}", json.dumps({"i": i})) for i in range(8) if i != 6],
+                          "match_id string, match_details string").write.parquet(at["docsrc"])
+    run = lambda *a: jobs.main(list(a), spark=spark)
+    run("refresh-lookup", at["idsrc"], "summonerId", "en_identity", at["idt"], "--buckets", "2")
+    run("refresh-lookup", at["histsrc"], "puuid", "en_history", at["histt"], "--buckets", "2",
+        "--latest", "3")
+    run("refresh-lookup", at["docsrc"], "match_id", "en_documents", at["doct"], "--buckets", "2")
+    run("publish-seeds", at["snap"], at["seeds"], "--taken-at", "2024-02-01T00:00:00")
+    spark.createDataFrame([(9, b"{broken")], "key long, value binary").write.mode("append").parquet(
+        at["seeds"])
+    run("enrich-details", "en_identity", "en_history", at["details"], at["r1"], at["q1"], at["c1"],
+        "--files", at["seeds"], "--date", "2024-02-01")
+    run("enrich-matches", "en_documents", at["matchs"], at["r2"], at["q2"], at["c2"], "--files",
+        at["details"], "--date", "2024-02-01")
+    run("ingest", at["bronze"], at["c3"], "--files", at["matchs"], "--date", "2024-02-01")
+    rows = spark.read.parquet(at["bronze"]).collect()
+    assert sorted(json.loads(r.match_details)["i"] for r in rows) == [5, 7]
+    missed = spark.read.parquet(at["r1"]).union(spark.read.parquet(at["r2"])).collect()
+    assert sorted((r.summonerId, r.reason) for r in missed) == [
+        ("alice", "no_document"), ("bob", "no_history"), ("nobody", "unknown_player")]
+    assert [r.raw_message for r in spark.read.parquet(at["q1"]).collect()] == ["{broken"]
+
+
+def test_throughput_and_retention_jobs(spark):
+    bronze, sink = fresh_path(spark, "tr-bronze"), fresh_path(spark, "tr-sink")
+    rows = [("2024-01-01T00:00:10", "2024-01-01T00:00:20", None, "{}", dt.date(2024, 1, d))
+            for d in (1, 2, 3)]
+    overwrite_partitions(spark.createDataFrame(
+        rows, "timestamp_summoner string, timestamp_summoner_details string, timestamp_match string, "
+              "match_details string, partition_date date"), bronze)
+    jobs.main(["throughput", bronze, sink], spark=spark)
+    (row,) = spark.read.parquet(sink).collect()
+    assert (row.summoner, row.summoner_details, row.match) == (3, 3, 0)
+    jobs.main(["retention", bronze, "2024-01-02"], spark=spark)
+    assert {str(r.partition_date) for r in spark.read.parquet(bronze).collect()} == {
+        "2024-01-02", "2024-01-03"}
+    with pytest.raises(FileNotFoundError):
+        jobs.main(["retention", fresh_path(spark, "tr-none"), "2024-01-02"], spark=spark)
+
+
+def test_metric_reader_prunes_days(spark):
+    from ingot.sources.tables import read_samples
+    path = fresh_path(spark, "samples")
+    rows = [("m", {"a": "b"}, dt.datetime(2024, 1, d, 12), float(d), dt.date(2024, 1, d))
+            for d in range(1, 6)]
+    spark.createDataFrame(rows, "metric string, labels map<string,string>, ts timestamp, value double, "
+                                "day date").write.partitionBy("day").parquet(path)
+    df = read_samples(spark, path, dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 4, 23))
+    assert sorted(r.value for r in df.collect()) == [3.0, 4.0]
+    assert df.columns == ["metric", "labels", "ts", "value"]
+    assert "PartitionFilters: [" in df._jdf.queryExecution().executedPlan().toString()

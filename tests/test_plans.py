@@ -38,3 +38,54 @@ def test_partition_scan_prunes_directories(spark, static_plans):
 def test_recent_matches_limit_before_the_shuffle(spark, static_plans):
     p = plan(E.queries()["recent_n_per_key"](spark, SMALL))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+PARSE_ONCE = ["bronze_ingest", "quarantine", "parse_document", "games", "participants",
+              "participants_window", "team_stats", "team_bans", "dedupe_rows", "dedupe_by_key",
+              "match_summary", "player_performance", "team_performance", "player_totals"]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_each_document_is_parsed_once(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for name in PARSE_ONCE:
+            df = E.queries()[name](spark, SMALL)
+            physical = df._jdf.queryExecution().sparkPlan().toString()
+            parses = re.findall(r"from_json\(StructField\((?:timestamp_summoner|info|metadata)",
+                                physical)
+            assert len(parses) == 1, (name, physical)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_silver_branches_add_no_exchange(spark, adaptive):
+    """The key dedupe is the only exchange of each branch, with and without AQE."""
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for name in ("games", "participants", "team_stats", "team_bans"):
+            p = plan(E.queries()[name](spark, SMALL))
+            assert len(re.findall(r"Exchange hashpartitioning", p)) == 1, (name, p)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_grid_panel_fans_out_after_the_exchange(spark, static_plans):
+    p = plan(E.queries()["metric_messages_per_minute_grid"](spark, SMALL))
+    dealt = p.index("REPARTITION_BY_COL")
+    assert "Generate explode(org.apache" in p[:dealt]          # the grid times, in the same stage
+    assert "Generate explode(org.apache" not in p[dealt:]
+    assert "Exchange" not in p[p.index("Generate explode(org.apache"):dealt - 100].rpartition("\n")[0]
+
+
+def test_recent_samples_bound_reaches_the_scan(spark, static_plans):
+    p = plan(E.queries()["metric_recent"](spark, SMALL))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(ts", p)
+
+
+def test_lookups_are_written_one_file_per_bucket(spark):
+    from ingot.sources.sinks import publish_bucketed
+    rows = spark.range(0, 20_000, 1, 40).selectExpr("id % 500 AS k", "id AS v")
+    table = publish_bucketed(rows, "k", "files", buckets=16)
+    assert table.count() == 20_000 and len(table.inputFiles()) <= 16
