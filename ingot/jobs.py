@@ -5,6 +5,7 @@
     python -m ingot.jobs silver-to-gold GAMES PARTICIPANTS TEAMS_STATS TEAMS_BANS \\
         MATCH_SUMMARY PLAYER_PERFORMANCE TEAM_PERFORMANCE DATE
     python -m ingot.jobs ingest SINK CHECKPOINT SOURCE [--quarantine PATH] [--date DATE]
+        [--dedupe SECONDS]
     python -m ingot.jobs publish-seeds SNAPSHOTS SINK [--taken-at TIME]
     python -m ingot.jobs enrich-details IDENTITY HISTORY SINK RETRY QUARANTINE CHECKPOINT SOURCE
     python -m ingot.jobs enrich-matches DOCUMENTS SINK RETRY QUARANTINE CHECKPOINT SOURCE
@@ -77,6 +78,8 @@ def _parser() -> argparse.ArgumentParser:
         "player_performance", "team_performance", "date")
     i = job("ingest", "sink", "checkpoint")
     i.add_argument("--quarantine")
+    i.add_argument("--dedupe", type=int, metavar="SECONDS",
+                   help="land each key once within this delay; older rows go to SINK_late")
     _stream_arguments(i)
     s = job("publish-seeds", "snapshots", "sink")
     s.add_argument("--taken-at", help="stage time of the seeds (default: now)")
@@ -111,9 +114,9 @@ def _options(args: argparse.Namespace) -> dict:
 
 def _topic(args: argparse.Namespace) -> S.Output:
     if args.sink_kafka:
-        return S.Output(lambda r: r, args.sink, "kafka",
+        return S.Output(lambda r, _: r, args.sink, "kafka",
                         {"kafka.bootstrap.servers": args.sink_kafka})
-    return S.Output(lambda r: r, args.sink, "files")
+    return S.Output(lambda r, _: r, args.sink, "files")
 
 
 def _time(text: str | None):
@@ -134,10 +137,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         run_silver_to_gold(spark, {k: getattr(args, k) for k in silver},
                            {k: getattr(args, k) for k in gold}, args.date)
     elif args.job == "ingest":
-        query = S.ingest_with_quarantine(
-            _messages(spark, args), args.sink,
-            args.quarantine or f"{args.sink.rstrip('/')}_quarantine", args.checkpoint, args.date,
-            **_options(args))
+        root = args.sink.rstrip("/")
+        bad = args.quarantine or f"{root}_quarantine"
+        if args.dedupe is None:
+            query = S.ingest_with_quarantine(_messages(spark, args), root, bad, args.checkpoint,
+                                             args.date, **_options(args))
+        else:
+            query = S.ingest_deduplicated(_messages(spark, args), root, bad, f"{root}_late",
+                                          args.checkpoint, args.dedupe, args.date,
+                                          **_options(args))
     elif args.job == "publish-seeds":
         seeds = E.seed_entries(read_snapshots(spark, args.snapshots), _time(args.taken_at))
         out, topic = H.as_topic(seeds, "summonerId"), _topic(args)

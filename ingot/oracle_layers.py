@@ -85,3 +85,12 @@ select 'quarantine', event_id, null, null, null, null,
   case odd when 'cut' then substring(msg, 1, length(msg) - 7) when 'blank' then '  ' end
 from sent where odd in ('cut', 'null', 'blank')
 """
+
+# Each key once, and the second run's replays older than a day before the newest event.
+BRONZE_LATE = f"""
+select false as late, event_id as key, {BRONZE_COLS}, {INGEST} as partition_date
+from ({STAGES}) s
+union all
+select true, event_id, {BRONZE_COLS}, {INGEST} from ({STAGES}) s
+where event_id % 5 = 0 and ts < (select max(ts) from events) - interval 1 day
+"""

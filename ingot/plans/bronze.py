@@ -25,6 +25,7 @@ RERUN_DATES = ("2024-01-10", "2024-01-12")   # partition_overwrite: dates rewrit
 SCAN_DATE = "2024-01-15"                      # partition_scan: the date read
 RETENTION_CUTOFF = "2024-01-20"               # retention_keep: first date kept
 DEDUPE_DELAY = "2 hours"                      # stream_dedupe watermark delay
+DEDUPE_DELAY_S = 86_400                       # stream_dedupe_late: a day
 REPLAY_EVERY = 5                              # stream_dedupe: keys re-sent after restart
 
 
@@ -100,6 +101,28 @@ def q_stream_dedupe(spark: SparkSession, sf_dir: str):
     return spark.read.parquet(sink).select("key", *BRONZE_COLUMNS)
 
 
+@query("stream_dedupe_late", O.BRONZE_LATE)
+def q_stream_dedupe_late(spark: SparkSession, sf_dir: str):
+    """T8 as the ingest job runs it: every third message is sent twice, and after a
+    restart every fifth again.  Repeats within the delay are recognised by their
+    landed key; older ones are kept in the late table.  Returns both tables."""
+    pin_session(spark)
+    topic, sink, late = (fresh_path(spark, n) for n in ("topic-late", "bronze-once", "bronze-late"))
+    ckpt, bad = fresh_path(spark, "ckpt-late"), fresh_path(spark, "bad-late")
+    msgs = X.envelope_messages(spark, sf_dir)
+
+    def run():
+        S.ingest_deduplicated(S.read_messages(spark, "files", topic), sink, bad, late, ckpt,
+                              DEDUPE_DELAY_S, X.INGEST_DATE)
+    S.land_messages(X.duplicated_messages(msgs), topic, files=4)
+    run()
+    S.land_messages(msgs.where(F.col("key") % REPLAY_EVERY == 0), topic, files=2)
+    run()
+    columns = ["key", *BRONZE_COLUMNS]
+    return spark.read.parquet(sink).select(F.lit(False).alias("late"), *columns).unionByName(
+        spark.read.parquet(late).select(F.lit(True).alias("late"), *columns))
+
+
 @query("to_json_roundtrip", O.EVENTS_ROUNDTRIP)
 def q_to_json_roundtrip(spark: SparkSession, sf_dir: str):
     """S6 + P2: rows -> JSON messages -> rows with the fixed schema."""

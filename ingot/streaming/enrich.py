@@ -41,13 +41,13 @@ def _hop(marked: DataFrame, topic: Output | str, retry: str, quarantine: str, ch
     """Bad messages ride along (left joins keep them) and are told apart by ``_bad``."""
     day = load_date(partition_date)
     if isinstance(topic, str):
-        topic = Output(lambda r: r, topic, "files")
+        topic = Output(lambda r, _: r, topic, "files")
     good = lambda b: b.where("NOT _bad")
     return run_split(marked, [
-        Output(lambda b: as_topic(E.enriched(good(b)), "match_id"), topic.path, topic.fmt,
+        Output(lambda b, _: as_topic(E.enriched(good(b)), "match_id"), topic.path, topic.fmt,
                topic.options),
-        Output(lambda b: E.retries(good(b)).withColumn("partition_date", day), retry),
-        Output(lambda b: b.where("_bad").select(F.col("_raw").alias("raw_message"),
+        Output(lambda b, _: E.retries(good(b)).withColumn("partition_date", day), retry),
+        Output(lambda b, _: b.where("_bad").select(F.col("_raw").alias("raw_message"),
                                                 day.alias("partition_date")), quarantine)],
         checkpoint, **options)
 

@@ -9,6 +9,7 @@ neither loses nor repeats a micro-batch (exactly-once file sink).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from ..operators.bronze import bronze_ingest, parse_envelope, quarantined, to_bronze
-from ..session import fresh_path
+from ..session import fresh_path, path_exists
 
 MESSAGE_SCHEMA = StructType([StructField("key", LongType(), True),
                              StructField("value", BinaryType(), True)])
@@ -111,13 +112,14 @@ def _finish(q, available_now: bool, timeout_s: float | None):
 
 @dataclass(frozen=True)
 class Output:
-    """One of several results of a stream: which rows, and where they go.
+    """One of several results of a stream: which rows (of a micro-batch and its tag), and
+    where they go.
 
     ``fmt`` is "table" (Parquet, partitioned by load date and micro-batch),
     "files" (``(key, value)`` messages as Parquet) or "kafka" (``path`` is the
     topic, ``options`` the connection)."""
 
-    select: Callable[[DataFrame], DataFrame]
+    select: Callable[[DataFrame, str], DataFrame]
     path: str
     fmt: str = "table"
     options: dict = field(default_factory=dict)
@@ -141,7 +143,7 @@ def run_split(stream: DataFrame, outputs: list[Output], checkpoint: str,
         batch = batch.persist(StorageLevel.DISK_ONLY)
         try:
             for o in outputs:
-                rows = o.select(batch)
+                rows = o.select(batch, tag)
                 if files_per_batch:
                     rows = rows.repartition(files_per_batch)
                 if o.fmt == "kafka":
@@ -168,8 +170,56 @@ def ingest_with_quarantine(messages: DataFrame, sink: str, quarantine: str, chec
     pass.  Every message lands in exactly one of the two."""
     keep = ("key",) if "key" in messages.columns else ()
     return run_split(parse_envelope(messages, keep=keep), [
-        Output(lambda b: to_bronze(b, partition_date), sink),
-        Output(lambda b: quarantined(b, partition_date, keep), quarantine)], checkpoint, **options)
+        Output(lambda b, _: to_bronze(b, partition_date), sink),
+        Output(lambda b, _: quarantined(b, partition_date, keep), quarantine)], checkpoint,
+        **options)
+
+
+def ingest_deduplicated(messages: DataFrame, sink: str, quarantine: str, late: str,
+                        checkpoint: str, delay_s: int, partition_date=None, **options):
+    """L1 + T6 + T8: as ``ingest_with_quarantine``, each key landing once, nothing dropped as late.
+
+    A row whose event time is within ``delay_s`` seconds of the newest one landed by
+    earlier micro-batches is a repeat if its key is in this batch already or landed
+    in that span (an anti join with the landed keys; the span bounds what is read,
+    by the event times in the files' statistics).  An older row, or one without
+    an event time, can't be told from a first delivery, so it goes to the ``late``
+    table.  Landed + repeats + late + quarantined = sent.  The newest time
+    of each batch is kept next to the sink, one row per batch.
+    """
+    progress = f"{sink.rstrip('/')}_progress"
+    rows = parse_envelope(messages, keep=("key",)).withColumn("event_time", event_time())
+
+    def horizon(spark: SparkSession, tag: str):
+        if not path_exists(spark, progress):
+            return None
+        newest = spark.read.schema("newest timestamp, batch string").parquet(progress).where(
+            F.col("batch") < tag).agg(F.max("newest")).first()[0]
+        return newest and newest - dt.timedelta(seconds=delay_s)
+
+    def is_late(limit):
+        old = F.lit(False) if limit is None else F.col("event_time") < F.lit(limit)
+        return F.col("event_time").isNull() | old
+
+    def fresh(batch: DataFrame, tag: str) -> DataFrame:
+        spark = batch.sparkSession
+        limit = horizon(spark, tag)
+        keep = to_bronze(batch.where(~is_late(limit)), partition_date, ("key", "event_time"))
+        keep = keep.dropDuplicates(["key"])
+        if limit is not None and path_exists(spark, sink):
+            landed = spark.read.schema(keep.withColumn("batch", F.lit(tag)).schema).parquet(sink)
+            landed = landed.where((F.col("event_time") >= F.lit(limit)) & (F.col("batch") < tag))
+            keep = keep.join(landed.select("key"), "key", "left_anti")
+        return keep
+
+    def older(batch: DataFrame, tag: str) -> DataFrame:
+        return to_bronze(batch.where(is_late(horizon(batch.sparkSession, tag))), partition_date,
+                         ("key", "event_time"))
+    return run_split(rows, [
+        Output(fresh, sink), Output(older, late),
+        Output(lambda b, _: quarantined(b, partition_date, ("key",)), quarantine),
+        Output(lambda b, _: b.agg(F.max("event_time").alias("newest")), progress, "files")],
+        checkpoint, **options)
 
 
 def bronze_stream(spark: SparkSession, source: str, location: str, sink: str,

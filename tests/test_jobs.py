@@ -194,3 +194,23 @@ def test_metric_reader_prunes_days(spark):
     assert sorted(r.value for r in df.collect()) == [3.0, 4.0]
     assert df.columns == ["metric", "labels", "ts", "value"]
     assert "PartitionFilters: [" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ingest_lands_each_key_once_and_keeps_late_rows(spark):
+    topic, sink, ckpt = (fresh_path(spark, n) for n in ("d-topic", "d-sink", "d-ckpt"))
+
+    def land(*rows):
+        S.land_messages(spark.createDataFrame(
+            [(k, t and json.dumps({"timestamp_summoner": t}).encode()) for k, t in rows],
+            "key long, value binary"), topic, files=1)
+        jobs.main(["ingest", sink, ckpt, "--files", topic, "--date", "2024-01-02", "--dedupe", "3600"],
+                  spark=spark)
+    land((1, "2024-01-01T10:00:00"), (1, "2024-01-01T10:00:00"), (2, "2024-01-01T12:00:00"))
+    land((2, "2024-01-01T12:00:00"),       # repeated inside the delay: recognised
+         (1, "2024-01-01T10:00:00"),       # repeated outside: late
+         (3, "2024-01-01T01:00:00"),       # never seen, eleven hours late: kept as late
+         (4, "2024-01-01T12:30:00"), (5, None), (6, "no time"))
+    key = lambda path: sorted(r.key for r in spark.read.parquet(path).collect())
+    assert key(sink) == [1, 2, 4]
+    assert key(f"{sink}_late") == [1, 3, 6]
+    assert key(f"{sink}_quarantine") == [5]
