@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import oracle_enrich as O
-from ..functions.columns import parse_json, to_message
+from ..functions.columns import parse_once, to_message
 from ..functions.schemas import BRONZE_COLUMNS, DOCUMENT_SUMMARY_SCHEMA
 from ..operators import enrich as E
 from ..operators.bronze import bronze_ingest
@@ -29,10 +29,10 @@ MATCH_MESSAGE_COLUMNS = ["timestamp_summoner", "timestamp_summoner_details",
 
 def summarise_documents(df: DataFrame, text: str = "match_details") -> DataFrame:
     """Replace the document text by its key and participant count (one parse)."""
-    doc = parse_json(text, DOCUMENT_SUMMARY_SCHEMA)["info"]
-    return (df.withColumn("game_id", doc["gameId"])
-            .withColumn("n_participants", F.size(F.coalesce(doc["participants"], F.array())))
-            .drop(text))
+    parsed, info = parse_once(df, text, DOCUMENT_SUMMARY_SCHEMA, "_doc"), F.col("_doc.info")
+    return (parsed.withColumn("game_id", info["gameId"])
+            .withColumn("n_participants", F.size(F.coalesce(info["participants"], F.array())))
+            .drop(text, "_doc"))
 
 
 def snapshot_seeds(spark, sf_dir) -> DataFrame:
