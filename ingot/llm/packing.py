@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import text_batches
-from .tokens import PieceEncoder
+from .tokens import worker_encoder
 
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
           "offset long, ids binary")
@@ -141,7 +141,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         base = TaskContext.get().partitionId() << 40
-        encoder = PieceEncoder(tokenizer, "drop")
+        encoder = worker_encoder(tokenizer, "drop")
         held: list = []
         size = 0
 

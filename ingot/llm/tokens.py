@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 
 _LOOKAHEAD = re.compile(r" (?:\s|\Z)")
-_STOPS = re.compile(r"(?<=[a-z])([.,])(?=\s|\Z)")
+_PARTS = re.compile(r"([^\n]*[A-Za-z])([.,]?)(?:\n([A-Za-z][^\n]*))?")
 MARK = "\x01"
 SPACE = "\u0120"      # how byte-level vocabularies write the space byte
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -64,8 +66,7 @@ class PieceEncoder:
             return pieces
         if _SEPARATORS.search(text):
             return [(text,)]
-        # A comma or stop between a letter and white space is a piece of its own.
-        return _STOPS.sub(r" \1 ", text).split() or [("",)]
+        return text.split() or [("",)]
 
     def _add(self, pieces: list, ids: np.ndarray, counts: np.ndarray) -> None:
         """Remember new pieces, whose ids stand one after the other in ``ids``."""
@@ -85,8 +86,38 @@ class PieceEncoder:
         enc = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(enc[0].ids, np.uint32)
 
+    def _parts(self, piece) -> tuple:
+        """Pieces whose ids, one after the other, are those of ``piece``: a stop or comma
+        after a letter, and a line break between words, are always tokens of their own."""
+        if isinstance(piece, tuple):
+            return (piece,)
+        m = _PARTS.fullmatch(piece)
+        if not m:
+            return (piece,)
+        head, stop, rest = m.groups()
+        if not self.lead:                                  # lower case only, ASCII
+            head = head.lower() if head.isascii() else head
+        out = (head, (stop,)) if stop else (head,)
+        return (*out, ("\n",), *self._parts((rest,))) if rest else out
+
     def _learn(self, pieces: list) -> None:
-        """Encode new pieces, many in one text where their ends can be told from the ids."""
+        """Remember new pieces: the library encodes the parts it has not seen, and a
+        piece of several parts is put together from them."""
+        cut = {p: self._parts(p) for p in pieces}
+        parts = dict.fromkeys(q for c in cut.values() for q in c)
+        self._encode_new([q for q in parts if q not in self.slots])
+        joined = [(p, c) for p, c in cut.items() if p not in self.slots]
+        if joined:
+            at = np.array([self.slots[q] for _, c in joined for q in c], np.int64)
+            firsts = np.cumsum([0] + [len(c) for _, c in joined[:-1]])
+            n = self.counts[at]
+            self._add([p for p, _ in joined], self._gather(at, n), np.add.reduceat(n, firsts))
+
+    def _gather(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return self.ids[np.repeat(self.starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+    def _encode_new(self, pieces: list) -> None:
+        """Encode pieces, many in one text where their ends can be told from the ids."""
         plain = [p for p in pieces if not isinstance(p, tuple) and MARK not in p]
         for lo in range(0, len(plain), 1000):
             part = plain[lo:lo + 1000]
@@ -118,17 +149,22 @@ class PieceEncoder:
         for i, text in enumerate(texts):
             firsts[i] = len(flat)
             flat += self._pieces(text)
-        slots = list(map(self.slots.get, flat))
-        if None in slots:
-            self._learn(list(dict.fromkeys(p for p, s in zip(flat, slots, strict=True)
-                                           if s is None)))
-            slots = list(map(self.slots.get, flat))
-        at = np.array(slots, np.int64)
+        at = np.fromiter(map(self.slots.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            self._learn(list(dict.fromkeys(flat[i] for i in new)))
+            at[new] = [self.slots[flat[i]] for i in new]
         n = self.counts[at]
         lengths = np.add.reduceat(n, firsts)
-        total = int(n.sum())
-        ids = self.ids[np.repeat(self.starts[at] - (np.cumsum(n) - n), n) + np.arange(total)]
+        ids = self._gather(at, n)
         if end_id is None:
             return ids, lengths
         ends = np.cumsum(lengths)
         return np.insert(ids, ends, np.uint32(end_id)), lengths + 1
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, spaces: str) -> PieceEncoder:
+    """This Python worker's encoder: tasks that follow one another in a worker share its
+    bounded piece memory."""
+    return PieceEncoder(path, spaces)
