@@ -172,3 +172,56 @@ SELECT conv_id, speaker, turn, author, CASE WHEN own THEN 'assistant' ELSE 'user
        CAST(place + length(head) + length(words) AS BIGINT) AS mask_end,
        CAST(own AS INTEGER) AS masked
 FROM placed"""
+
+
+def _sql_seeds(table: str, key: str) -> str:
+    parts = (f"SELECT {key}, p, {m} AS m, concat_ws(' ', "
+             + ", ".join(f"words[p + {o}]" for o in mask) + f") AS seed FROM {table}"
+             for m, mask in enumerate(decontam.MASKS))
+    return " UNION ALL ".join(parts)
+
+
+def _sql_words(text: str) -> str:
+    return (f"list_filter(regexp_split_to_array(lower(coalesce({text}, '')), "
+            "'[^\\p{L}\\p{N}]+'), lambda w: w <> '')")
+
+
+# The best stretch of a diagonal is the highest rise of the running sum (+1 for a matching
+# word, -2 else) over its lowest point so far; its matches count from that point on.
+ORACLES["op9_decontamination"] = f"""
+WITH dw AS (SELECT doc_id, {_sql_words('text')} AS words FROM documents WHERE doc_id IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, {_sql_words('text')} AS words FROM benchmark
+       WHERE item_id IS NOT NULL),
+dp AS (SELECT doc_id, words, unnest(range(1, len(words) - {decontam.SPAN - 2})) AS p FROM dw),
+ip AS (SELECT item_id, words, unnest(range(1, len(words) - {decontam.SPAN - 2})) AS p FROM iw),
+ds AS ({_sql_seeds('dp', 'doc_id')}),
+si AS ({_sql_seeds('ip', 'item_id')}),
+hits AS (SELECT DISTINCT doc_id, item_id, ds.p - si.p AS diagonal FROM ds JOIN si USING (m, seed)),
+laid AS (
+  SELECT h.doc_id, h.item_id, h.diagonal, dw.words AS d, iw.words AS i,
+         unnest(range(1, len(iw.words) + 1)) AS k
+  FROM hits h JOIN dw USING (doc_id) JOIN iw USING (item_id)),
+cells AS (
+  SELECT doc_id, item_id, diagonal, k, len(i) AS n,
+         CASE WHEN k + diagonal >= 1 AND d[k + diagonal] = i[k] THEN 1 ELSE -2 END AS s FROM laid),
+sums AS (
+  SELECT *, sum(s) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY k) AS up FROM cells),
+rises AS (
+  SELECT *, up - least(0, min(up) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY k)) AS rise
+  FROM sums),
+tops AS (
+  SELECT *, max(rise) OVER (PARTITION BY doc_id, item_id, diagonal) AS best FROM rises),
+ends AS (
+  SELECT doc_id, item_id, diagonal, min(k) AS stop FROM tops WHERE rise = best AND best > 0
+  GROUP BY ALL),
+starts AS (
+  SELECT e.doc_id, e.item_id, e.diagonal, e.stop,
+         coalesce(max(k) FILTER (WHERE rise = 0 AND k < e.stop), 0) AS start
+  FROM ends e JOIN rises USING (doc_id, item_id, diagonal) GROUP BY ALL),
+matches AS (
+  SELECT c.doc_id, c.item_id, c.diagonal, max(c.n) AS n,
+         count(*) FILTER (WHERE s = 1 AND k > start AND k <= stop) AS matched
+  FROM cells c JOIN starts USING (doc_id, item_id, diagonal) GROUP BY ALL)
+SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(max(n) AS INTEGER) AS item_words
+FROM matches GROUP BY doc_id, item_id
+HAVING max(matched) >= least(13, 0.8 * max(n))"""
