@@ -210,11 +210,11 @@ def links(distinct: DataFrame, tau: int = 3) -> DataFrame:
             yield pd.DataFrame({"key": (joined + (np.arange(parts) << 40)).reshape(-1),
                                 "b": np.repeat(fps, parts)})
 
+    # Flips of e bits of a partition.  A threshold above 2 on 32 bits would be 5,489 keys;
+    # with two partitions (1, 1) or (2, 0) always does, up to tau = 5.
+    most = tau if parts == GROUPS else min(tau, 2)
     balls = [np.array([sum(1 << i for i in c) for c in combinations(range(wide), e)], np.int64)
-             for e in range(tau + 1)] if parts == GROUPS else [
-        np.array([sum(1 << i for i in c) for c in combinations(range(wide), e)], np.int64)
-        for e in range(min(tau, 2) + 1)]
-    most = len(balls) - 1
+             for e in range(most + 1)]
 
     def probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         share = tables.value
@@ -240,8 +240,9 @@ def links(distinct: DataFrame, tau: int = 3) -> DataFrame:
             for p in range(parts):
                 for e in range(most + 1):
                     rows = np.flatnonzero(chosen[:, p] >= e)
-                    for lo in range(0, len(rows), 20_000):
-                        some = rows[lo:lo + 20_000]
+                    size = max(1, 200_000 // len(balls[e]))      # keys held at a time
+                    for lo in range(0, len(rows), size):
+                        some = rows[lo:lo + size]
                         keys = joined[some, p][:, None] ^ balls[e][None, :]
                         yield pd.DataFrame({"key": keys.reshape(-1) + (p << 40),
                                             "a": np.repeat(fps[some], len(balls[e]))})
@@ -320,8 +321,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = distinct.join(comps, distinct.fp == comps.node).select("fp", "root", "first_id")
     lowest = named.groupBy("root").agg(F.min("first_id").alias("low"))
     linked = named.join(lowest, "root").select(F.col("fp").alias("linked_fp"), "low")
-    label = distinct.join(linked, distinct.fp == linked.linked_fp, "left").select(
-        F.col("fp").alias("label_fp"), F.coalesce("low", "first_id").alias("component_id"))
+    # Written, so that the last join's sides are plain exchanges: AQE then splits the
+    # partition of a fingerprint that very many rows share.
+    label = written(distinct.join(linked, distinct.fp == linked.linked_fp, "left").select(
+        F.col("fp").alias("label_fp"), F.coalesce("low", "first_id").alias("component_id")), "labels")
     return fps.join(label, fps.fp == label.label_fp).select("doc_id", "fp", "component_id")
 
 
