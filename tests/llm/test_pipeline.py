@@ -3,7 +3,7 @@
 import re
 
 import corpus_pipeline
-from test_operators import DOCS, EXTRA, ODD, brute_components, plain_spans
+from test_llm_operators import DOCS, EXTRA, ODD, brute_components, plain_spans
 
 from ingot.llm import simhash
 

@@ -65,7 +65,7 @@ def test_packing_query(spark, texts):
 
 
 def test_simhash_query(spark, texts):
-    from test_operators import brute_components
+    from test_llm_operators import brute_components
     fps = {i: simhash.fingerprint(t) for i, t in texts.items()}
     low = brute_components(fps)
     got = {r.doc_id: (r.fingerprint, r.component_id)
