@@ -115,18 +115,18 @@ def encode_blocks(ids: np.ndarray, block: int) -> tuple[list[bytes], np.ndarray]
                      for i, s in enumerate(sizes)], np.int64)
     # Each lane's own vocabulary, ordered by lane and id, for the order-0 counts.
     order = np.argsort(grid, axis=1, kind="stable")
-    ranked = np.take_along_axis(grid, order, 1)
+    order += np.arange(0, lanes * block, block)[:, None]
+    ranked = grid.reshape(-1)[order]
     new = np.ones(grid.shape, bool)
-    new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
-    dense = np.empty(grid.shape, np.int32)
-    np.put_along_axis(dense, order, (np.cumsum(new) - 1).reshape(grid.shape).astype(np.int32), 1)
-    dense = np.ascontiguousarray(dense.T)
+    np.not_equal(ranked[:, 1:], ranked[:, :-1], out=new[:, 1:])
+    dense = np.empty(lanes * block, np.int32)
+    dense[order.reshape(-1)] = np.cumsum(new, dtype=np.int32) - 1
+    dense = np.ascontiguousarray(dense.reshape(lanes, block).T)
     steps = np.ascontiguousarray(grid.T.astype(np.uint32))
     per_lane = new.sum(1)
     lane_start = np.cumsum(per_lane) - per_lane
-    vocab_lane = np.repeat(np.arange(lanes), per_lane)
     del order, ranked, new, grid
-    count = np.zeros(len(vocab_lane), np.int64)
+    count = np.zeros(int(per_lane.sum()), np.int32)
     freq = cum = count
     model = _Model(lanes)
     low = np.zeros(lanes, np.uint64)
@@ -164,10 +164,11 @@ def encode_blocks(ids: np.ndarray, block: int) -> tuple[list[bytes], np.ndarray]
             model.keep(live)
         if t in refresh:
             seen = dense[counted:t].reshape(-1)
-            count += np.bincount(seen, minlength=len(count))
-            running = np.cumsum(count)
-            before = np.concatenate([[0], running])[lane_start]
-            freq, cum = count, running - count - before[vocab_lane]
+            count += np.bincount(seen, minlength=len(count)).astype(np.int32)
+            cum = np.cumsum(count, dtype=np.int32)
+            cum -= count
+            cum -= np.repeat(cum[lane_start], per_lane)
+            freq = count
             t0, counted = t, t
         ids_t = steps[t, :live]
         model.predict()
