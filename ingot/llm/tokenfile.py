@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import text_batches
 from .rangecoder import decode_blocks, encode_blocks
-from .tokens import PieceEncoder
+from .tokens import worker_encoder
 
 SEGMENTS = "part long, segment long, n_docs long, n_ids long, frame binary"
 MAGIC = b"IDS1"
@@ -66,7 +66,7 @@ def decode_segment(frame: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id",
                  text: str = "text", end_id: int = 2, block: int = 2048,
-                 segment_ids: int = 8_000_000, part_chars: int = 20_000_000) -> None:
+                 segment_ids: int = 5_000_000, part_chars: int = 12_000_000) -> None:
     """Write every document's ids, ``end_id`` after each, to ``path``.
 
     Null and empty texts are documents of one id.  Null document ids come first;
@@ -82,7 +82,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, segment = TaskContext.get().partitionId(), 0
-        encoder = PieceEncoder(tokenizer, "lead")
+        encoder = worker_encoder(tokenizer, "lead")
         held: list = []
 
         def flush() -> pa.RecordBatch:
