@@ -126,7 +126,7 @@ def _greedy(docs, starts, lengths, window, next_seq) -> np.ndarray:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-                   window: int = 4096, end_id: int = 2, group_ids: int = 4_000_000) -> DataFrame:
+                   window: int = 4096, end_id: int = 2, group_ids: int = 2_000_000) -> DataFrame:
     """Pieces of every document: ``doc_id, start, length, doc_tokens, sequence_id, offset``
     and the piece's ``ids`` (little-endian uint32).
 
@@ -166,7 +166,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
                              pa.binary())], names)
             base += int(rows[:, 3].max()) + 1
 
-        for keys, texts in text_batches(batches):
+        for keys, texts in text_batches(batches, 2_000_000):
             ids, lengths = encoder.encode(texts, end_id)
             held.append((keys, ids, lengths))
             size += len(ids)

@@ -32,7 +32,7 @@ class PieceEncoder:
     is cleared beyond ``max_pieces`` pieces or four times as many ids.
     """
 
-    def __init__(self, path: str, spaces: str, max_pieces: int = 1_000_000):
+    def __init__(self, path: str, spaces: str, max_pieces: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
