@@ -184,7 +184,8 @@ def ingest_deduplicated(messages: DataFrame, sink: str, quarantine: str, late: s
     in that span (an anti join with the landed keys; the span bounds what is read,
     by the event times in the files' statistics).  An older row, or one without
     an event time, can't be told from a first delivery, so it goes to the ``late``
-    table.  Landed + repeats + late + quarantined = sent.  The newest time
+    table.  A message without a key is no repeat of another one: it lands as it is.
+    Landed + repeats + late + quarantined = sent.  The newest time
     of each batch is kept next to the sink, one row per batch.
     """
     progress = f"{sink.rstrip('/')}_progress"
@@ -205,12 +206,13 @@ def ingest_deduplicated(messages: DataFrame, sink: str, quarantine: str, late: s
         spark = batch.sparkSession
         limit = horizon(spark, tag)
         keep = to_bronze(batch.where(~is_late(limit)), partition_date, ("key", "event_time"))
-        keep = keep.dropDuplicates(["key"])
+        unkeyed = keep.where("key IS NULL")
+        keep = keep.where("key IS NOT NULL").dropDuplicates(["key"])
         if limit is not None and path_exists(spark, sink):
             landed = spark.read.schema(keep.withColumn("batch", F.lit(tag)).schema).parquet(sink)
             landed = landed.where((F.col("event_time") >= F.lit(limit)) & (F.col("batch") < tag))
             keep = keep.join(landed.select("key"), "key", "left_anti")
-        return keep
+        return keep.unionByName(unkeyed)
 
     def older(batch: DataFrame, tag: str) -> DataFrame:
         return to_bronze(batch.where(is_late(horizon(batch.sparkSession, tag))), partition_date,

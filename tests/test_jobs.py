@@ -214,3 +214,23 @@ def test_ingest_lands_each_key_once_and_keeps_late_rows(spark):
     assert key(sink) == [1, 2, 4]
     assert key(f"{sink}_late") == [1, 3, 6]
     assert key(f"{sink}_quarantine") == [5]
+
+
+def test_ingest_with_dedupe_lands_every_message_without_a_key(spark):
+    topic, sink, ckpt = (fresh_path(spark, n) for n in ("u-topic", "u-sink", "u-ckpt"))
+
+    def land(*rows):
+        S.land_messages(spark.createDataFrame(
+            [(k, json.dumps({"timestamp_summoner": t}).encode()) for k, t in rows],
+            "key long, value binary"), topic, files=1)
+        jobs.main(["ingest", sink, ckpt, "--files", topic, "--date", "2024-01-02", "--dedupe", "3600"],
+                  spark=spark)
+    land((None, "2024-01-01T10:00:00"), (None, "2024-01-01T10:01:00"), (1, "2024-01-01T10:02:00"),
+         (1, "2024-01-01T10:02:00"))
+    land((None, "2024-01-01T10:03:00"), (None, "2024-01-01T10:03:00"), (1, "2024-01-01T10:02:00"),
+         (None, "2024-01-01T01:00:00"))
+    landed = spark.read.parquet(sink).collect()
+    assert sorted(r.timestamp_summoner[11:16] for r in landed if r.key is None) == [
+        "10:00", "10:01", "10:03", "10:03"]
+    assert [r.key for r in landed if r.key is not None] == [1]
+    assert [r.key for r in spark.read.parquet(f"{sink}_late").collect()] == [None]
