@@ -1,10 +1,11 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame operations only.
 
 A seed is a fixed mask over a span of tokens; positions the mask leaves out may
-differ.  Every place of a training text and of a test item is hashed under each
-mask, the hashes are joined, and around each hit the two token sequences are
-laid over each other on the hit's diagonal: the best stretch of the overlap, in
-which a few substitutions may stand, decides.
+differ, and no stretch that the threshold accepts is without a seed.  Every place of
+a training text and of a test item is hashed under each mask, the hashes are joined,
+and around each hit the two token sequences are laid over each other on the hit's
+diagonal: the best stretch of the overlap, in which a few substitutions may stand,
+decides.
 """
 
 from __future__ import annotations
@@ -16,28 +17,38 @@ from pyspark.sql import functions as F
 
 from .common import word_terms, written
 
-# Fixed masks: places of a span that must agree.  Each ignores two inner places, all
-# six of them between the masks, so one substitution inside a span leaves two masks whole.
-MASKS = ((0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 7), (0, 1, 2, 4, 5, 7))
-SPAN = 8
+# Fixed masks: places that must agree.  A stretch's running sum (+1 a match, -2 a
+# substitution) stays above 0 from its first word on, so its first five matches stand
+# as 11111, 111011 or 111101: any stretch of five matches or more begins with a seed.
+MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 2, 3, 5))
+SPAN = 5
+# A shorter item needs a run without substitutions: by words of the item, the run's length.
+RUNS = {1: 1, 2: 2, 3: 3, 4: 4, 5: 4}
 SEEDS_AT_ONCE = 1_000_000          # test hashes broadcast in one pass (about 40 MB)
 
 
-def _seed(words: Column, at: Column, mask: int, length: Column) -> Column:
-    """Hash of the masked words from (0-based) place ``at``; null if the span leaves the text."""
-    return F.when(at + SPAN <= length,
-                  F.xxhash64(F.lit(mask), *(F.get(words, at + o) for o in MASKS[mask])))
+def _seed(words: Column, at: Column, mask: tuple[int, ...], length: Column) -> Column:
+    """Hash of the masked words from (0-based) place ``at``; null if they leave the text."""
+    return F.when(at + mask[-1] < length,
+                  F.xxhash64(F.lit(str(mask)), *(F.get(words, at + o) for o in mask)))
 
 
 def test_seeds(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """``h, item_id, ipos, item``: every seed of every item, with the item's words."""
+    """``h, run, item_id, ipos, item``: every seed of every item, with the item's words;
+    ``run`` is the length of a short item's run, 0 for a seed by ``MASKS``."""
     words = items.where(F.col(item_id).isNotNull()).select(
         F.col(item_id).cast("long").alias("item_id"),
         word_terms(F.col(text).cast("string")).alias("item")).distinct()
     at = words.select("item_id", "item", F.posexplode("item").alias("ipos", "_w"))
-    seeds = F.array(*(_seed(F.col("item"), F.col("ipos"), m, F.size("item"))
-                      for m in range(len(MASKS))))
-    return at.select("item_id", "item", "ipos", F.explode(seeds).alias("h")).where("h IS NOT NULL")
+    size = F.size("item")
+
+    def seeds(mask: tuple[int, ...], run: int, wanted: Column) -> Column:
+        return F.struct(F.when(wanted, _seed(F.col("item"), F.col("ipos"), mask, size)).alias("h"),
+                        F.lit(run).alias("run"))
+    short = [seeds(tuple(range(run)), run, size.isin([n for n, r in RUNS.items() if r == run]))
+             for run in sorted(set(RUNS.values()))]
+    every = F.array(*(seeds(m, 0, size > max(RUNS)) for m in MASKS), *short)
+    return at.select("item_id", "item", "ipos", F.inline(every)).where("h IS NOT NULL")
 
 
 def stretch(doc: Column, item: Column, bonus: int = 1, malus: int = 2) -> Column:
@@ -65,8 +76,8 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     """``doc_id, item_id, matched, item_words``: each document that holds a passage of an item.
 
     A pair counts if the best overlap on some diagonal matches at least ``min_words``
-    words, or ``min_share`` of an item that is shorter; items below one span of
-    8 words hold no seed and are not found.  Null texts and rows without an id hold
+    words, or ``min_share`` of an item that is shorter.  Every such pair holds a seed
+    for thresholds no lower than the default ones.  Null texts and rows without an id hold
     nothing.  Repeated rows, and rows that share an id, count as one document.  Empty
     tables give no rows; other columns are ignored.
 
@@ -76,13 +87,15 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     """
     seeds = written(test_seeds(items, item_id, item_text), "test-seeds")
     passes = max(1, -(-seeds.count() // SEEDS_AT_ONCE))
+    runs = sorted(r.run for r in seeds.select("run").distinct().collect())
+    masks = [m for run in runs for m in (MASKS if run == 0 else (tuple(range(run)),))]
     words = docs.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"),
         word_terms(F.col(text).cast("string")).alias("words"))
     # The outer forms keep Spark from inferring a filter that would split every text twice.
     places = words.select("doc_id", "words", F.posexplode_outer("words").alias("pos", "_w"))
     hashed = places.select("doc_id", "words", "pos", F.explode_outer(F.array(*(
-        _seed(F.col("words"), F.col("pos"), m, F.size("words")) for m in range(len(MASKS)))))
+        _seed(F.col("words"), F.col("pos"), m, F.size("words")) for m in masks or MASKS)))
         .alias("h"))
 
     def hits(part: DataFrame) -> DataFrame:
@@ -90,7 +103,10 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
         start = F.col("pos") - F.col("ipos")
         under = F.transform(F.col("item"), lambda _, i: F.when(
             start + i >= 0, F.get(F.col("words"), start + i)))
-        return hashed.join(F.broadcast(part), "h").select(
+        # A stretch starts at an end or behind a substitution; hits further on are left out.
+        first = (F.col("pos") == 0) | (F.col("ipos") == 0) | (
+            F.get("words", F.col("pos") - 1) != F.get("item", F.col("ipos") - 1))
+        return hashed.join(F.broadcast(part.drop("run")), "h").where(first).select(
             "doc_id", "item_id", start.alias("diagonal"), F.size("item").alias("item_words"),
             stretch(under, F.col("item")).alias("matched"))
 

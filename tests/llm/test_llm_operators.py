@@ -456,6 +456,44 @@ def test_several_passes_give_the_same(spark, monkeypatch):
     assert exact <= {r[:2] for r in one}
 
 
+def brute_matched(doc, item):
+    """Matched words of the best stretch, over all diagonals."""
+    top = 0
+    for d in range(-len(item) + 1, len(doc)):
+        total = hits = best = matched = 0
+        for i, w in enumerate(item):
+            same = 0 <= d + i < len(doc) and doc[d + i] == w
+            total = max(0, total + (1 if same else -2))
+            hits = hits + same if total else 0
+            if total > best:
+                best, matched = total, hits
+        top = max(top, matched)
+    return top
+
+
+def test_every_accepted_substitution_is_found(spark):
+    rng = random.Random(5)
+    sizes = [1, 2, 3, 4, 5, 6, 7, 8, 8, 9, 11, 12, 16, 16, 17, 40]
+    items = {i: [f"w{i}x{rng.randrange(3 * n)}" for _ in range(n)] for i, n in enumerate(sizes)}
+    docs = {0: items[12][:7] + ["a", "b"] + items[12][9:], 1: ["a"] + items[7][1:],
+            2: items[7][:-1] + ["a"]}
+    for item in items.values():
+        for _ in range(40):
+            words = [w if rng.random() < 0.85 else "zz" for w in item]
+            cut = rng.choice([0, 0, 1, 3])
+            docs[len(docs)] = ["yy"] * rng.choice([0, 2]) + words[cut:] + ["xx"] * rng.choice([0, 2])
+        for k in (3, 4, 5):                       # a word of every k replaced
+            docs[len(docs)] = ["zz" if j % k == k - 1 else w for j, w in enumerate(item)]
+    want = {(d, i): m for d, doc in docs.items() for i, item in items.items()
+            if (m := brute_matched(doc, item)) >= min(13, 0.8 * len(item))}
+    assert {(0, 12), (1, 7), (2, 7)} <= set(want) and len({i for _, i in want}) == len(items)
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    tests = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()],
+                                  "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in decontam.contaminated(df, tests).collect()}
+    assert got == want
+
+
 # Language and toxicity
 
 def test_languages(spark, odd, none):
