@@ -110,20 +110,45 @@ _WIDER = {
 }
 
 
+_AT = re.compile(r"(?i)\(at\)|\[at\]|\x20at\x20")
+_SENTENCE = re.compile(r"\.\x20(?=[A-Z])")
+
+
+def _last_label(span: str) -> str:
+    return re.split(r"[^A-Za-z0-9]+", span.rstrip(")]. "))[-1].lower()
+
+
+def _obfuscated(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the pattern, without the sentence behind a known top-level domain.  A match
+    without one may hide the next address, so the search goes on inside it."""
+    pattern = _WIDER["obfuscated_email"]
+    m = pattern.search(text)
+    while m:
+        start, end = m.span()
+        stop = next((start + d.start() for d in _SENTENCE.finditer(m.group())
+                     if pattern.fullmatch(text, start, start + d.start())
+                     and _last_label(text[start:start + d.start()]) in _TLDS), None)
+        yield start, stop or end
+        inside = stop is None and _last_label(m.group()) not in _TLDS
+        m = pattern.search(text, _AT.search(text, start).end() if inside else stop or end)
+
+
 def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, int]]:
     """Further candidates, each kind leftmost, none overlapping a base span."""
     digit = bool(_DIGIT.search(text))
     run = {"identifier": digit, "national_phone": digit,
-           "obfuscated_email": "(at)" in text or "[at]" in text or " dot " in text,
+           "obfuscated_email": any(at in text.lower() for at in ("(at)", "[at]", " at ")),
            "secret": "AKIA" in text or "=" in text or ":" in text}
     taken = sorted(s for spans in base.values() for s in spans)
     ends = np.maximum.accumulate(np.array([e for _, e in taken] or [0]))
     out = []
     for kind, wanted in run.items():
-        for m in _WIDER[kind].finditer(text) if wanted else ():
-            i = np.searchsorted([s for s, _ in taken], m.end())
-            if i == 0 or ends[i - 1] <= m.start():
-                out.append((kind, *m.span()))
+        spans = _obfuscated(text) if kind == "obfuscated_email" else (
+            m.span() for m in _WIDER[kind].finditer(text))
+        for start, end in spans if wanted else ():
+            i = np.searchsorted([s for s, _ in taken], end)
+            if i == 0 or ends[i - 1] <= start:
+                out.append((kind, start, end))
     return out
 
 
@@ -154,7 +179,9 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
               "national_phone": r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}",
               "obfuscated_email": r"(?i).*(?:\(at\)|\[at\]| at ).*(?:\.|dot).*",
               "secret": r"(?s)AKIA[0-9A-Z]{16}|.*[=:].*"}[kind]
-    out.append(1 if re.fullmatch(strict, span) else -1)
+    prose = kind == "obfuscated_email" and not re.search(r"(?i)[(\[](?:at|dot)[)\]]", span) and (
+        _SENTENCE.search(span) or not _last_label(span).isalpha())
+    out.append(1 if re.fullmatch(strict, span) and not prose else -1)
     # Structure: checksums and value ranges.
     if kind == "card":
         out.append(1 if luhn(digits) else -1)
@@ -170,11 +197,14 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
         out.append(1 if int("".join(str(int(c, 36)) for c in moved)) % 97 == 1 else -1)
     elif kind == "secret":
         out.append(1 if len(set(span.split("=")[-1].split(":")[-1].strip(" \"'"))) >= 6 else -1)
+    elif kind == "obfuscated_email":
+        out.append(-1 if prose else
+                   1 if re.search(r"(?i)[(\[]at[)\]]", span) or _last_label(span) in _TLDS else -1)
     else:
         out.append(0)
     # Gazetteers: top-level domains and key heads.
     if "email" in kind:
-        out.append(1 if re.split(r"[^A-Za-z0-9]+", span.rstrip(")]. "))[-1].lower() in _TLDS else -1)
+        out.append(1 if _last_label(span) in _TLDS else -1)
     elif kind == "secret":
         out.append(1 if any(h in span for h in _KEY_HEADS) else 0)
     else:

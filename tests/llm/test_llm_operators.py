@@ -329,6 +329,23 @@ def test_personal_data_of_odd_rows(spark, odd, none):
     assert pii.redact(none, pii.fit(none)).count() == 0
 
 
+def test_every_spelling_of_an_obfuscated_email_goes(spark, odd):
+    spelled = [f"jane{a}example{d}com" for a in ("(at)", " (at) ", "[at]", " [AT] ", " at ", " AT ")
+               for d in (".", "(dot)", " (DOT) ", "[dot]", " [dot] ", " dot ", " DOT ", " . ")]
+    prose = ["We met at noon. Then they left at six. Nobody stayed at home. Fine.",
+             "It opens at 9.30 and closes at 17.45 each day."]
+    rows = [(i, f"mail {t} soon") for i, t in enumerate(spelled)] + [
+        (900 + i, t) for i, t in enumerate(prose)] + [
+        (950, "I was at home. jane (at) example.com is new. bob at example.org. Thanks a lot.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ship(spark)
+    clean = {r.doc_id: r.text for r in pii.redact(docs, pii.fit(docs)).collect()}
+    assert {clean[i] for i in range(len(spelled))} == {"mail <OBFUSCATED_EMAIL> soon"}
+    assert [clean[900 + i] for i in range(len(prose))] == prose
+    assert clean[950] == ("I was at home. <OBFUSCATED_EMAIL> is new. <OBFUSCATED_EMAIL>. "
+                          "Thanks a lot.")
+
+
 def test_em_prefers_agreeing_labelers():
     patterns = np.array([[0, 1, 1, 1, 0, 0, 1], [0, -1, -1, 0, 0, -1, -1], [0, 1, 1, -1, 0, 0, 1]])
     soft, learned = pii.em(patterns, np.array([100.0, 100.0, 5.0]))
