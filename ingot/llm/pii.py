@@ -97,7 +97,8 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 _WIDER = {
     "identifier": re.compile(
         r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-        r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])"),
+        r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?:\x20?[A-Z0-9]{4}){3,7}"
+        r"(?:\x20?[A-Z0-9]{1,3})?|(?:\x20?[A-Z0-9]{4}){2}\x20?[A-Z0-9]{3})(?![A-Za-z0-9])"),
     "national_phone": re.compile(
         r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-]?[0-9])"),
     "obfuscated_email": re.compile(
@@ -106,7 +107,7 @@ _WIDER = {
     "secret": re.compile(
         r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
         r"|(?i:(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key)\x20{0,2}[=:]\x20{0,2}"
-        r"[\"']?[^\s\"']{6,200}[\"']?)"),
+        r"[\"']?[^\s\"']{6,}+[\"']?)"),
 }
 
 
@@ -133,8 +134,37 @@ def _obfuscated(text: str) -> Iterator[tuple[int, int]]:
         m = pattern.search(text, _AT.search(text, start).end() if inside else stop or end)
 
 
+def _iban(span: str) -> bool:
+    moved = span.replace(" ", "")
+    moved = moved[4:] + moved[:4]
+    return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
+
+
+def _identifiers(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of the pattern; an IBAN ends where its check digits hold, since a word in
+    capitals behind it may look like one more group."""
+    for m in _WIDER["identifier"].finditer(text):
+        start, end = m.span()
+        stops = [end, *(i for i in range(end - 1, start + 14, -1) if text[i] == " ")]
+        if "-" not in m.group():
+            end = next((i for i in stops if _iban(text[start:i])), end)
+        yield start, end
+
+
+def _outside(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a span that lie in no taken span."""
+    for s, e in taken:
+        if s < end and e > start:
+            if s > start:
+                yield start, s
+            start = max(start, e)
+    if start < end:
+        yield start, end
+
+
 def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, int]]:
-    """Further candidates, each kind leftmost, none overlapping a base span."""
+    """Further candidates, each kind leftmost, none overlapping a base span but secrets whose
+    value has begun before it (``all_spans`` then gives the parts around it)."""
     digit = bool(_DIGIT.search(text))
     run = {"identifier": digit, "national_phone": digit,
            "obfuscated_email": any(at in text.lower() for at in ("(at)", "[at]", " at ")),
@@ -144,11 +174,16 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
     out = []
     for kind, wanted in run.items():
         spans = _obfuscated(text) if kind == "obfuscated_email" else (
-            m.span() for m in _WIDER[kind].finditer(text))
+            _identifiers(text) if kind == "identifier" else (
+                m.span() for m in _WIDER[kind].finditer(text)))
         for start, end in spans if wanted else ():
             i = np.searchsorted([s for s, _ in taken], end)
             if i == 0 or ends[i - 1] <= start:
                 out.append((kind, start, end))
+            elif kind == "secret":
+                first = min(max(s, start) for s, e in taken if s < end and e > start)
+                if _WIDER[kind].match(text, start, first):
+                    out.append((kind, start, end))
     return out
 
 
@@ -175,7 +210,7 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     # Regex: the strict form of the kind.
     strict = {"email": r"[\w.%+-]+@(?:[\w-]+\.)+[A-Za-z]{2,}", "ip": r"(?:\d{1,3}\.){3}\d{1,3}",
               "card": r"\d{13,19}|(?:\d{4}[ -]){3}\d{1,7}", "phone": r"\+\d[\d ().-]{7,24}\d",
-              "identifier": r"\d{3}-\d{2}-\d{4}|[A-Z]{2}\d{2}[A-Z0-9 ]{11,33}",
+              "identifier": r"\d{3}-\d{2}-\d{4}|[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}",
               "national_phone": r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}",
               "obfuscated_email": r"(?i).*(?:\(at\)|\[at\]| at ).*(?:\.|dot).*",
               "secret": r"(?s)AKIA[0-9A-Z]{16}|.*[=:].*"}[kind]
@@ -192,9 +227,7 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     elif kind == "identifier" and "-" in span:
         out.append(-1 if span[:3] in ("000", "666") or span[0] == "9" else 1)
     elif kind == "identifier":
-        moved = span.replace(" ", "")
-        moved = moved[4:] + moved[:4]
-        out.append(1 if int("".join(str(int(c, 36)) for c in moved)) % 97 == 1 else -1)
+        out.append(1 if _iban(span) else -1)
     elif kind == "secret":
         out.append(1 if len(set(span.split("=")[-1].split(":")[-1].strip(" \"'"))) >= 6 else -1)
     elif kind == "obfuscated_email":
@@ -316,7 +349,9 @@ def all_spans(text: str, weights: np.ndarray) -> tuple[dict, list[tuple[str, int
     if more:
         found = np.array([[int(v) for v in _pattern(text, *c).split(",")] for c in more])
         keep = _features(found) @ weights > 0
-        out += sorted((c for c, ok in zip(more, keep, strict=True) if ok),
+        taken = sorted((s, e) for _, s, e in out)
+        out += sorted(((k, *part) for (k, s, e), ok in zip(more, keep, strict=True) if ok
+                       for part in _outside(s, e, taken)),
                       key=lambda c: (KINDS.index(c[0]), c[1]))
     return base, out
 

@@ -346,6 +346,25 @@ def test_every_spelling_of_an_obfuscated_email_goes(spark, odd):
                           "Thanks a lot.")
 
 
+def test_long_secrets_and_ibans_go_whole(spark, odd):
+    rng = random.Random(3)
+    token = "".join(rng.choices("abcdefghijkmnopqrstuvwxyzABCDEF", k=600))
+    ibans = ["DE89370400440532013000", "FR1420041010050500013M02606", "GB29NWBK60161331926819",
+             "IT60X0542811101000000123456", "ES9121000418450200051332", "NO9386011117947",
+             "MT84MALT011000012345MTLCAST001S"]
+    spaced = [" ".join(i[j:j + 4] for j in range(0, len(i), 4)) for i in ibans]
+    rows = [(i, f"my IBAN {t} BANK") for i, t in enumerate(ibans + spaced)] + [
+        (100, f"token={token} end"), (101, f'api_key: "{token}" end'),
+        (102, f"token={token},a.b@c.example.com;{token} end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ship(spark)
+    weights = pii.fit(docs)
+    clean = {r.doc_id: r.text for r in pii.redact(docs, weights).collect()}
+    assert {clean[i] for i in range(len(rows) - 3)} == {"my IBAN <IDENTIFIER> BANK"}
+    assert (clean[100], clean[101]) == ("<SECRET> end", "<SECRET> end")
+    assert clean[102] == "<SECRET><EMAIL><SECRET> end"
+
+
 def test_em_prefers_agreeing_labelers():
     patterns = np.array([[0, 1, 1, 1, 0, 0, 1], [0, -1, -1, 0, 0, -1, -1], [0, 1, 1, -1, 0, 0, 1]])
     soft, learned = pii.em(patterns, np.array([100.0, 100.0, 5.0]))
