@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import text_batches, written
 
@@ -305,6 +306,26 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct()
 
 
+def _labelled(docs: DataFrame, doc_id: str, text: str, shingle: int, tau: int) -> DataFrame:
+    """``near_duplicates`` with ``low_fp``: in each component the smallest fingerprint of
+    the rows with its smallest id."""
+    fps = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    comps = written(components(links(distinct, tau)), "components")
+    named = distinct.join(comps, distinct.fp == comps.node).select("fp", "root", "first_id")
+    lowest = named.groupBy("root").agg(F.min(F.when(
+        F.col("first_id").isNotNull(), F.struct("first_id", "fp"))).alias("low"))
+    linked = named.join(lowest, "root").select(F.col("fp").alias("linked_fp"), "low")
+    # Written, so that the last join's sides are plain exchanges: AQE then splits the
+    # partition of a fingerprint that very many rows share.
+    label = written(distinct.join(linked, distinct.fp == linked.linked_fp, "left").select(
+        F.col("fp").alias("label_fp"),
+        F.coalesce("low.first_id", "first_id").alias("component_id"),
+        F.coalesce("low.fp", "fp").alias("low_fp")), "labels")
+    return fps.join(label, fps.fp == label.label_fp).select(
+        "doc_id", "fp", "component_id", "low_fp")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     shingle: int = 3, tau: int = 3) -> DataFrame:
     """``doc_id, fp, component_id``, a row per document: its fingerprint (signed long) and
@@ -315,30 +336,37 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Repeated rows and ids each keep their row.  An empty table gives no rows; other
     columns are ignored.
     """
-    fps = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    comps = written(components(links(distinct, tau)), "components")
-    named = distinct.join(comps, distinct.fp == comps.node).select("fp", "root", "first_id")
-    lowest = named.groupBy("root").agg(F.min("first_id").alias("low"))
-    linked = named.join(lowest, "root").select(F.col("fp").alias("linked_fp"), "low")
-    # Written, so that the last join's sides are plain exchanges: AQE then splits the
-    # partition of a fingerprint that very many rows share.
-    label = written(distinct.join(linked, distinct.fp == linked.linked_fp, "left").select(
-        F.col("fp").alias("label_fp"), F.coalesce("low", "first_id").alias("component_id")), "labels")
-    return fps.join(label, fps.fp == label.label_fp).select("doc_id", "fp", "component_id")
+    return _labelled(docs, doc_id, text, shingle, tau).select("doc_id", "fp", "component_id")
+
+
+def _with_fingerprint(docs: DataFrame, name: str, text: str, shingle: int) -> DataFrame:
+    """``docs`` with the fingerprint of each row in a further column."""
+    texts = docs.select(*docs.columns, docs[text].cast("string").alias(f"{name}_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t or "", shingle) for t in
+                            batch.column(batch.num_columns - 1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps.view(np.int64))],
+                                             [*batch.schema.names[:-1], name])
+    return texts.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          shingle: int = 3, tau: int = 3) -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their group: those whose id is the
-    group's smallest.  Of rows that share an id one stays, and rows without an id go.
+    """The rows of ``docs``, all columns, that stand for their group: one row of each, with
+    the group's smallest id.  Rows that share an id are told apart by their
+    fingerprints; of those that share both the one whose columns hash lowest stays.
+    Rows without an id go.
 
     Only ids are shuffled: the list of ids that go is written first, so that its size
-    is known and Spark broadcasts it only below its threshold.
+    is known and Spark broadcasts it only below its threshold.  Texts are shuffled of
+    rows whose id repeats.
     """
-    found = written(near_duplicates(docs, doc_id, text, shingle, tau).where(
-        "doc_id IS NOT NULL").select("doc_id", (F.col("doc_id") == F.col("component_id"))
-                                     .alias("stays")), "groups")
+    found = written(_labelled(docs, doc_id, text, shingle, tau).where(
+        "doc_id IS NOT NULL").select("doc_id", "fp", (
+            (F.col("doc_id") == F.col("component_id")) & (F.col("fp") == F.col("low_fp")))
+            .alias("stays")), "groups")
     ids = found.groupBy("doc_id").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
     gone = written(ids.where(~F.col("stays")).select(F.col("doc_id").alias("gone_id")), "gone")
     twice = written(ids.where(F.col("stays") & (F.col("n") > 1)).select(
@@ -346,5 +374,15 @@ def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     key = docs[doc_id].cast("long")
     kept = docs.where(key.isNotNull()).join(gone, key == gone.gone_id, "left_anti")
     single = kept.join(twice, key == twice.twice_id, "left_anti")
-    double = kept.join(twice, key == twice.twice_id, "left_semi").dropDuplicates([doc_id])
+    chosen = written(found.where("stays").join(twice, F.col("doc_id") == twice.twice_id, "left_semi")
+                     .select(F.col("doc_id").alias("chosen_id"), F.col("fp").alias("chosen_fp"))
+                     .distinct(), "chosen")
+    name = "_".join([*docs.columns, "fp"])
+    double = _with_fingerprint(kept.join(twice, key == twice.twice_id, "left_semi"), name, text,
+                               shingle)
+    double = double.join(chosen, (F.col(doc_id).cast("long") == chosen.chosen_id)
+                         & (F.col(name) == chosen.chosen_fp), "left_semi")
+    row = F.struct(*docs.columns)
+    double = double.groupBy(F.col(doc_id).cast("long"), name).agg(
+        F.min_by(row, F.xxhash64(F.to_json(row))).alias("row")).select("row.*")
     return single.unionByName(double)

@@ -432,6 +432,18 @@ def test_near_duplicates_of_odd_rows(spark, odd, none):
     assert simhash.keep_representatives(none).columns == none.columns
 
 
+def test_texts_that_share_an_id_keep_a_row_of_each_group(spark):
+    ship(spark)
+    x, y, z = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
+    rows = [(3, x, "a"), (5, x, "b"), (5, y, "c"), (5, z, "d"), (5, z, "e"), (5, z, "e"),
+            (7, y, "f"), (9, z, "g")]
+    one, other = (simhash.keep_representatives(spark.createDataFrame(
+        r, "doc_id long, text string, fp string").repartition(3)) for r in (rows, rows[::-1]))
+    kept = sorted(map(tuple, one.collect()))
+    assert [r[:2] for r in kept] == [(3, x), (5, y), (5, z)]
+    assert kept == sorted(map(tuple, other.collect())) and one.columns == ["doc_id", "text", "fp"]
+
+
 def test_fingerprint_follows_its_definition():
     import xxhash
     text = "One two THREE\x0bfour é one two three"
