@@ -9,8 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_path
-from . import chat, decontam, langid, licenses, packing, pii, simhash, tokenfile, topk, toxicity
+from ..session import fresh_path, remove_path
+from . import (
+    bytebpe,
+    chat,
+    decontam,
+    langid,
+    licenses,
+    merkle,
+    packing,
+    pii,
+    simhash,
+    tokenfile,
+    topk,
+    toxicity,
+)
 from .common import remainder, ship, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +115,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@_query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    altered = F.crc32(docs.doc_id.cast("string").cast("binary")) % 2 == 0
+    claim = [F.when(altered, F.replace(docs.text, F.lit("\n"), F.lit(""))).otherwise(docs.text)
+             if c == "text" else docs[c] for c in MANIFEST_FIELDS]
+    path = fresh_path(spark, "manifest")
+    merkle.build(docs, MANIFEST_FIELDS, path, claim=claim)
+    proofs = merkle.prove(spark, path)
+    remove_path(spark, path)
+
+    def text(digest: str):
+        return F.lower(F.hex(digest))
+
+    return proofs.select(
+        "doc_id", text("leaf").alias("leaf"), text("subroot").alias("subroot"),
+        text("root").alias("root"), F.sha2(text("siblings"), 256).alias("proof_sha256"),
+        text("folded_root").alias("folded_root"), "verified")
+
+
+@_query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bytebpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bytebpe.decode(encoded, ranks, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 ORACLES["op4_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -225,3 +270,77 @@ matches AS (
 SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(max(n) AS INTEGER) AS item_words
 FROM matches GROUP BY doc_id, item_id
 HAVING max(matched) >= least(13, 0.8 * max(n))"""
+
+
+def _sql_crc32(number: str) -> str:
+    """Unsigned crc32 of a decimal number's text, bit by bit."""
+    return (f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform("
+            f"string_split(CAST({number} AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))), "
+            "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], "
+            "lambda d, k: xor(d >> 1, 3988292384 * (d & 1)))))")
+
+
+def _sql_digest(text: str) -> str:
+    def field(c: str) -> str:
+        return f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256({' || '.join(field(c) for c in fields)})"
+
+
+# Levels of a tree are built run by run; a node names its place, level and group.
+_SQL_TREE = """
+{name}(grp, level, place, digest, total) AS (
+  {leaves}
+  UNION ALL
+  SELECT grp, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)),
+         (max(total) + 2) // 3
+  FROM {name} WHERE total > 1 GROUP BY grp, level, place // 3)"""
+
+
+def _sql_siblings(tree: str, alias: str) -> str:
+    return (f"coalesce((SELECT string_agg(s.digest, '' ORDER BY s.place) FROM {tree} s WHERE "
+            f"s.grp = {alias}.grp AND s.level = {alias}.level AND s.place // 3 = {alias}.place // 3 "
+            f"AND s.place < {alias}.place), '')",
+            f"coalesce((SELECT string_agg(s.digest, '' ORDER BY s.place) FROM {tree} s WHERE "
+            f"s.grp = {alias}.grp AND s.level = {alias}.level AND s.place // 3 = {alias}.place // 3 "
+            f"AND s.place > {alias}.place), '')")
+
+
+def _sql_climb(name: str, start: str, tree: str) -> str:
+    before, after = _sql_siblings(tree, "c")
+    return f"""
+{name}(r, grp, level, place, total, folded, proof) AS (
+  {start}
+  UNION ALL
+  SELECT r, grp, level + 1, place // 3, (total + 2) // 3, sha256({before} || folded || {after}),
+         proof || {before} || {after}
+  FROM {name} c WHERE total > 1)"""
+
+
+_START = ("SELECT r, grp, 0 AS level, place, total, claim AS folded, '' AS proof FROM own")
+_NEXT = ("SELECT c.r, 'all' AS grp, 0 AS level, s.place, s.total, c.folded, c.proof "
+         "FROM low c JOIN sources s ON s.of = c.grp WHERE c.total = 1")
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE raw AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce('+' || source, '-') AS grp,
+         {_sql_digest('text')} AS digest,
+         {_sql_digest("CASE WHEN crc_even THEN replace(text, chr(10), '') ELSE text END")} AS claim
+  FROM (SELECT *, {_sql_crc32('doc_id')} % 2 = 0 AS crc_even FROM documents)),
+own AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, digest, claim) - 1
+         AS place, count(*) OVER (PARTITION BY grp) AS total FROM raw),
+{_SQL_TREE.format(name='tree', leaves='SELECT grp, 0 AS level, place, digest, total FROM own')},
+tops AS (SELECT grp, digest FROM tree WHERE total = 1),
+sources AS (
+  SELECT grp AS of, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, digest,
+         count(*) OVER () AS total
+  FROM tops JOIN (SELECT DISTINCT grp, source FROM own) USING (grp)),
+{_SQL_TREE.format(name='above',
+                  leaves="SELECT 'all' AS grp, 0 AS level, place, digest, total FROM sources")},
+{_sql_climb('low', _START, 'tree')},
+{_sql_climb('high', _NEXT, 'above')}
+SELECT own.doc_id, own.digest AS leaf, tops.digest AS subroot, root.digest AS root,
+       sha256(high.proof) AS proof_sha256, high.folded AS folded_root,
+       high.folded = root.digest AS verified
+FROM own JOIN tops USING (grp) JOIN high ON high.r = own.r AND high.total = 1
+CROSS JOIN (SELECT digest FROM above WHERE total = 1) root"""
