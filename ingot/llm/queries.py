@@ -19,12 +19,13 @@ from . import (
     merkle,
     packing,
     pii,
+    prefixtrie,
     simhash,
     tokenfile,
     topk,
     toxicity,
 )
-from .common import remainder, ship, table
+from .common import remainder, ship, table, written
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -147,6 +148,15 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = written(prefixtrie.turn_paths(table(spark, sf_dir, "conversations")), "paths")
+    own = F.col("conv_id")
+    heads = paths.where(own % 100 == 0)
+    return prefixtrie.trie(prefixtrie.graft(
+        paths, heads, own - own % 100, F.crc32(own.cast("string").cast("binary")) % 6, 5))
+
+
 ORACLES["op4_exact_top_k"] = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -344,3 +354,40 @@ SELECT own.doc_id, own.digest AS leaf, tops.digest AS subroot, root.digest AS ro
        high.folded = root.digest AS verified
 FROM own JOIN tops USING (grp) JOIN high ON high.r = own.r AND high.total = 1
 CROSS JOIN (SELECT digest FROM above WHERE total = 1) root"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id AS c, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')
+         AS said, length(coalesce(text, '')) AS size, row_number() OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT c, c - c % 100 AS base, {_sql_crc32('c')} % 6 AS h FROM t),
+laid AS (
+  SELECT c.c, 0 AS own, t.p, t.said, t.size FROM c JOIN t ON t.c = c.base AND t.p <= c.h
+  UNION ALL
+  SELECT c.c, 1, t.p, t.said, t.size FROM c JOIN t ON t.c = c.c AND t.p > c.h),
+turn AS (
+  SELECT c, size, row_number() OVER w AS d,
+         sha256(string_agg(length(said) || ':' || said, '') OVER w) AS node
+  FROM laid WINDOW w AS (PARTITION BY c ORDER BY own, p)),
+member AS (SELECT c, 0 AS d, 'root' AS node, 0 AS size FROM c
+           UNION ALL SELECT c, d, node, size FROM turn),
+node AS (SELECT node, any_value(d) AS d, min(c) AS low, count(*) AS n, any_value(size) AS size
+         FROM member GROUP BY node),
+link AS (SELECT DISTINCT b.node, a.node AS up FROM member b JOIN member a
+         ON a.c = b.c AND a.d = b.d - 1),
+kids AS (SELECT up AS node, count(*) AS kids FROM link GROUP BY up),
+below AS (
+  SELECT m.node, sum(CASE WHEN k.kids IS NULL THEN 1 ELSE 0 END) AS leaves,
+         sum((u.n - 1) * u.size) AS saved
+  FROM node u JOIN member own ON own.node = u.node AND own.c = u.low
+  JOIN member m ON m.c = u.low AND m.d <= own.d LEFT JOIN kids k ON k.node = u.node
+  GROUP BY m.node),
+ends AS (
+  SELECT m.node, string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c) AS ends
+  FROM member m WHERE m.d = (SELECT max(x.d) FROM member x WHERE x.c = m.c) GROUP BY m.node)
+SELECT n.low AS conv_id, n.d AS depth, p.low AS parent_conv_id, n.n AS n_convs,
+       coalesce(kids.kids, 0) AS n_children, CAST(below.leaves AS BIGINT) AS n_leaves,
+       CAST(below.saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends.ends, '')) AS ends_sha256
+FROM node n JOIN below USING (node) LEFT JOIN kids USING (node) LEFT JOIN ends USING (node)
+LEFT JOIN link USING (node) LEFT JOIN node p ON p.node = link.up"""
