@@ -49,11 +49,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW_CHARS = 64
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000,
                  ) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) groups of about ``max_chars`` characters; null texts read as empty.
 
-    The input's first column is the document id and its second the text.
+    The input's first column is the document id and its second the text.  A row counts
+    ``ROW_CHARS`` besides its text, so empty texts fill a group too.
     """
     ids: list = []
     texts: list[str] = []
@@ -63,7 +67,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000,
                                 strict=True):
             ids.append(doc_id)
             texts.append(text or "")
-            size += len(texts[-1])
+            size += len(texts[-1]) + ROW_CHARS
             if size >= max_chars:
                 yield ids, texts
                 ids, texts, size = [], [], 0

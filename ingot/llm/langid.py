@@ -35,27 +35,53 @@ def _letters() -> np.ndarray:
     return out
 
 
-def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, counts) of all 1- to 3-grams of a whole text; empty without letters."""
+def _gram_codes(text: str, tail: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the n-grams that end in a slice of a text; ``tail`` are the (up to two) letters
+    and blanks before it.  Returns the codes, unsorted, and the tail of the next slice."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     s = _letters()[points]
-    keep = np.ones(len(s), bool)
-    keep[1:] = (s[1:] != 0) | (s[:-1] != 0)          # one blank between words
-    s = np.concatenate([[0], s[keep], [0]]).astype(np.uint64)
-    if not s.any():
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    s = np.concatenate([tail, s, np.zeros(int(last), np.uint64)])
+    new = len(tail)
+    keep = np.ones(len(s), bool)                     # one blank between words
+    keep[new:] = (s[new:] != 0) | (s[new - 1:-1] != 0)
+    s = s[keep]
     n = np.uint64
-    one = s[s != 0]
-    two = (s[:-1] << n(18)) | s[1:]
+    one = s[new:][s[new:] != 0]
+    two = (s[new - 1:-1] << n(18)) | s[new:]
     two = two[two != 0]
-    mid = s[1:-1] != 0
-    three = ((s[:-2] << n(36)) | (s[1:-1] << n(18)) | s[2:])[mid]
-    codes = np.concatenate([one | n(1 << 60), two | n(2 << 60), three | n(3 << 60)])
+    first = max(new, 2)
+    mid = s[first - 1:-1] != 0
+    three = ((s[first - 2:-2] << n(36)) | (s[first - 1:-1] << n(18)) | s[first:])[mid]
+    return np.concatenate([one | n(1 << 60), two | n(2 << 60), three | n(3 << 60)]), s[-2:]
+
+
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     codes.sort()
-    at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))[:len(codes)]
     return codes[at], np.diff(np.append(at, len(codes)))
 
 
+def gram_counts(text: str, size: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of all 1- to 3-grams of a whole text; empty without letters.
+
+    Texts longer than ``size`` characters are counted slice by slice, so the memory
+    beyond the text follows the slice and the number of distinct n-grams."""
+    tail = np.zeros(1, np.uint64)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    for lo in range(0, len(text), size) or (0,):
+        codes, tail = _gram_codes(text[lo:lo + size], tail, lo + size >= len(text))
+        parts.append(_counted(codes))
+        if len(parts) > 1:
+            parts = [_merged(parts)]
+    return parts[0]
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    whole, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    n = np.bincount(at, np.concatenate([n for _, n in parts]), len(whole))
+    return whole, n.astype(np.int64)
+
+
 def ranking(text: str, size: int) -> np.ndarray:
     """Codes of the ``size`` most frequent n-grams, best first; ties by code."""
     codes, counts = gram_counts(text)
@@ -68,31 +94,33 @@ def ranking(text: str, size: int) -> np.ndarray:
 
 def train_profiles(docs: DataFrame, train: Column, text: str = "text", lang: str = "lang",
                    doc_id: str = "doc_id", size: int = 300,
-                   sample_rows: int = 2000) -> dict[str, np.ndarray]:
+                   sample_rows: int = 2000, max_languages: int = 2000) -> dict[str, np.ndarray]:
     """Profiles (codes, best first) of every language in ``lang`` among rows where ``train``.
 
     Fitted on a bounded sample: about ``sample_rows`` rows of each language, chosen
-    by a hash of the document id.  Rows with a null language or text teach nothing.
+    by a hash of document id and text (equal rows come all or none).  Rows with a null
+    language or text teach nothing.  Without any there is no profile; more than
+    ``max_languages`` values are an error, since each gets a profile on the driver.
     """
+    spark = docs.sparkSession
     own = docs.where(train & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
-        F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 30)).alias("h"))
-    sizes = own.groupBy("lang").count().collect()            # one row per language
-    chosen = F.lit(False)
-    for r in sizes:
-        limit = min(1 << 30, -(-(sample_rows << 30) // r["count"]))
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.col("h") < limit))
+        F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(1 << 30)).alias("h"))
+    sizes = own.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(sizes) > max_languages:
+        raise ValueError(f"{lang!r} has more than {max_languages} values")
+    limits = spark.createDataFrame(
+        [(r["lang"], min(1 << 30, -(-(sample_rows << 30) // r["count"]))) for r in sizes],
+        "lang string, below long")                           # at most max_languages rows
+    own = own.join(F.broadcast(limits), "lang").where("h < below")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for name, part in f.groupby("lang"):
                 pairs = [gram_counts(t) for t in part["text"]]
-                codes = np.concatenate([c for c, _ in pairs])
-                whole, at = np.unique(codes, return_inverse=True)
-                n = np.bincount(at, np.concatenate([c for _, c in pairs]), len(whole))
-                yield pd.DataFrame({"lang": name, "code": whole.view(np.int64),
-                                    "n": n.astype(np.int64)})
-    counts = own.where(chosen & F.col("text").isNotNull()).select("lang", "text").mapInPandas(
+                whole, n = _merged(pairs)
+                yield pd.DataFrame({"lang": name, "code": whole.view(np.int64), "n": n})
+    counts = own.where(F.col("text").isNotNull()).select("lang", "text").mapInPandas(
         run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     rows = counts.withColumn("r", F.row_number().over(top)).where(F.col("r") <= size).select(
@@ -140,8 +168,9 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], doc_id: str = "do
 
     ``und`` with score 0 if the text is null or has no letter, or if there is no
     profile.  The score is the share of the best language in a softmax over the
-    distances.  Repeated rows each get their row; an empty table gives no rows;
-    other columns are ignored.
+    distances; of languages at equal distance the first by name is named.  Repeated
+    rows each get their row; an empty table gives no rows; other columns are ignored.
+    Texts of any length are counted whole, in slices.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(profiles, size)
@@ -159,12 +188,15 @@ def accept(docs: DataFrame, profiles: dict[str, np.ndarray], min_score: float =
            text: str = "text", size: int = 300) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a language with ``min_score`` or more.
 
-    Texts that are null or have no letter go, as does every row if there is no profile."""
+    Texts that are null or have no letter go; repeated rows and null ids are judged each
+    by its text.  Rows without any profile to judge them by are an error."""
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(profiles, size)
         for batch in batches:
+            if batch.num_rows and not profiles:
+                raise ValueError("no language profile: no row has a language to learn from")
             found = [matcher.predict(t or "") for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([name != UNDETERMINED and s >= min_score
                                          for name, s in found], pa.bool_()))

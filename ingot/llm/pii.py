@@ -12,8 +12,10 @@ candidates.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -151,13 +153,26 @@ def _identifiers(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def _outside(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+class Taken:
+    """Spans in order, to find those that overlap another one without walking all of them."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans = sorted(spans)
+        self.starts = [s for s, _ in self.spans]
+        self.ends = list(accumulate((e for _, e in self.spans), max))
+
+    def over(self, start: int, end: int) -> list[tuple[int, int]]:
+        """The spans that overlap [start, end), in order."""
+        some = self.spans[bisect_right(self.ends, start):bisect_left(self.starts, end)]
+        return [(s, e) for s, e in some if e > start]
+
+
+def _outside(start: int, end: int, taken: Taken) -> Iterator[tuple[int, int]]:
     """The parts of a span that lie in no taken span."""
-    for s, e in taken:
-        if s < end and e > start:
-            if s > start:
-                yield start, s
-            start = max(start, e)
+    for s, e in taken.over(start, end):
+        if s > start:
+            yield start, s
+        start = max(start, e)
     if start < end:
         yield start, end
 
@@ -169,26 +184,33 @@ def candidates(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[
     run = {"identifier": digit, "national_phone": digit,
            "obfuscated_email": any(at in text.lower() for at in ("(at)", "[at]", " at ")),
            "secret": "AKIA" in text or "=" in text or ":" in text}
-    taken = sorted(s for spans in base.values() for s in spans)
-    ends = np.maximum.accumulate(np.array([e for _, e in taken] or [0]))
+    taken = Taken([s for spans in base.values() for s in spans])
     out = []
     for kind, wanted in run.items():
         spans = _obfuscated(text) if kind == "obfuscated_email" else (
             _identifiers(text) if kind == "identifier" else (
                 m.span() for m in _WIDER[kind].finditer(text)))
         for start, end in spans if wanted else ():
-            i = np.searchsorted([s for s, _ in taken], end)
-            if i == 0 or ends[i - 1] <= start:
+            over = taken.over(start, end)
+            if not over:
+                out.append((kind, start, end))
+            elif kind == "secret" and _WIDER[kind].match(text, start, max(over[0][0], start)):
                 out.append((kind, start, end))
-            elif kind == "secret":
-                first = min(max(s, start) for s, e in taken if s < end and e > start)
-                if _WIDER[kind].match(text, start, first):
-                    out.append((kind, start, end))
     return out
 
 
 # Gazetteers and context words of the labelers.
 _TLDS = frozenset("com org net edu gov io de fr es uk eu info".split())
+_NAMES = frozenset("""
+    adam alan alex alice amy ana andrea andrew angela anna anne anthony antonio barbara ben bob
+    brian carla carlos carmen carol charles charlotte chris claire claudia daniel david diana
+    diego elena elizabeth emily emma eric eva felix francis frank george hans helen henry irene
+    isabel jack james jan jane javier jean jennifer jim joan joe johann john jorge jose joseph
+    juan julia karen karl katharina kevin klaus laura lea leo linda lisa louis lucas lucia luis
+    marc maria marie mark marta martin mary max michael miguel monica nicole nina olivia pablo
+    patricia paul pedro peter petra philip pierre rachel ralf richard robert rosa ruth sabine
+    sam sara sarah sophie stefan steven susan teresa thomas tim tom ursula uwe victor walter
+""".split())
 _KEY_HEADS = ("AKIA", "ghp_", "sk-", "xox")
 _CONTEXT = {
     "email": ("mail", "contact", "write", "kontakt", "correo", "courriel"),
@@ -202,6 +224,15 @@ _CONTEXT |= {"obfuscated_email": _CONTEXT["email"], "national_phone": _CONTEXT["
 _AGAINST = ("version", "isbn", "figure", "page", "section", "commit", "chapter", "article")
 
 
+def _named(span: str) -> bool:
+    """Whether the part before "at" looks like a person's mailbox: a first name among its
+    parts, or letters joined to figures, dots or underscores."""
+    local = re.split(r"(?i)\x20at\x20", span)[0]
+    parts = re.split(r"[^A-Za-z]+", local.lower())
+    return bool(_NAMES & set(parts)) or bool(re.fullmatch(
+        r"[A-Za-z]+[0-9._+-]+[A-Za-z0-9._+-]*[A-Za-z0-9]", local))
+
+
 def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     """Votes of the labelers on one span: 1 personal, -1 not, 0 abstains."""
     span, digits = text[start:end], _digits(text[start:end])
@@ -214,8 +245,13 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
               "national_phone": r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}",
               "obfuscated_email": r"(?i).*(?:\(at\)|\[at\]| at ).*(?:\.|dot).*",
               "secret": r"(?s)AKIA[0-9A-Z]{16}|.*[=:].*"}[kind]
-    prose = kind == "obfuscated_email" and not re.search(r"(?i)[(\[](?:at|dot)[)\]]", span) and (
-        _SENTENCE.search(span) or not _last_label(span).isalpha())
+    # "at" between words is common speech: it joins an address only if the top-level domain is
+    # known and a name, a figure or the context says so.
+    plain = kind == "obfuscated_email" and not re.search(r"(?i)[(\[](?:at|dot)[)\]]", span)
+    named = plain and _named(span)
+    asked = any(w in before for w in _CONTEXT[kind])
+    prose = plain and bool(_SENTENCE.search(span) or _last_label(span) not in _TLDS
+                           or not (named or asked or re.search(r"(?i)\x20dot\x20", span)))
     out.append(1 if re.fullmatch(strict, span) and not prose else -1)
     # Structure: checksums and value ranges.
     if kind == "card":
@@ -235,16 +271,16 @@ def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
                    1 if re.search(r"(?i)[(\[]at[)\]]", span) or _last_label(span) in _TLDS else -1)
     else:
         out.append(0)
-    # Gazetteers: top-level domains and key heads.
+    # Gazetteers: top-level domains, first names and key heads.
     if "email" in kind:
-        out.append(1 if _last_label(span) in _TLDS else -1)
+        out.append(1 if _last_label(span) in _TLDS and not prose else -1)
     elif kind == "secret":
         out.append(1 if any(h in span for h in _KEY_HEADS) else 0)
     else:
         out.append(0)
     # Contexts for and against, and whether the span stands by itself.
-    out.append(1 if any(w in before or kind == "secret" and w in span.lower()
-                        for w in _CONTEXT[kind]) else 0)
+    out.append(1 if asked or kind == "secret" and any(w in span.lower() for w in _CONTEXT[kind])
+               else 0)
     out.append(-1 if any(w in before for w in _AGAINST) else 0)
     alone = not (start and text[start - 1].isalnum()) and not (
         end < len(text) and text[end].isalnum())
@@ -349,7 +385,7 @@ def all_spans(text: str, weights: np.ndarray) -> tuple[dict, list[tuple[str, int
     if more:
         found = np.array([[int(v) for v in _pattern(text, *c).split(",")] for c in more])
         keep = _features(found) @ weights > 0
-        taken = sorted((s, e) for _, s, e in out)
+        taken = Taken([(s, e) for _, s, e in out])
         out += sorted(((k, *part) for (k, s, e), ok in zip(more, keep, strict=True) if ok
                        for part in _outside(s, e, taken)),
                       key=lambda c: (KINDS.index(c[0]), c[1]))
@@ -367,7 +403,8 @@ def find(docs: DataFrame, weights: np.ndarray, doc_id: str = "doc_id",
     (all, in the order of kinds and starts; code points, end exclusive), a row per row.
 
     Null and empty texts have no span.  Repeated rows and ids each keep their row.  Empty
-    tables give no rows; other columns are ignored."""
+    tables give no rows; other columns are ignored.  Texts of any length are searched whole,
+    in work that follows the length and the number of spans."""
     names = [f.split()[0] for f in re.split(r", (?![a-z]+:)", SPANS)]
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

@@ -245,8 +245,9 @@ def _sql_words(text: str) -> str:
 # word, -2 else) over its lowest point so far; its matches count from that point on.
 ORACLES["op9_decontamination"] = f"""
 WITH dw AS (SELECT doc_id, {_sql_words('text')} AS words FROM documents WHERE doc_id IS NOT NULL),
-iw AS (SELECT DISTINCT item_id, {_sql_words('text')} AS words FROM benchmark
-       WHERE item_id IS NOT NULL),
+items AS (SELECT DISTINCT item_id, {_sql_words('text')} AS words FROM benchmark
+          WHERE item_id IS NOT NULL),
+iw AS (SELECT * FROM items WHERE len(words) > {decontam.SHORT}),
 dp AS (SELECT doc_id, words, unnest(range(1, len(words) - {decontam.SPAN - 2})) AS p FROM dw),
 ip AS (SELECT item_id, words, unnest(range(1, len(words) - {decontam.SPAN - 2})) AS p FROM iw),
 ds AS ({_sql_seeds('dp', 'doc_id')}),
@@ -278,7 +279,12 @@ matches AS (
          count(*) FILTER (WHERE s = 1 AND k > start AND k <= stop) AS matched
   FROM cells c JOIN starts USING (doc_id, item_id, diagonal) GROUP BY ALL)
 SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(max(n) AS INTEGER) AS item_words
-FROM matches GROUP BY doc_id, item_id
+FROM (SELECT doc_id, item_id, n, matched FROM matches
+      UNION ALL
+      SELECT DISTINCT doc_id, item_id, len(i.words), len(i.words)
+      FROM items i JOIN dw ON dw.words = i.words
+      WHERE len(i.words) BETWEEN 1 AND {decontam.SHORT}) all_matches
+GROUP BY doc_id, item_id
 HAVING max(matched) >= least(13, 0.8 * max(n))"""
 
 

@@ -308,13 +308,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _labelled(docs: DataFrame, doc_id: str, text: str, shingle: int, tau: int) -> DataFrame:
     """``near_duplicates`` with ``low_fp``: in each component the smallest fingerprint of
-    the rows with its smallest id."""
+    the rows with its smallest id (of all its rows, if none has an id)."""
     fps = written(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     comps = written(components(links(distinct, tau)), "components")
     named = distinct.join(comps, distinct.fp == comps.node).select("fp", "root", "first_id")
-    lowest = named.groupBy("root").agg(F.min(F.when(
-        F.col("first_id").isNotNull(), F.struct("first_id", "fp"))).alias("low"))
+    lowest = named.groupBy("root").agg(F.min(F.struct(
+        F.col("first_id").isNull(), "first_id", "fp")).alias("low"))
     linked = named.join(lowest, "root").select(F.col("fp").alias("linked_fp"), "low")
     # Written, so that the last join's sides are plain exchanges: AQE then splits the
     # partition of a fingerprint that very many rows share.
@@ -355,34 +355,38 @@ def _with_fingerprint(docs: DataFrame, name: str, text: str, shingle: int) -> Da
 def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                          shingle: int = 3, tau: int = 3) -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their group: one row of each, with
-    the group's smallest id.  Rows that share an id are told apart by their
-    fingerprints; of those that share both the one whose columns hash lowest stays.
-    Rows without an id go.
+    the group's smallest id, or of a group without any id one of its rows.  Rows that
+    share an id, or have none, are told apart by their fingerprints; of those that share
+    both the one whose columns hash lowest stays.
 
     Only ids are shuffled: the list of ids that go is written first, so that its size
     is known and Spark broadcasts it only below its threshold.  Texts are shuffled of
-    rows whose id repeats.
+    rows whose id repeats or is null.  Texts of any length are read whole.
     """
-    found = written(_labelled(docs, doc_id, text, shingle, tau).where(
-        "doc_id IS NOT NULL").select("doc_id", "fp", (
-            (F.col("doc_id") == F.col("component_id")) & (F.col("fp") == F.col("low_fp")))
-            .alias("stays")), "groups")
-    ids = found.groupBy("doc_id").agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+    found = written(_labelled(docs, doc_id, text, shingle, tau).select(
+        "doc_id", "fp", (F.col("doc_id").eqNullSafe(F.col("component_id"))
+                         & (F.col("fp") == F.col("low_fp"))).alias("stays")), "groups")
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("stays").alias("stays"), F.count("*").alias("n"))
     gone = written(ids.where(~F.col("stays")).select(F.col("doc_id").alias("gone_id")), "gone")
     twice = written(ids.where(F.col("stays") & (F.col("n") > 1)).select(
         F.col("doc_id").alias("twice_id")), "twice")
     key = docs[doc_id].cast("long")
     kept = docs.where(key.isNotNull()).join(gone, key == gone.gone_id, "left_anti")
     single = kept.join(twice, key == twice.twice_id, "left_anti")
-    chosen = written(found.where("stays").join(twice, F.col("doc_id") == twice.twice_id, "left_semi")
-                     .select(F.col("doc_id").alias("chosen_id"), F.col("fp").alias("chosen_fp"))
-                     .distinct(), "chosen")
+    chosen = found.where("stays").select(F.col("doc_id").alias("chosen_id"),
+                                         F.col("fp").alias("chosen_fp")).distinct()
+    shared = written(chosen.join(twice, F.col("chosen_id") == twice.twice_id, "left_semi"),
+                     "chosen")
+    unnamed = written(chosen.where("chosen_id IS NULL").drop("chosen_id"), "chosen-null")
     name = "_".join([*docs.columns, "fp"])
     double = _with_fingerprint(kept.join(twice, key == twice.twice_id, "left_semi"), name, text,
                                shingle)
-    double = double.join(chosen, (F.col(doc_id).cast("long") == chosen.chosen_id)
-                         & (F.col(name) == chosen.chosen_fp), "left_semi")
+    double = double.join(shared, (F.col(doc_id).cast("long") == shared.chosen_id)
+                         & (F.col(name) == shared.chosen_fp), "left_semi")
+    null = _with_fingerprint(docs.where(key.isNull()), name, text, shingle)
+    null = null.join(unnamed, F.col(name) == unnamed.chosen_fp, "left_semi")
     row = F.struct(*docs.columns)
-    double = double.groupBy(F.col(doc_id).cast("long"), name).agg(
+    told = double.unionByName(null).groupBy(F.col(doc_id).cast("long"), name).agg(
         F.min_by(row, F.xxhash64(F.to_json(row))).alias("row")).select("row.*")
-    return single.unionByName(double)
+    return single.unionByName(told)

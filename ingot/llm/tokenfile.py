@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import ROW_CHARS, text_batches
 from .rangecoder import decode_blocks, encode_blocks
 from .tokens import worker_encoder
 
@@ -71,12 +71,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
 
     Null and empty texts are documents of one id.  Null document ids come first;
     repeated rows stay, in any order among themselves.  An empty table writes no
-    segment.  Other columns are ignored.  The number of parts follows the total
-    length of the texts, so a task's memory does not grow with the table.
+    segment.  Other columns are ignored.  A text of any length is encoded whole, in the
+    memory of one task.  The number of parts follows the total length of the texts and the
+    number of rows, and rows that share an id are dealt out by a second, hashed key, so a
+    task's memory does not grow with the table.
     """
     own = docs.select(docs[doc_id].cast("long").alias("doc_id"),
                       docs[text].cast("string").alias("text"))
-    chars = own.agg(F.sum(F.length("text"))).first()[0] or 0
+    chars = own.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + ROW_CHARS)).first()[0] or 0
     parts = max(1, -(-chars // part_chars))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,8 +107,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
         if held:
             yield flush()
 
-    (own.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-     .mapInArrow(run, SEGMENTS).write.parquet(f"{path}/segments"))
+    tie = F.xxhash64(F.monotonically_increasing_id())
+    (own.withColumn("tie", tie).repartitionByRange(parts, "doc_id", "tie")
+     .sortWithinPartitions("doc_id", "tie").drop("tie").mapInArrow(run, SEGMENTS).write.parquet(f"{path}/segments"))
     segment_starts(docs.sparkSession.read.schema(SEGMENTS).parquet(f"{path}/segments")
                    ).write.parquet(f"{path}/index")
 

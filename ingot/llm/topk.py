@@ -144,7 +144,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
         F.max("high")).first()[0] or 0.0
     total = asks.select("ids", "data", "dim").mapInPandas(limit, "high double, total double").agg(
         F.max("total")).first()[0] or 0.0
-    reach = int(min(high * total, 2.0 ** 61)) + 1
+    if high * total >= 2.0 ** 61:
+        raise ValueError("scores may go beyond 2**61, which 64-bit sums don't hold")
+    reach = int(high * total) + 1
     width = 1                      # a power of BINS, so that bins nest exactly
     while width * BINS <= 2 * reach:
         width *= BINS

@@ -5,11 +5,13 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -30,7 +32,7 @@ from ingot.llm import (
     topk,
     toxicity,
 )
-from ingot.llm.common import ship
+from ingot.llm.common import ship, text_batches
 from ingot.session import fresh_path
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,7 +69,6 @@ def real(spark, name="documents"):
 @pytest.mark.parametrize(("path", "spaces"), [(BYTES, "lead"), (WORDS, "drop")])
 def test_pieces_equal_whole_texts(path, spaces):
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     encoder = tokens.PieceEncoder(path, spaces, max_pieces=50)
     rng = random.Random(5)
     texts = [*ODD, *("".join(rng.choice("ab. ,'s\n\t é1 　\x1f́") for _ in range(40))
@@ -80,6 +81,13 @@ def test_pieces_equal_whole_texts(path, spaces):
         assert lengths.tolist() == [len(w) for w in want]
 
 
+def test_empty_rows_fill_a_group():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100_000)), pa.nulls(100_000, pa.string())],
+                                       ["doc_id", "text"])
+    groups = [len(keys) for keys, _ in text_batches(iter([batch]), 200_000)]
+    assert sum(groups) == 100_000 and max(groups) <= 200_000 // 64 + 1
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(0, 65535) | st.integers(0, 5), max_size=400), st.integers(1, 60))
 def test_range_coder_round_trip(ids, block):
@@ -114,7 +122,6 @@ def test_token_file_round_trip(spark, odd):
     tokenfile.write_tokens(odd, path, BYTES, block=64, segment_ids=500, part_chars=5000)
     rows = tokenfile.read_tokens(spark, path).orderBy("start").collect()
     plain = Tokenizer.from_file(BYTES)
-    plain.encode_special_tokens = True
 
     def ids(text):
         return (*plain.encode(text or "", add_special_tokens=False).ids, 2)
@@ -177,7 +184,6 @@ def test_least_squares_fits_what_can_be_fitted():
 def test_packing_of_odd_rows(spark, odd, none):
     rows = packing.pack_documents(odd, WORDS, group_ids=3000).collect()
     plain = Tokenizer.from_file(WORDS)
-    plain.encode_special_tokens = True
     total = sum(len(plain.encode(r.text or "", add_special_tokens=False).ids) + 1
                 for r in odd.collect())
     assert sum(r.length for r in rows) == total
@@ -333,7 +339,9 @@ def test_every_spelling_of_an_obfuscated_email_goes(spark, odd):
     spelled = [f"jane{a}example{d}com" for a in ("(at)", " (at) ", "[at]", " [AT] ", " at ", " AT ")
                for d in (".", "(dot)", " (DOT) ", "[dot]", " [dot] ", " dot ", " DOT ", " . ")]
     prose = ["We met at noon. Then they left at six. Nobody stayed at home. Fine.",
-             "It opens at 9.30 and closes at 17.45 each day."]
+             "It opens at 9.30 and closes at 17.45 each day.",
+             "We bought the tickets at amazon.com yesterday.", "The code is hosted at github.io.",
+             "She works at booking.com in town.", "A packet arrived at node.info again."]
     rows = [(i, f"mail {t} soon") for i, t in enumerate(spelled)] + [
         (900 + i, t) for i, t in enumerate(prose)] + [
         (950, "I was at home. jane (at) example.com is new. bob at example.org. Thanks a lot.")]
@@ -346,6 +354,19 @@ def test_every_spelling_of_an_obfuscated_email_goes(spark, odd):
                           "Thanks a lot.")
 
 
+def test_many_spans_in_one_text_take_linear_work():
+    line = "10.0.0.{} token=abcdef{} x@example{}.com call 555-010-{:04d}\n"
+    texts = ["".join(line.format(i % 250, i, i, i % 9999) for i in range(n)) for n in (5000, 20000)]
+    took = []
+    for text in texts:
+        start = time.thread_time()
+        base, spans = pii.all_spans(text, np.ones(pii._features(np.zeros((1, 9), int)).shape[1]))
+        took.append(time.thread_time() - start)
+        assert len(base["ip"]) == len(base["email"]) == text.count("\n")
+        assert len(spans) >= 3 * text.count("\n")
+    assert took[1] < 10 * took[0]
+
+
 def test_long_secrets_and_ibans_go_whole(spark, odd):
     rng = random.Random(3)
     token = "".join(rng.choices("abcdefghijkmnopqrstuvwxyzABCDEF", k=600))
@@ -426,8 +447,10 @@ def test_near_duplicates_of_odd_rows(spark, odd, none):
            if r.doc_id is not None}
     low = brute_components(fps)
     assert all(r.component_id == low[r.doc_id] for r in rows if r.doc_id is not None)
-    kept = [r.doc_id for r in simhash.keep_representatives(odd).collect()]
+    rows = simhash.keep_representatives(odd).collect()
+    kept = [r.doc_id for r in rows if r.doc_id is not None]
     assert sorted(kept) == sorted(set(low.values()))
+    assert [r.text for r in rows if r.doc_id is None] == ["no id here"]
     assert simhash.near_duplicates(none).count() == 0
     assert simhash.keep_representatives(none).columns == none.columns
 
@@ -444,6 +467,18 @@ def test_texts_that_share_an_id_keep_a_row_of_each_group(spark):
     assert kept == sorted(map(tuple, other.collect())) and one.columns == ["doc_id", "text", "fp"]
 
 
+def test_rows_without_an_id_leave_one_of_each_group(spark):
+    ship(spark)
+    x, y, z = (" ".join(f"{w}{i}" for i in range(40)) for w in "xyz")
+    near = y + " more"                           # two fingerprints of one group
+    assert 0 < (simhash.fingerprint(y) ^ simhash.fingerprint(near)).bit_count() <= 8
+    rows = [(3, x), (None, x), (None, y), (None, y), (None, near), (None, z), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in simhash.keep_representatives(df, tau=8).collect()]
+    assert sorted(kept, key=str) in (sorted([(3, x), (None, t), (None, z), (None, None)], key=str)
+                                     for t in (y, near))
+
+
 def test_fingerprint_follows_its_definition():
     import xxhash
     text = "One two THREE\x0bfour é one two three"
@@ -487,17 +522,53 @@ def test_contaminated_texts_are_found(spark, odd, none):
     assert set(got) == {(1, 7), (2, 7), (6, 7)}
     assert got == {(1, 7): 17, (2, 7): 13, (6, 7): 14}
     kept = decontam.keep_clean(docs, items)
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 5]
+    # The row without an id holds the item too, and goes by its text.
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [3, 4, 5]
     assert kept.columns == docs.columns
     assert decontam.contaminated(odd, items).count() == 0
     assert decontam.contaminated(none, items).count() == 0
     assert decontam.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_long_items_stay_below_the_bytes_of_a_pass(spark, monkeypatch):
+    rng = random.Random(4)
+    long = {i: [f"v{rng.randrange(9000)}" for _ in range(1000)] for i in range(12)}
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in long.items()],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(["a", *w[i:i + 30], "b"])) for i, w in long.items()],
+                                 "doc_id long, text string")
+    seeds = decontam.test_seeds(decontam.test_items(items, "item_id", "text").withColumn(
+        "variant", F.lit(0)))
+    assert set(seeds.columns) == {"h", "item_id", "ipos", "variant"}      # no words
+    one = {tuple(r) for r in decontam.contaminated(docs, items).collect()}
+    assert one == {(i, i, 30, 1000) for i in long}
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 300_000)             # about ten passes
+    assert {tuple(r) for r in decontam.contaminated(docs, items).collect()} == one
+
+
+def test_short_items_count_where_they_are_the_whole_text(spark):
+    docs = spark.createDataFrame([(1, "Paris"), (2, "We went to Paris once."), (3, "paris!"), (4, None),
+                                  (5, "one two three four five"), (6, "one two three four six")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(7, "Paris."), (8, "one two three four five"), (9, " ")],
+                                  "item_id long, text string")
+    got = {tuple(r) for r in decontam.contaminated(docs, items).collect()}
+    assert got == {(1, 7, 1, 1), (3, 7, 1, 1), (5, 8, 5, 5)}
+
+
+def test_rows_are_judged_by_their_texts(spark):
+    item = "the quick brown fox jumps over one lazy dog while seven cats look on from high walls"
+    docs = spark.createDataFrame([(None, item), (None, "clean"), (4, item), (4, "also clean"), (5, None)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept = [tuple(r) for r in decontam.keep_clean(docs, items).collect()]
+    assert sorted(kept, key=str) == sorted([(None, "clean"), (4, "also clean"), (5, None)], key=str)
+
+
 def test_several_passes_give_the_same(spark, monkeypatch):
     docs, items = real(spark), real(spark, "benchmark")
     one = {tuple(r) for r in decontam.contaminated(docs, items).collect()}
-    monkeypatch.setattr(decontam, "SEEDS_AT_ONCE", 700)
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 100_000)
     assert {tuple(r) for r in decontam.contaminated(docs, items).collect()} == one
     texts = {r.doc_id: r.text for r in docs.collect()}
     exact = {(d, r.item_id) for r in items.collect() for d, t in texts.items() if r.text in t}
@@ -533,7 +604,8 @@ def test_every_accepted_substitution_is_found(spark):
         for k in (3, 4, 5):                       # a word of every k replaced
             docs[len(docs)] = ["zz" if j % k == k - 1 else w for j, w in enumerate(item)]
     want = {(d, i): m for d, doc in docs.items() for i, item in items.items()
-            if (m := brute_matched(doc, item)) >= min(13, 0.8 * len(item))}
+            if (m := brute_matched(doc, item)) >= min(13, 0.8 * len(item))
+            and (len(item) > decontam.SHORT or doc == item)}
     assert {(0, 12), (1, 7), (2, 7)} <= set(want) and len({i for _, i in want}) == len(items)
     df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
     tests = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()],
@@ -559,6 +631,21 @@ def test_languages(spark, odd, none):
     assert {r.lang_pred for r in langid.identify(odd, {}).collect()} == {"und"}
     assert langid.accept(docs, profiles).count() >= 0.98 * docs.count()
     assert langid.accept(odd, profiles).columns == odd.columns
+    assert langid.accept(none, {}).count() == 0
+    with pytest.raises(Exception, match="no language profile"):
+        langid.accept(docs, {}).count()
+    with pytest.raises(ValueError, match="more than 2 values"):
+        langid.train_profiles(docs, F.lit(True), max_languages=2)
+
+
+def test_long_texts_are_counted_in_slices():
+    rng = random.Random(1)
+    for _ in range(200):
+        text = "".join(rng.choice("ab 1é\n") for _ in range(rng.randint(0, 40)))
+        whole = langid.gram_counts(text)
+        for size in (1, 2, 3, 7):
+            assert [x.tolist() for x in langid.gram_counts(text, size)] == [
+                x.tolist() for x in whole]
 
 
 def test_out_of_place_distance():

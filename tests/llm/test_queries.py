@@ -21,7 +21,6 @@ def texts(spark):
 
 def ids_of(name, texts):
     plain = Tokenizer.from_file(public_tokenizers.path(name))
-    plain.encode_special_tokens = True
     return {i: np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
             for i, t in texts.items()}
 
