@@ -17,33 +17,36 @@ from ingot.llm.common import ship, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; texts without letters, unclear ones, and rows without an
-    id, which later stages could not tell apart, go."""
+    """Documents with a language; null texts, texts without letters and unclear ones go.  Ids
+    play no part.  Documents of which none has a ``lang`` are an error."""
     ship(spark)
-    return langid.accept(docs.where("doc_id IS NOT NULL"),
-                         langid.train_profiles(docs, F.lit(True)))
+    return langid.accept(docs, langid.train_profiles(docs, F.lit(True)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id."""
+    """One document of each SimHash group: the one with the smallest id, or, where none has an
+    id, one of them.  Repeated rows are copies; unrelated texts under one id both stay."""
     ship(spark)
     return simhash.keep_representatives(docs, shingle=3, tau=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
+    """Documents that hold no benchmark passage; null and empty texts hold none, and rows are
+    judged one by one, whatever their ids."""
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
+    """All documents, personal data replaced by its kind; ``n_chars`` follows the text.  Null
+    texts stay null with ``n_chars`` 0; repeated rows and ids all stay."""
     ship(spark)
     return pii.redact(docs, pii.fit(docs)).withColumn(
         "n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 ids."""
+    """Pieces of the documents in sequences of at most 4096 ids.  Null and empty texts are
+    documents of one id; repeated and null ids are documents of their own."""
     ship(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
