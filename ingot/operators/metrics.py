@@ -134,6 +134,47 @@ def sum_by(df: DataFrame, value: str, by: list, out: str) -> DataFrame:
     return df.groupBy(*by).agg(F.sum(value).alias(out))
 
 
+def _micros_of_cell(step: int) -> Column:
+    """The grid time at which a sample is first in a window: its time, rounded up to a step."""
+    return F.ceil(_micros() / step) * step
+
+
+def _points(cells: DataFrame, series: list[str], range_s: int, step_s: int,
+            beside: dict[str, Column] | None = None) -> DataFrame:
+    """One row per cell and grid time ``_t`` whose window ``(t - range, t]`` holds the cell.
+
+    A cell is what a series' samples of one step are reduced to (``_cell``, its end).
+    Cells are dealt out by (series, bucket of ``BUCKET_RANGES`` ranges), with a copy into the
+    next bucket where their windows reach it (about 4 %), and only there, after the
+    exchange, fan out to the ``range / step`` grid times.  ``beside`` adds columns over
+    ``cell_order`` between the two, from the cells around: all cells of a window that
+    ends in a bucket lie in it.
+    """
+    if range_s % step_s:
+        raise ValueError("the range must be a whole number of steps")
+    step, reach, bucket = step_s * MICROS, range_s * MICROS, BUCKET_RANGES * range_s * MICROS
+    own = F.floor(F.col("_cell") / bucket)
+    spill = F.col("_cell") + (reach - step) >= (own + 1) * bucket
+    cells = cells.withColumn("_bucket", F.explode(
+        F.when(spill, F.array(own, own + 1)).otherwise(F.array(own))))
+    return (cells.repartition(*series, "_bucket").withColumns(beside or {})
+            .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(range_s // step_s - 1))))
+            .withColumn("_t", F.col("_cell") + F.col("_k").cast("long") * step)
+            .where(F.floor(F.col("_t") / bucket) == F.col("_bucket")))
+
+
+def cell_order(series: list[str]):
+    return Window.partitionBy(*series, "_bucket").orderBy("_cell")
+
+
+def _grid_time() -> Column:
+    return F.timestamp_micros("_t").cast("timestamp_ntz").alias("t")
+
+
+def _sample() -> Column:
+    return F.struct(_micros().alias("at"), F.col("value").alias("value"))
+
+
 def delta_on_grid(samples: DataFrame, series: list[str], range_s: int, step_s: int = 60,
                   per_s: int | None = None) -> DataFrame:
     """``delta(series[range])`` evaluated on a ``step`` grid, as a dashboard
@@ -142,40 +183,84 @@ def delta_on_grid(samples: DataFrame, series: list[str], range_s: int, step_s: i
 
     Samples between two grid times lie in the same windows, so each (series,
     step) is first reduced, map-side, to one cell: its first and last sample and
-    their number.  Cells are dealt out by (series, bucket of ``BUCKET_RANGES``
-    ranges), with a copy into the next bucket where their windows reach it (about
-    4 %), and only there, after the exchange, fan out to the ``range / step`` grid
-    times they lie under.  Samples at one time are ordered by value.
+    their number (then see ``_points``).  Samples at one time are ordered by value.
     Output: ``series..., t, delta``.
     """
-    if range_s % step_s:
-        raise ValueError("the range must be a whole number of steps")
-    step, reach, bucket = step_s * MICROS, range_s * MICROS, BUCKET_RANGES * range_s * MICROS
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    sample = F.struct(at.alias("at"), F.col("value").alias("value"))
-    cells = (samples.select(*series, (F.ceil(at / step) * step).alias("_cell"),
-                            sample.alias("_s"))
+    cells = (samples.select(*series, _micros_of_cell(step_s * MICROS).alias("_cell"),
+                            _sample().alias("_s"))
              .groupBy(*series, "_cell")
              .agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"),
                   F.count(F.lit(1)).alias("_n")))
-    own = F.floor(F.col("_cell") / bucket)
-    spill = F.col("_cell") + (reach - step) >= (own + 1) * bucket
-    cells = cells.withColumn("_bucket", F.explode(
-        F.when(spill, F.array(own, own + 1)).otherwise(F.array(own))))
-    points = (cells.repartition(*series, "_bucket")
-              .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(range_s // step_s - 1))))
-              .withColumn("_t", F.col("_cell") + F.col("_k").cast("long") * step)
-              .where(F.floor(F.col("_t") / bucket) == F.col("_bucket")))
-    d = (points.groupBy(*series, "_bucket", "_t")
+    d = (_points(cells, series, range_s, step_s).groupBy(*series, "_bucket", "_t")
          .agg(F.sum("_n").alias("_n"),
               (F.max("_last")["value"] - F.min("_first")["value"]).alias("delta"))
-         .where(F.col("_n") >= 2)
-         .select(*series, F.timestamp_micros("_t").cast("timestamp_ntz").alias("t"), "delta"))
+         .where(F.col("_n") >= 2).select(*series, _grid_time(), "delta"))
     if per_s:
         d = d.withColumn("delta", F.col("delta") / (range_s / per_s))
     return d
 
 
+def counter_cells(samples: DataFrame, series: list[str], step_s: int = 60) -> DataFrame:
+    """A counter's samples reduced to one mergeable cell per series and step: ``_first`` and
+    ``_last`` sample, ``_inc`` (the increases between its samples, a fall being a restart
+    from 0) and their number ``_n``.
+
+    Cells that follow each other merge: first of one, last of the other, both increases
+    and the seam's (``seam``).  A cell gathers one step of one series, a handful of
+    samples; those of a map task are put together before the shuffle.
+    """
+    gathered = samples.select(*series, _micros_of_cell(step_s * MICROS).alias("_cell"),
+                              _sample().alias("_s")).groupBy(*series, "_cell").agg(
+        F.sort_array(F.collect_list("_s")).alias("_all"))
+    steps = F.transform(F.slice("_all", 2, F.size("_all")), lambda s, i: increase(
+        F.get("_all", i)["value"], s["value"]))
+    return gathered.select(*series, "_cell", F.get("_all", F.lit(0)).alias("_first"),
+                           F.element_at("_all", -1).alias("_last"),
+                           F.aggregate(steps, F.lit(0.0), lambda a, x: a + x).alias("_inc"),
+                           F.size("_all").cast("long").alias("_n"))
+
+
+def increase(before: Column, after: Column) -> Column:
+    """What a counter grew by from one sample to the next; after a restart, its new value."""
+    return F.when(after < before, after).otherwise(after - before)
+
+
+def rate_on_grid(samples: DataFrame, series: list[str], range_s: int, step_s: int = 60,
+                 per_s: int = 1) -> DataFrame:
+    """``rate(series[range])`` on a ``step`` grid, per ``per_s`` seconds: the increases between
+    the samples in ``(t - range, t]`` over the range, where at least two fall in it.
+
+    A fall is a restart and counts its new value, so a rate is never negative.  The increase
+    up to a window's first sample belongs to the window before.  No extrapolation.
+    Samples at one time follow each other by value.  Output: ``series..., t, rate``.
+    """
+    cells = counter_cells(samples, series, step_s)
+    before = F.lag("_last").over(cell_order(series))
+    seam = F.coalesce(increase(before["value"], F.col("_first")["value"]), F.lit(0.0))
+    points = _points(cells, series, range_s, step_s, {"_seam": seam})
+    first = F.min(F.struct("_cell", "_seam"))["_seam"]
+    r = points.groupBy(*series, "_bucket", "_t").agg(
+        F.sum("_n").alias("_n"), (F.sum(F.col("_inc") + F.col("_seam")) - first).alias("_grown"))
+    return r.where(F.col("_n") >= 2).select(*series, _grid_time(), (
+        F.greatest(F.col("_grown"), F.lit(0.0)) * per_s / range_s).alias("rate"))
+
+
+def instant_on_grid(samples: DataFrame, series: list[str], staleness_s: int = 300,
+                    step_s: int = 60) -> DataFrame:
+    """An instant vector on a ``step`` grid: at each grid time the value of the series' last
+    sample no older than ``staleness_s``; no row where there is none.
+
+    Each (series, step) is reduced, map-side, to its last sample, which is carried to the
+    grid times within its staleness, over bucket ends too.  Of samples at one time the
+    largest value counts.  Output: ``series..., t, value``.
+    """
+    cells = samples.select(*series, _micros_of_cell(step_s * MICROS).alias("_cell"),
+                           _sample().alias("_s")).groupBy(*series, "_cell").agg(
+        F.max("_s").alias("_last"))
+    return _points(cells, series, staleness_s, step_s).groupBy(*series, "_bucket", "_t").agg(
+        F.max("_last")["value"].alias("value")).select(*series, _grid_time(), "value")
+
+
 def side_by_side(df: DataFrame, metric: str, value: str, by: list[str],
                  names: dict[str, str]) -> DataFrame:
     """One row per ``by`` with a column per metric (panels that draw two metrics): the

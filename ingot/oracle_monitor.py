@@ -153,3 +153,65 @@ select instance, t,
   round((arg_max(o, ts) - arg_min(o, ts)) / 60.0, 6) as bytes_out_per_min
 from ({BYTE_POINTS}) g group by instance, t having count(*) >= 2
 """
+
+# Restarting counters and gauges, with a second sample at every ninth event's time.
+PANEL_ROWS = """
+select event_id, ts, user_id, upper(event_type) as state, value,
+  case when event_id % 9 = 0 then value else 0 end as extra
+from (select event_id, ts, user_id, event_type, value from events
+      union all
+      select event_id, ts, user_id, event_type, value + 3 from events where event_id % 9 = 0) e
+"""
+
+PANEL_BYTES = f"""
+select 'broker-' || cast(user_id % 2 as varchar) as instance, 'i' as m, ts,
+  (event_id % 400) * 10 + extra as value from ({PANEL_ROWS}) p
+union all
+select 'broker-' || cast(user_id % 2 as varchar), 'o', ts, (event_id % 150) * 7 + extra
+from ({PANEL_ROWS}) p
+"""
+
+
+def _grid(samples: str, points: int) -> str:
+    """Every sample at each grid minute of the ``points`` windows it lies in."""
+    return f"""
+select *, case when ts = date_trunc('minute', ts) then ts
+       else date_trunc('minute', ts) + interval 1 minute end + to_minutes(k) as t
+from (select *, unnest(range({points})) as k from ({samples}) s) e
+"""
+
+
+BYTE_INCREASES = f"""
+select *, row_number() over w as n,
+  case when lag(value) over w is null then 0 when value < lag(value) over w then value
+       else value - lag(value) over w end as inc
+from ({PANEL_BYTES}) b window w as (partition by instance, m order by ts, value)
+"""
+
+METRIC_BYTES_RATE_GRID = f"""
+with r as (
+  select instance, m, t, (sum(inc) - arg_min(inc, n)) / 3600.0 as rate
+  from ({_grid(BYTE_INCREASES, 60)}) g group by instance, m, t having count(*) >= 2)
+select instance, t, round(sum(rate) filter (where m = 'i'), 6) as bytes_in_per_s,
+  round(sum(rate) filter (where m = 'o'), 6) as bytes_out_per_s
+from r group by instance, t
+"""
+
+PANEL_GAUGES = f"""
+select 'node-' || cast(user_id % 2 as varchar) as instance, ts, state, event_id * 0.5 + extra as cpu,
+  user_id % 50 + extra as threads, value * 1000000 as heap, user_id % 20 + extra as in_state
+from ({PANEL_ROWS}) p
+"""
+
+METRIC_INSTANT_GRID = f"""
+select instance, t, arg_max(cpu, (ts, cpu)) as cpu_seconds,
+  arg_max(threads, (ts, threads)) as threads, arg_max(heap, (ts, heap)) as heap_bytes
+from ({_grid(PANEL_GAUGES, 5)}) g group by instance, t
+"""
+
+METRIC_THREAD_STATES_GRID = f"""
+select state, t, sum(v) as threads from (
+  select instance, state, t, arg_max(in_state, (ts, in_state)) as v
+  from ({_grid(PANEL_GAUGES, 5)}) g group by instance, state, t) x
+group by state, t
+"""

@@ -7,6 +7,8 @@ Stage inputs: the bronze table landed from the event messages.  Metric inputs:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,10 @@ from ..operators import monitor as T
 from ..registry import query
 from ..session import pin_session
 from ..sources import fixtures as X
+from ..sources.tables import read_samples
 
 RANGE_S = 3600          # trailing range of delta / rate (the test data is sparse)
+STALENESS_S = 300       # how long an instant value counts
 RECENT_HOURS = 6        # the dashboards' default time range
 SERIES = ["topic", "partition"]
 
@@ -27,12 +31,22 @@ def _bronze(spark, sf_dir):
     return X.landed_bronze_stage_table(spark, sf_dir)
 
 
-def _samples(spark, sf_dir):
+def _landed(spark, sf_dir, name, start=None):
+    """A landed metric table through the reader; ``start`` bounds the days that are read."""
     pin_session(spark)
-    s = M.select_series(X.metric_samples(spark, sf_dir), X.METRIC_NAME, job=X.METRIC_JOB)
+    return read_samples(spark, X.landed_samples(spark, sf_dir, name), start)
+
+
+def _samples(spark, sf_dir, start=None):
+    s = M.select_series(_landed(spark, sf_dir, "topics", start), X.METRIC_NAME, job=X.METRIC_JOB)
     return s.withColumns({"topic": M.label("topic"), "partition": M.label("partition")})
 
 
+def _time():
+    """A sample's time without its zone, as the tables have it."""
+    return F.col("ts").cast("timestamp_ntz").alias("ts")
+
+
 @query("stage_throughput", O.STAGE_THROUGHPUT)
 def q_stage_throughput(spark: SparkSession, sf_dir: str):
     """Rows per minute in each stage, one pivot."""
@@ -66,31 +80,31 @@ def q_stage_latency(spark: SparkSession, sf_dir: str):
 @query("metric_select", O.METRIC_SELECT)
 def q_metric_select(spark: SparkSession, sf_dir: str):
     """Two label predicates."""
-    pin_session(spark)
-    s = M.select_series(X.metric_samples(spark, sf_dir), X.METRIC_NAME,
+    s = M.select_series(_landed(spark, sf_dir, "topics"), X.METRIC_NAME,
                         job=X.METRIC_JOB, topic="purchase")
-    return s.select("ts", M.label("partition").alias("partition"), "value")
+    return s.select(_time(), M.label("partition").alias("partition"), "value")
 
 
 @query("metric_recent", O.METRIC_RECENT)
 def q_metric_recent(spark: SparkSession, sf_dir: str):
     """The trailing six hours before the newest sample."""
-    samples = _samples(spark, sf_dir)
-    s = M.last_hours(samples, RECENT_HOURS, M.newest(samples))
-    return s.select("ts", *SERIES, "value")
+    now = M.newest(_samples(spark, sf_dir))
+    start = now and now - dt.timedelta(hours=RECENT_HOURS)
+    s = M.last_hours(_samples(spark, sf_dir, start), RECENT_HOURS, now)
+    return s.select(_time(), *SERIES, "value")
 
 
 @query("metric_gauge_mb", O.METRIC_GAUGE_MB)
 def q_metric_gauge_mb(spark: SparkSession, sf_dir: str):
     """Heap panels: bytes -> MiB."""
-    return M.to_mebibytes(_samples(spark, sf_dir)).select("ts", *SERIES, "value_mb")
+    return M.to_mebibytes(_samples(spark, sf_dir)).select(_time(), *SERIES, "value_mb")
 
 
 @query("metric_legend", O.METRIC_LEGEND)
 def q_metric_legend(spark: SparkSession, sf_dir: str):
     """Series names from a label template and a regex rename."""
     s = _samples(spark, sf_dir)
-    return s.select("ts",
+    return s.select(_time(),
                     M.legend("%s/%s", SERIES, r"^(\w+)/(\d+)$", "$1 p$2").alias("legend"),
                     M.legend("%s", ["state"]).alias("state"), "value")
 
@@ -99,7 +113,7 @@ def q_metric_legend(spark: SparkSession, sf_dir: str):
 def q_metric_delta(spark: SparkSession, sf_dir: str):
     """Change over the trailing hour per series, per minute."""
     d = M.delta(_samples(spark, sf_dir), SERIES, RANGE_S, per_s=60)
-    return d.select("ts", *SERIES, F.round("delta", 6).alias("delta_per_min"))
+    return d.select(_time(), *SERIES, F.round("delta", 6).alias("delta_per_min"))
 
 
 @query("metric_messages_per_minute_grid", O.METRIC_MESSAGES_PER_MINUTE_GRID)
@@ -114,20 +128,19 @@ def q_metric_messages_per_minute_grid(spark: SparkSession, sf_dir: str):
 @query("metric_heap", O.METRIC_HEAP)
 def q_metric_heap(spark: SparkSession, sf_dir: str):
     """Heap panel: used against maximum, two metrics of one area and job side by side."""
-    pin_session(spark)
-    s = X.node_samples(spark, sf_dir)
+    s = _landed(spark, sf_dir, "nodes")
     both = s.where(F.col("metric").isin(X.HEAP_USED, X.HEAP_MAX)
                    & (M.label("area") == "heap") & (M.label("job") == X.NODE_JOB))
     both = M.to_mebibytes(both).withColumn("instance", M.label("instance"))
-    return M.side_by_side(both, "metric", "value_mb", ["ts", "instance"],
+    return M.side_by_side(both.withColumn("ts", _time()), "metric", "value_mb", ["ts", "instance"],
                           {X.HEAP_USED: "used_mb", X.HEAP_MAX: "max_mb"})
 
 
 @query("metric_bytes_grid", O.METRIC_BYTES_GRID)
 def q_metric_bytes_grid(spark: SparkSession, sf_dir: str):
-    """Traffic panel: bytes in and out per minute of each broker, two counters on the grid."""
-    pin_session(spark)
-    s = X.node_samples(spark, sf_dir).where(F.col("metric").isin(X.BYTES_IN, X.BYTES_OUT))
+    """Change of bytes in and out per minute of each broker, two counters on the grid
+    (``delta``; the traffic panel is ``metric_bytes_rate_grid``)."""
+    s = _landed(spark, sf_dir, "nodes").where(F.col("metric").isin(X.BYTES_IN, X.BYTES_OUT))
     s = s.withColumn("instance", M.label("instance"))
     d = M.delta_on_grid(s, ["metric", "instance"], RANGE_S, step_s=60, per_s=60)
     wide = M.side_by_side(d, "metric", "delta", ["instance", "t"], {
@@ -135,8 +148,41 @@ def q_metric_bytes_grid(spark: SparkSession, sf_dir: str):
     return wide.withColumns({c: F.round(c, 6) for c in ("bytes_in_per_min", "bytes_out_per_min")})
 
 
+@query("metric_bytes_rate_grid", O.METRIC_BYTES_RATE_GRID)
+def q_metric_bytes_rate_grid(spark: SparkSession, sf_dir: str):
+    """Traffic panel: bytes a second into and out of each broker, as rates of two counters
+    that start again now and then, at every minute."""
+    s = _landed(spark, sf_dir, "panels").where(F.col("metric").isin(X.BYTES_IN, X.BYTES_OUT))
+    r = M.rate_on_grid(s.withColumn("instance", M.label("instance")), ["metric", "instance"],
+                       RANGE_S, step_s=60)
+    wide = M.side_by_side(r, "metric", "rate", ["instance", "t"], {
+        X.BYTES_IN: "bytes_in_per_s", X.BYTES_OUT: "bytes_out_per_s"})
+    return wide.withColumns({c: F.round(c, 6) for c in ("bytes_in_per_s", "bytes_out_per_s")})
+
+
+@query("metric_instant_grid", O.METRIC_INSTANT_GRID)
+def q_metric_instant_grid(spark: SparkSession, sf_dir: str):
+    """CPU, thread and heap panels: the last sample of each node at every minute, while it is
+    not stale, side by side."""
+    s = _landed(spark, sf_dir, "panels").where(
+        F.col("metric").isin(X.CPU_SECONDS, X.THREADS, X.HEAP_USED) & (M.label("job") == X.NODE_JOB))
+    v = M.instant_on_grid(s.withColumn("instance", M.label("instance")), ["metric", "instance"],
+                          STALENESS_S)
+    return M.side_by_side(v, "metric", "value", ["instance", "t"], {
+        X.CPU_SECONDS: "cpu_seconds", X.THREADS: "threads", X.HEAP_USED: "heap_bytes"})
+
+
+@query("metric_thread_states_grid", O.METRIC_THREAD_STATES_GRID)
+def q_metric_thread_states_grid(spark: SparkSession, sf_dir: str):
+    """Threads-by-state panel: each state's threads at every minute, summed over the nodes."""
+    s = M.select_series(_landed(spark, sf_dir, "panels"), X.THREAD_STATES, job=X.NODE_JOB)
+    s = s.withColumns({"instance": M.label("instance"), "state": M.label("state")})
+    v = M.instant_on_grid(s, ["instance", "state"], STALENESS_S)
+    return M.sum_by(v, "value", ["state", "t"], "threads")
+
+
 @query("metric_rate", O.METRIC_RATE)
 def q_metric_rate(spark: SparkSession, sf_dir: str):
     """Reset-aware per-second rate over the trailing hour."""
     r = M.rate(_samples(spark, sf_dir), SERIES, RANGE_S)
-    return r.select("ts", *SERIES, F.round("rate", 6).alias("rate"))
+    return r.select(_time(), *SERIES, F.round("rate", 6).alias("rate"))

@@ -137,7 +137,7 @@ def bronze_from_documents(docs: DataFrame, partition_date=INGEST_DATE, keep=())
         F.lit(as_date(partition_date)).alias("partition_date"))
 
 
-def _land_path(spark: SparkSession, key: tuple, build) -> str:
+def _land_path(spark: SparkSession, key: tuple, build, by: str = "partition_date") -> str:
     """Write a derived table once per session below the shared folder; its path.
 
     Downstream queries then read a landed Parquet table, the way the silver
@@ -149,7 +149,7 @@ def _land_path(spark: SparkSession, key: tuple, build) -> str:
         # recorded only after the write returned, so a registered path is complete
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
         path = fresh_path(spark, f"landed-{key[0]}-{tag}")
-        build().write.mode("overwrite").partitionBy("partition_date").parquet(path)
+        build().write.mode("overwrite").partitionBy(by).parquet(path)
         _LANDED[full_key] = path
     return path
 
@@ -323,6 +323,53 @@ def node_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         sample(BYTES_OUT, broker, F.col("event_id") * 7))))
 
 
+CPU_SECONDS, THREADS = "process_cpu_seconds_total", "jvm_threads_current"
+THREAD_STATES = "jvm_threads_state"
+RESTART_IN, RESTART_OUT = 400, 150   # samples after which a broker's counters start again
+TIE_EVERY, TIE_STEP = 9, 3           # event_id % 9 == 0: a second sample at that time, 3 more
+
+
+def panel_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as samples of counters that start again and of gauges, with ties.
+
+    Bytes in and out by broker fall to 0 every ``RESTART_IN`` and ``RESTART_OUT`` events;
+    CPU seconds, threads, heap in use, and threads by state are sampled by node.
+    """
+    e = read_table(spark, sf_dir, "events")
+    e = e.unionByName(e.where(F.col("event_id") % TIE_EVERY == 0).withColumn(
+        "value", F.col("value") + TIE_STEP)).withColumn(
+        "extra", F.when(F.col("event_id") % TIE_EVERY == 0, F.col("value")).otherwise(0))
+    side = (F.col("user_id") % 2).cast("string")
+    node = F.create_map(F.lit("job"), F.lit(NODE_JOB), F.lit("instance"),
+                        F.concat(F.lit("node-"), side), F.lit("area"), F.lit("heap"),
+                        F.lit("state"), F.upper("event_type"))
+    broker = F.create_map(F.lit("job"), F.lit(METRIC_JOB), F.lit("instance"),
+                          F.concat(F.lit("broker-"), side))
+
+    def sample(metric, labels, value):
+        return F.struct(F.lit(metric).alias("metric"), labels.alias("labels"),
+                        value.cast("double").alias("value"))
+    return e.select("ts", F.inline(F.array(
+        sample(BYTES_IN, broker, (F.col("event_id") % RESTART_IN) * 10 + F.col("extra")),
+        sample(BYTES_OUT, broker, (F.col("event_id") % RESTART_OUT) * 7 + F.col("extra")),
+        sample(CPU_SECONDS, node, F.col("event_id") * 0.5 + F.col("extra")),
+        sample(THREADS, node, F.col("user_id") % 50 + F.col("extra")),
+        sample(HEAP_USED, node, F.col("value") * 1_000_000),
+        sample(THREAD_STATES, node, F.col("user_id") % 20 + F.col("extra")))))
+
+
+SAMPLE_TABLES = {"topics": metric_samples, "nodes": node_samples, "panels": panel_samples}
+
+
+def landed_samples(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """One of ``SAMPLE_TABLES`` as a landed metric table partitioned by day; its root."""
+    def build():
+        rows = SAMPLE_TABLES[name](spark, sf_dir).select(
+            "metric", "labels", F.col("ts").cast("timestamp").alias("ts"), "value")
+        return rows.withColumn("day", F.to_date("ts")).repartition("day")
+    return _land_path(spark, (f"samples_{name}", sf_dir), build, by="day")
+
+
 # ---------------------------------------------------------------------------
 # Bronze tables built from the event messages
 # ---------------------------------------------------------------------------
