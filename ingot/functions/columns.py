@@ -90,6 +90,11 @@ def message_text(value="value") -> Column:
     return col_(value).cast("string")
 
 
+def message_key(key) -> Column:
+    """A message's key as a topic takes it: the bytes of its text (null: none)."""
+    return col_(key).cast("string").cast("binary")
+
+
 def to_message(*cols) -> Column:
     """A record as one JSON message value (what a producer publishes)."""
     return F.to_json(F.struct(*cols), JSON_TIME_OPTIONS)

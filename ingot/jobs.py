@@ -11,13 +11,17 @@
     python -m ingot.jobs enrich-matches DOCUMENTS SINK RETRY QUARANTINE CHECKPOINT SOURCE
     python -m ingot.jobs refresh-lookup SOURCE_PATH KEY TABLE PATH --buckets N [--latest N]
     python -m ingot.jobs throughput BRONZE SINK [DATE]
+    python -m ingot.jobs follow-throughput SINK CHECKPOINT SOURCE [--delay "10 minutes"]
     python -m ingot.jobs retention ROOT CUTOFF
+    python -m ingot.jobs compact ROOT DATE [--target-bytes N]
+    python -m ingot.jobs vacuum ROOT [--older-than SECONDS]
 
 SOURCE is ``--kafka BOOTSTRAP --topic TOPIC`` or ``--files DIR``, with
 ``[--max-per-trigger N] [--min-partitions N] [--processing-time "1 minute"]``;
 SINK of the enrichment jobs is a directory, or a topic with ``--sink-kafka
-BOOTSTRAP``.  IDENTITY, HISTORY and DOCUMENTS are catalog tables, as
-``refresh-lookup`` writes them.
+BOOTSTRAP``.  IDENTITY, HISTORY and DOCUMENTS are names in the catalog, as
+``refresh-lookup`` writes them: each refresh is a new table and switches the view TABLE,
+which a running stream resolves anew for every micro-batch.
 
 The positional arguments of the daily jobs follow the reference's (table roots,
 then the date).  The date is explicit and is the output date too, and every
@@ -37,10 +41,18 @@ from .operators import enrich as E
 from .operators import monitor as T
 from .plans.silver import run_bronze_to_silver, run_silver_to_gold
 from .session import pin_session
-from .sources.sinks import purge_before, write_bucketed, write_messages
+from .sources.compaction import compact, vacuum
+from .sources.sinks import (
+    overwrite_partitions,
+    publish_version,
+    purge_before,
+    replace_date,
+    write_messages,
+)
 from .sources.tables import read_layer, read_snapshots
 from .streaming import enrich as H
 from .streaming import ingest as S
+from .streaming.throughput import follow_throughput
 
 
 def _stream_arguments(p: argparse.ArgumentParser) -> None:
@@ -95,7 +107,14 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--latest", type=int, help="keep lists of the latest N matches per key")
     t = job("throughput", "bronze", "sink")
     t.add_argument("date", nargs="?")
+    f = job("follow-throughput", "sink", "checkpoint")
+    f.add_argument("--delay", default="10 minutes", help="how late a message may be")
+    _stream_arguments(f)
     job("retention", "root", "cutoff")
+    c = job("compact", "root", "date")
+    c.add_argument("--target-bytes", type=int, default=256 << 20)
+    v = job("vacuum", "root")
+    v.add_argument("--older-than", type=float, default=86_400, metavar="SECONDS")
     return p
 
 
@@ -114,9 +133,24 @@ def _options(args: argparse.Namespace) -> dict:
 
 def _topic(args: argparse.Namespace) -> S.Output:
     if args.sink_kafka:
-        return S.Output(lambda r, _: r, args.sink, "kafka",
+        return S.Output(lambda b: b.rows, args.sink, "kafka",
                         {"kafka.bootstrap.servers": args.sink_kafka})
-    return S.Output(lambda r, _: r, args.sink, "files")
+    return S.Output(lambda b: b.rows, args.sink, "files")
+
+
+def _lookup(spark: SparkSession, name: str):
+    """A lookup by its name, resolved by each micro-batch, so that a refresh is seen."""
+    return lambda: spark.table(name)
+
+
+def _throughput(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Throughput per load date; only the given date, or the dates there are, are replaced."""
+    rows = read_layer(spark, args.bronze, args.date)
+    counts = T.stage_throughput(rows, sort=False, by=("partition_date",))
+    if args.date:
+        replace_date(counts, args.sink, args.date, probe=rows)
+    else:
+        overwrite_partitions(counts, args.sink)
 
 
 def _time(text: str | None):
@@ -152,21 +186,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         write_messages(out, "kafka" if topic.fmt == "kafka" else "parquet", topic.path, topic.options)
     elif args.job == "enrich-details":
         query = H.enrich_details(
-            _messages(spark, args), spark.table(args.identity), spark.table(args.history),
+            _messages(spark, args), _lookup(spark, args.identity), _lookup(spark, args.history),
             _time(args.at), _topic(args), args.retry, args.quarantine, args.checkpoint, args.date,
             **_options(args))
     elif args.job == "enrich-matches":
         query = H.enrich_matches(
-            _messages(spark, args), spark.table(args.documents), _time(args.at), _topic(args),
+            _messages(spark, args), _lookup(spark, args.documents), _time(args.at), _topic(args),
             args.retry, args.quarantine, args.checkpoint, args.date, **_options(args))
     elif args.job == "refresh-lookup":
         rows = spark.read.parquet(args.source)
         if args.latest:
             rows = E.history_lists(rows, args.latest, args.key)
-        write_bucketed(rows, args.key, args.table, args.path, args.buckets)
+        publish_version(rows, args.key, args.table, args.path, args.buckets)
     elif args.job == "throughput":
-        T.stage_throughput(read_layer(spark, args.bronze, args.date)).write.mode(
-            "overwrite").parquet(args.sink)
+        _throughput(spark, args)
+    elif args.job == "follow-throughput":
+        query = follow_throughput(_messages(spark, args), args.sink, args.checkpoint, args.delay,
+                                  **_options(args))
+    elif args.job == "compact":
+        compact(spark, args.root, args.date, args.target_bytes)
+    elif args.job == "vacuum":
+        vacuum(spark, args.root, args.older_than)
     else:
         purge_before(spark, args.root, args.cutoff)
     if query is not None and args.processing_time:

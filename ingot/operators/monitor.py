@@ -20,7 +20,7 @@ STAGES = list(STAGE_COLUMNS)           # summoner, summoner_details, match
 HOPS = [("summoner", "summoner_details"), ("summoner_details", "match")]
 
 
-def stage_minutes(bronze: DataFrame) -> DataFrame:
+def stage_minutes(bronze: DataFrame, keep=()) -> DataFrame:
     """One row per (record, stage) with the minute it passed that stage.
 
     Null and malformed stage times are dropped (quirks Q9, Q10) instead of
@@ -28,21 +28,39 @@ def stage_minutes(bronze: DataFrame) -> DataFrame:
     """
     pairs = F.array(*[F.struct(F.lit(s).alias("stage"), minute_of(c).alias("minute"))
                       for s, c in STAGE_COLUMNS.items()])
-    return (bronze.select(F.explode(pairs).alias("p")).select("p.*")
+    return (bronze.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.*")
             .where(F.col("minute").isNotNull()))
 
 
-def stage_throughput(bronze: DataFrame, sort: bool = True) -> DataFrame:
-    """Rows per minute per stage, wide: ``minute, summoner, summoner_details, match``.
+def _counts() -> list:
+    return [F.count(F.when(F.col("stage") == s, 1)).alias(s) for s in STAGES]
+
+
+def stage_throughput(bronze: DataFrame, sort: bool = True, by=()) -> DataFrame:
+    """Rows per minute per stage, wide: ``minute, summoner, summoner_details, match``, within
+    each value of ``by`` (the load date, for a table of several).
 
     One aggregate of conditional counts per fixed stage (a pivot written out,
     so Spark needs a single exchange on minute rather than the two a
     ``pivot`` plans) replaces the two outer joins of per-stage counts; a stage
     with no rows in a minute counts 0 (P14, O1).
     """
-    wide = stage_minutes(bronze).groupBy("minute").agg(
-        *[F.count(F.when(F.col("stage") == s, 1)).alias(s) for s in STAGES])
-    return wide.orderBy("minute") if sort else wide
+    wide = stage_minutes(bronze, by).groupBy(*by, "minute").agg(*_counts())
+    return wide.orderBy(*by, "minute") if sort else wide
+
+
+def closed_minutes(bronze: DataFrame, delay: str) -> DataFrame:
+    """``stage_throughput`` of a stream: a minute's counts, once, when it is closed.
+
+    Minutes are event-time windows; one closes when the newest stage time seen is ``delay``
+    past its end, and its state goes.  What comes later than that is not counted, so
+    ``delay`` must cover how late a message can be.
+    """
+    pairs = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(c).try_cast("timestamp").alias("at"))
+                      for s, c in STAGE_COLUMNS.items()])
+    passed = bronze.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("at").isNotNull())
+    counts = passed.withWatermark("at", delay).groupBy(F.window("at", "1 minute")).agg(*_counts())
+    return counts.select(F.col("window.start").cast("timestamp_ntz").alias("minute"), *STAGES)
 
 
 def stage_throughput_distinct(bronze: DataFrame, sort: bool = True) -> DataFrame:
@@ -58,8 +76,7 @@ def stage_throughput_distinct(bronze: DataFrame, sort: bool = True) -> DataFrame
     events = (bronze.select(F.explode(pairs).alias("p")).select("p.*")
               .where(F.col("t").isNotNull()).dropDuplicates(["stage", "t"])
               .withColumn("minute", F.date_trunc("minute", "t").cast("timestamp_ntz")))
-    wide = events.groupBy("minute").agg(
-        *[F.count(F.when(F.col("stage") == s, 1)).alias(s) for s in STAGES])
+    wide = events.groupBy("minute").agg(*_counts())
     return wide.orderBy("minute") if sort else wide
 
 

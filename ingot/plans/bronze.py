@@ -29,6 +29,11 @@ DEDUPE_DELAY_S = 86_400                       # stream_dedupe_late: a day
 REPLAY_EVERY = 5                              # stream_dedupe: keys re-sent after restart
 
 
+def _number():
+    """A message's key, as the fixture numbers it."""
+    return F.col("key").cast("string").cast("long").alias("key")
+
+
 @query("bronze_ingest", O.BRONZE)
 def q_bronze_ingest(spark: SparkSession, sf_dir: str):
     """L1 in batch: messages -> bronze rows of one load date."""
@@ -73,7 +78,7 @@ def q_quarantine_stream(spark: SparkSession, sf_dir: str):
         F.lit("bronze").alias("landed"), F.lit(None).cast("long").alias("key"),
         *BRONZE_COLUMNS[:-1], nothing.alias("raw_message")).unionByName(
         spark.read.parquet(bad).select(
-            F.lit("quarantine").alias("landed"), "key",
+            F.lit("quarantine").alias("landed"), _number(),
             *[nothing.alias(c) for c in BRONZE_COLUMNS[:-1]], "raw_message"))
 
 
@@ -98,7 +103,7 @@ def q_stream_dedupe(spark: SparkSession, sf_dir: str):
     run()
     S.land_messages(msgs.where(F.col("key") % REPLAY_EVERY == 0), topic, files=2)
     run()
-    return spark.read.parquet(sink).select("key", *BRONZE_COLUMNS)
+    return spark.read.parquet(sink).select(_number(), *BRONZE_COLUMNS)
 
 
 @query("stream_dedupe_late", O.BRONZE_LATE)
@@ -118,7 +123,7 @@ def q_stream_dedupe_late(spark: SparkSession, sf_dir: str):
     run()
     S.land_messages(msgs.where(F.col("key") % REPLAY_EVERY == 0), topic, files=2)
     run()
-    columns = ["key", *BRONZE_COLUMNS]
+    columns = [_number(), *BRONZE_COLUMNS]
     return spark.read.parquet(sink).select(F.lit(False).alias("late"), *columns).unionByName(
         spark.read.parquet(late).select(F.lit(True).alias("late"), *columns))
 
@@ -160,11 +165,15 @@ def q_partition_overwrite(spark: SparkSession, sf_dir: str):
 
 @query("retention_purge", O.BRONZE_RETAINED)
 def q_retention_purge(spark: SparkSession, sf_dir: str):
-    """R3 as the retention job runs it: dates before the cutoff are dropped from the
-    table itself, by directory, without reading or rewriting a row."""
+    """R3 as the retention job runs it on the table of an ingest stream: dates before the
+    cutoff are dropped from the table itself, by directory, without reading or
+    rewriting a row."""
     pin_session(spark)
-    path = fresh_path(spark, "bronze-purged")
-    overwrite_partitions(bronze_ingest(X.envelope_messages(spark, sf_dir), X.event_day()), path)
+    topic, path = fresh_path(spark, "topic-purged"), fresh_path(spark, "bronze-purged")
+    S.land_messages(X.envelope_messages(spark, sf_dir), topic, files=4)
+    S.ingest_with_quarantine(S.read_messages(spark, "files", topic), path,
+                             fresh_path(spark, "bad-purged"), fresh_path(spark, "ckpt-purged"),
+                             X.event_day())
     purge_before(spark, path, RETENTION_CUTOFF)
     return spark.read.parquet(path).select(*BRONZE_COLUMNS)
 

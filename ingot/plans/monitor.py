@@ -16,9 +16,11 @@ from .. import oracle_monitor as O
 from ..operators import metrics as M
 from ..operators import monitor as T
 from ..registry import query
-from ..session import pin_session
+from ..session import fresh_path, pin_session
 from ..sources import fixtures as X
 from ..sources.tables import read_samples
+from ..streaming import ingest as S
+from ..streaming.throughput import follow_throughput
 
 RANGE_S = 3600          # trailing range of delta / rate (the test data is sparse)
 STALENESS_S = 300       # how long an instant value counts
@@ -32,9 +34,9 @@ def _bronze(spark, sf_dir):
 
 
 def _landed(spark, sf_dir, name, start=None):
-    """A landed metric table through the reader; ``start`` bounds the days that are read."""
+    """A landed metric table through the reader; only samples after ``start``."""
     pin_session(spark)
-    return read_samples(spark, X.landed_samples(spark, sf_dir, name), start)
+    return read_samples(spark, X.landed_samples(spark, sf_dir, name), start, after_start=True)
 
 
 def _samples(spark, sf_dir, start=None):
@@ -53,6 +55,24 @@ def q_stage_throughput(spark: SparkSession, sf_dir: str):
     return T.stage_throughput(_bronze(spark, sf_dir))
 
 
+@query("throughput_stream", O.STAGE_THROUGHPUT)
+def q_throughput_stream(spark: SparkSession, sf_dir: str):
+    """L9 while the stream runs: closed minutes of an event-time aggregate, in two runs on one
+    checkpoint.  A heartbeat (a message from far ahead) closes the last minutes."""
+    pin_session(spark)
+    topic, sink, ckpt = (fresh_path(spark, n) for n in ("topic-live", "live", "ckpt-live"))
+    msgs = X.envelope_messages(spark, sf_dir)
+    half = (msgs.agg(F.max("key")).first()[0] or 0) // 2
+
+    def run(rows):
+        S.land_messages(rows, topic, files=2)
+        follow_throughput(S.read_messages(spark, "files", topic), sink, ckpt, "1 hour")
+    run(msgs.where(F.col("key") <= half))
+    run(msgs.where(F.col("key") > half))
+    run(X.heartbeat(spark))
+    return spark.read.parquet(sink).select("minute", *T.STAGES)
+
+
 @query("stage_throughput_distinct", O.STAGE_THROUGHPUT_DISTINCT)
 def q_stage_throughput_distinct(spark: SparkSession, sf_dir: str):
     """Q11 variant: distinct stage events per minute."""

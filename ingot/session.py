@@ -126,6 +126,39 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: under another name first, then renamed.  A file that is
+    there already stays as it is."""
+    fs, target = hadoop_path(spark, path)
+    fs.mkdirs(target.getParent())
+    _, draft = hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, sorted; none if it does not exist."""
+    fs, p = hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 __all__ = ["build_session", "pin_session", "shared_root", "fresh_path", "hadoop_path",
-           "path_exists", "remove_path", "CORE_CONF", "CLUSTER_CONF"]
+           "path_exists", "remove_path", "write_text", "read_text", "list_names", "CORE_CONF", "CLUSTER_CONF"]
 

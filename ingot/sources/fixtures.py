@@ -239,6 +239,15 @@ def envelope_messages(spark: SparkSession, sf_dir: str, corrupt: bool = False) -
 
 
 
+HEARTBEAT_AT = "2100-01-01T00:00:00.000000"
+
+
+def heartbeat(spark: SparkSession) -> DataFrame:
+    """A message from far ahead, which moves a stream's watermark past everything landed."""
+    return spark.createDataFrame([(-1, HEARTBEAT_AT)], "key long, timestamp_summoner string").select(
+        "key", to_message("timestamp_summoner").cast("binary").alias("value"))
+
+
 # ---------------------------------------------------------------------------
 # Reference lookups (the remote API, re-aimed as tables)
 # ---------------------------------------------------------------------------

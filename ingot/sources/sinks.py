@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import to_message
-from ..session import fresh_path, hadoop_path, remove_path
+from ..functions.columns import message_key, to_message
+from ..session import fresh_path, hadoop_path, path_exists, remove_path
 from .tables import as_date
 
 
@@ -33,7 +33,7 @@ def as_messages(df: DataFrame, key_col: str | None = None) -> DataFrame:
     cols = [c for c in df.columns if c != key_col]
     out = [to_message(*cols).cast("binary").alias("value")]
     if key_col:
-        out.insert(0, F.col(key_col).cast("string").cast("binary").alias("key"))
+        out.insert(0, message_key(key_col).alias("key"))
     return df.select(*out)
 
 
@@ -73,6 +73,30 @@ def write_bucketed(df: DataFrame, key: str, table: str, path: str, buckets: int)
      .option("path", path).saveAsTable(table))
 
 
+VERSION = "__v"
+
+
+def publish_version(df: DataFrame, key: str, name: str, path: str, buckets: int,
+                    keep: int = 2) -> str:
+    """Write a lookup as a new bucketed table and point the view ``name`` at it; its name.
+
+    The view is switched in one step once the table is whole, so a reader finds the old
+    version or the new one.  Whoever resolved the old one goes on reading it: the ``keep``
+    newest versions stay, older ones are dropped with their files.
+    """
+    spark = df.sparkSession
+    old = sorted(t.name for t in spark.catalog.listTables(pattern=f"{name}{VERSION}*"))
+    number = int(old[-1].removeprefix(f"{name}{VERSION}")) + 1 if old else 1
+    table = f"{name}{VERSION}{number:012d}"
+    root = f"{path.rstrip('/')}/{VERSION.strip('_')}{number:012d}"
+    write_bucketed(df, key, table, root, buckets)
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM `{table}`")
+    for gone in [*old, table][:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS `{gone}`")
+        remove_path(spark, f"{path.rstrip('/')}/{gone.removeprefix(name).strip('_')}")
+    return table
+
+
 def drop_partition(spark, path: str, partition_date, column: str = "partition_date") -> None:
     """Remove one date's directory from a date-partitioned table (if present)."""
     remove_path(spark, f"{path.rstrip('/')}/{column}={partition_date}")
@@ -82,10 +106,13 @@ def purge_before(spark, path: str, cutoff, column: str = "partition_date") -> li
     """Drop the dates before ``cutoff`` from a date-partitioned table (R3); the dropped dates.
 
     Only directories are listed and removed; no row is read or rewritten.  A missing
-    root is an error, so a mistyped path cannot pass for an empty table."""
+    root is an error, so a mistyped path cannot pass for an empty table; so is a table that
+    Spark's streaming file sink wrote, whose commit log would go on naming the files."""
     fs, root = hadoop_path(spark, path)
     if not fs.exists(root):
         raise FileNotFoundError(path)
+    if path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{path} has a streaming commit log, which names the files to be dropped")
     found = [s.getPath().getName().partition("=") for s in fs.listStatus(root)]
     old = sorted(v for k, _, v in found if k == column and v < str(as_date(cutoff)))
     for v in old:

@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..functions.schemas import METRIC_SCHEMA, SNAPSHOT_SCHEMA
 from ..session import path_exists
+from .compaction import live_paths
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -31,11 +32,18 @@ def read_layer(spark: SparkSession, base: str, partition_date=None,
     """Read a table partitioned by date from its root.
 
     Reading the root and filtering keeps ``partition_date`` as a column,
-    prunes directories (``PartitionFilters``) and, for a table written by a
-    streaming file sink, honours the sink's commit log so half-written batches
-    are never seen.  A leaf path or a ``*/*.parquet`` glob would lose all three.
+    prunes directories (``PartitionFilters``) and, for a table of Spark's streaming
+    file sink (``run_to_table``), honours the sink's commit log so half-written batches
+    are never seen.  The tables of ``run_split`` have no such log: a micro-batch's
+    directory appears when its write is committed.  A table that was compacted is
+    read by its live directories.  A leaf path or a ``*/*.parquet`` glob would lose all
+    of this.
     """
-    df = spark.read.parquet(base)
+    live = live_paths(spark, base, None if partition_date is None else as_date(partition_date))
+    if live:
+        df = spark.read.option("basePath", base).parquet(*live)
+    else:
+        df = spark.read.parquet(base)
     if partition_date is not None:
         df = df.where(F.col(date_column) == F.lit(as_date(partition_date)))
     return df
@@ -65,16 +73,17 @@ def read_snapshots(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -
     return spark.read.schema(StructType([*extra, *SNAPSHOT_SCHEMA.fields])).json(path)
 
 
-def read_samples(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+def read_samples(spark: SparkSession, path: str, start=None, end=None,
+                 after_start: bool = False) -> DataFrame:
     """A landed metric table ``(metric, labels, ts, value)``, partitioned by ``day`` if it is.
 
-    ``start`` and ``end`` (timestamps, end exclusive) reach the scan; on a table
-    partitioned by day whole directories are skipped."""
+    ``start`` (exclusive with ``after_start``) and ``end`` (exclusive) are timestamps and
+    reach the scan; on a table partitioned by day whole directories are skipped."""
     df = spark.read.schema(StructType([*METRIC_SCHEMA.fields, StructField("day", DateType())])
                            ).parquet(path)
     if start is not None:
-        df = df.where((F.col("ts") >= F.lit(start))
-                      & (F.col("day").isNull() | (F.col("day") >= F.to_date(F.lit(start)))))
+        late = F.col("ts") > F.lit(start) if after_start else F.col("ts") >= F.lit(start)
+        df = df.where(late & (F.col("day").isNull() | (F.col("day") >= F.to_date(F.lit(start)))))
     if end is not None:
         df = df.where((F.col("ts") < F.lit(end))
                       & (F.col("day").isNull() | (F.col("day") <= F.to_date(F.lit(end)))))

@@ -11,20 +11,23 @@ vanishes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.columns import message_text, parse_once, to_message
+from ..functions.columns import message_key, message_text, parse_once, to_message
 from ..functions.schemas import DETAIL_SCHEMA, SEED_SCHEMA
 from ..operators import enrich as E
 from ..operators.bronze import CORRUPT, load_date
 from .ingest import Output, run_split
+from .ledger import Batch
 
 
 def as_topic(rows: DataFrame, key: str) -> DataFrame:
-    """Rows as ``(key, value)`` JSON messages."""
-    return rows.select(F.xxhash64(key).alias("key"),
+    """Rows as ``(key, value)`` JSON messages, both as bytes."""
+    return rows.select(message_key(key).alias("key"),
                        to_message(*rows.columns).cast("binary").alias("value"))
 
 
@@ -36,31 +39,50 @@ def consume(messages: DataFrame, schema: StructType) -> DataFrame:
                          F.when(bad, F.col("_raw")).alias("_raw"), bad.alias("_bad"))
 
 
-def _hop(marked: DataFrame, topic: Output | str, retry: str, quarantine: str, checkpoint: str,
-         partition_date, **options):
-    """Bad messages ride along (left joins keep them) and are told apart by ``_bad``."""
-    day = load_date(partition_date)
+Lookup = DataFrame | Callable[[], DataFrame]
+
+
+def _now(lookup: Lookup) -> DataFrame:
+    """The lookup as it is now: a function is asked anew for every micro-batch."""
+    return lookup if isinstance(lookup, DataFrame) else lookup()
+
+
+def _hop(messages: DataFrame, mark: Callable[[DataFrame], DataFrame], topic: Output | str,
+         retry: str, quarantine: str, checkpoint: str, partition_date, **options):
+    """``mark`` looks a micro-batch's rows up.  Bad messages ride along (left joins keep them)
+    and are told apart by ``_bad``."""
     if isinstance(topic, str):
-        topic = Output(lambda r, _: r, topic, "files")
-    good = lambda b: b.where("NOT _bad")
-    return run_split(marked, [
-        Output(lambda b, _: as_topic(E.enriched(good(b)), "match_id"), topic.path, topic.fmt,
+        topic = Output(lambda b: b.rows, topic, "files")
+
+    def day(b: Batch):
+        return load_date(b.day if partition_date is None else partition_date)
+
+    def good(b: Batch) -> DataFrame:
+        return b.rows.where("NOT _bad")
+    return run_split(messages, [
+        Output(lambda b: as_topic(E.enriched(good(b)), "match_id"), topic.path, topic.fmt,
                topic.options),
-        Output(lambda b, _: E.retries(good(b)).withColumn("partition_date", day), retry),
-        Output(lambda b, _: b.where("_bad").select(F.col("_raw").alias("raw_message"),
-                                                day.alias("partition_date")), quarantine)],
-        checkpoint, **options)
+        Output(lambda b: E.retries(good(b)).withColumn("partition_date", day(b)), retry),
+        Output(lambda b: b.rows.where("_bad").select(F.col("_raw").alias("raw_message"),
+                                                     day(b).alias("partition_date")), quarantine)],
+        checkpoint, prepare=lambda b: mark(b.rows), **options)
 
 
-def enrich_details(messages: DataFrame, identity: DataFrame, lists: DataFrame, processed_at,
+def enrich_details(messages: DataFrame, identity: Lookup, lists: Lookup, processed_at,
                    topic: Output | str, retry: str, quarantine: str, checkpoint: str,
                    partition_date=None, **options):
-    """Hop 1: seed messages -> one detail message per recent match."""
-    return _hop(E.mark_history(consume(messages, SEED_SCHEMA), identity, lists, processed_at,
-                               keep=("_raw", "_bad")), topic, retry, quarantine, checkpoint, partition_date, **options)
+    """Hop 1: seed messages -> one detail message per recent match.
+
+    Lookups given as functions are resolved by each micro-batch, so a refresh between two
+    batches is seen by the second."""
+    return _hop(consume(messages, SEED_SCHEMA), lambda rows: E.mark_history(
+        rows, _now(identity), _now(lists), processed_at, keep=("_raw", "_bad")),
+        topic, retry, quarantine, checkpoint, partition_date, **options)
 
 
-def enrich_matches(messages: DataFrame, documents: DataFrame, fetched_at, topic: Output | str,
+def enrich_matches(messages: DataFrame, documents: Lookup, fetched_at, topic: Output | str,
                    retry: str, quarantine: str, checkpoint: str, partition_date=None, **options):
     """Hop 2: detail messages -> match messages that carry the document."""
-    return _hop(E.mark_documents(consume(messages, DETAIL_SCHEMA), documents, fetched_at), topic, retry, quarantine, checkpoint, partition_date, **options)
+    return _hop(consume(messages, DETAIL_SCHEMA), lambda rows: E.mark_documents(
+        rows, _now(documents), fetched_at), topic, retry, quarantine, checkpoint, partition_date,
+        **options)

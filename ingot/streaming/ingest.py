@@ -4,24 +4,28 @@ The production source is a Kafka topic.  The connector jar is not on this
 machine, so every stream here can also read the same ``(key, value)`` messages
 from a directory of Parquet files; the transforms downstream are identical.
 Streams write with a checkpoint below the shared folder, so a restarted query
-neither loses nor repeats a micro-batch (exactly-once file sink).
+neither loses nor repeats a micro-batch: Spark's file sink by its commit log, streams of
+several outputs by directories per micro-batch and the ledger (``ledger.py``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
+from ..functions.columns import message_key
 from ..operators.bronze import bronze_ingest, parse_envelope, quarantined, to_bronze
-from ..session import fresh_path, path_exists
+from ..session import fresh_path, list_names, path_exists, remove_path
+from .ledger import Batch, enter
 
-MESSAGE_SCHEMA = StructType([StructField("key", LongType(), True),
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.UTC)
+MESSAGE_SCHEMA = StructType([StructField("key", BinaryType(), True),
                              StructField("value", BinaryType(), True)])
 
 
@@ -64,9 +68,11 @@ def land_messages(messages: DataFrame, location: str, files: int = 4,
                   mode: str = "append") -> None:
     """Write ``(key, value)`` messages as Parquet files a file stream can read.
 
-    Rows are range-partitioned on the key so each file is one key range.
+    Rows are range-partitioned on the key so each file is one key range; keys are written
+    as a topic holds them, as bytes of their text.
     """
-    (messages.repartitionByRange(files, "key").write.mode(mode).parquet(location))
+    spread = messages.repartitionByRange(files, "key")
+    spread.withColumn("key", message_key("key")).write.mode(mode).parquet(location)
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str,
@@ -112,50 +118,70 @@ def _finish(q, available_now: bool, timeout_s: float | None):
 
 @dataclass(frozen=True)
 class Output:
-    """One of several results of a stream: which rows (of a micro-batch and its tag), and
-    where they go.
+    """One of several results of a stream: which rows of a micro-batch, and where they go.
 
-    ``fmt`` is "table" (Parquet, partitioned by load date and micro-batch),
+    ``fmt`` is "table" (Parquet, partitioned by ``by`` and micro-batch),
     "files" (``(key, value)`` messages as Parquet) or "kafka" (``path`` is the
     topic, ``options`` the connection)."""
 
-    select: Callable[[DataFrame, str], DataFrame]
+    select: Callable[[Batch], DataFrame]
     path: str
     fmt: str = "table"
     options: dict = field(default_factory=dict)
+    by: str = "partition_date"
+
+
+def check_messages(rows: DataFrame) -> DataFrame:
+    """``rows`` if a topic takes them: keys and values are text or bytes."""
+    types = dict(rows.dtypes)
+    bad = {c: t for c, t in types.items() if c not in ("key", "value") or t not in (
+        "string", "binary")}
+    if bad or "value" not in types:
+        raise ValueError(f"a topic takes key and value as string or binary, not {types}")
+    return rows
 
 
 def run_split(stream: DataFrame, outputs: list[Output], checkpoint: str,
               available_now: bool = True, processing_time: str | None = None,
-              timeout_s: float | None = None, files_per_batch: int | None = None):
+              timeout_s: float | None = None, files_per_batch: int | None = None,
+              prepare: Callable[[Batch], DataFrame] | None = None, newest: str | None = None):
     """Write each micro-batch to several outputs in one pass over it.
 
     The micro-batch is computed once and kept on the executors' disks while its
-    outputs are written (a lost part is recomputed from the source).  Every
-    output of a batch goes to a directory named by the query and the batch,
-    replaced as a whole, so a batch that is repeated after a failure gives the
-    same rows once; Kafka outputs are repeated at least once, as Kafka's sink
-    is.
+    outputs are written (a lost part is recomputed from the source).  ``prepare``
+    turns it into what the outputs select from, once as well.  Every output of a batch goes
+    to a directory named by the query and the batch, replaced as a whole, under the load
+    date that the ledger fixed when the batch first ran; so a batch that is repeated
+    after a failure, be it on another day, gives the same rows once.  Kafka outputs are
+    repeated at least once, as Kafka's sink is.  ``newest`` names an event time whose
+    newest value so far each batch is told.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        tag = f"{query}-{batch_id:08d}"
-        batch = batch.persist(StorageLevel.DISK_ONLY)
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        held = [batch.persist(StorageLevel.DISK_ONLY)]
         try:
+            now = Batch(batch, f"{query}-{batch_id:08d}", *enter(
+                spark, checkpoint, query, batch_id, lambda: newest and _newest(batch, newest)))
+            if prepare:
+                held.append(prepare(now).persist(StorageLevel.DISK_ONLY))
+                now = replace(now, rows=held[-1])
             for o in outputs:
-                rows = o.select(batch, tag)
+                rows = o.select(now)
                 if files_per_batch:
                     rows = rows.repartition(files_per_batch)
                 if o.fmt == "kafka":
-                    rows.write.format("kafka").options(**o.options).option("topic", o.path).save()
+                    check_messages(rows).write.format("kafka").options(**o.options).option(
+                        "topic", o.path).save()
                 elif o.fmt == "files":
-                    rows.write.mode("overwrite").parquet(f"{o.path}/batch={tag}")
+                    rows.write.mode("overwrite").parquet(f"{o.path}/batch={now.tag}")
                 else:
-                    (rows.withColumn("batch", F.lit(tag)).write.mode("overwrite")
-                     .option("partitionOverwriteMode", "dynamic")
-                     .partitionBy("partition_date", "batch").parquet(o.path))
+                    (rows.withColumn("batch", F.lit(now.tag)).write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic").options(**o.options)
+                     .partitionBy(o.by, "batch").parquet(o.path))
         finally:
-            batch.unpersist()
+            for df in held:
+                df.unpersist()
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         w = w.trigger(availableNow=True)
@@ -164,78 +190,121 @@ def run_split(stream: DataFrame, outputs: list[Output], checkpoint: str,
     return _finish(w.start(), available_now, timeout_s)
 
 
+def _newest(batch: DataFrame, column: str) -> dt.datetime | None:
+    micros = batch.agg(F.unix_micros(F.max(column))).first()[0]
+    return None if micros is None else EPOCH + dt.timedelta(microseconds=micros)
+
+
 def ingest_with_quarantine(messages: DataFrame, sink: str, quarantine: str, checkpoint: str,
                            partition_date=None, **options):
     """L1 + T6: messages -> bronze table, and what does not parse -> quarantine table, in one
     pass.  Every message lands in exactly one of the two."""
     keep = ("key",) if "key" in messages.columns else ()
+
     return run_split(parse_envelope(messages, keep=keep), [
-        Output(lambda b, _: to_bronze(b, partition_date), sink),
-        Output(lambda b, _: quarantined(b, partition_date, keep), quarantine)], checkpoint,
-        **options)
+        Output(lambda b: to_bronze(b.rows, _day(b, partition_date)), sink),
+        Output(lambda b: quarantined(b.rows, _day(b, partition_date), keep), quarantine)],
+        checkpoint, **options)
+
+
+def _day(b: Batch, given=None):
+    """The load date of a batch's rows: the given one, else the batch's.  A column that has
+    none for a row (a message that does not parse) gives way to the batch's date too."""
+    if given is None:
+        return b.day
+    return F.coalesce(given, F.lit(b.day)) if isinstance(given, Column) else given
+
+
+HOUR = "yyyy-MM-dd-HH"
+
+
+def keys_path(sink: str) -> str:
+    """Where the index of a deduplicated table's landed keys lies."""
+    return f"{sink.rstrip('/')}_keys"
+
+
+def landed_keys(spark: SparkSession, sink: str, since: dt.datetime, batch: str = "") -> DataFrame:
+    """``key, event_time`` of what landed since a time, from the index: only the hours since
+    are read, and nothing of the table itself.  ``batch`` is left out (a repeated batch)."""
+    index = spark.read.schema(
+        "key binary, event_time timestamp, hour string, batch string").parquet(keys_path(sink))
+    return index.where((F.col("hour") >= f"{since:%Y-%m-%d-%H}") & (F.col("event_time") >= F.lit(since))
+                       & (F.col("batch") != batch)).select("key", "event_time")
+
+
+def forget_keys(spark: SparkSession, sink: str, since: dt.datetime) -> None:
+    """Drop the index's hours before a time, which no later batch asks for."""
+    root = keys_path(sink)
+    for name in list_names(spark, root):
+        if name.startswith("hour=") and name[5:] < f"{since:%Y-%m-%d-%H}":
+            remove_path(spark, f"{root}/{name}")
 
 
 def ingest_deduplicated(messages: DataFrame, sink: str, quarantine: str, late: str,
                         checkpoint: str, delay_s: int, partition_date=None, **options):
     """L1 + T6 + T8: as ``ingest_with_quarantine``, each key landing once, nothing dropped as late.
 
-    A row whose event time is within ``delay_s`` seconds of the newest one landed by
+    A row whose event time is within ``delay_s`` seconds of the newest one seen by
     earlier micro-batches is a repeat if its key is in this batch already or landed
-    in that span (an anti join with the landed keys; the span bounds what is read,
-    by the event times in the files' statistics).  An older row, or one without
-    an event time, can't be told from a first delivery, so it goes to the ``late``
-    table.  A message without a key is no repeat of another one: it lands as it is.
-    Landed + repeats + late + quarantined = sent.  The newest time
-    of each batch is kept next to the sink, one row per batch.
+    in that span.  Landed keys are looked up in an index of their own (``landed_keys``):
+    key and event time by hour, with Bloom filters on the key, cut off at the delay, so a
+    batch costs the same however old the table is.  An older row, or one without an
+    event time, can't be told from a first delivery, so it goes to the ``late`` table.
+    A message without a key is no repeat of another one: it lands as it is.
+    Landed + repeats + late + quarantined = sent.
     """
-    progress = f"{sink.rstrip('/')}_progress"
     rows = parse_envelope(messages, keep=("key",)).withColumn("event_time", event_time())
 
-    def horizon(spark: SparkSession, tag: str):
-        if not path_exists(spark, progress):
-            return None
-        newest = spark.read.schema("newest timestamp, batch string").parquet(progress).where(
-            F.col("batch") < tag).agg(F.max("newest")).first()[0]
-        return newest and newest - dt.timedelta(seconds=delay_s)
+    def since(b: Batch) -> dt.datetime | None:
+        return b.before and b.before - dt.timedelta(seconds=delay_s)
 
-    def is_late(limit):
+    def judged(b: Batch) -> DataFrame:
+        """The batch without its repeats; ``_late`` marks what can't be judged."""
+        limit = since(b)
         old = F.lit(False) if limit is None else F.col("event_time") < F.lit(limit)
-        return F.col("event_time").isNull() | old
-
-    def fresh(batch: DataFrame, tag: str) -> DataFrame:
-        spark = batch.sparkSession
-        limit = horizon(spark, tag)
-        keep = to_bronze(batch.where(~is_late(limit)), partition_date, ("key", "event_time"))
-        unkeyed = keep.where("key IS NULL")
-        keep = keep.where("key IS NOT NULL").dropDuplicates(["key"])
-        if limit is not None and path_exists(spark, sink):
-            landed = spark.read.schema(keep.withColumn("batch", F.lit(tag)).schema).parquet(sink)
-            landed = landed.where((F.col("event_time") >= F.lit(limit)) & (F.col("batch") < tag))
-            keep = keep.join(landed.select("key"), "key", "left_anti")
-        return keep.unionByName(unkeyed)
-
-    def older(batch: DataFrame, tag: str) -> DataFrame:
-        return to_bronze(batch.where(is_late(horizon(batch.sparkSession, tag))), partition_date,
-                         ("key", "event_time"))
+        marked = b.rows.withColumn("_late", ~F.col("_bad") & (F.col("event_time").isNull() | old))
+        asked = ~F.col("_bad") & ~F.col("_late") & F.col("key").isNotNull()
+        keyed = marked.where(asked).dropDuplicates(["key"])
+        spark = b.rows.sparkSession
+        if limit is not None and path_exists(spark, keys_path(sink)):
+            keyed = keyed.join(landed_keys(spark, sink, limit, b.tag).select("key"), "key",
+                               "left_anti").select(*marked.columns)
+        return keyed.unionByName(marked.where(~asked))
+
+    def bronze(b: Batch, which: Column) -> DataFrame:
+        return to_bronze(b.rows.where(which), _day(b, partition_date), ("key", "event_time"))
+
+    def keys(b: Batch) -> DataFrame:
+        if (limit := since(b)) is not None:
+            forget_keys(b.rows.sparkSession, sink, limit)
+        # No later batch asks for what is older than the delay already.
+        asked = ~F.col("_bad") & ~F.col("_late") & F.col("key").isNotNull()
+        if b.newest is not None:
+            asked &= F.col("event_time") >= F.lit(b.newest - dt.timedelta(seconds=delay_s))
+        return b.rows.where(asked).select(
+            "key", "event_time", F.date_format("event_time", HOUR).alias("hour"))
+    bloom = {"parquet.bloom.filter.enabled#key": "true"}
     return run_split(rows, [
-        Output(fresh, sink), Output(older, late),
-        Output(lambda b, _: quarantined(b, partition_date, ("key",)), quarantine),
-        Output(lambda b, _: b.agg(F.max("event_time").alias("newest")), progress, "files")],
-        checkpoint, **options)
+        Output(lambda b: bronze(b, ~F.col("_late")), sink),
+        Output(lambda b: bronze(b, F.col("_late")), late),
+        Output(lambda b: quarantined(b.rows, _day(b, partition_date), ("key",)), quarantine),
+        Output(keys, keys_path(sink), options=bloom, by="hour")],
+        checkpoint, prepare=judged, newest="event_time", **options)
 
 
 def bronze_stream(spark: SparkSession, source: str, location: str, sink: str,
                   checkpoint: str | None = None, partition_date=None,
                   options: dict | None = None, max_files: int | None = None,
                   available_now: bool = True):
-    """L1: topic -> bronze table, appended with a checkpoint."""
+    """L1: topic -> bronze table, appended by Spark's file sink with its commit log, which
+    hides half-written batches from readers of the root."""
     msgs = read_messages(spark, source, location, options, max_files)
     bronze = bronze_ingest(msgs, partition_date)
     return run_to_table(bronze, sink, checkpoint or fresh_path(spark, "ckpt-bronze"),
                         available_now=available_now)
 
 
-def event_time(text: str = "timestamp_summoner") -> F.Column:
+def event_time(text: str = "timestamp_summoner") -> Column:
     """Event time for watermarks: the stage text as a zoned ``timestamp``
     (watermarks reject ``timestamp_ntz``); null for malformed text."""
     return F.col(text).try_cast("timestamp")

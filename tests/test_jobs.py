@@ -151,8 +151,8 @@ def test_enrichment_jobs_end_to_end(spark):
         "--latest", "3")
     run("refresh-lookup", at["docsrc"], "match_id", "en_documents", at["doct"], "--buckets", "2")
     run("publish-seeds", at["snap"], at["seeds"], "--taken-at", "2024-02-01T00:00:00")
-    spark.createDataFrame([(9, b"{broken")], "key long, value binary").write.mode("append").parquet(
-        at["seeds"])
+    S.land_messages(spark.createDataFrame([(9, b"{broken")], "key long, value binary"), at["seeds"],
+                    files=1)
     run("enrich-details", "en_identity", "en_history", at["details"], at["r1"], at["q1"], at["c1"],
         "--files", at["seeds"], "--date", "2024-02-01")
     run("enrich-matches", "en_documents", at["matchs"], at["r2"], at["q2"], at["c2"], "--files",
@@ -173,9 +173,15 @@ def test_throughput_and_retention_jobs(spark):
     overwrite_partitions(spark.createDataFrame(
         rows, "timestamp_summoner string, timestamp_summoner_details string, timestamp_match string, "
               "match_details string, partition_date date"), bronze)
+    for date in ("2024-01-01", "2024-01-02"):          # one date after the other: both stay
+        jobs.main(["throughput", bronze, sink, date], spark=spark)
+    jobs.main(["throughput", bronze, sink, "2024-01-01"], spark=spark)
+    rows = spark.read.parquet(sink).collect()
+    assert {str(r.partition_date): (r.summoner, r.summoner_details, r.match) for r in rows} == {
+        "2024-01-01": (1, 1, 0), "2024-01-02": (1, 1, 0)} and len(rows) == 2
     jobs.main(["throughput", bronze, sink], spark=spark)
-    (row,) = spark.read.parquet(sink).collect()
-    assert (row.summoner, row.summoner_details, row.match) == (3, 3, 0)
+    assert sorted(str(r.partition_date) for r in spark.read.parquet(sink).collect()) == [
+        "2024-01-01", "2024-01-02", "2024-01-03"]
     jobs.main(["retention", bronze, "2024-01-02"], spark=spark)
     assert {str(r.partition_date) for r in spark.read.parquet(bronze).collect()} == {
         "2024-01-02", "2024-01-03"}
@@ -210,7 +216,7 @@ def test_ingest_lands_each_key_once_and_keeps_late_rows(spark):
          (1, "2024-01-01T10:00:00"),       # repeated outside: late
          (3, "2024-01-01T01:00:00"),       # never seen, eleven hours late: kept as late
          (4, "2024-01-01T12:30:00"), (5, None), (6, "no time"))
-    key = lambda path: sorted(r.key for r in spark.read.parquet(path).collect())
+    key = lambda path: sorted(int(r.key) for r in spark.read.parquet(path).collect())
     assert key(sink) == [1, 2, 4]
     assert key(f"{sink}_late") == [1, 3, 6]
     assert key(f"{sink}_quarantine") == [5]
@@ -232,5 +238,5 @@ def test_ingest_with_dedupe_lands_every_message_without_a_key(spark):
     landed = spark.read.parquet(sink).collect()
     assert sorted(r.timestamp_summoner[11:16] for r in landed if r.key is None) == [
         "10:00", "10:01", "10:03", "10:03"]
-    assert [r.key for r in landed if r.key is not None] == [1]
+    assert [bytes(r.key) for r in landed if r.key is not None] == [b"1"]
     assert [r.key for r in spark.read.parquet(f"{sink}_late").collect()] == [None]

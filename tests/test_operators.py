@@ -136,7 +136,7 @@ def test_published_stream_feeds_the_next_hop(spark):
          for i in range(5)], "key long, value binary")
     S.land_messages(rows, src, files=2)
     S.run_split(S.read_messages(spark, "files", src, max_files=1),
-                [S.Output(lambda b, _: b, topic, "files")], fresh_path(spark, "p-ck1"))
+                [S.Output(lambda b: b.rows, topic, "files")], fresh_path(spark, "p-ck1"))
     S.bronze_stream(spark, "files", topic, sink, fresh_path(spark, "p-ck2"), partition_date="2024-01-01")
     got = sorted(json.loads(r.match_details)["i"] for r in spark.read.parquet(sink).collect())
     assert got == [0, 1, 2, 3, 4]
