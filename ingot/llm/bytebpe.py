@@ -13,6 +13,7 @@ piece's bytes by rank.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -59,14 +60,13 @@ class Splitter:
 
     def __init__(self, pattern: str):
         self.find = regex.compile(pattern)
-        newer = _beyond(pattern)
-        self.newer = {ord(c): STAND_IN for c in newer}
-        self.has_newer = regex.compile(f"[{''.join(newer)}]") if newer else None
+        self.newer = set(_beyond(pattern))
+        self.stand_in = {ord(c): STAND_IN for c in self.newer}
 
     def pieces(self, text: str) -> list[str]:
-        if self.has_newer and not text.isascii() and self.has_newer.search(text):
+        if not text.isascii() and not self.newer.isdisjoint(text):
             return [text[m.start():m.end()]
-                    for m in self.find.finditer(text.translate(self.newer))]
+                    for m in self.find.finditer(text.translate(self.stand_in))]
         return self.find.findall(text)
 
 
@@ -78,7 +78,7 @@ class Merges:
     only ever the id of a whole piece.
     """
 
-    def __init__(self, ranks: dict[bytes, int], max_pairs: int = 1 << 19):
+    def __init__(self, ranks: dict[bytes, int], max_pairs: int = 1 << 17):
         self.ranks = ranks
         self.words = {rank: word for word, rank in ranks.items()}
         self.parts: dict[int, tuple[int, int] | None] = {}
@@ -123,10 +123,27 @@ class Merges:
                 return True
 
 
+class _Memory(dict):
+    """Packed ids by piece; a piece not in it comes from the older generation or is encoded."""
+
+    def __init__(self, encode, older: dict):
+        super().__init__()
+        self.encode, self.older = encode, older
+
+    def __missing__(self, piece: str) -> bytes:
+        value = self.older.get(piece)
+        if value is None:
+            ids = self.encode(piece.encode())
+            value = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= 64:                              # long ones hardly come again
+            self[piece] = value
+        return value
+
+
 class BytePairEncoder:
     """Encodes pieces; remembers those used lately (two generations of ``max_pieces``)."""
 
-    def __init__(self, ranks: dict[bytes, int], max_pieces: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], max_pieces: int = 150_000):
         self.ranks = ranks
         self.merges = Merges(ranks)
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
@@ -137,8 +154,7 @@ class BytePairEncoder:
         self.size = {rank: len(word) for word, rank in ranks.items()}
         self.shorter = {rank: self._next_prefix(word) for word, rank in ranks.items()}
         self.max_pieces = max_pieces
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memory = _Memory(self.ids, {})
 
     def _next_prefix(self, word: bytes) -> int:
         """The longest token that is a proper prefix of a token (-1: none)."""
@@ -176,20 +192,9 @@ class BytePairEncoder:
 
     def packed(self, pieces: list[str]) -> bytes:
         """Ids of pieces in order, as little-endian unsigned 32-bit integers."""
-        if len(self.recent) > self.max_pieces:
-            self.older, self.recent = self.recent, {}
-        known = self.recent
-        found = list(map(known.get, pieces))
-        for i, value in enumerate(found):
-            if value is None:
-                piece = pieces[i]
-                value = known.get(piece) or self.older.get(piece)
-                if value is None:
-                    value = np.array(self.ids(piece.encode()), "<u4").tobytes()
-                if len(piece) <= 64:                      # long ones hardly come again
-                    known[piece] = value
-                found[i] = value
-        return b"".join(found)
+        if len(self.memory) > self.max_pieces:
+            self.memory = _Memory(self.ids, dict(self.memory))
+        return b"".join(map(self.memory.__getitem__, pieces))
 
 
 class Decoder:

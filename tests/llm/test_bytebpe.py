@@ -94,7 +94,7 @@ def test_memory_of_pieces_is_bounded():
     encoder = bytebpe.BytePairEncoder(bytebpe.read_ranks(PATH), max_pieces=50)
     for i in range(40):
         encoder.packed([f"w{i}x{j}" for j in range(20)])
-    assert len(encoder.recent) <= 70 and len(encoder.older) <= 70
+    assert len(encoder.memory) <= 70 and len(encoder.memory.older) <= 70
 
 
 def test_odd_documents(spark):
