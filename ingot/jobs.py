@@ -9,6 +9,9 @@
     python -m ingot.jobs publish-seeds SNAPSHOTS SINK [--taken-at TIME]
     python -m ingot.jobs enrich-details IDENTITY HISTORY SINK RETRY QUARANTINE CHECKPOINT SOURCE
     python -m ingot.jobs enrich-matches DOCUMENTS SINK RETRY QUARANTINE CHECKPOINT SOURCE
+    python -m ingot.jobs redrive-details RETRY STATE IDENTITY HISTORY SINK DEAD [--landed TABLE]
+    python -m ingot.jobs redrive-matches RETRY STATE DOCUMENTS SINK DEAD
+        [--max-attempts N] [--backoff SECONDS] [--at TIME]
     python -m ingot.jobs refresh-lookup SOURCE_PATH KEY TABLE PATH --buckets N [--latest N]
     python -m ingot.jobs throughput BRONZE SINK [DATE]
     python -m ingot.jobs follow-throughput SINK CHECKPOINT SOURCE [--delay "10 minutes"]
@@ -32,6 +35,7 @@ cluster's settings (including ``spark.checkpoint.dir``) apply.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 from .functions.columns import ISO_PATTERN
 from .operators import enrich as E
 from .operators import monitor as T
+from .operators import retry as R
 from .plans.silver import run_bronze_to_silver, run_silver_to_gold
 from .session import pin_session
 from .sources.compaction import compact, vacuum
@@ -102,6 +107,14 @@ def _parser() -> argparse.ArgumentParser:
         h.add_argument("--at", help="stage time of the hop (default: now)")
         _stream_arguments(h)
         _sink_arguments(h)
+    for name, lookups in (("redrive-details", ("identity", "history")),
+                          ("redrive-matches", ("documents",))):
+        d = job(name, "retry", "state", *lookups, "sink", "dead")
+        d.add_argument("--at", help="time of the run (default: now)")
+        d.add_argument("--max-attempts", type=int, default=5)
+        d.add_argument("--backoff", type=int, default=3600, metavar="SECONDS")
+        d.add_argument("--landed", help="table whose rows need not be sent again")
+        _sink_arguments(d)
     r = job("refresh-lookup", "source", "key", "table", "path")
     r.add_argument("--buckets", type=int, required=True)
     r.add_argument("--latest", type=int, help="keep lists of the latest N matches per key")
@@ -143,6 +156,27 @@ def _lookup(spark: SparkSession, name: str):
     return lambda: spark.table(name)
 
 
+def _redrive(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One run over a hop's retry table; see ``operators/retry.py``."""
+    now = dt.datetime.fromisoformat(args.at) if args.at else dt.datetime.now(dt.UTC)
+    now = now if now.tzinfo else now.replace(tzinfo=dt.UTC)
+    stage = F.lit(now.replace(tzinfo=None).isoformat(timespec="microseconds"))
+    if args.job == "redrive-details":
+        mark = R.mark_seeds(spark.table(args.identity), spark.table(args.history), stage)
+    else:
+        mark = R.mark_details(spark.table(args.documents), stage)
+
+    def publish(rows: DataFrame, run: int) -> None:
+        messages = S.check_messages(H.as_topic(rows, "match_id"))
+        if args.sink_kafka:
+            write_messages(messages, "kafka", args.sink, {"kafka.bootstrap.servers": args.sink_kafka})
+        else:
+            messages.write.mode("overwrite").parquet(f"{args.sink}/batch=redrive-{run:08d}")
+    landed = read_layer(spark, args.landed) if args.landed else None
+    R.redrive(read_layer(spark, args.retry), args.state, mark, publish, args.dead, now,
+              args.max_attempts, args.backoff, landed)
+
+
 def _throughput(spark: SparkSession, args: argparse.Namespace) -> None:
     """Throughput per load date; only the given date, or the dates there are, are replaced."""
     rows = read_layer(spark, args.bronze, args.date)
@@ -193,6 +227,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         query = H.enrich_matches(
             _messages(spark, args), _lookup(spark, args.documents), _time(args.at), _topic(args),
             args.retry, args.quarantine, args.checkpoint, args.date, **_options(args))
+    elif args.job in ("redrive-details", "redrive-matches"):
+        _redrive(spark, args)
     elif args.job == "refresh-lookup":
         rows = spark.read.parquet(args.source)
         if args.latest:

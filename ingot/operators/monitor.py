@@ -102,16 +102,53 @@ def stage_latency(bronze: DataFrame) -> DataFrame:
     hour costs one partial row per task in the shuffle.  The percentiles are
     exact for up to 10,000 different values in a group.
     """
-    times = bronze.select(*[stage_time(c).alias(s) for s, c in STAGE_COLUMNS.items()])
-    hops = F.array(*[F.struct(F.lit(f"{a}->{b}").alias("hop"),
-                              F.date_trunc("hour", F.col(a)).cast("timestamp_ntz").alias("hour"),
-                              seconds_between(a, b).alias("seconds"))
-                     for a, b in HOPS])
-    return (times.select(F.explode(hops).alias("h")).select("h.*")
-            .where(F.col("seconds").isNotNull())
-            .groupBy("hour", "hop")
+    return (_hops(bronze, "hour").groupBy("hour", "hop")
             .agg(F.count(F.lit(1)).alias("n"),
                  F.round(F.avg("seconds"), 3).alias("avg_seconds"),
                  F.percentile_approx("seconds", 0.5, 10_000).alias("p50_seconds"),
                  F.percentile_approx("seconds", 0.95, 10_000).alias("p95_seconds"),
                  F.max("seconds").alias("max_seconds")))
+
+
+def _hops(bronze: DataFrame, unit: str) -> DataFrame:
+    times = bronze.select(*[stage_time(c).alias(s) for s, c in STAGE_COLUMNS.items()])
+    hops = F.array(*[F.struct(F.lit(f"{a}->{b}").alias("hop"),
+                              F.date_trunc(unit, F.col(a)).cast("timestamp_ntz").alias(unit),
+                              seconds_between(a, b).alias("seconds"))
+                     for a, b in HOPS])
+    return times.select(F.explode(hops).alias("h")).select("h.*").where(F.col("seconds").isNotNull())
+
+
+SKETCH_K = 400          # KLL size: a rank is off by less than 1 % with 99 % confidence
+
+
+def latency_sketches(bronze: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """``minute, hop, sketch``: a quantile sketch (KLL) of the seconds between stages.
+
+    A sketch is a few kilobytes whatever it summarises, is combined map-side, and merges with
+    others, so hours and days come from stored minutes without reading bronze again.
+    """
+    return _hops(bronze, "minute").groupBy("minute", "hop").agg(
+        F.kll_sketch_agg_double("seconds", k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, unit: str, shares: dict[str, float]) -> DataFrame:
+    """``<unit>, hop, n`` and a quantile per entry of ``shares``, of merged minute sketches."""
+    merged = sketches.groupBy(F.date_trunc(unit, "minute").cast("timestamp_ntz").alias(unit), "hop").agg(
+        F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select(unit, "hop", F.kll_sketch_get_n_double("sketch").alias("n"), *(
+        F.kll_sketch_get_quantile_double("sketch", F.lit(share)).alias(name)
+        for name, share in shares.items()))
+
+
+def rank_errors(bronze: DataFrame, quantiles: DataFrame, unit: str, shares: dict[str, float],
+                ) -> DataFrame:
+    """How far each quantile's rank is from the share it stands for, against all values: the
+    share lies within [values below, values up to it] / n, or the distance to that."""
+    both = _hops(bronze, unit).join(quantiles, [unit, "hop"])
+    parts = []
+    for name, share in shares.items():
+        below = F.sum((F.col("seconds") < F.col(name)).cast("long")) / F.count(F.lit(1))
+        upto = F.sum((F.col("seconds") <= F.col(name)).cast("long")) / F.count(F.lit(1))
+        parts.append(F.greatest(below - share, share - upto, F.lit(0.0)).alias(name))
+    return both.groupBy(unit, "hop").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("values"), *parts)

@@ -77,3 +77,14 @@ union all
 select {SNAPSHOT_AT}, n_name, 'GONE_' || cast(n_nationkey as varchar), 'no_document'
 from nation
 """
+
+RETRY_REDRIVE = """
+select s_name as "summonerId", 'unknown_player' as reason, 3 as attempts, 'dead' as status,
+  cast(0 as bigint) as matches, true as in_dead from supplier
+union all
+select 'Part#' || cast(p_partkey as varchar), 'no_history', 3,
+  case when p_partkey % 2 = 0 then 'sent' else 'dead' end,
+  case when p_partkey % 2 = 0 then 1 else 0 end, p_partkey % 2 <> 0 from part
+union all
+select n_name, 'unknown_player', 2, 'sent', 1, false from nation
+"""

