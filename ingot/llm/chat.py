@@ -12,7 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
+from .common import numbered
+
 BUCKET = 256                       # turns whose running length one window adds up
+SALTS = 64                         # rows which the copies of one turn are counted in, at most
+PREFIX = 64                        # characters of a turn's words that order the range shuffle
 
 
 def rotate(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -26,11 +31,13 @@ def rotate(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     participant "unknown"; a null text is empty.  A repeated row is a turn of its own.
     ``mask_start`` and ``mask_end`` bound the turn's own words within the rendered
     dialogue (characters, end exclusive), and ``masked`` is 1 where the participant
-    learns from them.  Empty tables give no rows; other columns are ignored.
+    learns from them.  Texts of any length are rendered whole.  Empty tables give no rows;
+    other columns are ignored.
 
-    Running lengths are added up in buckets of ``BUCKET`` turns and then over bucket
-    totals, so a very long dialogue is not one task's work; rows that tie on
-    (turn, author, text) are counted together and numbered by an array.
+    Rows are numbered within their dialogue by a range shuffle, whatever their turns say, and
+    running lengths are added up in buckets of ``BUCKET`` of them and then over bucket
+    totals, so a dialogue that holds a third of all rows, with its turns all null or
+    equal, is not one task's work.  Copies of one turn are counted in ``SALTS`` rows.
     """
     raw = turns.where(F.col(conv_id).isNotNull()).select(
         F.col(conv_id).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
@@ -38,8 +45,12 @@ def rotate(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("words"))
     # Participants: the distinct authors of a dialogue.
     speakers = raw.select("conv_id", F.col("author").alias("speaker")).distinct()
-    grouped = raw.groupBy("conv_id", "turn", "author", "words").agg(F.count("*").alias("copies"))
-    view = grouped.join(speakers, "conv_id")
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS))
+    grouped = raw.withColumn("salt", salt).groupBy("conv_id", "turn", "author", "words", "salt").agg(
+        F.count("*").alias("copies")).withColumn("prefix", F.substring("words", 1, PREFIX))
+    placed = numbered(grouped, "conv_id", ["conv_id", "turn", "author", "prefix", "salt"],
+                      fresh_path(turns.sparkSession, "turns"), ["words"])
+    view = placed.join(speakers, "conv_id")
     own = F.col("author") == F.col("speaker")
     head = F.when(own, F.lit("<|assistant|>\n")).otherwise(
         F.concat(F.lit("<|user name="), "author", F.lit("|>\n")))
@@ -47,19 +58,18 @@ def rotate(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
         "conv_id", "speaker", "turn", "author", F.when(own, "assistant").otherwise("user")
         .alias("role"), F.concat(head, "words", F.lit("<|end|>\n")).alias("text"),
         F.length(head).alias("head"), F.length("words").alias("size"), own.cast("int")
-        .alias("masked"), "copies", F.floor(F.coalesce("turn", F.lit(-1)) / BUCKET).alias("bucket"))
+        .alias("masked"), "copies", "place", F.floor(F.col("place") / BUCKET).alias("bucket"))
     length = F.length("text") * F.col("copies")
     keys = ["conv_id", "speaker"]
-    inner = Window.partitionBy(*keys, "bucket").orderBy(
-        F.col("turn").asc_nulls_first(), "author", "text").rowsBetween(
+    inner = Window.partitionBy(*keys, "bucket").orderBy("place").rowsBetween(
         Window.unboundedPreceding, -1)
     totals = view.groupBy(*keys, "bucket").agg(F.sum(length).alias("total"))
     outer = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(*keys, "bucket", F.coalesce(F.sum("total").over(outer), F.lit(0))
                           .alias("base"))
-    placed = view.withColumn("inside", F.coalesce(F.sum(length).over(inner), F.lit(0))).join(
+    laid = view.withColumn("inside", F.coalesce(F.sum(length).over(inner), F.lit(0))).join(
         bases, [*keys, "bucket"])
-    each = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1)
+    each = laid.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1)
                                                           .cast("int"))))
     start = F.col("base") + F.col("inside") + F.col("copy") * F.length("text")
     return each.select(

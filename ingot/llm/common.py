@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
@@ -43,10 +43,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage with files every executor can read, so a lost executor
     costs no recomputation above this point.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
+    return written_at(df, fresh_path(df.sparkSession, name))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a Parquet table at ``path``, read back."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], path: str,
+             within: list[str] | None = None) -> DataFrame:
+    """``rows`` with ``place``, their number within ``group`` (from 0) in the order of ``order``,
+    and ``total``, the group's size.
+
+    ``order`` sorts all rows, nulls first, and keeps each group together.  One range shuffle; a
+    partition's rows are numbered as they lie, and a group's rows in earlier partitions are
+    added, so a group of any size is spread over tasks.  ``within`` orders rows that tie on
+    ``order``, and does not reach the driver as the sampled ``order`` does.  ``path`` holds
+    the sorted rows.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    inside = keys + [F.col(c).asc_nulls_first() for c in within or []]
+    laid = written_at(rows.repartitionByRange(*keys).sortWithinPartitions(*inside).select(
+        "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("line")),
+        path)
+    counts = laid.groupBy(group, "part").agg(F.min("line").alias("first"), F.count("*").alias("n"))
+    own = Window.partitionBy(group)
+    before = own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(group, "part", "first", F.sum("n").over(own).alias("total"),
+                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return laid.join(counts, [group, "part"]).select(
+        *rows.columns, (F.col("base") + F.col("line") - F.col("first")).alias("place"), "total")
 
 
 ROW_CHARS = 64

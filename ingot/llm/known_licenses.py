@@ -1,5 +1,7 @@
 """Known licence texts and one-line notices (fixed values: public licence wording)."""
 
+from pathlib import Path
+
 MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -83,7 +85,6 @@ limitations under the License."""
 
 TEXTS = [
     ("MIT", MIT_GRANT + MIT_NOTICE + MIT_AS_IS),
-    ("MIT", "MIT License\n\n" + MIT_GRANT + MIT_NOTICE + MIT_AS_IS),
     ("MIT-0", MIT_GRANT + "." + MIT_AS_IS),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\n"
      "purpose with or without fee is hereby granted, provided that the above\n"
@@ -111,3 +112,37 @@ NOTICES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
 ]
+
+# Names under which a short text is titled; the longer licences hold their titles.
+TITLES = {
+    "MIT": ["MIT"], "MIT-0": ["MIT No Attribution"], "ISC": ["ISC"], "0BSD": ["BSD Zero Clause"],
+    "BSD-2-Clause": ["BSD 2-Clause", "Simplified BSD"],
+    "BSD-3-Clause": ["BSD 3-Clause", "New BSD", "Modified BSD"], "Zlib": ["zlib"],
+}
+
+# Whole licences that Linux systems carry: name, file.
+SYSTEM_FOLDER = "/usr/share/common-licenses"
+SYSTEM_FILES = [
+    ("Apache-2.0", "Apache-2.0"), ("Artistic-1.0", "Artistic"), ("CC0-1.0", "CC0-1.0"),
+    ("GFDL-1.2", "GFDL-1.2"), ("GFDL-1.3", "GFDL-1.3"), ("GPL-1.0", "GPL-1"), ("GPL-2.0", "GPL-2"),
+    ("GPL-3.0", "GPL-3"), ("LGPL-2.0", "LGPL-2"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"),
+    ("MPL-1.1", "MPL-1.1"), ("MPL-2.0", "MPL-2.0"),
+]
+
+
+def titled(texts: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The texts, also under each usual form of their titles."""
+    out = list(texts)
+    for name, text in texts:
+        for title in TITLES.get(name, []):
+            out += [(name, f"{head}\n\n{text}") for head in (
+                f"{title} License", f"The {title} License", f"{title} License ({title})",
+                f"The {title} License ({title})", f"{title} License ({name})",
+                f"The {title} License ({name})")]
+    return out
+
+
+def system_texts(folder: str = SYSTEM_FOLDER) -> list[tuple[str, str]]:
+    """Whole licences from a folder on the driver; those that are not there are left out."""
+    found = ((name, Path(folder, file)) for name, file in SYSTEM_FILES)
+    return [(name, path.read_text(errors="replace")) for name, path in found if path.is_file()]

@@ -12,73 +12,100 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .known_licenses import NOTICES, TEXTS
+from .common import written
+from .known_licenses import NOTICES, TEXTS, system_texts, titled
 
 # Spellings that mean the same.
-SPELLINGS = (("licence", "license"), ("licenced", "licensed"), ("sublicence", "sublicense"),
+SPELLINGS = (("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"),
+             ("sublicence", "sublicense"),
              ("https", "http"), ("noncommercial", "non commercial"),
              ("organisation", "organization"), ("whilst", "while"), ("ver", "version"),
              ("v", "version"), ("gnu general public license", "gnu gpl"), ("gpl", "gnu gpl"),
              ("gnu gnu gpl", "gnu gpl"))
+# Lines that say whose copyright it is: with a year or sign, or with capitalised names only.
 COPYRIGHT_LINE = (r"(?im)^[^\p{L}\p{N}\n]*(copyright\b|\(c\)|©)[^\n]*(\d{4}|\(c\)|©|<year>|by)[^\n]*$"
-                  r"|^[^\p{L}\p{N}\n]*all rights reserved\W*$")
+                  r"|^[^\p{L}\p{N}\n]*copyright([ \t]+(?-i:[A-Z]\.|[A-Z]\p{Ll}[\p{L}.'-]*),?){1,6}"
+                  r"[^\p{L}\p{N}\n]*$"
+                  r"|^[^\p{L}\p{N}\n]*all[ \t]+rights[ \t]+reserved[^\p{L}\p{N}\n]*$")
+WHOLE, LINES = r"[^\p{L}\p{N}]+", r"[^\p{L}\p{N}\n]+"
 
-MENTION = r"(?i)licen|releas|spdx|public domain"
+
+def _form(text: Column, between: str) -> Column:
+    """Words in lower case and one spelling, two blanks around each; ``between`` is what
+    stands between words."""
+    form = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, " ")
+    form = F.regexp_replace(F.lower(form), between, " ")
+    # Two blanks, so that a word and its neighbour have one each.
+    form = F.replace(F.replace(form, F.lit("\n"), F.lit(" \n ")), F.lit(" "), F.lit("  "))
+    form = F.concat(F.lit("  "), form, F.lit("  "))
+    for old, new in SPELLINGS:
+        form = F.replace(form, F.lit(f" {old.replace(' ', '  ')} "),
+                         F.lit(f" {new.replace(' ', '  ')} "))
+    return form
+
+
+def _single(form: Column) -> Column:
+    return F.trim(F.regexp_replace(form, " +", " "))
 
 
 def canonical(text: Column) -> Column:
     """Canonical form of a text; null reads as empty."""
-    form = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, " ")
-    form = F.regexp_replace(F.lower(form), r"[^\p{L}\p{N}]+", " ")
-    form = F.concat(F.lit(" "), F.trim(form), F.lit(" "))
-    for old, new in SPELLINGS:
-        form = F.replace(form, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.trim(form)
+    return _single(_form(text, WHOLE))
+
+
+def canonical_lines(text: Column) -> Column:
+    """Canonical forms of a text's lines, each as if it stood alone."""
+    return F.transform(F.split(_form(text, LINES), "\n"), _single)
 
 
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """The built-in list: short texts under their titles, notices, and the system's licences."""
+    return [*titled(TEXTS), *NOTICES, *system_texts()]
+
+
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """``digest, license`` of known texts: (name, text) pairs, the built-in list by default.
+    """``digest, license, size`` of known texts: (name, text) pairs, by default the built-in list.
 
-    Texts with one canonical form share a digest; the first name in order stands for it."""
-    rows = spark.createDataFrame([*TEXTS, *NOTICES] if texts is None else texts,
+    ``size`` is the canonical form's length.  Texts with one canonical form share a digest;
+    the first name in order stands for it."""
+    rows = spark.createDataFrame(known_texts() if texts is None else texts,
                                  "license string, body string")
-    return rows.select(digest(F.col("body")).alias("digest"), "license").groupBy("digest").agg(
-        F.min("license").alias("license"))
+    form = rows.select(canonical(F.col("body")).alias("form"), "license")
+    return form.groupBy(F.sha2("form", 256).alias("digest")).agg(
+        F.min("license").alias("license"), F.max(F.length("form")).alias("size"))
 
 
-def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text",
-         notices: list[tuple[str, str]] = NOTICES, min_line: int = 12,
-         max_line: int = 400) -> DataFrame:
+def scan(docs: DataFrame, known: DataFrame, notices: DataFrame | None = None,
+         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, digest, license, line_licenses``, a row per row of ``docs``.
 
     ``license`` names the known licence that the whole document is (else null);
     ``line_licenses`` lists, sorted and comma-joined, the licences whose entire notice
     is one of its lines (empty if none).  Null and empty texts have the digest of
-    the empty text and no licence.  Repeated rows and ids each keep their row.  Empty
-    tables give no rows; other columns are ignored.
+    the empty text and no licence.  Repeated rows and ids each keep their row.  Texts and
+    lines of any length are read whole.  Empty tables give no rows; other columns are
+    ignored.
 
-    ``known`` (``digest, license``, one row per digest) is joined, however large.
-    ``notices`` is a short list that becomes a constant array.  Only lines of
-    ``min_line`` to ``max_line`` characters that mention a licence word are looked
-    up; the built-in notices all do.
+    ``known`` and ``notices`` (by default the built-in ones; ``known_digests``) are joined,
+    however many.  A line is digested once, and only if some notice's canonical form
+    has its length, which no other line can equal.
     """
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                      F.col(text).cast("string").alias("body"))
-    lines = F.filter(F.split(F.coalesce("body", F.lit("")), "\n"), lambda x: (
-        F.length(x).between(min_line, max_line)) & x.rlike(MENTION))
-    found = F.array().cast("array<string>")
-    if notices:
-        # The digest of each line, looked up among the notices' constant digests.
-        pairs = F.array(*(F.struct(digest(F.lit(t)), F.lit(n)) for n, t in notices))
-        named = F.transform(lines, lambda x: F.get(F.array_sort(F.transform(
-            F.filter(pairs, lambda p: p["col1"] == digest(x)), lambda p: p["col2"])), 0))
-        found = F.filter(named, lambda x: x.isNotNull())
-    base = own.select("doc_id", digest(F.col("body")).alias("digest"),
-                      F.array_join(F.array_sort(F.array_distinct(found)), ",")
-                      .alias("line_licenses"))
-    return base.join(known.select("digest", "license"), "digest", "left").select(
-        "doc_id", "digest", "license", "line_licenses")
+    spark = docs.sparkSession
+    notices = known_digests(spark, NOTICES) if notices is None else notices
+    sizes = [r["size"] for r in notices.select("size").distinct().collect()]   # lengths, not texts
+    body = docs[text].cast("string")
+    lines = F.filter(canonical_lines(body), lambda x: F.length(x).isin(sizes)) if sizes else F.array()
+    base = written(docs.select(
+        F.monotonically_increasing_id().alias("row"), docs[doc_id].cast("long").alias("doc_id"),
+        digest(body).alias("digest"), F.transform(F.array_distinct(lines.cast("array<string>")),
+                                                  lambda x: F.sha2(x, 256)).alias("lines")), "digests")
+    hits = base.select("row", F.explode("lines").alias("digest")).join(
+        notices.select("digest", "license"), "digest").groupBy("row").agg(
+        F.array_join(F.array_sort(F.collect_set("license")), ",").alias("line_licenses"))
+    return base.join(known.select("digest", "license"), "digest", "left").join(
+        hits, "row", "left").select(
+        "doc_id", "digest", "license", F.coalesce("line_licenses", F.lit("")).alias("line_licenses"))

@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
+from .common import numbered, written_at
 
 FAN = 3
 LEVELS = 6
@@ -81,32 +82,6 @@ def _siblings(path: str) -> str:
     return f"aggregate({path}, X'', (b, s) -> b || s.before || s.after)"
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def numbered(rows: DataFrame, group: str, order: list[str], path: str) -> DataFrame:
-    """``rows`` with ``place``, their number within ``group`` (from 0) in the order of ``order``,
-    and ``total``, the group's size.
-
-    ``order`` sorts all rows, nulls first, and keeps each group together.  One range shuffle; a
-    partition's rows are numbered as they lie, and a group's rows in earlier partitions are
-    added, so a group of any size is spread over tasks.  ``path`` holds the sorted rows.
-    """
-    keys = [F.col(c).asc_nulls_first() for c in order]
-    laid = _write(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
-        "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("line")),
-        path)
-    counts = laid.groupBy(group, "part").agg(F.min("line").alias("first"), F.count("*").alias("n"))
-    own = Window.partitionBy(group)
-    before = own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(group, "part", "first", F.sum("n").over(own).alias("total"),
-                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return laid.join(counts, [group, "part"]).select(
-        *rows.columns, (F.col("base") + F.col("line") - F.col("first")).alias("place"), "total")
-
-
 def _name(tree: int, grp, step: int, place) -> Column:
     """A stored node's name: its tree, group, step above the leaves and place there."""
     return F.struct(F.lit(tree).alias("tree"), grp.alias("grp"), F.lit(step).alias("step"),
@@ -143,7 +118,7 @@ def _grow(nodes: DataFrame, payload: list[str], tree: int, path: str) -> tuple[l
     steps: list[DataFrame] = []
     ends: DataFrame | None = None
     while True:
-        rows = _write(_step(nodes, payload if not steps else [], tree, len(steps)),
+        rows = written_at(_step(nodes, payload if not steps else [], tree, len(steps)),
                       f"{path}/tree{tree}-step{len(steps)}")
         tops = rows.where(F.col("place") % BLOCK == 0)
         done = tops.where(F.col("total") <= BLOCK).select(
@@ -169,7 +144,7 @@ def build(docs: DataFrame, fields: list[str], path: str, doc_id: str = "doc_id",
     read and never shuffled; other columns are ignored.
     """
     own = leaf_digest([docs[c] for c in fields])
-    rows = _write(docs.select(
+    rows = written_at(docs.select(
         docs[doc_id].alias("doc_id"), docs[source].cast("string").alias("source"),
         own.alias("digest"), leaf_digest(claim).alias("claim") if claim else own.alias("claim"),
         field(docs[source]).cast("string").alias("grp")), f"{path}/rows")
@@ -219,7 +194,7 @@ def prove(spark: SparkSession, path: str) -> DataFrame:
     limit = spark.conf.get(ROW_LIMIT)
     spark.conf.set(ROW_LIMIT, "-1")
     try:
-        return _write(spark.sql(CLIMB, leaves=spark.read.parquet(f"{path}/leaves"),
+        return written_at(spark.sql(CLIMB, leaves=spark.read.parquet(f"{path}/leaves"),
                                 higher=spark.read.parquet(f"{path}/higher")),
                       fresh_path(spark, "proofs"))
     finally:

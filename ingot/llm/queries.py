@@ -177,13 +177,22 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _sql_canonical(text: str) -> str:
+def _sql_form(text: str, between: str) -> str:
     form = f"regexp_replace(coalesce({text}, ''), {_sql_text(licenses.COPYRIGHT_LINE)}, ' ', 'g')"
-    form = f"regexp_replace(lower({form}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
-    form = f"' ' || trim({form}) || ' '"
+    form = f"regexp_replace(lower({form}), {_sql_text(between)}, ' ', 'g')"
+    form = f"'  ' || replace(replace({form}, chr(10), ' ' || chr(10) || ' '), ' ', '  ') || '  '"
     for old, new in licenses.SPELLINGS:
+        old, new = (x.replace(" ", "  ") for x in (old, new))
         form = f"replace({form}, ' {old} ', ' {new} ')"
-    return f"trim({form})"
+    return form
+
+
+def _sql_single(form: str) -> str:
+    return f"trim(regexp_replace({form}, ' +', ' ', 'g'))"
+
+
+def _sql_canonical(text: str) -> str:
+    return _sql_single(_sql_form(text, licenses.WHOLE))
 
 
 def _sql_known(pairs: list[tuple[str, str]]) -> str:
@@ -193,15 +202,13 @@ def _sql_known(pairs: list[tuple[str, str]]) -> str:
 
 
 ORACLES["op5_license_scan"] = f"""
-WITH known AS ({_sql_known([*licenses.TEXTS, *licenses.NOTICES])}),
+WITH known AS ({_sql_known(licenses.known_texts())}),
 notices AS ({_sql_known(licenses.NOTICES)}),
 own AS (SELECT row_number() OVER () AS r, doc_id, text,
                sha256({_sql_canonical('text')}) AS digest FROM documents),
-line AS (SELECT r, unnest(string_split(text, chr(10))) AS l FROM own),
+line AS (SELECT r, unnest(string_split({_sql_form('text', licenses.LINES)}, chr(10))) AS l FROM own),
 hit AS (SELECT DISTINCT r, n.license
-        FROM (SELECT r, sha256({_sql_canonical('l')}) AS digest FROM line
-              WHERE length(l) BETWEEN 12 AND 400
-                AND regexp_matches(l, {_sql_text(licenses.MENTION)})) JOIN notices n USING (digest)),
+        FROM (SELECT r, sha256({_sql_single('l')}) AS digest FROM line) JOIN notices n USING (digest)),
 hits AS (SELECT r, string_agg(license, ',' ORDER BY license) AS line_licenses FROM hit GROUP BY r)
 SELECT own.doc_id, own.digest, known.license,
        coalesce(hits.line_licenses, '') AS line_licenses

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 CANDIDATE_ROWS, QUERY_ROWS, BINS = 4096, 512, 4096
+TILE = 16           # blocks of a side that meet the other side's in one cell
 
 
 def quantise(vectors: DataFrame, vec_id: str, vector: str, scale: int = 256) -> DataFrame:
@@ -70,8 +71,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
 
     All candidates are scored exactly.  Fewer than k candidates give fewer rows.
     Vectors that are null or hold null or non-finite components take no part, nor do
-    rows without an id; vectors of different lengths do not meet.  Scores beyond
-    2**61 are outside the contract (64-bit sums).  Of queries with
+    rows without an id; vectors of different lengths do not meet.  Components whose
+    scores might go beyond 2**61 raise an error (64-bit sums).  Of queries with
     the same id one takes part; candidates with the same id are each a candidate.
     Empty tables give no rows.  Other columns are ignored.
     """
@@ -81,16 +82,25 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
                     "candidates")
     asked = quantise(queries, vec_id, vector, scale).dropDuplicates(["vec_id"])
     asks = written(_blocks(asked, QUERY_ROWS, "block"), "queries")
-    # Every candidate block meets every query block of its length: an equi-join on the
-    # query block, for which a candidate block is repeated once per query block.
-    wanted = asks.groupBy("dim").agg(F.collect_list("block").alias("blocks"))
-    pairs = written(cands.join(wanted, "dim").select("cand", F.explode("blocks").alias("block")),
-                    "pairs")
+    # Candidate blocks and query blocks are dealt into tiles; a candidate tile and a query tile
+    # of one length meet in a cell of the grid, so a block is shuffled once per tile of the
+    # other side, not once per block.  Inside its cell a block meets every block.
+    n_cands, n_asks = cands.count(), asks.count()
+    parallel = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    across = max(1, min(n_cands, max(-(-n_cands // TILE), parallel)))
+    down = max(1, -(-n_asks // TILE))
+
+    def tile(block: str, n: int):
+        return F.pmod(F.xxhash64(block), F.lit(n)).cast("int")
 
     def scored(state: DataFrame, run, schema: str) -> DataFrame:
-        held = asks.select("block", F.col("ids").alias("qids"), F.col("data").alias("qdata"),
-                           "dim").join(state, "block")
-        return (pairs.join(held, "block").join(cands.select("cand", "ids", "data"), "cand")
+        held = asks.join(state, "block").select(
+            F.col("ids").alias("qids"), F.col("data").alias("qdata"), "dim", "lo", "width", "need",
+            tile("block", down).alias("down"),
+            F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("across"))
+        rows = cands.select("ids", "data", "dim", tile("cand", across).alias("across"),
+                            F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("down"))
+        return (rows.join(held, ["dim", "across", "down"])
                 .select("ids", "data", "qids", "qdata", "dim", "lo", "width", "need")
                 .mapInPandas(run, schema))
 

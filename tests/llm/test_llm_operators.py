@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 from ingot.llm import (
     chat,
     decontam,
+    known_licenses,
     langid,
     licenses,
     packing,
@@ -251,6 +252,42 @@ def test_license_forms(spark, odd, none):
     assert licenses.scan(none, licenses.known_digests(spark)).count() == 0
 
 
+def test_whole_licences_under_other_layouts(spark):
+    whole = known_licenses.system_texts()
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {
+        n for n, _ in whole}
+    layouts = [lambda t: t.upper(), lambda t: "\n\n".join("\t" + x.replace(" ", "  ") for x in t.split("\n")),
+               lambda t: t.replace("\n", "\r\n") + "\n\n", lambda t: re.sub(r"\blicense(s?)\b", r"licence\1", t)]
+    rows = [(i * 10 + j, change(text)) for i, (_, text) in enumerate(whole)
+            for j, change in enumerate(layouts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(df, licenses.known_digests(spark)).collect()}
+    assert got == {i: whole[i // 10][0] for i, _ in rows}
+
+
+def test_titles_and_lines_without_a_year(spark):
+    mit = next(t for n, t in licenses.TEXTS if n == "MIT")
+    rows = [(1, "Copyright Jane Doe\n\n" + mit), (2, "The MIT License (MIT)\n\nCopyright (c) Jane Doe\n" + mit),
+            (3, "MIT License\n\nCopyright J. R. van Doe, Acme\n\n" + mit),     # "van" is no capitalised name
+            (4, "Copyright notice and more words\n\n" + mit)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(df, licenses.known_digests(spark)).collect()}
+    assert got == {1: "MIT", 2: "MIT", 3: None, 4: None}
+
+
+def test_any_notice_of_the_caller_is_looked_up(spark):
+    long = "Use is granted " + "to everybody and " * 40 + "to nobody else."
+    notices = [("GPL", "Distributed under the terms of the GPL."), ("LONG", long), ("X", "ok")]
+    rows = [(1, "a\n  distributed under the terms of the GNU GPL!\nb"), (2, long.upper()), (3, "OK"),
+            (4, "not ok"), (5, "licence licence"), (6, "x" * 500_000 + "\nok")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = licenses.known_digests(spark, [("TWICE", "license license")])
+    got = {r.doc_id: (r.license, r.line_licenses) for r in licenses.scan(
+        df, known, licenses.known_digests(spark, notices)).collect()}
+    assert got == {1: (None, "GPL"), 2: (None, "LONG"), 3: (None, "X"), 4: (None, ""), 5: ("TWICE", ""),
+                   6: (None, "X")}
+
+
 # Chat
 
 def test_rotation_renders_each_view(spark):
@@ -282,6 +319,27 @@ def test_rotation_renders_each_view(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("turn", [None, 5])
+def test_a_dialogue_of_equal_turns_is_spread(spark, monkeypatch, turn):
+    monkeypatch.setattr(chat, "BUCKET", 16)
+    rows = [(1, turn, f"p{i % 2}", f"{'same beginning ' * 8}{i % 300}") for i in range(900)]
+    rows += [(1, turn, "p0", "copy")] * 500 + [(2, 0, "x", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    views = defaultdict(list)
+    for r in chat.rotate(df).collect():
+        views[r.conv_id, r.speaker].append(r)
+    assert len(views[1, "p0"]) == len(views[1, "p1"]) == 1400
+    for parts in views.values():
+        parts.sort(key=lambda r: r.start)
+        at, seen = 0, []
+        for r in parts:
+            assert r.start == at
+            at += len(r.text)
+            seen.append((r.author, r.text))
+        assert [a for a, _ in seen] == sorted(a for a, _ in seen)
+        assert sum(t.endswith("copy<|end|>\n") for _, t in seen) in (0, 500)
+
+
 # Personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
