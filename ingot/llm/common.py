@@ -12,10 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import fresh_path
+from ..session import fresh_path, remove_path
 
 
 _SHIPPED: set[str] = set()
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -43,7 +44,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage with files every executor can read, so a lost executor
     costs no recomputation above this point.
     """
-    return written_at(df, fresh_path(df.sparkSession, name))
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return written_at(df, path)
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Remove the intermediate tables that operators wrote in this application so far; how many.
+
+    Results that were not stored yet can't be read any more."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
 
 
 def written_at(df: DataFrame, path: str) -> DataFrame:

@@ -33,7 +33,7 @@ from ingot.llm import (
     topk,
     toxicity,
 )
-from ingot.llm.common import ship, text_batches
+from ingot.llm.common import remove_written, ship, text_batches, written
 from ingot.session import fresh_path
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,6 +82,14 @@ def test_pieces_equal_whole_texts(path, spaces):
         assert lengths.tolist() == [len(w) for w in want]
 
 
+def test_intermediate_tables_can_be_removed(spark):
+    first = written(spark.range(3).toDF("x"), "t-gone")
+    assert first.count() == 3 and remove_written(spark) >= 1
+    with pytest.raises(Exception, match="(?i)file|path"):
+        first.collect()
+    assert remove_written(spark) == 0
+
+
 def test_empty_rows_fill_a_group():
     batch = pa.RecordBatch.from_arrays([pa.array(range(100_000)), pa.nulls(100_000, pa.string())],
                                        ["doc_id", "text"])
