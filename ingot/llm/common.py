@@ -92,6 +92,14 @@ def numbered(rows: DataFrame, group: str, order: list[str], path: str,
 
 
 ROW_CHARS = 64
+ROWS = 500          # rows of which a task holds Python objects at a time, besides a group's
+
+
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``ROWS`` rows."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, ROWS):
+            yield batch.slice(lo, ROWS)
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000,
@@ -104,7 +112,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000,
     ids: list = []
     texts: list[str] = []
     size = 0
-    for batch in batches:
+    for batch in small_batches(batches):
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                 strict=True):
             ids.append(doc_id)

@@ -145,9 +145,10 @@ def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
                item_text: str = "text", min_words: int = 13, min_share: float = 0.8) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no passage of an item.
 
-    Rows are judged by their texts, whatever their ids.  The digests of the texts that go
-    are written first, so that Spark broadcasts them only below its threshold."""
-    digest = F.sha2(F.coalesce(docs[text].cast("string"), F.lit("")), 256)
+    Rows are judged by their texts, whatever their ids.  The digests (16 bytes) of the texts
+    that go are written first, so that Spark broadcasts them only below its threshold."""
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    digest = F.substring(F.unhex(F.sha2(body, 256)), 1, 16)
     gone = written(_matches(docs, digest, text, items, item_id, item_text, min_words, min_share)
                    .select(F.col("key").alias("gone")).distinct(), "contaminated")
     return docs.join(gone, digest == gone.gone, "left_anti")

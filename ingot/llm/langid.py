@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import small_batches, text_batches
 
 UNDETERMINED = "und"
 SHARPNESS = 40.0                   # turns distances (0 to 1) into a confidence
@@ -194,8 +194,8 @@ def accept(docs: DataFrame, profiles: dict[str, np.ndarray], min_score: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(profiles, size)
-        for batch in batches:
-            if batch.num_rows and not profiles:
+        for batch in small_batches(batches):
+            if not profiles:
                 raise ValueError("no language profile: no row has a language to learn from")
             found = [matcher.predict(t or "") for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([name != UNDETERMINED and s >= min_score

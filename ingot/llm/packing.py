@@ -126,7 +126,8 @@ def _greedy(docs, starts, lengths, window, next_seq) -> np.ndarray:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-                   window: int = 4096, end_id: int = 2, group_ids: int = 2_000_000) -> DataFrame:
+                   window: int = 4096, end_id: int = 2, group_ids: int = 2_000_000,
+                   max_pieces: int = 300_000) -> DataFrame:
     """Pieces of every document: ``doc_id, start, length, doc_tokens, sequence_id, offset``
     and the piece's ``ids`` (little-endian uint32).
 
@@ -134,14 +135,15 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
     repeated or null ids are documents of their own.  An empty table gives no
     rows; other columns are ignored.  A group holds about ``group_ids`` ids (more
     only for one longer document), which bounds a task's memory.
-    ``sequence_id`` is unique over all tasks.
+    ``sequence_id`` is unique over all tasks.  A worker remembers ``max_pieces`` pieces of
+    texts (about 250 bytes each), which saves encoding them again.
     """
     names = [f.split()[0] for f in PIECES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         base = TaskContext.get().partitionId() << 40
-        encoder = worker_encoder(tokenizer, "drop")
+        encoder = worker_encoder(tokenizer, "drop", max_pieces)
         held: list = []
         size = 0
 
@@ -166,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
                              pa.binary())], names)
             base += int(rows[:, 3].max()) + 1
 
-        for keys, texts in text_batches(batches, 2_000_000):
+        for keys, texts in text_batches(batches, 500_000):
             ids, lengths = encoder.encode(texts, end_id)
             held.append((keys, ids, lengths))
             size += len(ids)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import small_batches, text_batches
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "identifier", "national_phone", "obfuscated_email", "secret")
@@ -442,7 +442,7 @@ def redact(docs: DataFrame, weights: np.ndarray, text: str = "text") -> DataFram
         return "".join([*out, t[done:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             col = pa.array([clean(t) for t in batch.column(place).to_pylist()],
                            batch.schema.field(place).type)
             yield batch.set_column(place, batch.schema.field(place), col)

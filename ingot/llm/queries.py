@@ -61,7 +61,8 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        max_pieces=1_000_000).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset")
 

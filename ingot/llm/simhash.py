@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import text_batches, written
+from .common import small_batches, text_batches, written
 
 GROUPS, WIDTH = 4, 16              # correlated groups of bits
 KEY_COST = 20.0                    # shuffling one key costs as much as so many comparisons
@@ -344,7 +344,7 @@ def _with_fingerprint(docs: DataFrame, name: str, text: str, shingle: int) -> Da
     texts = docs.select(*docs.columns, docs[text].cast("string").alias(f"{name}_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             fps = np.array([fingerprint(t or "", shingle) for t in
                             batch.column(batch.num_columns - 1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps.view(np.int64))],

@@ -76,9 +76,11 @@ class PieceEncoder:
         self.ends[[i for word, i in vocab.items() if word.endswith(END)]] = True
         if not self.lead:
             (self.mark_id,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        # The model alone, for words that need no more normalisation or cutting.
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer, self.bare.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        # The model alone, for words that need no more normalisation or cutting.  One
+        # tokenizer serves for both, since a second one would hold the vocabulary twice.
+        self.whole = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        self.bare = (None, pre_tokenizers.WhitespaceSplit())
+        self.mode = self.whole
         self.max_pieces = max_pieces
         self._clear()
         self._age()
@@ -138,9 +140,13 @@ class PieceEncoder:
         self.n_slots += len(pieces)
         self.slots.update(zip(pieces, range(slot, slot + len(pieces)), strict=True))
 
+    def _ids(self, texts: list[str], mode: tuple) -> list[list[int]]:
+        if mode is not self.mode:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.mode = mode
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _run(self, text: str) -> np.ndarray:
-        enc = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(enc[0].ids, np.uint32)
+        return np.array(self._ids([text], self.whole)[0], np.uint32)
 
     def _learn(self, pieces: list) -> None:
         """Remember new pieces: the library encodes the parts it has not seen, and a
@@ -191,8 +197,7 @@ class PieceEncoder:
             part = words[lo:lo + 2000]
             lead = LEAD if self.lead else ""
             text = _as_bytes(lead + f" {lead}".join(part))
-            ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids,
-                           np.uint32)
+            ids = np.array(self._ids([text], self.bare)[0], np.uint32)
             if self.lead:
                 counts = np.diff(np.append(np.flatnonzero(self.begins[ids]), len(ids)))
             else:
@@ -203,9 +208,7 @@ class PieceEncoder:
         loose = [k for k in keys if isinstance(k, tuple)] if self.lead else []
         if loose:
             # Parts that stand behind another one, without a space.
-            found = self.bare.encode_batch_fast([_as_bytes(k[0]) for k in loose],
-                                                add_special_tokens=False)
-            ids = [e.ids for e in found]
+            ids = self._ids([_as_bytes(k[0]) for k in loose], self.bare)
             self._add(loose, np.array([i for one in ids for i in one], np.uint32),
                       np.array([len(one) for one in ids]))
 
@@ -260,7 +263,7 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=1)
-def worker_encoder(path: str, spaces: str) -> PieceEncoder:
+def worker_encoder(path: str, spaces: str, max_pieces: int = 500_000) -> PieceEncoder:
     """This Python worker's encoder: tasks that follow one another in a worker share its
     bounded piece memory."""
-    return PieceEncoder(path, spaces)
+    return PieceEncoder(path, spaces, max_pieces)
