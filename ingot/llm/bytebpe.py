@@ -16,6 +16,7 @@ import base64
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -63,6 +64,13 @@ class Splitter:
         self.newer = set(_beyond(pattern))
         self.stand_in = {ord(c): STAND_IN for c in self.newer}
 
+    def slices(self, text: str, size: int) -> Iterator[list[str]]:
+        """The pieces, ``size`` at a time."""
+        odd = not text.isascii() and not self.newer.isdisjoint(text)
+        found = self.find.finditer(text.translate(self.stand_in) if odd else text)
+        while part := [text[m.start():m.end()] for m in islice(found, size)]:
+            yield part
+
     def pieces(self, text: str) -> list[str]:
         if not text.isascii() and not self.newer.isdisjoint(text):
             return [text[m.start():m.end()]
@@ -216,7 +224,7 @@ def worker_tools(path: str, pattern: str) -> tuple[Splitter, BytePairEncoder, De
     return Splitter(pattern), BytePairEncoder(ranks), Decoder(ranks)
 
 
-SLICE = 1 << 16      # pieces put together at a time
+LONG, SLICE = 1 << 20, 1 << 16      # characters from which a text is cut, pieces of a slice
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id",
@@ -228,16 +236,17 @@ def encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id",
     nothing is left out.  Special tokens' strings are ordinary text.  A null or empty
     text has no ids; null and repeated ids of documents are kept, a row each; an empty
     table gives no rows; other columns are ignored.  A text of any length is read whole: a
-    task holds one text, its pieces and its ids.
+    task holds one text and its ids, and of a text of ``LONG`` characters a slice of its pieces.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, encoder, _ = worker_tools(ranks, pattern)
         for keys, texts in text_batches(batches, 1_000_000):
             rows = []
             for one in texts:
-                pieces = splitter.pieces(one)
-                rows.append(b"".join(encoder.packed(pieces[lo:lo + SLICE])
-                                     for lo in range(0, len(pieces), SLICE)))
+                if len(one) < LONG:
+                    rows.append(encoder.packed(splitter.pieces(one)))
+                else:
+                    rows.append(b"".join(map(encoder.packed, splitter.slices(one, SLICE))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array([len(r) // 4 for r in rows], pa.int64()),
                  pa.array(rows, pa.binary())], ["doc_id", "n_tokens", "ids"])

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers as P
@@ -20,6 +21,7 @@ SMALL = "/root/testdata/sf0.001"
 PATH = P.path("byte_bpe_50k.tiktoken")
 
 
+@lru_cache
 def reference(path, pattern=P.PATTERN):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -82,6 +84,15 @@ def test_few_bytes_with_crossing_merges():
         assert encoder.ids(piece) == want, piece
 
 
+def test_long_texts_are_cut_into_slices_of_pieces():
+    splitter = bytebpe.worker_tools(PATH, P.PATTERN)[0]
+    for text in ("", "a  b c\n", "one two, 3 " * 50, "\u0558x \U000323b0 y" * 9):
+        for size in (1, 3, 1000):
+            parts = list(splitter.slices(text, size))
+            assert [p for part in parts for p in part] == splitter.pieces(text)
+            assert all(0 < len(part) <= size for part in parts)
+
+
 def test_long_pieces_take_linear_work():
     encoder = bytebpe.worker_tools(PATH, P.PATTERN)[1]
     plain = reference(PATH)
@@ -99,7 +110,7 @@ def test_memory_of_pieces_is_bounded():
 
 def test_odd_documents(spark):
     ship(spark)
-    texts = ["", None, " ", "a  b", "<|endoftext|>", "x" * 300_000, "word " * 100_000, "é͸ß"]
+    texts = ["", None, " ", "a  b", "<|endoftext|>", "x" * 300_000, "word " * 250_000, "é͸ß"]
     rows = [(i, t, 1, "y") for i, t in enumerate(texts)] + [(None, "no id", 1, "y"), (3, "a  b", 1, "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids int, n_tokens string")
     plain = reference(PATH)
