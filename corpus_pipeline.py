@@ -48,11 +48,15 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4096 ids.  Null and empty texts are
     documents of one id; repeated and null ids are documents of their own."""
     ship(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).select(
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"),
+                                  max_pieces=REMEMBERED).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset")
 
 
+# Pieces that a worker remembers while packing: few, since it keeps them through the stages
+# of further runs, beside what those need.
+REMEMBERED = 60_000
 STAGES = [("language", language), ("near_duplicates", near_duplicates),
           ("decontamination", decontamination), ("personal_data", personal_data),
           ("packing", packed)]
