@@ -47,43 +47,50 @@ METRIC_PARTITIONS = 3                # series label partition = user_id % 3
 _LANDED: dict[tuple, str] = {}
 
 
-def _lines(spark, sf_dir) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    ln = F.col("l_linenumber")
+LINE_COLUMNS = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                "l_discount", "l_returnflag", "l_linestatus"]
+
+
+def _participant(m):
+    """A line of the order as a participant of the match."""
+    ln = m["l_linenumber"]
+    place = F.coalesce(ln % 5 + 1, F.lit(-1))       # without a number: the last
     part = F.struct(
-        F.col("l_partkey").cast("int").alias("championId"),
-        F.col("l_returnflag").alias("championName"),
+        m["l_partkey"].cast("int").alias("championId"),
+        m["l_returnflag"].alias("championName"),
         F.when(ln % 2 == 1, F.lit(TEAMS[0])).otherwise(F.lit(TEAMS[1])).alias("teamId"),
-        F.element_at(F.array(*map(F.lit, POSITIONS)), ln % 5 + 1).alias("individualPosition"),
-        F.element_at(F.array(*map(F.lit, LANES)), ln % 5 + 1).alias("lane"),
-        F.col("l_quantity").cast("int").alias("kills"),
+        F.element_at(F.array(*map(F.lit, POSITIONS)), place).alias("individualPosition"),
+        F.element_at(F.array(*map(F.lit, LANES)), place).alias("lane"),
+        m["l_quantity"].cast("int").alias("kills"),
         ln.alias("deaths"),
-        (F.col("l_suppkey") % 30).cast("int").alias("assists"),
-        (F.col("l_extendedprice") * 10).cast("int").alias("totalDamageDealt"),
-        (F.col("l_extendedprice") * F.col("l_discount") * 100).cast("int").alias("totalDamageTaken"),
-        F.col("l_extendedprice").cast("int").alias("goldEarned"),
-        (F.col("l_linestatus") == "F").alias("win"),
-        *[((F.col("l_partkey") + k * F.col("l_suppkey")) % ITEM_MODULUS).cast("int").alias(f"item{k}")
+        (m["l_suppkey"] % 30).cast("int").alias("assists"),
+        (m["l_extendedprice"] * 10).cast("int").alias("totalDamageDealt"),
+        (m["l_extendedprice"] * m["l_discount"] * 100).cast("int").alias("totalDamageTaken"),
+        m["l_extendedprice"].cast("int").alias("goldEarned"),
+        (m["l_linestatus"] == "F").alias("win"),
+        *[((m["l_partkey"] + k * m["l_suppkey"]) % ITEM_MODULUS).cast("int").alias(f"item{k}")
           for k in range(7)],
         (ln % 3).alias("allInPings"),
-        ((F.col("l_suppkey") % 20).cast("int") + ln).alias("itemsPurchased"),
-        (F.col("l_partkey") % 9).cast("int").alias("wardsKilled"),
-        (F.col("l_partkey") % 13).cast("int").alias("wardsPlaced"),
+        ((m["l_suppkey"] % 20).cast("int") + ln).alias("itemsPurchased"),
+        (m["l_partkey"] % 9).cast("int").alias("wardsKilled"),
+        (m["l_partkey"] % 13).cast("int").alias("wardsPlaced"),
     )
-    return li.select(
-        "l_orderkey",
-        F.struct(F.concat(F.lit("P"), F.col("l_suppkey").cast("string")).alias("puuid"),
-                 part.alias("p"),
-                 ln.alias("line"),
-                 F.col("l_suppkey").cast("int").alias("supp")).alias("m"))
+    return F.struct(F.concat(F.lit("P"), m["l_suppkey"].cast("string")).alias("puuid"),
+                    part.alias("p"),
+                    ln.alias("line"),
+                    m["l_suppkey"].cast("int").alias("supp"))
 
 
 def _flag_is(flag: str):
     return lambda m: m["p"]["championName"] == flag
 
 
-def _team(members, team_id: int):
-    mine = F.filter(members, lambda m: m["p"]["teamId"] == team_id)
+def _plays_for(team_id: int):
+    return lambda m: m["p"]["teamId"] == team_id
+
+
+def _team(mine, team_id: int):
+    """A team of the match, of its participants."""
     objectives = F.struct(*[
         F.struct(F.size(F.filter(mine, _flag_is(flag))).alias("kills")).alias(name)
         for name, flag in OBJECTIVE_FLAGS.items()])
@@ -97,14 +104,23 @@ def _team(members, team_id: int):
 
 
 def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON match document per order: ``(o_orderkey, o_orderdate, doc)``."""
-    per_order = (_lines(spark, sf_dir).groupBy("l_orderkey")
-                 .agg(F.collect_list("m").alias("members")))
+    """One JSON match document per order: ``(o_orderkey, o_custkey, o_orderdate, doc)``.
+
+    Only the lines' own columns are shuffled, gathered and joined to their order.  They become
+    participants, each a quarter of a KB, behind the join, where nothing is sorted any more.
+    The lines are dealt out before they are gathered: few of an order meet in a map task
+    by chance, so a partial ``collect_list`` would only sort (and spill) its input there.
+    """
+    per_order = (read_table(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isNotNull())
+                 .select("l_orderkey", *LINE_COLUMNS).repartition("l_orderkey").groupBy("l_orderkey")
+                 .agg(F.collect_list(F.struct(*LINE_COLUMNS)).alias("lines")))
     orders = read_table(spark, sf_dir, "orders")
     j = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-    members = F.coalesce(F.col("members"), F.array().cast(
-        per_order.schema["members"].dataType))
-    teams = F.filter(F.array(*[_team(members, t) for t in TEAMS]), lambda t: t["_n"] > 0)
+    lines = F.coalesce(F.col("lines"), F.array().cast(per_order.schema["lines"].dataType))
+    j = j.withColumn("members", F.transform(lines, _participant))
+    j = j.withColumns({f"_{t}": F.filter("members", _plays_for(t)) for t in TEAMS})
+    members = F.col("members")
+    teams = F.filter(F.array(*[_team(F.col(f"_{t}"), t) for t in TEAMS]), lambda t: t["_n"] > 0)
     teams = F.transform(teams, lambda t: t.dropFields("_n"))
     created = epoch_millis("o_orderdate")
     doc = F.struct(
@@ -149,7 +165,7 @@ def _land_path(spark: SparkSession, key: tuple, build, by: str = "partition_date
         # recorded only after the write returned, so a registered path is complete
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
         path = fresh_path(spark, f"landed-{key[0]}-{tag}")
-        build().write.mode("overwrite").partitionBy(by).parquet(path)
+        build().write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
         _LANDED[full_key] = path
     return path
 
@@ -168,11 +184,18 @@ def landed_bronze_matches_root(spark: SparkSession, sf_dir: str, duplicates: boo
     def build():
         docs = match_documents(spark, sf_dir)
         if duplicates:
-            docs = docs.unionByName(docs.where(F.col("o_orderkey") % DUPLICATE_EVERY == 0))
+            docs = landed_twice(docs)
         return bronze_from_documents(docs, partition_date)
     return _land_path(spark, ("bronze_matchs", sf_dir, duplicates, str(partition_date)), build)
 
 
+def landed_twice(docs: DataFrame, key: str = "o_orderkey") -> DataFrame:
+    """The rows, those of every third order twice.  Each row is computed once and copied, where
+    a union with itself would read, join and write out every document again."""
+    copies = F.when(F.col(key) % DUPLICATE_EVERY == 0, 2).otherwise(1)
+    return docs.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop("_copy")
+
+
 def damaged_bronze(spark: SparkSession, sf_dir: str, partition_date=INGEST_DATE) -> DataFrame:
     """The bronze ``matchs`` rows, every third twice, with documents cut short, null or empty."""
     rows = bronze_from_documents(match_documents(spark, sf_dir), partition_date, keep=("o_orderkey",))
@@ -180,7 +203,7 @@ def damaged_bronze(spark: SparkSession, sf_dir: str, partition_date=INGEST_DATE)
     cut = F.substring(text, F.lit(1), F.length(text) - CORRUPT_CUT)
     rows = rows.withColumn("match_details", F.when(key % 10 == 0, cut).when(key % 11 == 0, None)
                            .when(key % 13 == 0, "").otherwise(text))
-    return rows.unionByName(rows.where(key % DUPLICATE_EVERY == 0)).drop("o_orderkey")
+    return landed_twice(rows).drop("o_orderkey")
 
 
 def landed_bronze_matches(spark: SparkSession, sf_dir: str, duplicates: bool = False,

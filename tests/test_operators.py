@@ -200,3 +200,46 @@ def test_grid_delta_needs_two_samples_in_the_window(spark):
     got = {r.t.minute: r.delta for r in M.delta_on_grid(df, ["s"], 300, 60).collect()}
     # grid times 00:03..00:05 hold both early samples; 00:10..00:14 hold one sample only
     assert got == {3: 6.0, 4: 6.0, 5: 6.0}
+
+
+def test_delta_of_dense_and_tied_samples_is_that_of_the_sliding_frame(spark):
+    """One pass over a bucket; ties, null values and times, and bucket ends included."""
+    from pyspark.sql import Window
+    from ingot.operators import metrics as M
+    rows = [(s, None if i % 41 == 0 else i // 3 * 700, None if i % 17 == 0 else float(i * 37 % 101))
+            for s in ("a", "b") for i in range(600)]
+    samples = spark.createDataFrame(rows, "s string, at long, value double").withColumn(
+        "ts", F.timestamp_seconds("at"))
+    frame = Window.partitionBy("s", "_bucket").orderBy("_t").rangeBetween(-3600 * M.MICROS, 0)
+    h = M.with_halo(samples, 3600)
+    slid = h.withColumn("delta", F.col("value") - F.min(F.struct("_t", "value")).over(frame)["value"])
+    want = sorted(map(repr, slid.where("_own").select("s", "at", "value", "delta").collect()))
+    got = M.delta(samples, ["s"], 3600)
+    assert sorted(map(repr, got.select("s", "at", "value", "delta").collect())) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "RangeFrame" not in plan
+
+
+def test_documents_are_joined_narrow_and_computed_once(spark):
+    """Lines are shuffled as they are, once, also where every third document lands twice."""
+    from ingot.sources import fixtures as X
+    twice = X.landed_twice(X.match_documents(spark, "/root/testdata/sf0.001"))
+    plan = twice._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("collect_list(struct(l_partkey") == 2          # partial and final
+    assert plan.count("StructsToJson") + plan.count("to_json") >= 1
+    keys = [r.o_orderkey for r in twice.select("o_orderkey").collect()]
+    orders = [r.o_orderkey for r in spark.read.parquet("/root/testdata/sf0.001/orders.parquet").collect()]
+    assert sorted(keys) == sorted(orders + [k for k in orders if k % 3 == 0])
+
+
+def test_a_hop_writes_the_files_the_next_one_takes_at_once(spark, monkeypatch):
+    """Files of a hop's topic do not grow with the shuffle partitions."""
+    from ingot.plans import enrich as P
+    from ingot.session import list_names
+    at, run = {}, P.run_hops
+    monkeypatch.setattr(P, "run_hops", lambda *a: at.update(run(*a)) or at)
+    P.q_enrich_stream(spark, "/root/testdata/sf0.001")
+    for topic in ("details", "matchs"):
+        batches = [n for n in list_names(spark, at[topic]) if n.startswith("batch=")]
+        files = [n for b in batches for n in list_names(spark, f"{at[topic]}/{b}") if n.endswith(".parquet")]
+        assert len(batches) == 1 and 0 < len(files) <= P.BATCH_FILES
