@@ -99,12 +99,30 @@ def delta(samples: DataFrame, series: list[str], range_s: int,
     at every sample; divided by ``per_s`` seconds' worth of range units when
     given (``/5`` on a 5-minute range is ``per_s=60``).  No extrapolation."""
     h = with_halo(samples, range_s, bucket_s)
-    # The frame's first sample; of several at one time, the smallest value.
-    first = F.min(F.struct("_t", "value")).over(_frame(series, range_s))["value"]
-    d = F.col("value") - first
+    first = _at_range_start(h, series, range_s)
+    d = F.col("value") - F.col("_first")
     if per_s:
         d = d / (range_s / per_s)
-    return h.withColumn("delta", d).where("_own").drop("_t", "_bucket", "_own")
+    return first.withColumn("delta", d).drop("_t", "_bucket", "_own", "_first")
+
+
+def _at_range_start(h: DataFrame, series: list[str], range_s: int) -> DataFrame:
+    """The own samples of ``with_halo`` with ``_first``, the value of the first sample in
+    ``[_t - range, _t]`` (of several at one time, the smallest).
+
+    Each sample also asks, as a row of its own at ``_t - range``, for the sample that follows.
+    Backwards in time that is the last one seen, a growing frame: one pass over the
+    bucket, where a sliding frame is gone through anew for every sample.
+    """
+    rows = h.repartition(*series, "_bucket").withColumn("_asks", F.explode(
+        F.when(F.col("_own"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    at = F.when(F.col("_asks"), F.col("_t") - range_s * MICROS).otherwise(F.col("_t"))
+    back = (Window.partitionBy(*series, "_bucket")
+            .orderBy(F.col("_at").desc(), F.col("_asks"), F.col("value").desc())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = F.last(F.when(~F.col("_asks"), F.struct("value")), ignorenulls=True).over(back)
+    return (rows.withColumn("_at", at).withColumn("_first", seen["value"])
+            .where("_asks").drop("_asks", "_at"))
 
 
 def rate(samples: DataFrame, series: list[str], range_s: int, tiebreak: str = "value",
