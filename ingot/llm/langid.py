@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches
+from .common import ROWS, small_batches, text_batches
 
 UNDETERMINED = "und"
 SHARPNESS = 40.0                   # turns distances (0 to 1) into a confidence
@@ -117,8 +117,9 @@ def train_profiles(docs: DataFrame, train: Column, text: str = "text", lang: str
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for name, part in f.groupby("lang"):
-                pairs = [gram_counts(t) for t in part["text"]]
-                whole, n = _merged(pairs)
+                whole, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+                for lo in range(0, len(part), ROWS):
+                    whole, n = _merged([(whole, n), *map(gram_counts, part["text"][lo:lo + ROWS])])
                 yield pd.DataFrame({"lang": name, "code": whole.view(np.int64), "n": n})
     counts = own.where(F.col("text").isNotNull()).select("lang", "text").mapInPandas(
         run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))

@@ -748,6 +748,27 @@ def test_toxic_words_are_learnt(spark, odd, none):
     assert {r.score for r in toxicity.score(odd, nothing).collect()} == {0.0}
 
 
+def test_every_labelled_row_teaches_toxicity(spark, odd):
+    """Many rare toxic words: a sample of 200 rows, or a shard of them, holds too few of each."""
+    ship(spark)
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    bad = ["".join(rng.choice("mnopqrst") for _ in range(7)) for _ in range(25)]
+    rows, marks = [], []
+    for i in range(2400):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(5, 60))]
+        if i % 5 == 0:
+            words[rng.randrange(len(words))] = bad[i // 5 % len(bad)]
+        rows.append((i, " ".join(words), "en", "s", 0, 1, "x", "y", 2, "z", "k", 3))
+        marks.append((i, int(i % 5 == 0)))
+    docs = spark.createDataFrame(rows, odd.schema)
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, F.col("doc_id") % 3 != 1, sample_rows=200, steps=100)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    held = [(i, t) for i, t in marks if i % 3 == 1]
+    assert sum(got[i] == t for i, t in held) >= 0.97 * len(held)
+
+
 def test_digests_are_what_the_contract_says(spark):
     """spans and base_sha256 of the registered query, recomputed from the texts."""
     from ingot.llm.queries import QUERIES
