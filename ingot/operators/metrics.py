@@ -88,40 +88,37 @@ def with_halo(samples: DataFrame, range_s: int, bucket_s: int | None = None) ->
             .drop("_b0", "_shift"))
 
 
-def _frame(series: list[str], range_s: int):
-    return (Window.partitionBy(*series, "_bucket").orderBy("_t")
-            .rangeBetween(-range_s * MICROS, 0))
-
-
 def delta(samples: DataFrame, series: list[str], range_s: int,
           bucket_s: int | None = None, per_s: int | None = None) -> DataFrame:
     """``delta(series[range])``: last minus first value in the trailing range,
     at every sample; divided by ``per_s`` seconds' worth of range units when
     given (``/5`` on a 5-minute range is ``per_s=60``).  No extrapolation."""
     h = with_halo(samples, range_s, bucket_s)
-    first = _at_range_start(h, series, range_s)
-    d = F.col("value") - F.col("_first")
+    first = _at_range_start(h.repartition(*series, "_bucket"), series, range_s, F.struct("value"))
+    d = F.col("value") - F.col("_first")["value"]
     if per_s:
         d = d / (range_s / per_s)
     return first.withColumn("delta", d).drop("_t", "_bucket", "_own", "_first")
 
 
-def _at_range_start(h: DataFrame, series: list[str], range_s: int) -> DataFrame:
-    """The own samples of ``with_halo`` with ``_first``, the value of the first sample in
-    ``[_t - range, _t]`` (of several at one time, the smallest).
+def _at_range_start(h: DataFrame, series: list[str], range_s: int, what: Column,
+                    tiebreak: str = "value") -> DataFrame:
+    """The own samples of ``with_halo`` with ``_first``, the struct ``what`` of the first sample
+    in ``[_t - range, _t]`` (of several at one time, the smallest ``tiebreak``).  ``h`` lies
+    by series and bucket.
 
     Each sample also asks, as a row of its own at ``_t - range``, for the sample that follows.
     Backwards in time that is the last one seen, a growing frame: one pass over the
     bucket, where a sliding frame is gone through anew for every sample.
     """
-    rows = h.repartition(*series, "_bucket").withColumn("_asks", F.explode(
+    rows = h.withColumn("_asks", F.explode(
         F.when(F.col("_own"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     at = F.when(F.col("_asks"), F.col("_t") - range_s * MICROS).otherwise(F.col("_t"))
     back = (Window.partitionBy(*series, "_bucket")
-            .orderBy(F.col("_at").desc(), F.col("_asks"), F.col("value").desc())
+            .orderBy(F.col("_at").desc(), F.col("_asks"), F.col(tiebreak).desc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = F.last(F.when(~F.col("_asks"), F.struct("value")), ignorenulls=True).over(back)
-    return (rows.withColumn("_at", at).withColumn("_first", seen["value"])
+    seen = F.last(F.when(~F.col("_asks"), what), ignorenulls=True).over(back)
+    return (rows.withColumn("_at", at).withColumn("_first", seen)
             .where("_asks").drop("_asks", "_at"))
 
 
@@ -135,16 +132,41 @@ def rate(samples: DataFrame, series: list[str], range_s: int, tiebreak: str = "v
     Every predecessor that matters lies in the frame, hence in the bucket.  Samples
     at one time follow each other by ``tiebreak``.
     """
-    h = with_halo(samples, range_s, bucket_s)
-    prev = F.lag("value").over(Window.partitionBy(*series, "_bucket").orderBy("_t", tiebreak))
+    h = with_halo(samples, range_s, bucket_s).repartition(*series, "_bucket")
+    order = Window.partitionBy(*series, "_bucket").orderBy("_t", tiebreak)
+    prev = F.lag("value").over(order)
     inc = (F.when(prev.isNull(), F.lit(0.0))
            .when(F.col("value") < prev, F.col("value"))
-           .otherwise(F.col("value") - prev))
-    w = _frame(series, range_s)
-    first = F.min(F.struct("_t", tiebreak, F.col("_inc"))).over(w)["_inc"]
-    r = (F.sum("_inc").over(w) - first) / range_s
-    return (h.withColumn("_inc", inc).withColumn("rate", r)
-            .where("_own").drop("_t", "_bucket", "_own", "_inc"))
+           .otherwise(F.col("value") - prev).cast("double"))
+    # What a frame's sum is, is the difference of two running sums: one pass over the bucket,
+    # where a sliding frame is gone through anew for every sample.  Infinite and undefined
+    # increments are counted beside the sums, which they would spoil from there on.
+    odd = F.isnan("_inc") | (F.abs("_inc") == float("inf"))
+    parts = {"_sum": F.when(odd, 0.0).otherwise(F.col("_inc")),
+             **{f"_{name}": F.when(F.col("_inc") == F.lit(float(name)), 1).otherwise(0)
+                for name in ("nan", "inf", "-inf")}}
+    every = Window.partitionBy(*series, "_bucket").orderBy("_t")
+    through = every.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = every.rangeBetween(Window.unboundedPreceding, -1)
+    equal = order.rangeBetween(Window.currentRow, Window.currentRow)
+
+    def sums(w) -> Column:
+        return F.struct(*[F.coalesce(F.sum(p).over(w), F.lit(0)).alias(k) for k, p in parts.items()])
+    h = h.withColumn("_inc", inc).withColumns({
+        "_through": sums(through), "_before": sums(before),
+        "_least": F.min(F.struct("_inc")).over(equal)["_inc"]})     # of samples alike in time and tiebreak
+    r = _at_range_start(h, series, range_s, F.struct("_least", "_before"), tiebreak)
+    first = F.col("_first")["_least"]
+    # Samples without a time are a bucket of their own, with nothing before them.
+    grown = {k: F.col("_through")[k] - F.when(F.col("_t").isNull(), 0).otherwise(
+        F.col("_first")["_before"][k]) for k in parts}
+    total = (F.when(first.isNull(), F.lit(None).cast("double"))
+             .when(F.isnan(first) | (F.abs(first) == float("inf")) | (grown["_nan"] > 0)
+                   | ((grown["_inf"] > 0) & (grown["_-inf"] > 0)), float("nan"))
+             .when(grown["_inf"] > 0, float("inf")).when(grown["_-inf"] > 0, float("-inf"))
+             .otherwise(grown["_sum"] - first))
+    return r.withColumn("rate", total / range_s).drop(
+        "_t", "_bucket", "_own", "_inc", "_through", "_before", "_least", "_first")
 
 
 def sum_by(df: DataFrame, value: str, by: list, out: str) -> DataFrame:

@@ -102,6 +102,24 @@ def test_bucketed_windows_equal_unbucketed(spark):
         key(M.delta(df, ["s"], 3600, 3600).collect(), "delta")
 
 
+def test_rate_goes_through_a_bucket_once(spark):
+    """No frame slides (a dense range would be gone through once for each sample); restarts,
+    ties and values that are not finite count in their own ranges only."""
+    start = dt.datetime(2024, 1, 1)
+    points = [(0, 1.0), (60, 5.0), (60, 4.0), (120, 2.0), (5000, float("inf")), (9000, 3.0),
+              (9010, 4.0), (9020, 1.5), (13000, float("nan")), (13001, 7.0), (17000, 8.0),
+              (30000, 1.0), (30010, 4.0), (30010, 4.0), (33610, 6.0)]    # a repeated first sample
+    df = M.rate(spark.createDataFrame([("a", start + dt.timedelta(seconds=t), v) for t, v in points],
+                                      "s string, ts timestamp_ntz, value double"), ["s"], 3600)
+    assert "RangeFrame, -" not in plan_text(df)
+    got = {}
+    for r in df.collect():
+        got.setdefault(int((r.ts - start).total_seconds()), []).append(str(round(r.rate * 3600, 9)))
+    assert got == {0: ["0.0"], 60: ["4.0"] * 2, 120: ["6.0"], 5000: ["nan"], 9000: ["0.0"],
+                   9010: ["1.0"], 9020: ["2.5"], 13000: ["nan"], 13001: ["nan"], 17000: ["0.0"],
+                   30000: ["0.0"], 30010: ["3.0"] * 2, 33610: ["5.0"]}
+
+
 # --- streams (T2, T7, S1) ------------------------------------------------------
 
 def test_restarted_stream_adds_nothing(spark):
