@@ -216,6 +216,7 @@ def _day(b: Batch, given=None):
 
 
 HOUR = "yyyy-MM-dd-HH"
+JUDGED_ROWS = 500_000       # of a micro-batch that a task looks through for repeats
 
 
 def keys_path(sink: str) -> str:
@@ -264,8 +265,12 @@ def ingest_deduplicated(messages: DataFrame, sink: str, quarantine: str, late: s
         old = F.lit(False) if limit is None else F.col("event_time") < F.lit(limit)
         marked = b.rows.withColumn("_late", ~F.col("_bad") & (F.col("event_time").isNull() | old))
         asked = ~F.col("_bad") & ~F.col("_late") & F.col("key").isNotNull()
-        keyed = marked.where(asked).dropDuplicates(["key"])
         spark = b.rows.sparkSession
+        # Dealt out first, to partitions of a bounded number of rows: whole rows are sorted to
+        # drop the repeats, and would be, too, in every map task, however large its split.
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    -(-b.rows.count() // JUDGED_ROWS))
+        keyed = marked.where(asked).repartition(parts, "key").dropDuplicates(["key"])
         if limit is not None and path_exists(spark, keys_path(sink)):
             keyed = keyed.join(landed_keys(spark, sink, limit, b.tag).select("key"), "key",
                                "left_anti").select(*marked.columns)

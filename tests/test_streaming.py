@@ -6,6 +6,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from ingot import jobs
 from ingot.functions.schemas import DETAIL_SCHEMA, SEED_SCHEMA
@@ -146,6 +147,22 @@ def test_landed_keys_are_looked_up_in_their_hours_only(spark):
     assert spark.read.parquet(sink).where("key IS NULL").count() == 5
 
 
+def test_repeats_are_looked_for_in_bounded_partitions(spark, monkeypatch):
+    """Rows are dealt out by key before whole rows are sorted to drop repeats."""
+    topic, sink, bad, late, ckpt = paths(spark, "b-topic", "b-sink", "b-bad", "b-late", "b-ckpt")
+    land(spark, topic, [(i % 60, message(f"2024-01-01T10:{i % 60:02}:00")) for i in range(120)])
+    monkeypatch.setattr(S, "JUDGED_ROWS", 5, raising=False)
+    dealt, plain = [], DataFrame.repartition
+
+    def repartition(df, *by):
+        dealt.append(by)
+        return plain(df, *by)
+    monkeypatch.setattr(DataFrame, "repartition", repartition)
+    S.ingest_deduplicated(S.read_messages(spark, "files", topic), sink, bad, late, ckpt, 3600)
+    assert (24, "key") in dealt
+    assert spark.read.parquet(sink).count() == 60
+
+
 # Retention
 
 def test_retention_refuses_a_table_with_a_commit_log(spark):
