@@ -140,6 +140,8 @@ def drop_seen(docs: DataFrame, seen_keys: DataFrame) -> DataFrame:
 GAME_INFO = [f for f, _ in GAME_FIELDS]
 PARTICIPANT_INFO = ["participants"]
 TEAM_INFO = ["teams"]
+BRANCH_INFO = {"games": GAME_INFO, "participants": PARTICIPANT_INFO, "teams_stats": TEAM_INFO,
+               "teams_bans": TEAM_INFO}
 
 
 def games(docs: DataFrame) -> DataFrame:

@@ -40,8 +40,8 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
                          skip_seen: bool = False, look_back_days: int = 30) -> None:
     """The daily bronze -> silver job for one date.
 
-    Each document is parsed once (whole schema), shuffled once and deduplicated,
-    and the survivors are written once as Parquet below the shared folder.  Each
+    Each document is parsed once (the fields that the tables in ``out`` read), shuffled
+    once and deduplicated, and the survivors are written once as Parquet below the shared folder.  Each
     of the four branches and the quarantine reads its own columns of that
     table (a lost executor costs no recomputation above it), adds no exchange,
     and the table is removed at the end.
@@ -58,7 +58,8 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     day = F.lit(date)
     quarantine_path = quarantine_path or (
         f"{next(iter(out.values())).rstrip('/')}_quarantine")
-    keyed = D.key_unparsed(D.with_match_key(read_layer(spark, bronze_path, partition_date)))
+    fields = [f for name, read in D.BRANCH_INFO.items() if name in out for f in read]
+    keyed = D.key_unparsed(D.with_match_key(read_layer(spark, bronze_path, partition_date), fields))
     payload = F.struct("doc", "_raw", "_bad")
     # One date only: no need to group by it.
     grouped = D.dedupe_by_key(keyed.withColumn("_payload", payload), "_payload", by=("_bad_id",))
@@ -70,7 +71,7 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
             grouped = D.drop_seen(grouped, earlier.where(
                 (F.col("partition_date") < day) & (F.col("partition_date") >= since)))
     staged = fresh_path(spark, "silver-input")
-    grouped.write.parquet(staged)
+    grouped.write.option("compression", "zstd").parquet(staged)
     try:
         rows = spark.read.parquet(staged).withColumn("partition_date", day)
         times = [c for c in STAGE_COLUMNS.values() if c in rows.columns]

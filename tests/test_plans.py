@@ -89,3 +89,14 @@ def test_lookups_are_written_one_file_per_bucket(spark):
     rows = spark.range(0, 20_000, 1, 40).selectExpr("id % 500 AS k", "id AS v")
     table = publish_bucketed(rows, "k", "files", buckets=16)
     assert table.count() == 20_000 and len(table.inputFiles()) <= 16
+
+
+def test_silver_job_parses_what_its_tables_read(spark, monkeypatch):
+    """A run for ``games`` alone parses, shuffles and stages no participants, teams or metadata."""
+    from ingot.plans import silver as P
+    seen, dedupe = [], P.D.dedupe_by_key
+    monkeypatch.setattr(P.D, "dedupe_by_key", lambda keyed, *a, **k: seen.append(keyed) or dedupe(
+        keyed, *a, **k))
+    P.q_silver_quarantine(spark, SMALL)
+    doc = seen[0].schema["doc"].dataType
+    assert doc.names == ["info"] and doc["info"].dataType.names == P.D.GAME_INFO
