@@ -25,7 +25,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols=("partition_da
     if spread_col:
         df = df.repartition(*partition_cols, spread_col)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
+     .option("compression", "zstd").partitionBy(*partition_cols).parquet(path))
 
 
 def as_messages(df: DataFrame, key_col: str | None = None) -> DataFrame:
@@ -145,7 +145,7 @@ def replace_dates(outputs: dict[str, DataFrame], partition_date) -> None:
     name = f"partition_date={date}"
     try:
         for path, df in outputs.items():
-            df.write.partitionBy("partition_date").parquet(staged[path])
+            df.write.option("compression", "zstd").partitionBy("partition_date").parquet(staged[path])
         for path in outputs:
             remove_path(spark, f"{path.rstrip('/')}/{PUBLISHED}/{date}")
             fs, marks = hadoop_path(spark, f"{path.rstrip('/')}/{PUBLISHED}")

@@ -100,3 +100,15 @@ def test_silver_job_parses_what_its_tables_read(spark, monkeypatch):
     P.q_silver_quarantine(spark, SMALL)
     doc = seen[0].schema["doc"].dataType
     assert doc.names == ["info"] and doc["info"].dataType.names == P.D.GAME_INFO
+
+
+def test_tables_of_a_date_are_written_as_zstd(spark):
+    from ingot.session import fresh_path
+    from ingot.sources.sinks import overwrite_partitions, replace_dates
+    rows = spark.range(5).selectExpr("id", "date'2024-02-01' AS partition_date")
+    a, b = fresh_path(spark, "codec-a"), fresh_path(spark, "codec-b")
+    overwrite_partitions(rows, a)
+    replace_dates({b: rows}, "2024-02-01")
+    for path in (a, b):
+        files = spark.read.parquet(path).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
