@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_once
-from ..functions.schemas import PARTICIPANT_TYPE, document_schema
+from ..functions.schemas import document_schema
 
 MATCH_KEY = "match_id"
 
@@ -53,10 +53,6 @@ TEAM_STAT_COLUMNS = ["match_id", "team_id", "win", "baron_kills", "dragon_kills"
                      "tower_kills", "partition_date"]
 TEAM_BAN_COLUMNS = ["match_id", "team_id", "ban_turn", "champion_id", "partition_date"]
 
-# The participant sort key: every field, in document order.  championId first
-# (the ordering the numbering is defined by), the rest only break ties so the
-# ids are deterministic.
-PARTICIPANT_ORDER = [f.name for f in PARTICIPANT_TYPE.fields]
 
 
 def with_match_key(bronze: DataFrame, info_fields=None, with_metadata: bool = False,
@@ -177,17 +173,17 @@ def participants_by_window(docs: DataFrame) -> DataFrame:
 
     Kept for inputs that arrive already flattened.  After ``dedupe_by_key``
     the rows are hash-partitioned by match_id, so the window adds a sort but
-    no exchange.
+    no exchange.  The sort is by the participant itself, which compares field by field
+    in document order: a copy of every field beside it would double the rows sorted.
     """
     from pyspark.sql import Window
     ex = docs.select(MATCH_KEY, "partition_date",
                      F.explode(F.col("doc.info.participants")).alias("p"))
-    w = Window.partitionBy("partition_date", MATCH_KEY).orderBy(
-        *[F.col("p")[f].asc_nulls_first() for f in PARTICIPANT_ORDER])
+    w = Window.partitionBy("partition_date", MATCH_KEY).orderBy(F.col("p").asc_nulls_first())
     return ex.select(
         MATCH_KEY, F.row_number().over(w).alias("participant_id"),
         *[F.col("p")[f].alias(o) for f, o in PARTICIPANT_OUTPUT],
-        "partition_date").dropDuplicates()
+        "partition_date")      # no distinct: the row number is unique within its match
 
 
 def team_stats(docs: DataFrame) -> DataFrame:

@@ -91,6 +91,13 @@ def test_lookups_are_written_one_file_per_bucket(spark):
     assert table.count() == 20_000 and len(table.inputFiles()) <= 16
 
 
+def test_window_numbering_sorts_a_participant_once(spark, static_plans):
+    """The window carries no copy of each field to sort by, and nothing makes its rows distinct."""
+    p = plan(E.queries()["participants_window"](spark, SMALL))
+    after = p[:p.index("SortAggregate")]
+    assert "row_number()" in after and "HashAggregate" not in after and "_w1" not in after
+
+
 def test_silver_job_parses_what_its_tables_read(spark, monkeypatch):
     """A run for ``games`` alone parses, shuffles and stages no participants, teams or metadata."""
     from ingot.plans import silver as P
