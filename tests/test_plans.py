@@ -91,6 +91,16 @@ def test_lookups_are_written_one_file_per_bucket(spark):
     assert table.count() == 20_000 and len(table.inputFiles()) <= 16
 
 
+@pytest.mark.parametrize("name", ["enrich_document", "enrich_chain"])
+def test_chain_joins_documents_by_a_shuffle_without_landing_them(spark, name):
+    """Documents are neither written out before their join nor broadcast, however small
+    the planner takes them to be."""
+    p = E.queries()[name](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert "landed-documents" not in p
+    joined = p[:p.index("collect_list(struct(l_partkey")]
+    assert "SortMergeJoin [match_id" in joined
+
+
 def test_window_numbering_sorts_a_participant_once(spark, static_plans):
     """The window carries no copy of each field to sort by, and nothing makes its rows distinct."""
     p = plan(E.queries()["participants_window"](spark, SMALL))
