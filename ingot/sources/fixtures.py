@@ -49,6 +49,16 @@ _LANDED: dict[tuple, str] = {}
 
 LINE_COLUMNS = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                 "l_discount", "l_returnflag", "l_linestatus"]
+LINES_PER_TASK = 1_000_000           # about 190 MB in the sorts that gather and join them
+
+
+def _dealt_by_order(lines: DataFrame, n_lines: int) -> DataFrame:
+    """The lines dealt out by their order.  Where the session's number of shuffle partitions
+    would give a task more than ``LINES_PER_TASK``, there are as many partitions as that needs."""
+    tasks = -(-n_lines // LINES_PER_TASK)
+    if tasks > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return lines.repartition(tasks, "l_orderkey")
+    return lines.repartition("l_orderkey")
 
 
 def _participant(m):
@@ -109,10 +119,13 @@ def match_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     Only the lines' own columns are shuffled, gathered and joined to their order.  They become
     participants, each a quarter of a KB, behind the join, where nothing is sorted any more.
     The lines are dealt out before they are gathered: few of an order meet in a map task
-    by chance, so a partial ``collect_list`` would only sort (and spill) its input there.
+    by chance, so a partial ``collect_list`` would only sort (and spill) its input there.  The
+    number of tasks follows the number of lines (counted from the files' footers), and the
+    orders are dealt out alike for the join, so a task's sorts don't grow with the table.
     """
-    per_order = (read_table(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isNotNull())
-                 .select("l_orderkey", *LINE_COLUMNS).repartition("l_orderkey").groupBy("l_orderkey")
+    table = read_table(spark, sf_dir, "lineitem")
+    lines = table.where(F.col("l_orderkey").isNotNull()).select("l_orderkey", *LINE_COLUMNS)
+    per_order = (_dealt_by_order(lines, table.count()).groupBy("l_orderkey")
                  .agg(F.collect_list(F.struct(*LINE_COLUMNS)).alias("lines")))
     orders = read_table(spark, sf_dir, "orders")
     j = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")

@@ -129,3 +129,32 @@ def test_tables_of_a_date_are_written_as_zstd(spark):
     for path in (a, b):
         files = spark.read.parquet(path).inputFiles()
         assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_tasks_that_gather_lines_follow_the_table(spark, tmp_path, monkeypatch):
+    """More lines than the session's shuffle partitions hold get more tasks, on both sides of
+    the join with the orders; the documents stay the same."""
+    from ingot.sources import fixtures as X
+    spark.range(30).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'O' AS o_orderstatus",
+                               "100.5D AS o_totalprice", "timestamp_ntz'2024-01-01' AS o_orderdate",
+                               "'1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(60).selectExpr("if(id = 59, NULL, id DIV 3) AS l_orderkey", "id AS l_partkey", "id AS l_suppkey",
+                               "CAST(id % 3 AS int) AS l_linenumber", "2D AS l_quantity",
+                               "10D AS l_extendedprice", "0.1D AS l_discount", "'R' AS l_returnflag",
+                               "'F' AS l_linestatus").write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def documents():
+        df = X.match_documents(spark, str(tmp_path))
+        dealt = re.findall(r"hashpartitioning\((?:l|o)_orderkey#\d+L?, (\d+)\)", plan(df))
+        lists = "array_sort(from_json(doc, 'info struct<participants array<struct<championId int>>>').info.participants)"
+        return dealt, sorted(map(tuple, df.selectExpr("o_orderkey", lists).collect()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, before = documents()
+        monkeypatch.setattr(X, "LINES_PER_TASK", 3, raising=False)
+        many, after = documents()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert set(few) == {"8"} and many == ["20", "20"]
+    assert after == before and len(after) == 30 and sum(len(r[1] or []) for r in after) == 59
