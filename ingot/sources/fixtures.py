@@ -312,14 +312,24 @@ def history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderdate").alias("played_at"))
 
 
+def derived_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Match id -> document text (the match endpoint), as they are derived."""
+    return match_documents(spark, sf_dir).select(
+        F.concat(F.lit(PLATFORM + "_"), F.col("o_orderkey").cast("string")).alias("match_id"),
+        F.col("doc").alias("match_details"))
+
+
+def count_documents(spark: SparkSession, sf_dir: str) -> int:
+    """How many documents there are, from the footers of the orders' files."""
+    return read_table(spark, sf_dir, "orders").count()
+
+
 def documents_by_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Match id -> document text (the match endpoint), for a query that looks them up once.
+    """``derived_documents`` for a query that looks them up once.
 
     The planner takes their size for that of the orders' files and would broadcast gigabytes of
     text, so a join with them is to be a merge join; a landed table's size is known."""
-    return match_documents(spark, sf_dir).select(
-        F.concat(F.lit(PLATFORM + "_"), F.col("o_orderkey").cast("string")).alias("match_id"),
-        F.col("doc").alias("match_details")).hint("merge")
+    return derived_documents(spark, sf_dir).hint("merge")
 
 
 def document_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,7 +46,8 @@ def write_messages(df: DataFrame, fmt: str, target: str, options: dict | None =
         w.mode("append").format(fmt).save(target)
 
 
-def publish_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
+def publish_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None,
+                     gather: bool = True) -> DataFrame:
     """Materialise a lookup table once, bucketed and sorted on its join key.
 
     The table is external, stored below the shared folder, and registered in
@@ -55,21 +56,27 @@ def publish_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = N
     with its bucket partitioning instead of being re-scanned and re-shuffled
     (or recomputed, when it is derived) on every trigger.  ``buckets``
     defaults to ``spark.sql.shuffle.partitions`` so the exchange on the stream
-    side lines up with the buckets.
+    side lines up with the buckets.  Without ``gather`` rows are not shuffled to their bucket's
+    one file: every task writes its rows into files of its own, one per bucket.
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"ingot_{name}_{uuid.uuid4().hex[:10]}"
-    write_bucketed(df, key, table, fresh_path(spark, f"lookup-{name}"), n)
+    write_bucketed(df, key, table, fresh_path(spark, f"lookup-{name}"), n, gather)
     return spark.table(table)
 
 
-def write_bucketed(df: DataFrame, key: str, table: str, path: str, buckets: int) -> None:
+def write_bucketed(df: DataFrame, key: str, table: str, path: str, buckets: int,
+                   gather: bool = True) -> None:
     """(Re)write ``table`` at ``path`` in ``buckets`` buckets of ``key``.
 
     Rows are first hash-partitioned into as many partitions as buckets, so each
-    bucket is one file whatever the number of tasks that read the source."""
-    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    bucket is one file whatever the number of tasks that read the source.  Rows as wide as
+    documents take more room in that shuffle than in the table: without ``gather`` they stay
+    in their tasks, and a bucket is one file of each."""
+    if gather:
+        df = df.repartition(buckets, key)
+    (df.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
 
 

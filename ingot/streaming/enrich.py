@@ -25,6 +25,9 @@ from .ingest import Output, run_split
 from .ledger import Batch
 
 
+WIDE_ROWS_PER_FILE = 25_000         # messages with a document: 50 to 60 MB of text
+
+
 def as_topic(rows: DataFrame, key: str) -> DataFrame:
     """Rows as ``(key, value)`` JSON messages, both as bytes."""
     return rows.select(message_key(key).alias("key"),
@@ -48,9 +51,10 @@ def _now(lookup: Lookup) -> DataFrame:
 
 
 def _hop(messages: DataFrame, mark: Callable[[DataFrame], DataFrame], topic: Output | str,
-         retry: str, quarantine: str, checkpoint: str, partition_date, **options):
+         retry: str, quarantine: str, checkpoint: str, partition_date,
+         extend: Callable[[DataFrame], DataFrame] | None = None, **options):
     """``mark`` looks a micro-batch's rows up.  Bad messages ride along (left joins keep them)
-    and are told apart by ``_bad``."""
+    and are told apart by ``_bad``.  ``extend`` looks up what only the topic takes."""
     if isinstance(topic, str):
         topic = Output(lambda b: b.rows, topic, "files")
 
@@ -61,7 +65,7 @@ def _hop(messages: DataFrame, mark: Callable[[DataFrame], DataFrame], topic: Out
         return b.rows.where("NOT _bad")
     return run_split(messages, [
         Output(lambda b: as_topic(E.enriched(good(b)), "match_id"), topic.path, topic.fmt,
-               topic.options),
+               topic.options, extend=extend, rows_per_file=extend and WIDE_ROWS_PER_FILE),
         Output(lambda b: E.retries(good(b)).withColumn("partition_date", day(b)), retry),
         Output(lambda b: b.rows.where("_bad").select(F.col("_raw").alias("raw_message"),
                                                      day(b).alias("partition_date")), quarantine)],
@@ -82,7 +86,21 @@ def enrich_details(messages: DataFrame, identity: Lookup, lists: Lookup, process
 
 def enrich_matches(messages: DataFrame, documents: Lookup, fetched_at, topic: Output | str,
                    retry: str, quarantine: str, checkpoint: str, partition_date=None, **options):
-    """Hop 2: detail messages -> match messages that carry the document."""
-    return _hop(consume(messages, DETAIL_SCHEMA), lambda rows: E.mark_documents(
-        rows, _now(documents), fetched_at), topic, retry, quarantine, checkpoint, partition_date,
-        **options)
+    """Hop 2: detail messages -> match messages that carry the document.
+
+    A micro-batch is marked by the lookup's match ids alone and kept without documents.  These
+    are joined, from the same version of the lookup, to the rows that have one as the topic is
+    written, so no document is kept, or shuffled again, on its way there."""
+    found: dict[str, DataFrame] = {}
+
+    def mark(rows: DataFrame) -> DataFrame:
+        found["documents"] = _now(documents)
+        known = found["documents"].select("match_id").distinct().withColumn(
+            "match_details", F.lit(None).cast("string"))
+        return E.mark_documents(rows, known, fetched_at).drop("timestamp_match", "match_details")
+
+    def attach(rows: DataFrame) -> DataFrame:
+        return E.mark_documents(rows.where("NOT _bad AND reason IS NULL"), found["documents"],
+                                fetched_at)
+    return _hop(consume(messages, DETAIL_SCHEMA), mark, topic, retry, quarantine, checkpoint,
+                partition_date, extend=attach, **options)

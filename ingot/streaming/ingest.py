@@ -122,13 +122,17 @@ class Output:
 
     ``fmt`` is "table" (Parquet, partitioned by ``by`` and micro-batch),
     "files" (``(key, value)`` messages as Parquet) or "kafka" (``path`` is the
-    topic, ``options`` the connection)."""
+    topic, ``options`` the connection).  ``extend`` adds to the micro-batch's rows what only
+    this output takes, such as a document: it is looked up as the output is written, so it
+    is not kept beside it.  With ``rows_per_file`` a batch's files follow its rows."""
 
     select: Callable[[Batch], DataFrame]
     path: str
     fmt: str = "table"
     options: dict = field(default_factory=dict)
     by: str = "partition_date"
+    extend: Callable[[DataFrame], DataFrame] | None = None
+    rows_per_file: int | None = None
 
 
 def check_messages(rows: DataFrame) -> DataFrame:
@@ -141,6 +145,20 @@ def check_messages(rows: DataFrame) -> DataFrame:
     return rows
 
 
+DEALT_ROWS = 400_000        # of a micro-batch that are shuffled to be written in a few files
+
+
+def _in_files(rows: DataFrame, held: DataFrame, files: int, rows_per_file: int | None) -> DataFrame:
+    """``rows`` dealt out to ``files`` files, or to more where one would hold over
+    ``rows_per_file`` of the ``held`` rows.  Wide rows of a large batch are not shuffled for that:
+    each task then writes the rows it has."""
+    if not rows_per_file:
+        return rows.repartition(files)
+    n = held.count()
+    files = max(files, -(-n // rows_per_file))
+    return rows.coalesce(files) if n > DEALT_ROWS else rows.repartition(files)
+
+
 def run_split(stream: DataFrame, outputs: list[Output], checkpoint: str,
               available_now: bool = True, processing_time: str | None = None,
               timeout_s: float | None = None, files_per_batch: int | None = None,
@@ -167,17 +185,19 @@ def run_split(stream: DataFrame, outputs: list[Output], checkpoint: str,
                 held.append(prepare(now).persist(StorageLevel.DISK_ONLY))
                 now = replace(now, rows=held[-1])
             for o in outputs:
-                rows = o.select(now)
+                rows = o.select(replace(now, rows=o.extend(now.rows)) if o.extend else now)
                 if files_per_batch:
-                    rows = rows.repartition(files_per_batch)
+                    rows = _in_files(rows, now.rows, files_per_batch, o.rows_per_file)
                 if o.fmt == "kafka":
                     check_messages(rows).write.format("kafka").options(**o.options).option(
                         "topic", o.path).save()
                 elif o.fmt == "files":
-                    rows.write.mode("overwrite").parquet(f"{o.path}/batch={now.tag}")
+                    rows.write.mode("overwrite").option("compression", "zstd").parquet(
+                        f"{o.path}/batch={now.tag}")
                 else:
                     (rows.withColumn("batch", F.lit(now.tag)).write.mode("overwrite")
-                     .option("partitionOverwriteMode", "dynamic").options(**o.options)
+                     .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+                     .options(**o.options)
                      .partitionBy(o.by, "batch").parquet(o.path))
         finally:
             for df in held:
@@ -195,13 +215,19 @@ def _newest(batch: DataFrame, column: str) -> dt.datetime | None:
     return None if micros is None else EPOCH + dt.timedelta(microseconds=micros)
 
 
+def _bad_texts(envelopes: DataFrame) -> DataFrame:
+    """Parsed messages with the text of bad ones only: a good one's document is a column of
+    its own, and the text would be kept beside it while the batch is written."""
+    return envelopes.withColumn("_raw", F.when(F.col("_bad"), F.col("_raw")))
+
+
 def ingest_with_quarantine(messages: DataFrame, sink: str, quarantine: str, checkpoint: str,
                            partition_date=None, **options):
     """L1 + T6: messages -> bronze table, and what does not parse -> quarantine table, in one
     pass.  Every message lands in exactly one of the two."""
     keep = ("key",) if "key" in messages.columns else ()
 
-    return run_split(parse_envelope(messages, keep=keep), [
+    return run_split(_bad_texts(parse_envelope(messages, keep=keep)), [
         Output(lambda b: to_bronze(b.rows, _day(b, partition_date)), sink),
         Output(lambda b: quarantined(b.rows, _day(b, partition_date), keep), quarantine)],
         checkpoint, **options)
@@ -254,7 +280,7 @@ def ingest_deduplicated(messages: DataFrame, sink: str, quarantine: str, late: s
     A message without a key is no repeat of another one: it lands as it is.
     Landed + repeats + late + quarantined = sent.
     """
-    rows = parse_envelope(messages, keep=("key",)).withColumn("event_time", event_time())
+    rows = _bad_texts(parse_envelope(messages, keep=("key",))).withColumn("event_time", event_time())
 
     def since(b: Batch) -> dt.datetime | None:
         return b.before and b.before - dt.timedelta(seconds=delay_s)

@@ -268,6 +268,90 @@ def test_a_refreshed_lookup_is_seen_by_the_next_batch(spark):
     assert len(names) == 2 and spark.table("st_identity").count() == 1
 
 
+# What a micro-batch keeps on disk, and shuffles, to be written
+
+@pytest.fixture
+def kept(monkeypatch):
+    """Columns of every frame that is kept, and how many rows of each have a ``_raw`` text."""
+    seen, plain = [], DataFrame.persist
+
+    def persist(df, *level):
+        out = plain(df, *level)
+        seen.append((df.columns, out.where("_raw IS NOT NULL").count() if "_raw" in df.columns else 0))
+        return out
+    monkeypatch.setattr(DataFrame, "persist", persist)
+    return seen
+
+
+def test_hop_2_keeps_and_shuffles_no_document(spark, monkeypatch, kept):
+    topic, matchs, retry, bad, ckpt = paths(spark, "w-t", "w-m", "w-r", "w-b", "w-c")
+    documents = spark.createDataFrame([("M1", "one"), ("M2", "two"), ("M2", "again"), ("M3", None),
+                                       (None, "lost"), ("M9", "unasked")],
+                                      "match_id string, match_details string")
+    details = [("t", "alice", "t1", m) for m in ("M1", "M1", "M2", "M3", "M4")]
+    rows = spark.createDataFrame(details, DETAIL_SCHEMA)
+    land(spark, topic, [(i, r.value) for i, r in enumerate(H.as_topic(rows, "match_id").collect())]
+         + [(98, b"{cut"), (99, None)])
+    monkeypatch.setattr(S, "DEALT_ROWS", 3, raising=False)
+    monkeypatch.setattr(H, "WIDE_ROWS_PER_FILE", 2, raising=False)
+    dealt, plain = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition",
+                        lambda df, *by: dealt.append(df.columns) or plain(df, *by))
+    H.enrich_matches(S.read_messages(spark, "files", topic), documents, "t2", matchs, retry, bad, ckpt,
+                     "2024-01-01", files_per_batch=1)
+    sent = [json.loads(bytes(r.value)) for r in spark.read.parquet(matchs).collect()]
+    assert sorted((m["match_id"], m.get("match_details", "")) for m in sent) == [
+        ("M1", "one"), ("M1", "one"), ("M2", "again"), ("M2", "two"), ("M3", "")]
+    assert {(m["timestamp_summoner_details"], m["timestamp_match"]) for m in sent} == {("t1", "t2")}
+    lost = spark.read.parquet(retry).select("match_id", "reason").collect()
+    assert [tuple(r) for r in lost] == [("M4", "no_document")]
+    assert spark.read.parquet(bad).count() == 2
+    assert len(kept) == 2 and not any("match_details" in columns for columns, _ in kept)
+    assert ["key", "value"] not in dealt                  # the messages stay in their tasks
+
+
+def test_files_of_wide_messages_follow_the_rows(spark):
+    topic, few, many, ckpt = paths(spark, "f-t", "f-few", "f-many", "f-c")
+    land(spark, topic, [(i, message("2024-01-01T10:00:00")) for i in range(100)])
+    S.run_split(S.read_messages(spark, "files", topic), [
+        S.Output(lambda b: b.rows, few, "files"),
+        S.Output(lambda b: b.rows, many, "files", rows_per_file=10)], ckpt, files_per_batch=2)
+    files = [len(spark.read.option("recursiveFileLookup", "true").parquet(p).inputFiles())
+             for p in (few, many)]
+    assert files[0] <= 2 < files[1] <= 10
+    assert spark.read.parquet(few).count() == spark.read.parquet(many).count() == 100
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_an_ingest_keeps_the_text_of_bad_messages_only(spark, kept, dedupe):
+    topic, sink, bad, late, ckpt = paths(spark, "g-t", "g-s", "g-b", "g-l", "g-c")
+    good = [message("2024-01-01T10:00:00", match_details={"a": i}) for i in range(5)]
+    land(spark, topic, list(enumerate([*good, b"{cut", b" "])))
+    stream = S.read_messages(spark, "files", topic)
+    if dedupe:
+        S.ingest_deduplicated(stream, sink, bad, late, ckpt, 3600)
+    else:
+        S.ingest_with_quarantine(stream, sink, bad, ckpt)
+    assert {n for _, n in kept} == {2}
+    assert sorted(r.raw_message for r in spark.read.parquet(bad).collect()) == [" ", "{cut"]
+    assert sorted(r.match_details for r in spark.read.parquet(sink).collect()) == [
+        json.dumps({"a": i}, separators=(",", ":")) for i in range(5)]
+
+
+def test_a_lookup_of_wide_rows_is_written_without_a_shuffle(spark, monkeypatch):
+    from ingot.sources.sinks import publish_bucketed
+    rows = spark.range(0, 2000, 1, 4).selectExpr("cast(id % 500 AS string) AS match_id",
+                                                 "cast(id AS string) AS match_details")
+    monkeypatch.setattr(DataFrame, "repartition", lambda *a: pytest.fail("shuffled"))
+    table = publish_bucketed(rows, "match_id", "wide", 3, gather=False)
+    assert sorted(table.collect()) == sorted(rows.collect())
+    asked = spark.range(500).selectExpr("cast(id AS string) AS match_id").hint("merge")
+    joined = asked.join(table.hint("merge"), "match_id")
+    assert joined.count() == 2000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 3 out of 3" in plan and plan.count("Exchange hashpartitioning") <= 2
+
+
 # Throughput while the stream runs
 
 def test_closed_minutes_equal_the_batch_after_a_restart(spark):
