@@ -20,9 +20,11 @@ PLAYER_SUMS = [("kills", "total_kills"), ("deaths", "total_deaths"),
                ("total_damage_taken", "total_damage_taken"),
                ("gold_earned", "total_gold_earned"), ("wardsPlaced", "wards_placed"),
                ("wardsKilled", "wards_killed"), ("itemsPurchased", "items_purchased")]
+PLAYER_INPUT = [*PLAYER_KEYS, *[c for c, _ in PLAYER_SUMS], "win"]
 TEAM_KEYS = ["match_id", "team_id", "partition_date"]
 TEAM_SUMS = [("baron_kills", "total_baron_kills"), ("dragon_kills", "total_dragon_kills"),
              ("tower_kills", "total_tower_kills")]
+TEAM_INPUT = [*TEAM_KEYS, "win", *[c for c, _ in TEAM_SUMS]]
 
 
 def match_summary(games: DataFrame) -> DataFrame:

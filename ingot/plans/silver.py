@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import oracle
@@ -18,7 +18,7 @@ from ..functions.schemas import STAGE_COLUMNS
 from ..operators import documents as D
 from ..operators import rollups as R
 from ..registry import query
-from ..session import fresh_path, path_exists, pin_session, remove_path
+from ..session import fresh_path, path_exists, pin_session
 from ..sources.fixtures import (
     INGEST_DATE,
     damaged_bronze,
@@ -26,6 +26,8 @@ from ..sources.fixtures import (
     landed_bronze_matches_root,
 )
 from ..sources.sinks import (
+    bucket_count,
+    clustered,
     drop_partition,
     is_published,
     overwrite_partitions,
@@ -35,16 +37,20 @@ from ..sources.sinks import (
 from ..sources.tables import as_date, read_layer, read_layer_if_present
 
 
+DOCUMENTS_PER_BUCKET = 250_000      # parsed, about 400 MB in the sort that finds the survivors
+ROWS_PER_BUCKET = 2_000_000         # of a silver table, about 300 MB in the roll-up's sort
+
+
 def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, str],
                          partition_date, quarantine_path: str | None = None,
                          skip_seen: bool = False, look_back_days: int = 30) -> None:
     """The daily bronze -> silver job for one date.
 
-    Each document is parsed once (the fields that the tables in ``out`` read), shuffled
-    once and deduplicated, and the survivors are written once as Parquet below the shared folder.  Each
-    of the four branches and the quarantine reads its own columns of that
-    table (a lost executor costs no recomputation above it), adds no exchange,
-    and the table is removed at the end.
+    Each document is parsed once (the fields that the tables in ``out`` read) and written once
+    as Parquet below the shared folder, in buckets of its match, without a shuffle.  The
+    deduplication reads that table by bucket and notes the rows that survive.  Each of the four
+    branches and the quarantine reads its own columns of these rows (a lost executor costs no
+    recomputation above the table), adds no exchange, and the table is removed at the end.
 
     Documents that do not parse are kept, each one, with their stage times, in
     the quarantine (by default next to ``games``).  ``skip_seen`` drops matches that
@@ -59,30 +65,41 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
     quarantine_path = quarantine_path or (
         f"{next(iter(out.values())).rstrip('/')}_quarantine")
     fields = [f for name, read in D.BRANCH_INFO.items() if name in out for f in read]
-    keyed = D.key_unparsed(D.with_match_key(read_layer(spark, bronze_path, partition_date), fields))
-    payload = F.struct("doc", "_raw", "_bad")
-    # One date only: no need to group by it.
-    grouped = D.dedupe_by_key(keyed.withColumn("_payload", payload), "_payload", by=("_bad_id",))
-    grouped = grouped.select("*", "_payload.*").drop("_payload", "_bad_id")
-    if skip_seen and "games" in out and path_exists(spark, out["games"]):
-        earlier = read_layer_if_present(spark, out["games"])
-        if earlier is not None:
-            since = F.lit(date - dt.timedelta(days=look_back_days))
-            grouped = D.drop_seen(grouped, earlier.where(
-                (F.col("partition_date") < day) & (F.col("partition_date") >= since)))
-    staged = fresh_path(spark, "silver-input")
-    grouped.write.option("compression", "zstd").parquet(staged)
-    try:
-        rows = spark.read.parquet(staged).withColumn("partition_date", day)
-        times = [c for c in STAGE_COLUMNS.values() if c in rows.columns]
-        docs = rows.where("NOT _bad")
+    bronze = read_layer(spark, bronze_path, partition_date)
+    times = [c for c in STAGE_COLUMNS.values() if c in bronze.columns]
+    # Bad rows have no match: they spread over the buckets by their own numbers.
+    keyed = D.key_unparsed(D.with_match_key(bronze, fields)).select(
+        *times, D.MATCH_KEY, "doc", "_raw", "_bad", "_bad_id",
+        F.coalesce(D.MATCH_KEY, "_bad_id").alias("_cluster"),
+        F.monotonically_increasing_id().alias("_row"))
+    buckets = bucket_count(bronze, DOCUMENTS_PER_BUCKET)
+    with clustered(keyed, "_cluster", "documents", buckets) as rows:
+        payload = F.struct("doc", "_raw", "_bad", "_row")
+        # One date only: no need to group by it.
+        best = D.dedupe_by_key(rows.withColumn("_payload", payload), "_payload",
+                               by=("_bad_id", "_cluster"))
+        best = best.select(D.MATCH_KEY, "_cluster", F.col("_payload._row").alias("_row"))
+        if skip_seen and "games" in out and path_exists(spark, out["games"]):
+            earlier = read_layer_if_present(spark, out["games"])
+            if earlier is not None:
+                since = F.lit(date - dt.timedelta(days=look_back_days))
+                best = D.drop_seen(best, earlier.where(
+                    (F.col("partition_date") < day) & (F.col("partition_date") >= since)))
         builders = {"games": D.games, "participants": D.participants,
                     "teams_stats": D.team_stats, "teams_bans": D.team_bans}
-        replace_dates({quarantine_path: rows.where("_bad").select(
-            *times, F.col("_raw").alias("match_details"), "partition_date"),
-            **{out[name]: build(docs) for name, build in builders.items() if name in out}}, date)
-    finally:
-        remove_path(spark, staged)
+        with clustered(best.drop(D.MATCH_KEY), "_cluster", "survivors", buckets) as survivors:
+            def surviving(which: str, *columns) -> DataFrame:
+                return rows.where(which).select("_cluster", "_row", *columns).join(
+                    survivors, ["_cluster", "_row"], "left_semi").drop("_cluster", "_row").withColumn(
+                    "partition_date", day)
+
+            def documents(name: str) -> DataFrame:
+                info = F.struct(*[F.col("doc.info")[f].alias(f) for f in D.BRANCH_INFO[name]])
+                return surviving("NOT _bad", D.MATCH_KEY, F.struct(info.alias("info")).alias("doc"))
+            replace_dates({quarantine_path: surviving(
+                "_bad", *times, F.col("_raw").alias("match_details")),
+                **{out[name]: build(documents(name)) for name, build in builders.items()
+                   if name in out}}, date)
 
 
 def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[str, str],
@@ -96,10 +113,10 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
     """
     pin_session(spark)
     day = as_date(partition_date)
-    plans = {"match_summary": ("games", R.match_summary),
-             "player_performance": ("participants", R.player_performance),
-             "team_performance": ("teams_stats", R.team_performance)}
-    for name, (source, rollup) in plans.items():
+    plans = {"match_summary": ("games", R.match_summary, R.GAME_COLUMNS),
+             "player_performance": ("participants", R.player_performance, R.PLAYER_INPUT),
+             "team_performance": ("teams_stats", R.team_performance, R.TEAM_INPUT)}
+    for name, (source, rollup, columns) in plans.items():
         if name not in out:
             continue
         rows = read_layer_if_present(spark, silver[source], day)
@@ -108,9 +125,12 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
         if rows is None:
             drop_partition(spark, out[name], day)
         else:
-            # a group-by of non-empty rows is never empty: probe the scan,
-            # not the aggregate (which would run the shuffle twice)
-            replace_date(rollup(rows), out[name], day, probe=rows)
+            # Groups hold one match's rows, so rows in buckets of it need no shuffle.
+            rows = rows.select(*columns)
+            with clustered(rows, "match_id", name, bucket_count(rows, ROWS_PER_BUCKET)) as here:
+                # a group-by of non-empty rows is never empty: probe the scan,
+                # not the aggregate (which would run twice)
+                replace_date(rollup(here), out[name], day, probe=rows)
 
 
 # ---------------------------------------------------------------------------

@@ -240,3 +240,66 @@ def test_ingest_with_dedupe_lands_every_message_without_a_key(spark):
         "10:00", "10:01", "10:03", "10:03"]
     assert [bytes(r.key) for r in landed if r.key is not None] == [b"1"]
     assert [r.key for r in spark.read.parquet(f"{sink}_late").collect()] == [None]
+
+
+def test_daily_jobs_shuffle_neither_documents_nor_silver_rows(spark, monkeypatch):
+    """Documents, and the rows that gold rolls up, are grouped where they lie, in buckets of
+    their match; what is written for that is gone at the end."""
+    import os
+    from ingot.operators import documents as D
+    from ingot.operators import rollups as R
+    from ingot.plans.silver import run_bronze_to_silver, run_silver_to_gold
+    from ingot.session import shared_root
+    plans = {}
+
+    def watch(module, name):
+        plain = getattr(module, name)
+
+        def watched(*args, **kw):
+            out = plain(*args, **kw)
+            plans[name] = out._jdf.queryExecution().executedPlan().toString()
+            return out
+        monkeypatch.setattr(module, name, watched)
+    for module, name in ((D, "dedupe_by_key"), (R, "match_summary"), (R, "player_performance"),
+                         (R, "team_performance")):
+        watch(module, name)
+    bronze = fresh_path(spark, "ns-bronze")
+    silver = {k: fresh_path(spark, f"ns-{k}") for k in ("games", "participants", "teams_stats", "teams_bans")}
+    gold = {k: fresh_path(spark, f"ns-{k}") for k in ("match_summary", "player_performance", "team_performance")}
+    teams = [{"teamId": 100, "win": True, "objectives": {"baron": {"kills": 1}}, "bans": []}]
+    docs = [document(i, [participant(1, kills=i), participant(2)], teams) for i in range(40)]
+    again = [document(i, [participant(1, kills=i + 50)], teams) for i in range(0, 40, 4)]
+    overwrite_partitions(bronze_rows(spark, [*docs, *again, *docs[:7], "bad", "bad", "{cut", None]), bronze)
+    before = spark.catalog.listTables()
+    run_bronze_to_silver(spark, bronze, silver, DAY1)
+    run_silver_to_gold(spark, silver, gold, DAY1)
+    assert set(plans) == {"dedupe_by_key", "match_summary", "player_performance", "team_performance"}
+    for name, plan in plans.items():
+        assert "Exchange" not in plan and "Bucketed: true" in plan, name
+    assert spark.catalog.listTables() == before
+    root = shared_root(spark).removeprefix("file://").removeprefix("file:")
+    assert not [n for n in os.listdir(root) if n.startswith("clustered-")]
+    bad = spark.read.parquet(f"{silver['games']}_quarantine").collect()
+    assert sorted(r.match_details for r in bad) == ["bad", "bad", "null", "{cut"]
+    perf = spark.read.parquet(gold["player_performance"]).collect()
+    # Equal stage times: the greater document survives.
+    most = {i: max([docs[i], *([again[i // 4]] if i % 4 == 0 else [])],
+                   key=lambda d: [p["kills"] for p in d["info"]["participants"]])
+            for i in range(40)}
+    want = [(i, p["kills"]) for i, d in most.items() for p in d["info"]["participants"]]
+    assert sorted((r.match_id, r.total_kills) for r in perf) == sorted(want)
+    assert sorted(r.match_id for r in spark.read.parquet(gold["match_summary"]).collect()) == list(range(40))
+    assert spark.read.parquet(gold["team_performance"]).count() == 40
+
+
+def test_what_is_clustered_goes_also_after_a_failure(spark):
+    from ingot.session import path_exists
+    from ingot.sources.sinks import clustered
+    rows = spark.range(50).selectExpr("id % 7 AS k", "id")
+    with pytest.raises(ZeroDivisionError):
+        with clustered(rows, "k", "failing", 3) as here:
+            assert here.count() == 50
+            folder = here.inputFiles()[0].rpartition("/")[0]
+            1 / 0
+    assert not path_exists(spark, folder)
+    assert not [t for t in spark.catalog.listTables() if "failing" in t.name]
