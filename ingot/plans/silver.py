@@ -26,7 +26,7 @@ from ..sources.fixtures import (
     landed_bronze_matches_root,
 )
 from ..sources.sinks import (
-    bucket_count,
+    bucket_layout,
     clustered,
     drop_partition,
     is_published,
@@ -72,8 +72,8 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
         *times, D.MATCH_KEY, "doc", "_raw", "_bad", "_bad_id",
         F.coalesce(D.MATCH_KEY, "_bad_id").alias("_cluster"),
         F.monotonically_increasing_id().alias("_row"))
-    buckets = bucket_count(bronze, DOCUMENTS_PER_BUCKET)
-    with clustered(keyed, "_cluster", "documents", buckets) as rows:
+    layout = bucket_layout(spark, bronze.count(), DOCUMENTS_PER_BUCKET)
+    with clustered(keyed, "_cluster", "documents", *layout) as rows:
         payload = F.struct("doc", "_raw", "_bad", "_row")
         # One date only: no need to group by it.
         best = D.dedupe_by_key(rows.withColumn("_payload", payload), "_payload",
@@ -87,7 +87,7 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
                     (F.col("partition_date") < day) & (F.col("partition_date") >= since)))
         builders = {"games": D.games, "participants": D.participants,
                     "teams_stats": D.team_stats, "teams_bans": D.team_bans}
-        with clustered(best.drop(D.MATCH_KEY), "_cluster", "survivors", buckets) as survivors:
+        with clustered(best.drop(D.MATCH_KEY), "_cluster", "survivors", *layout) as survivors:
             def surviving(which: str, *columns) -> DataFrame:
                 return rows.where(which).select("_cluster", "_row", *columns).join(
                     survivors, ["_cluster", "_row"], "left_semi").drop("_cluster", "_row").withColumn(
@@ -127,7 +127,8 @@ def run_silver_to_gold(spark: SparkSession, silver: dict[str, str], out: dict[st
         else:
             # Groups hold one match's rows, so rows in buckets of it need no shuffle.
             rows = rows.select(*columns)
-            with clustered(rows, "match_id", name, bucket_count(rows, ROWS_PER_BUCKET)) as here:
+            layout = bucket_layout(spark, rows.count(), ROWS_PER_BUCKET)
+            with clustered(rows, "match_id", name, *layout) as here:
                 # a group-by of non-empty rows is never empty: probe the scan,
                 # not the aggregate (which would run twice)
                 replace_date(rollup(here), out[name], day, probe=rows)

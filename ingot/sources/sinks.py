@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -82,8 +83,23 @@ def write_bucketed(df: DataFrame, key: str, table: str, path: str, buckets: int,
      .option("path", path).saveAsTable(table))
 
 
+ROWS_PER_BUCKET_FILE = 500
+
+
+def bucket_layout(spark, n_rows: int, rows_per_bucket: int) -> tuple[int, bool]:
+    """(buckets, whether to gather them) for so many rows.
+
+    A bucket holds at most ``rows_per_bucket``, about what a task can sort; there are as many as
+    shuffle partitions where their files stay large enough.  Rows are not gathered as long as
+    as many tasks as buckets leave ``ROWS_PER_BUCKET_FILE`` rows in a file, so the number of
+    files grows no faster than the rows: a larger table goes through the shuffle."""
+    need, files = max(1, -(-n_rows // rows_per_bucket)), n_rows // ROWS_PER_BUCKET_FILE
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(need, min(parts, math.isqrt(files))), need > 1 and need * need > files
+
+
 @contextmanager
-def clustered(df: DataFrame, key: str, name: str, buckets: int) -> Iterator[DataFrame]:
+def clustered(df: DataFrame, key: str, name: str, buckets: int, gather: bool) -> Iterator[DataFrame]:
     """``df`` while it is in use, written once in ``buckets`` buckets of ``key``.
 
     What groups or joins it by ``key`` (and more columns) adds no exchange.  Parquet takes a
@@ -92,20 +108,13 @@ def clustered(df: DataFrame, key: str, name: str, buckets: int) -> Iterator[Data
     spark = df.sparkSession
     table, path = f"ingot_{name}_{uuid.uuid4().hex[:10]}", fresh_path(spark, f"clustered-{name}")
     try:
-        write_bucketed(df, key, table, path, buckets, gather=False)
+        write_bucketed(df, key, table, path, buckets, gather)
         yield spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS `{table}`")
         remove_path(spark, path)
 
 
-def bucket_count(rows: DataFrame, rows_per_bucket: int) -> int:
-    """Buckets for ``rows`` (counted): the session's shuffle partitions, or as many as needed
-    for a bucket to hold no more than ``rows_per_bucket``."""
-    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-               -(-rows.count() // rows_per_bucket))
-
-
 VERSION = "__v"
 
 

@@ -297,9 +297,19 @@ def test_what_is_clustered_goes_also_after_a_failure(spark):
     from ingot.sources.sinks import clustered
     rows = spark.range(50).selectExpr("id % 7 AS k", "id")
     with pytest.raises(ZeroDivisionError):
-        with clustered(rows, "k", "failing", 3) as here:
+        with clustered(rows, "k", "failing", 3, False) as here:
             assert here.count() == 50
             folder = here.inputFiles()[0].rpartition("/")[0]
             1 / 0
     assert not path_exists(spark, folder)
     assert not [t for t in spark.catalog.listTables() if "failing" in t.name]
+
+
+def test_files_of_buckets_grow_no_faster_than_the_rows(spark):
+    from ingot.sources.sinks import ROWS_PER_BUCKET_FILE, bucket_layout
+    for n in (0, 1, 1000, 10 ** 6, 10 ** 7, 10 ** 8, 10 ** 9, 10 ** 11):
+        buckets, gather = bucket_layout(spark, n, 250_000)
+        assert buckets >= 1 and buckets * 250_000 >= n
+        assert gather or buckets ** 2 <= max(1, n // ROWS_PER_BUCKET_FILE)
+    assert bucket_layout(spark, 72_000_000, 250_000) == (288, False)
+    assert bucket_layout(spark, 10 ** 9, 250_000) == (4000, True)
