@@ -78,7 +78,7 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
         # One date only: no need to group by it.
         best = D.dedupe_by_key(rows.withColumn("_payload", payload), "_payload",
                                by=("_bad_id", "_cluster"))
-        best = best.select(D.MATCH_KEY, "_cluster", F.col("_payload._row").alias("_row"))
+        best = best.select(D.MATCH_KEY, "_cluster", F.col("_payload._row").alias("_best"))
         if skip_seen and "games" in out and path_exists(spark, out["games"]):
             earlier = read_layer_if_present(spark, out["games"])
             if earlier is not None:
@@ -89,9 +89,11 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, out: dict[str, s
                     "teams_stats": D.team_stats, "teams_bans": D.team_bans}
         with clustered(best.drop(D.MATCH_KEY), "_cluster", "survivors", *layout) as survivors:
             def surviving(which: str, *columns) -> DataFrame:
-                return rows.where(which).select("_cluster", "_row", *columns).join(
-                    survivors, ["_cluster", "_row"], "left_semi").drop("_cluster", "_row").withColumn(
-                    "partition_date", day)
+                # Buckets serve a join by all its keys only, so the row's number is no key of it.
+                mine = rows.where(which).select(F.col("_cluster").alias("_of"), "_row", *columns)
+                same = F.col("_row").between(F.col("_best"), F.col("_best"))
+                return mine.join(survivors, (F.col("_of") == F.col("_cluster")) & same, "left_semi"
+                                 ).drop("_of", "_row").withColumn("partition_date", day)
 
             def documents(name: str) -> DataFrame:
                 info = F.struct(*[F.col("doc.info")[f].alias(f) for f in D.BRANCH_INFO[name]])

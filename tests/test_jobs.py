@@ -313,3 +313,29 @@ def test_files_of_buckets_grow_no_faster_than_the_rows(spark):
         assert gather or buckets ** 2 <= max(1, n // ROWS_PER_BUCKET_FILE)
     assert bucket_layout(spark, 72_000_000, 250_000) == (288, False)
     assert bucket_layout(spark, 10 ** 9, 250_000) == (4000, True)
+
+
+def test_surviving_documents_are_joined_by_bucket(spark, monkeypatch):
+    """Also where the list of survivors is too large to be broadcast."""
+    from ingot.plans import silver as P
+    bronze, games, teams = (fresh_path(spark, n) for n in ("sb-bronze", "sb-games", "sb-teams"))
+    docs = [document(i % 30, [participant(1, kills=i)]) for i in range(45)]
+    overwrite_partitions(bronze_rows(spark, [*docs, "bad", "bad"]), bronze)
+    plans, plain = [], P.replace_dates
+
+    def replace_dates(outputs, date):
+        plans.extend(f._jdf.queryExecution().executedPlan().toString() for f in outputs.values())
+        plain(outputs, date)
+    monkeypatch.setattr(P, "replace_dates", replace_dates)
+    monkeypatch.setattr(P, "bucket_layout", lambda *a: (3, False))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        P.run_bronze_to_silver(spark, bronze, {"games": games, "teams_stats": teams}, DAY1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 3
+    for plan in plans:
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert sorted(r.match_id for r in spark.read.parquet(games).collect()) == list(range(30))
+    assert spark.read.parquet(f"{games}_quarantine").count() == 2
